@@ -243,3 +243,53 @@ from feature_rows
 oracle("row_col_count", """
 select cast(count(*) as bigint) n_rows, 14 n_cols from feature_rows
 """)
+
+# ---------------------------------------------------------------- FM / FFM scoring and metrics
+oracle("fm_score", """
+with sc as (select idx, case when max(abs(val)) = 0 then 1e0 else max(abs(val)) end s
+            from sparse_rows group by idx),
+f as (select r.order_id, r.idx, r.val / sc.s x from sparse_rows r join sc using (idx) where r.val <> 0),
+lin as (select cast(vec_id as int) idx, embedding[9]::double w from embeddings),
+li as (select f.order_id, sum(lin.w * f.x) lin from f join lin using (idx) group by f.order_id),
+q2 as (select f.order_id, l.d, sum(l.v * f.x) s1, sum(l.v * l.v * f.x * f.x) s2
+       from f join lat l using (idx) group by f.order_id, l.d),
+pw as (select order_id, sum(s1 * s1 - s2) / 2 pr from q2 group by order_id),
+yy as (select ids.order_id, 0.1e0 + coalesce(li.lin, 0) + coalesce(pw.pr, 0) y
+       from (select distinct order_id from sparse_rows) ids left join li using (order_id) left join pw using (order_id))
+select order_id, round(y, 6) y, round(1 / (1 + exp(-y)), 6) p from yy
+""")
+
+SCORES = """
+scores as (select case when o_orderstatus = 'F' then 1 else 0 end y, round(o_totalprice / 1000) s from orders),
+probs as (select y, s, (s + 0.5e0) / (m.top + 1e0) p from scores, (select max(s) top from scores) m)
+"""
+
+oracle("auc", "with " + SCORES + """,
+b as (select s k, sum(y) p, sum(1 - y) n from scores group by s),
+w as (select p, n, coalesce(sum(n) over (order by k rows between unbounded preceding and 1 preceding), 0) nb from b)
+select round(cast(sum(p * (nb + n / 2e0)) as double) / (cast(sum(p) as double) * sum(n)), 9) auc from w
+""")
+
+oracle("log_loss", "with " + SCORES + """
+select round(avg(-(y * ln(greatest(least(p, 1 - 1e-15), 1e-15))
+                   + (1 - y) * ln(1 - greatest(least(p, 1 - 1e-15), 1e-15)))), 6) log_loss from probs
+""")
+
+oracle("accuracy", "with " + SCORES + """
+select round(avg(case when (case when p >= 0.5 then 1 else 0 end) = y then 1e0 else 0e0 end), 6) accuracy
+from probs
+""")
+
+oracle("ffm_score", """
+with r as (select order_id, idx,
+                  case when idx <= 5 then idx when idx <= 10 then 6 when idx <= 35 then 7 else 8 end fld, val x
+           from sparse_rows where idx > 5 and val = 1),
+pr as (select a.order_id,
+              sum(ea.embedding[4 * (b.fld - 1) + d]::double * eb.embedding[4 * (a.fld - 1) + d]::double * a.x * b.x) y
+       from r a join r b on a.order_id = b.order_id and a.idx < b.idx
+       join embeddings ea on ea.vec_id = a.idx join embeddings eb on eb.vec_id = b.idx, range(1, 5) t(d)
+       group by a.order_id),
+yy as (select ids.order_id, coalesce(pr.y, 0e0) y from (select distinct order_id from sparse_rows) ids
+       left join pr using (order_id))
+select order_id, round(y, 6) y, round(1 / (1 + exp(-y)), 6) p from yy
+""")

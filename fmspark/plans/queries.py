@@ -223,3 +223,53 @@ def split_half(spark, sf):
 @query
 def row_col_count(spark, sf):
     return D.row_col_count(fx.feature_rows(spark, sf))
+
+
+# ---------------------------------------------------------------- FM / FFM scoring and metrics
+@query
+def fm_score(spark, sf):
+    """Relational FM scoring with a fixed model (bias 0.1, w = embedding[9],
+    v = embedding[1..8]); features max-abs scaled per index (C12)."""
+    from fmspark.operators import fm as M
+    rows = fx.sparse_rows(spark, sf)
+    bias, linear, latent = fx.fm_model(spark, sf)
+    model = M.model_table(linear, latent, M.max_abs_scale(rows))
+    sc = M.fm_score(rows, bias, model, fx.K, keep=("order_id",))
+    return sc.select("order_id", F.round("y", 6).alias("y"), F.round("p", 6).alias("p"))
+
+
+def _prob_scores(spark, sf):
+    sc = fx.scores(spark, sf)
+    top = sc.agg(F.max("s")).first()[0]
+    return sc.withColumn("p", (F.col("s") + F.lit(0.5)) / F.lit(float(top) + 1.0))
+
+
+@query
+def auc(spark, sf):
+    """ROC AUC with ties."""
+    from fmspark.operators import fm as M
+    return M.auc(fx.scores(spark, sf), "y", "s").select(F.round("auc", 9).alias("auc"))
+
+
+@query
+def log_loss(spark, sf):
+    """Log-loss of the scores scaled into (0, 1)."""
+    from fmspark.operators import fm as M
+    return M.log_loss(_prob_scores(spark, sf), "y", "p").select(F.round("log_loss", 6).alias("log_loss"))
+
+
+@query
+def accuracy(spark, sf):
+    """Accuracy at threshold 0.5."""
+    from fmspark.operators import fm as M
+    return M.accuracy(_prob_scores(spark, sf), "y", "p").select(F.round("accuracy", 6).alias("accuracy"))
+
+
+@query
+def ffm_score(spark, sf):
+    """FFM scoring of the active one-hot features, without instance norm."""
+    from fmspark.operators import ffm as FF
+    rows = fx.sparse_rows(spark, sf)
+    act = rows.withColumn("features", S.active("features", fx.THRESHOLD))
+    sc = FF.ffm_score(act, fx.ffm_model(spark, sf), fx.field_of(rows), fx.FFM_K, keep=("order_id",))
+    return sc.select("order_id", F.round("y", 6).alias("y"), F.round("p", 6).alias("p"))
