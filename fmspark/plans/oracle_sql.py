@@ -293,3 +293,84 @@ yy as (select ids.order_id, coalesce(pr.y, 0e0) y from (select distinct order_id
        left join pr using (order_id))
 select order_id, round(y, 6) y, round(1 / (1 + exp(-y)), 6) p from yy
 """)
+
+# ---------------------------------------------------------------- feature transforms
+oracle("bucketize", """
+select order_id, case when f_qty is null then null when f_qty < 10 then 0e0 when f_qty < 100 then 1e0
+                      else 2e0 end f_qty_bucket from feature_rows
+""")
+
+oracle("discretize", """
+with c as (select distinct unnest(quantile_disc(f_bal, [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5,
+                                                     0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95])) cut
+           from feature_rows)
+select order_id, cast((select count(*) from c where c.cut <= r.f_bal) as double) f_bal_bucket from feature_rows r
+""")
+
+SEG_RANK = """
+seg_rank as (select f_seg, cast(row_number() over (order by n desc, f_seg) - 1 as double) f_seg_idx
+             from (select f_seg, count(*) n from feature_rows group by f_seg) c)
+"""
+
+oracle("onehot", "with " + SEG_RANK + """
+select r.order_id, cast((select count(*) from seg_rank) as int) vec_size, cast(s.f_seg_idx as int) hot_index
+from feature_rows r join seg_rank s using (f_seg)
+""")
+
+oracle("string_index", "with " + SEG_RANK + """
+select r.order_id, s.f_seg_idx from feature_rows r join seg_rank s using (f_seg)
+""")
+
+oracle("index_to_string", "with " + SEG_RANK + """
+select r.order_id, s.f_seg f_seg_back from feature_rows r join seg_rank s using (f_seg)
+""")
+
+oracle("standardize", """
+select order_id, round((f_price - m.mu) / m.sd, 6) f_price_std
+from feature_rows, (select avg(f_price) mu, stddev_samp(f_price) sd from feature_rows) m
+""")
+
+oracle("binarize", """
+select order_id, case when coalesce(f_zero_disc, 0) > 0 then 1e0 else 0e0 end x_bin from feature_rows
+""")
+
+oracle("normalize_l2", """
+with e as (select vec_id, d, embedding[d]::double x from embeddings, range(1, 65) t(d)),
+n as (select vec_id, sqrt(sum(x * x)) nrm from e group by vec_id)
+select vec_id, cast(d - 1 as int) pos, round(case when nrm = 0 then x else x / nrm end, 6) val
+from e join n using (vec_id)
+""")
+
+oracle("min_max", """
+select order_id, round(case when m.hi = m.lo then 0.5 else (f_bal - m.lo) / (m.hi - m.lo) end, 6) f_bal_mm
+from feature_rows, (select min(f_bal) lo, max(f_bal) hi from feature_rows) m
+""")
+
+oracle("max_abs", """
+select order_id, round(f_bal / m.a, 6) f_bal_ma from feature_rows, (select max(abs(f_bal)) a from feature_rows) m
+""")
+
+oracle("assemble", """
+select order_id, 0 pos, f_price val from feature_rows
+union all select order_id, 1, f_bal from feature_rows
+union all select order_id, 2, coalesce(f_qty, 0e0) from feature_rows
+""")
+
+oracle("copy_column", """
+select order_id, f_flag f_flag_copy from feature_rows
+""")
+
+oracle("vector_index", """
+with pr as (select f_prio, cast(row_number() over (order by f_prio) - 1 as double) c
+            from (select distinct f_prio from feature_rows) d),
+fl as (select f_flag, cast(row_number() over (order by f_flag) - 1 as double) c
+       from (select distinct f_flag from feature_rows) d)
+select r.order_id, 0 pos, pr.c val from feature_rows r join pr using (f_prio)
+union all select order_id, 1, cast(f_nation as double) from feature_rows
+union all select r.order_id, 2, fl.c from feature_rows r join fl using (f_flag)
+""")
+
+oracle("vector_slice", """
+select order_id, 0 pos, f_price val from feature_rows
+union all select order_id, 1, cast(f_flag as double) from feature_rows
+""")

@@ -273,3 +273,171 @@ def ffm_score(spark, sf):
     act = rows.withColumn("features", S.active("features", fx.THRESHOLD))
     sc = FF.ffm_score(act, fx.ffm_model(spark, sf), fx.field_of(rows), fx.FFM_K, keep=("order_id",))
     return sc.select("order_id", F.round("y", 6).alias("y"), F.round("p", 6).alias("p"))
+
+
+# ---------------------------------------------------------------- feature transforms
+FIXTURE_SPEC = {"f_price": "standardnormalize", "f_bal": "discretize(20)", "f_qty": "bucket(min,10,100,max);onehot()",
+                "f_zero_disc": "discretize(20)", "f_seg": "onehot", "f_nation": "onehot", "f_prio": "onehot",
+                "f_flag": "Untransform", "order_dummy": None}
+
+
+def _vec_long(df: DataFrame, keys: tuple[str, ...], vec: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+    return df.select(*keys, F.posexplode(vector_to_array(vec)).alias("pos", "val"))
+
+
+def _fr(spark, sf, *cols):
+    return fx.feature_rows(spark, sf).select("order_id", *cols)
+
+
+@query
+def bucketize(spark, sf):
+    """Explicit splits on f_qty (min, 10, 100, max); null stays null."""
+    from fmspark.operators import transforms as T
+    out = T.bucketizer(_fr(spark, sf, "f_qty"), "f_qty", "f_qty_bucket", [float("-inf"), 10.0, 100.0, float("inf")])
+    return out.select("order_id", "f_qty_bucket")
+
+
+@query
+def discretize(spark, sf):
+    """C4: 20 quantile buckets of f_bal (exact quantiles: relativeError 0)."""
+    from fmspark.operators import transforms as T
+    out = T.discretizer(_fr(spark, sf, "f_bal"), "f_bal", "f_bal_bucket", 20, relative_error=0.0)
+    return out.select("order_id", "f_bal_bucket")
+
+
+@query
+def onehot(spark, sf):
+    """String index by frequency, one-hot without dropping the last."""
+    from pyspark.ml.functions import vector_to_array
+    from fmspark.operators import transforms as T
+    out = T.onehot(_fr(spark, sf, "f_seg"), "f_seg", "f_seg_vec")
+    arr = vector_to_array("f_seg_vec")
+    return out.select("order_id", F.size(arr).alias("vec_size"),
+                      (F.array_position(arr, 1.0) - 1).cast("int").alias("hot_index"))
+
+
+@query
+def standardize(spark, sf):
+    """(x - mean) / sample std."""
+    from fmspark.operators import transforms as T
+    out = T.standard_scaler(_fr(spark, sf, "f_price"), "f_price", "f_price_std")
+    return out.select("order_id", F.round("f_price_std", 6).alias("f_price_std"))
+
+
+@query
+def binarize(spark, sf):
+    """X > 0."""
+    from fmspark.operators import transforms as T
+    d = fx.feature_rows(spark, sf).select("order_id", F.coalesce("f_zero_disc", F.lit(0.0)).alias("x"))
+    return T.binarizer(d, "x", "x_bin").select("order_id", "x_bin")
+
+
+@query
+def string_index(spark, sf):
+    """Index by descending frequency, ties alphabetical."""
+    from fmspark.operators import transforms as T
+    out, _ = T.string_indexer(_fr(spark, sf, "f_seg"), "f_seg", "f_seg_idx")
+    return out.select("order_id", "f_seg_idx")
+
+
+@query
+def index_to_string(spark, sf):
+    """Back from index to label with the indexer's labels."""
+    from fmspark.operators import transforms as T
+    out, m = T.string_indexer(_fr(spark, sf, "f_seg"), "f_seg", "f_seg_idx")
+    return T.index_to_string(out, "f_seg_idx", "f_seg_back", m.labels).select("order_id", "f_seg_back")
+
+
+@query
+def normalize_l2(spark, sf):
+    """L2 normalisation of the embedding vectors."""
+    from pyspark.ml.functions import array_to_vector
+    from fmspark.operators import transforms as T
+    e = fx.table(spark, sf, "embeddings").select(
+        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    out = T.normalizer(e, "v", "v_norm")
+    return _vec_long(out, ("vec_id",), "v_norm").withColumn("val", F.round("val", 6))
+
+
+@query
+def min_max(spark, sf):
+    """C11: rescale f_bal to [0, 1]."""
+    from fmspark.operators import transforms as T
+    out = T.min_max_scaler(_fr(spark, sf, "f_bal"), "f_bal", "f_bal_mm")
+    return out.select("order_id", F.round("f_bal_mm", 6).alias("f_bal_mm"))
+
+
+@query
+def max_abs(spark, sf):
+    """f_bal / max |f_bal|."""
+    from fmspark.operators import transforms as T
+    out = T.max_abs_scaler(_fr(spark, sf, "f_bal"), "f_bal", "f_bal_ma")
+    return out.select("order_id", F.round("f_bal_ma", 6).alias("f_bal_ma"))
+
+
+@query
+def assemble(spark, sf):
+    """Vector of (f_price, f_bal, f_qty with nulls as 0)."""
+    from fmspark.operators import transforms as T
+    d = fx.feature_rows(spark, sf).select("order_id", "f_price", "f_bal",
+                                          F.coalesce("f_qty", F.lit(0.0)).alias("f_qty"))
+    out = T.vector_assembler(d, ["f_price", "f_bal", "f_qty"], "vec", drop=True)
+    return _vec_long(out, ("order_id",), "vec")
+
+
+@query
+def copy_column(spark, sf):
+    """C14: untransform = copy under a new name."""
+    from fmspark.operators import transforms as T
+    return T.untransform(_fr(spark, sf, "f_flag"), "f_flag", "f_flag_copy").select("order_id", "f_flag_copy")
+
+
+@query
+def vector_index(spark, sf):
+    """Slots with <= 20 distinct values become category indices."""
+    from fmspark.operators import transforms as T
+    d = T.vector_assembler(_fr(spark, sf, "f_prio", "f_nation", "f_flag"), ["f_prio", "f_nation", "f_flag"], "vec")
+    out, _ = T.vector_indexer(d, "vec", "vec_idx", 20)
+    return _vec_long(out, ("order_id",), "vec_idx")
+
+
+@query
+def vector_slice(spark, sf):
+    """Slots 0 and 2 of (f_price, f_bal, f_flag)."""
+    from fmspark.operators import transforms as T
+    d = T.vector_assembler(_fr(spark, sf, "f_price", "f_bal", "f_flag"), ["f_price", "f_bal", "f_flag"], "vec")
+    return _vec_long(T.vector_slicer(d, "vec", "vec_sl", [0, 2]), ("order_id",), "vec_sl")
+
+
+@query
+def r_formula(spark, sf):
+    """C17 (rows-only): target ~ f_seg + f_price."""
+    from fmspark.operators import transforms as T
+    out = T.r_formula(_fr(spark, sf, "target", "f_seg", "f_price"), "target ~ f_seg + f_price")
+    return _vec_long(out, ("order_id", "label"), "features")
+
+
+@query
+def chisq_top(spark, sf):
+    """C18 (rows-only): the 2 categorical features most dependent on target."""
+    from fmspark.operators import transforms as T
+    d = T.vector_assembler(_fr(spark, sf, "target", "f_nation", "f_prio", "f_flag"),
+                           ["f_nation", "f_prio", "f_flag"], "vec")
+    _, sel = T.chisq_selector(d.withColumn("label", F.col("target").cast("double")), 2, "vec", "sel", "label")
+    return spark.range(len(sel)).select(F.col("id").cast("int").alias("rank"),
+                                        F.element_at(F.array(*[F.lit(i) for i in sel]),
+                                                     F.col("id").cast("int") + 1).alias("feature"))
+
+
+@query
+def transform_spec(spark, sf):
+    """C1 + C2 (rows-only): the fixture spec over the feature table as one
+    multi-column pipeline; vectors reported as their active slot."""
+    from pyspark.ml.functions import vector_to_array
+    from fmspark.operators import transforms as T
+    fr = fx.feature_rows(spark, sf).withColumn("order_dummy", F.lit(1))
+    out, _ = T.transform_pipeline(fr, FIXTURE_SPEC)
+    vec_cols = [c for c in ("f_qty", "f_seg", "f_nation", "f_prio")]
+    return out.select("order_id", "f_price", "f_bal", "f_zero_disc", "f_flag",
+                      *[(F.array_position(vector_to_array(c), 1.0) - 1).cast("int").alias(c) for c in vec_cols])
