@@ -23,10 +23,17 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, value_col: str, out_col:
                          rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
     """``out_col`` = sum of ``value_col`` over the rows whose ``order_col`` is
     smaller. ``order_col`` must be distinct (aggregate ties first)."""
+    return exclusive_prefix_sum_sized(df, order_col, value_col, out_col, rows_per_range)[0]
+
+
+def exclusive_prefix_sum_sized(df: DataFrame, order_col: str, value_col: str, out_col: str,
+                               rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> tuple[DataFrame, int]:
+    """As ``exclusive_prefix_sum``, also returning the row count (exact when
+    at most ``rows_per_range``, else the full count)."""
     n = df.limit(rows_per_range + 1).count()
     prior = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     if n <= rows_per_range:
-        return df.withColumn(out_col, F.coalesce(F.sum(value_col).over(prior), F.lit(0)))
+        return df.withColumn(out_col, F.coalesce(F.sum(value_col).over(prior), F.lit(0))), n
     total = df.count()
     n_ranges = min(10_000, -(-total // rows_per_range))
     probs = [i / n_ranges for i in range(1, n_ranges)]
@@ -42,12 +49,13 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, value_col: str, out_col:
     w = Window.partitionBy("_rng").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     return (tagged.withColumn(out_col, F.element_at(off_arr, F.col("_rng") + 1)
                               + F.coalesce(F.sum(value_col).over(w), F.lit(0)))
-            .drop("_rng"))
+            .drop("_rng")), total
 
 
 def dense_positions(values: DataFrame, col: str, out_col: str = "pos",
-                    rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
-    """Distinct values of ``col`` numbered ``0..n-1`` in ascending order."""
+                    rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> tuple[DataFrame, int]:
+    """Distinct values of ``col`` numbered ``0..n-1`` in ascending order;
+    returns ``(table, n)``."""
     d = values.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1).cast("long"))
-    return exclusive_prefix_sum(d, col, "_one", out_col, rows_per_range).drop("_one") \
-        .withColumn(out_col, F.col(out_col).cast("int"))
+    out, n = exclusive_prefix_sum_sized(d, col, "_one", out_col, rows_per_range)
+    return out.drop("_one").withColumn(out_col, F.col(out_col).cast("int")), n

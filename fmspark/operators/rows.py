@@ -22,7 +22,7 @@ def is_numeric(dt) -> bool:
 
 def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", features: str = "features",
             on_unknown: str = "error", clustered: bool = False,
-            max_broadcast_bytes: int | None = None) -> DataFrame:
+            max_broadcast_bytes: int | None = None, map_rows: int | None = None) -> DataFrame:
     """``idx -> pos`` through the index map ``(idx, pos)``, pair order kept.
 
     The input is hash-partitioned on the row key before the explode, so the
@@ -32,7 +32,7 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
     if on_unknown not in ("error", "drop"):
         raise ValueError("on_unknown must be 'error' or 'drop'")
     fm = feature_map.select(F.col("idx").cast("int").alias("_midx"), F.col("pos").cast("int").alias("_mpos"))
-    fm, _ = maybe_broadcast(fm, row_bytes=16, max_bytes=max_broadcast_bytes)
+    fm, _ = maybe_broadcast(fm, row_bytes=16, max_bytes=max_broadcast_bytes, known_rows=map_rows)
     base = rows if clustered else rows.repartition(key)
     cols = [c for c in base.columns if c not in (key, features)]
     ex = base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f"))
@@ -50,7 +50,7 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
 
 def to_fm(rows: DataFrame, *, is_prd: bool = False, reindex_map: DataFrame | None = None,
           keep_zero: bool = False, key: str = "row_id", label: str = "label",
-          features: str = "features") -> DataFrame:
+          features: str = "features", map_rows: int | None = None) -> DataFrame:
     """One pass of relabel (train only), zero drop and optional re-index."""
     out = rows
     if not is_prd:
@@ -58,7 +58,7 @@ def to_fm(rows: DataFrame, *, is_prd: bool = False, reindex_map: DataFrame | Non
     if not keep_zero:
         out = out.withColumn(features, S.drop_zero(features))
     if reindex_map is not None:
-        out = reindex(out, reindex_map, key=key, features=features)
+        out = reindex(out, reindex_map, key=key, features=features, map_rows=map_rows)
     return out
 
 
@@ -101,11 +101,11 @@ def to_dense(rows: DataFrame, *, label: str = "label", features: str = "features
 
 def to_ffm(rows: DataFrame, field_map: DataFrame, *, key: str = "row_id", label: str = "label",
            features: str = "features", keep: tuple[str, ...] = (), keep_zero: bool = False,
-           clustered: bool = False) -> DataFrame:
+           clustered: bool = False, map_rows: int | None = None) -> DataFrame:
     """``label field:feature:value`` text. The field of each index comes
     from ``field_map(idx, field)``, a table as small as the feature space."""
     fm = field_map.select(F.col("idx").cast("int").alias("_fidx"), F.col("field").cast("int").alias("_fld"))
-    fm, _ = maybe_broadcast(fm, row_bytes=16)
+    fm, _ = maybe_broadcast(fm, row_bytes=16, known_rows=map_rows)
     base = rows if keep_zero else rows.withColumn(features, S.drop_zero(features))
     if not clustered:
         base = base.repartition(key)

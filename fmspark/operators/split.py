@@ -11,10 +11,10 @@ BUCKETS = 10_000
 
 
 def feature_map(rows: DataFrame, features: str = "features",
-                rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
+                rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> tuple[DataFrame, int]:
     """Distinct feature indices of all rows, ascending -> ``0..n-1``.
 
-    ``(idx int, pos int)``. The distinct runs as a partial + final hash
+    ``((idx int, pos int), n)``. The distinct runs as a partial + final hash
     aggregation; the numbering runs in value ranges (functions.ordered), so no
     task holds the whole index set."""
     idx = rows.select(F.explode(features).alias("_p")).select(F.col("_p.idx").alias("idx"))

@@ -68,11 +68,19 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(F.col("o_totalprice") > 250000, 1).otherwise(0).alias("f_flag")))
 
 
-def categories(df: DataFrame, col: str) -> list:
-    """Sorted distinct non-null values of a categorical column (size-checked)."""
-    rows = collect_bounded(df.select(col).where(F.col(col).isNotNull()).distinct(),
-                           MAX_CATEGORIES, f"categories of {col}")
-    return sorted(r[0] for r in rows)
+def categories(df: DataFrame, *cols: str) -> dict[str, list]:
+    """Sorted distinct non-null values of categorical columns, all in one job
+    (the columns are stacked to ``(column, value)`` and de-duplicated with a
+    partial + final aggregation), size-checked before the collect."""
+    stacked = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])))
+    rows = collect_bounded(stacked.where(F.col("v").isNotNull()).distinct(), MAX_CATEGORIES, "categories")
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = {c: [] for c in cols}
+    for r in rows:
+        v = r["v"]
+        out[r["c"]].append(int(v) if types[r["c"]].typeName() in ("integer", "long", "short", "byte") else v)
+    return {c: sorted(vs) for c, vs in out.items()}
 
 
 def one_hot_pairs(value: Column, cats: list, first_idx: Column | int) -> list[Column]:
@@ -87,9 +95,8 @@ def one_hot_pairs(value: Column, cats: list, first_idx: Column | int) -> list[Co
 def sparse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id bigint, order_id string, label int, features array<struct<idx,val>>``."""
     fr = feature_rows(spark, sf_dir)
-    segs = categories(fr, "f_seg")
-    nations = categories(fr, "f_nation")
-    prios = categories(fr, "f_prio")
+    cats = categories(fr, "f_seg", "f_nation", "f_prio")
+    segs, nations, prios = cats["f_seg"], cats["f_nation"], cats["f_prio"]
     feats = [
         pair(F.lit(1), F.col("f_price") / F.lit(500000)),
         pair(F.lit(2), F.col("f_bal")),
@@ -139,6 +146,12 @@ def field_of(rows: DataFrame) -> DataFrame:
     return idx.select("idx", field_expr(F.col("idx")).alias("field"))
 
 
+def field_table(indexed: DataFrame) -> DataFrame:
+    """``(idx, field)`` for the indices of a model table (``idx`` column)."""
+    return indexed.select(F.col("idx").cast("int").alias("idx")).distinct() \
+        .select("idx", field_expr(F.col("idx")).alias("field"))
+
+
 def ffm_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(idx int, field int, v array<double>)``: the factor of idx toward
     field f is ``slice(embedding, 1 + 4*(f-1), 4)``."""

@@ -124,28 +124,29 @@ def drop_zero(spark, sf):
 @query
 def feature_map(spark, sf):
     rows = fx.sparse_rows(spark, sf).select(S.drop_zero("features").alias("features"))
-    return D.feature_map(rows)
+    return D.feature_map(rows)[0]
 
 
 def _fmap_rows(spark, sf):
     rows = fx.sparse_rows(spark, sf)
     nz = rows.withColumn("features", S.drop_zero("features"))
-    return rows, D.feature_map(nz)
+    fmap, n = D.feature_map(nz)
+    return rows, fmap, n
 
 
 @query
 def reindex(spark, sf):
-    rows, fmap = _fmap_rows(spark, sf)
+    rows, fmap, n = _fmap_rows(spark, sf)
     nz = rows.withColumn("features", S.drop_zero("features"))
-    out = R.reindex(nz, fmap, key="row_id")
+    out = R.reindex(nz, fmap, key="row_id", map_rows=n)
     return out.select("order_id", F.posexplode("features").alias("p", "_q")) \
         .select("order_id", "p", F.col("_q.idx").alias("idx"), F.col("_q.val").alias("val"))
 
 
 @query
 def to_fm(spark, sf):
-    rows, fmap = _fmap_rows(spark, sf)
-    out = R.to_fm(rows, reindex_map=fmap)
+    rows, fmap, n = _fmap_rows(spark, sf)
+    out = R.to_fm(rows, reindex_map=fmap, map_rows=n)
     return out.select("order_id", "label", F.posexplode("features").alias("p", "_q")) \
         .select("order_id", "label", "p", F.col("_q.idx").alias("idx"), F.col("_q.val").alias("val"))
 
@@ -176,7 +177,7 @@ def to_dense(spark, sf):
 def to_ffm_text(spark, sf):
     rows = fx.sparse_rows(spark, sf)
     onehot = rows.withColumn("features", F.filter("features", lambda p: p["idx"] > F.lit(fx.THRESHOLD)))
-    return R.to_ffm(onehot, fx.field_of(rows), key="row_id", keep=("order_id",))
+    return R.to_ffm(onehot, fx.field_table(fx.latent(spark, sf)), key="row_id", keep=("order_id",))
 
 
 @query
@@ -271,7 +272,8 @@ def ffm_score(spark, sf):
     from fmspark.operators import ffm as FF
     rows = fx.sparse_rows(spark, sf)
     act = rows.withColumn("features", S.active("features", fx.THRESHOLD))
-    sc = FF.ffm_score(act, fx.ffm_model(spark, sf), fx.field_of(rows), fx.FFM_K, keep=("order_id",))
+    sc = FF.ffm_score(act, fx.ffm_model(spark, sf), fx.field_table(fx.latent(spark, sf)), fx.FFM_K,
+                      keep=("order_id",))
     return sc.select("order_id", F.round("y", 6).alias("y"), F.round("p", 6).alias("p"))
 
 

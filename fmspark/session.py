@@ -57,17 +57,19 @@ def broadcast_budget(spark: SparkSession) -> int:
     return int(v) if v else DEFAULT_BROADCAST_BYTES
 
 
-def maybe_broadcast(df: DataFrame, row_bytes: int, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+def maybe_broadcast(df: DataFrame, row_bytes: int, max_bytes: int | None = None,
+                    known_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Hint ``df`` for broadcast only if a bounded count proves it small.
 
     ``row_bytes`` is the caller's estimate of one row. The count stops after
-    ``max_rows + 1`` rows, so the check costs at most one bounded scan. When
+    ``max_rows + 1`` rows, so the check costs at most one bounded scan; a
+    caller that has already counted the side passes ``known_rows``. When
     the side is too large the plain DataFrame is returned and Catalyst / AQE
     choose a shuffle join.
     """
     budget = max_bytes if max_bytes is not None else broadcast_budget(df.sparkSession)
     max_rows = max(1, budget // max(1, row_bytes))
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False
