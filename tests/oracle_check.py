@@ -7,7 +7,7 @@ import math
 import sys
 import time
 
-import duckdb
+import duckdb  # noqa: I001
 import pandas as pd
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
