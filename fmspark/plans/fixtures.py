@@ -92,8 +92,9 @@ def one_hot_pairs(value: Column, cats: list, first_idx: Column | int) -> list[Co
     return out
 
 
-def sparse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``row_id bigint, order_id string, label int, features array<struct<idx,val>>``."""
+def sparse_rows(spark: SparkSession, sf_dir: str, label: str = "target") -> DataFrame:
+    """``row_id bigint, order_id string, label int, features array<struct<idx,val>>``.
+    ``label="target_planted"`` gives the planted-interaction label."""
     fr = feature_rows(spark, sf_dir)
     cats = categories(fr, "f_seg", "f_nation", "f_prio")
     segs, nations, prios = cats["f_seg"], cats["f_nation"], cats["f_prio"]
@@ -108,7 +109,7 @@ def sparse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats += one_hot_pairs(F.col("f_nation"), nations, lambda n, i: 11 + n)
     feats += one_hot_pairs(F.col("f_prio"), prios, lambda p, i: 35 + p)
     return fr.select(F.col("order_id").cast("long").alias("row_id"), "order_id",
-                     F.col("target").alias("label"), F.array(*feats).alias("features"))
+                     F.col(label).alias("label"), F.array(*feats).alias("features"))
 
 
 def sparse_long(rows: DataFrame) -> DataFrame:

@@ -443,3 +443,68 @@ def transform_spec(spark, sf):
     vec_cols = [c for c in ("f_qty", "f_seg", "f_nation", "f_prio")]
     return out.select("order_id", "f_price", "f_bal", "f_zero_disc", "f_flag",
                       *[(F.array_position(vector_to_array(c), 1.0) - 1).cast("int").alias(c) for c in vec_cols])
+
+
+# ---------------------------------------------------------------- FM training (rows-only checks)
+def _planted(spark, sf):
+    """One-hot part of the sparse rows with the planted two-way label,
+    split by the stable hash of the order id."""
+    from fmspark.plans.pipeline import nonzero, onehot_rows
+    rows = nonzero(onehot_rows(fx.sparse_rows(spark, sf, label="target_planted"), fx.THRESHOLD))
+    fmap, n = D.feature_map(rows)
+    tr, te = D.split(rows, "order_id", 0.8)
+    return tr, te, fmap, n
+
+
+def _fit_report(spark, sf, method, k=4, iters=100, step=0.1, extra=None):
+    from fmspark.operators import fm as M
+    from fmspark.plans.pipeline import train
+    tr, te, fmap, n = _planted(spark, sf)
+    bias, linear, latent, _ = train(tr, fmap, n, method=method, dim_k=k, iter_num=iters, learn_rate=step,
+                                    init_stdev=0.1, seed=7, **(extra or {}))
+    model = M.model_table(linear, latent)
+    sc = M.fm_score(te, bias, model, k, keep=("label",))
+    a = M.auc(sc, "label", "p")
+    ll = M.log_loss(sc, "label", "p")
+    return a.join(ll).select(F.lit(method).alias("method"), F.lit(k).alias("k"), F.lit(iters).alias("iters"),
+                             F.round("auc", 6).alias("auc"), F.round("log_loss", 6).alias("log_loss"))
+
+
+@query
+def fm_fit_adamw(spark, sf):
+    """E1/E1b/E6 (rows-only): FMClassifier (adamW) on the planted label;
+    held-out AUC and log-loss from relational scoring of the learned tables."""
+    return _fit_report(spark, sf, "adamW")
+
+
+@query
+def fm_fit_sgd(spark, sf):
+    """E1a (rows-only): gradient-descent solver."""
+    return _fit_report(spark, sf, "sgd", iters=100, step=0.5)
+
+
+@query
+def fm_grid(spark, sf):
+    """E5 (rows-only): k x iterations grid, AUC on a validation split."""
+    from fmspark.operators import fm as M
+    tr, te, fmap, n = _planted(spark, sf)
+    fit, val = D.split(tr, "order_id", 0.8, seed=1)
+    vfit = M.to_vectors(R.reindex(fit, fmap, map_rows=n), n)
+    vval = M.to_vectors(R.reindex(val, fmap, map_rows=n), n)
+    res, _ = M.grid_search(vfit, vval, ks=(2, 4), iters=(20, 60), learn_rate=0.1, init_stdev=0.1, seed=7)
+    return spark.createDataFrame(res, "k int, iters int, auc double, log_loss double") \
+        .select("k", "iters", F.round("auc", 6).alias("auc"), F.round("log_loss", 6).alias("log_loss"))
+
+
+@query
+def fm_fit_als(spark, sf):
+    """E1c (rows-only): field-blocked ALS on the planted label; held-out AUC."""
+    from fmspark.operators import fm as M
+    from fmspark.operators.als import fit_als
+    tr, te, _, _ = _planted(spark, sf)
+    bias, linear, latent, hist = fit_als(tr, fx.field_table(fx.latent(spark, sf)), 4, sweeps=2,
+                                         init_std=0.1, reg=(0.0, 0.1, 0.1), seed=7)
+    sc = M.fm_score(te, bias, M.model_table(linear, latent), 4, keep=("label",))
+    return M.auc(sc, "label", "y").select(F.lit("als").alias("method"), F.lit(4).alias("k"),
+                                           F.lit(len(hist)).alias("sweeps"), F.round("auc", 6).alias("auc"),
+                                           F.lit(round(hist[-1], 6)).alias("train_rmse"))

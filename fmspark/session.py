@@ -82,3 +82,16 @@ def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
     if len(rows) > max_rows:
         raise ValueError(f"{what}: more than {max_rows} values; refusing to collect to the driver")
     return rows
+
+
+def materialize(df: DataFrame, name: str, run_id: str | None = None) -> DataFrame:
+    """Write ``df`` as parquet under the session's checkpoint folder (shared on
+    a cluster) and read it back: cuts the lineage like ``checkpoint()`` and
+    survives executor loss, and the re-read plan's size estimate is the file
+    size. ``checkpoint()`` keeps the estimate of the plan it came from, and in
+    an iterative job the join estimates then multiply step after step."""
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/fmspark-{run_id or uuid.uuid4().hex}/{name}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
