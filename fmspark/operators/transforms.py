@@ -86,14 +86,15 @@ def count_kinds(chains: list[list[Op]]) -> dict:
 
 
 def transform_pipeline(df: DataFrame, spec: dict, *, relative_error: float = 0.001,
-                       handle_invalid: str = "keep") -> tuple[DataFrame, PipelineModel | None]:
+                       handle_invalid: str = "error") -> tuple[DataFrame, PipelineModel | None]:
     """C2 (+ B12, C20): apply a spec; each transform replaces the column of
     the same name. Returns ``(transformed, fitted PipelineModel)``.
 
     Columns whose chain starts with a numeric transform are cast to double
     with null/NaN -> 0 first (one ``select``). One-hot steps on string
     columns are not cast. Stages run depth by depth; at each depth one
-    multi-column estimator per kind."""
+    multi-column estimator per kind. ``handle_invalid='keep'`` gives unseen
+    categories (a prediction set) their own last one-hot slot."""
     chains = parse_transform(spec)
     drop = [ch[0].field for ch in chains if ch and ch[0].kind == "delete"]
     chains = [ch for ch in chains if ch and ch[0].kind != "delete"]
@@ -123,8 +124,10 @@ def transform_pipeline(df: DataFrame, spec: dict, *, relative_error: float = 0.0
                 mids = [f"__{o.field}__{d}_i" for o in ops]
                 stages.append(MF.StringIndexer(inputCols=ins, outputCols=mids, stringOrderType="frequencyDesc",
                                                handleInvalid=handle_invalid))
+                # an unseen category (indexer 'keep') gets the extra last index,
+                # which the encoder treats as one more known category
                 stages.append(MF.OneHotEncoder(inputCols=mids, outputCols=outs, dropLast=False,
-                                               handleInvalid="keep" if handle_invalid == "keep" else "error"))
+                                               handleInvalid="error"))
             elif kind == "standard_scaler":
                 if d != 0 or std_cols:
                     raise ValueError("standardnormalize must be the only step of its field")
