@@ -7,11 +7,12 @@
                  reference's parameters mapped (E1, E1a, E1b), model tables
                  extracted (E2), grid search (E5)
 
-Scoring plan: hash-partition the compact rows on the key, explode, broadcast
-join the model (size-checked), then one aggregation per row with ``k + 2``
-sums. The pairwise term uses
-``sum_f (sum_i v_if x_i)^2 - sum_i x_i^2 |v_i|^2``, so no per-factor
-rows are materialised and the aggregation needs no further exchange.
+Scoring plan: explode, broadcast join the model (size-checked), then one
+hash aggregation per row with ``k + 2`` sums; the partial aggregation runs
+before the only shuffle, so each row crosses the network as ``k + 2``
+doubles. The pairwise term uses
+``sum_f (sum_i v_if x_i)^2 - sum_i x_i^2 |v_i|^2``, so no per-factor rows are
+materialised.
 """
 
 from __future__ import annotations
@@ -67,20 +68,20 @@ def fm_score(rows: DataFrame, bias: float, model: DataFrame, k: int, *, key: str
     m = model.select(F.col("idx").alias("_midx"), F.col("w").alias("_w"), F.col("v").alias("_v"),
                      F.col("s").alias("_s"))
     m, _ = maybe_broadcast(m, row_bytes=40 + 8 * k, max_bytes=max_broadcast_bytes)
-    base = rows.select(key, *[c for c in keep if c != key], S.drop_zero(features).alias("_f"))
-    if not clustered:
-        base = base.repartition(key)
     cols = [c for c in keep if c != key]
+    base = rows.select(key, *cols, S.drop_zero(features).alias("_f"))
+    # no repartition: the pairs of a row sit together in one task, so the
+    # partial aggregation reduces them to k + 2 sums before the only shuffle
     ex = base.select(key, *cols, F.explode_outer("_f").alias("_p"))
     j = ex.join(m, F.col("_p.idx") == F.col("_midx"), "left")
     x = F.col("_p.val") / F.coalesce(F.col("_s"), F.lit(1.0))
     v = F.col("_v")
     sq = F.aggregate(F.coalesce(v, F.array().cast("array<double>")), F.lit(0.0), lambda a, e: a + e * e)
-    aggs = [F.first(c).alias(c) for c in cols]
-    aggs.append(F.sum(F.coalesce(F.col("_w") * x, F.lit(0.0))).alias("_lin"))
+    aggs = [F.sum(F.coalesce(F.col("_w") * x, F.lit(0.0))).alias("_lin")]
     aggs.append(F.sum(F.coalesce(x * x * sq, F.lit(0.0))).alias("_sq"))
     aggs += [F.sum(F.coalesce(F.element_at(v, f + 1) * x, F.lit(0.0))).alias(f"_s{f}") for f in range(k)]
-    g = j.groupBy(key).agg(*aggs)
+    # keep columns depend on the key; grouping by them keeps a hash aggregation
+    g = j.groupBy(key, *cols).agg(*aggs)
     pair = sum((F.col(f"_s{f}") * F.col(f"_s{f}") for f in range(k)), F.lit(0.0)) - F.col("_sq")
     y = F.lit(float(bias)) + F.col("_lin") + F.lit(0.5) * pair
     return g.select(key, *cols, y.alias("y")).withColumn("p", sigmoid(F.col("y")))
