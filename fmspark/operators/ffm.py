@@ -81,3 +81,112 @@ def ffm_score(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *
                         lambda acc, e: acc + F.lit(0.5) * (_dot(e["s"], e["s"]) - e["q"]))
     y = F.coalesce(cross + inner, F.lit(0.0))
     return g.select(key, *cols, y.alias("y")).withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("y"))))
+
+
+# ---------------------------------------------------------------- training
+def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = 4, *, epochs: int = 15, eta: float = 0.2,
+            lam: float = 2e-5, normalize: bool = True, valid: DataFrame | None = None, n_batches: int = 4,
+            seed: int = 0, key: str = "row_id", label: str = "label", features: str = "features",
+            log=None):
+    """FFM with logistic loss, mini-batch AdaGrad, early stop on the
+    validation log-loss. Returns ``(model(idx, field, v), history)``.
+
+    Per mini-batch (rows whose key hashes to the batch): the field sums
+    ``S[a][b]`` per row give ``phi`` and ``kappa = -y / (1 + exp(y phi))``;
+    the gradient of ``w_{i,b}`` (feature i of field a) is
+    ``kappa x_i (S[b][a] - [a = b] w_{i,a} x_i) + lam w_{i,b}``, summed per
+    ``(idx, b)`` by ``groupBy`` (partial aggregation first), and AdaGrad
+    updates the model table. The model and the exploded pairs are written
+    as parquet in the checkpoint folder (``session.materialize``)."""
+    import math
+    import uuid
+
+    from fmspark.operators.als import _unit
+    from fmspark.session import collect_bounded, materialize
+
+    run = uuid.uuid4().hex
+    fm = field_map.select(F.col("idx").cast("int").alias("idx"), F.col("field").cast("int").alias("a"))
+    fm_b, _ = maybe_broadcast(fm, row_bytes=16)
+    yv = F.when(F.col(label).cast("double") > 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    base = rows.select(key, yv.alias("y"), S.drop_zero(features).alias("_f"))
+    if normalize:
+        nrm = F.sqrt(F.aggregate("_f", F.lit(0.0), lambda s, p: s + p["val"] * p["val"]))
+        base = base.withColumn("_f", F.transform("_f", lambda p: S.pair(
+            p["idx"], F.when(nrm > 0, p["val"] / nrm).otherwise(p["val"]))))
+    ex = materialize(base.select(key, "y", F.explode("_f").alias("_p"))
+                     .select(key, "y", F.col("_p.idx").alias("idx"), F.col("_p.val").alias("x"))
+                     .join(fm_b, "idx")
+                     .withColumn("batch", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n_batches))),
+                     "ffm_pairs", run)
+    fields = sorted(r[0] for r in collect_bounded(ex.select("a").distinct(), 100_000, "fields"))
+    coef = 1.0 / math.sqrt(k)
+    model = materialize(
+        ex.select("idx").distinct()
+        .select("idx", F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
+        .select("idx", "field",
+                F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
+                            lambda d: F.lit(coef) * _unit(F.col("idx"), F.col("field"), d, F.lit(seed))).alias("v"),
+                F.array_repeat(F.lit(1.0), k).alias("acc")),
+        "ffm_model", run)
+
+    def val_loss(m):
+        sc = ffm_score(valid, m.select("idx", "field", "v"), field_map, k, key=key, keep=(label,),
+                       normalize=normalize)
+        p = F.least(F.greatest("p", F.lit(1e-15)), F.lit(1 - 1e-15))
+        y = (F.col(label).cast("double") > 0).cast("double")
+        return sc.agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))).first()[0]
+
+    history, best, best_loss = [], model, float("inf")
+    for epoch in range(epochs):
+        for b in range(n_batches):
+            exb = ex.where(F.col("batch") == F.lit(b)).select(key, "y", "idx", "x", "a")
+            mb, _ = maybe_broadcast(model.select("idx", F.col("field").alias("fb"), "v"), row_bytes=24 + 8 * k)
+            j = exb.join(mb, "idx")
+            sums = j.groupBy(key, "a", "fb").agg(
+                *[F.sum(F.element_at("v", d + 1) * F.col("x")).alias(f"s{d}") for d in range(k)],
+                F.sum(F.when(F.col("a") == F.col("fb"), F.col("x") * F.col("x") * F.aggregate(
+                    "v", F.lit(0.0), lambda s, e: s + e * e)).otherwise(F.lit(0.0))).alias("q"))
+            per_row = sums.groupBy(key).agg(F.collect_list(F.struct(
+                F.col("a"), F.col("fb").alias("b"), F.array(*[F.col(f"s{d}") for d in range(k)]).alias("s"),
+                F.col("q"))).alias("c"))
+            lookup = F.map_from_entries(F.transform("c", lambda e: F.struct(
+                (e["a"].cast("long") * F.lit(1 << 31) + e["b"]).alias("k"), e["s"].alias("v"))))
+            cross = F.aggregate(F.filter("c", lambda e: e["a"] < e["b"]), F.lit(0.0), lambda acc, e: acc + F.coalesce(
+                _dot(e["s"], F.element_at(lookup, e["b"].cast("long") * F.lit(1 << 31) + e["a"])), F.lit(0.0)))
+            inner = F.aggregate(F.filter("c", lambda e: e["a"] == e["b"]), F.lit(0.0),
+                                lambda acc, e: acc + F.lit(0.5) * (_dot(e["s"], e["s"]) - e["q"]))
+            yrow = exb.groupBy(key).agg(F.first("y").alias("y"))
+            kap = per_row.join(yrow, key).select(
+                key, "c", (-F.col("y") / (F.lit(1.0) + F.exp(F.col("y") * (cross + inner)))).alias("kappa"))
+            # each pair meets the row's S[b][a] for every target field b
+            g = (exb.join(kap, key)
+                 .select("idx", "x", "a", "kappa", F.explode(F.filter("c", lambda e: e["b"] == F.col("a"))).alias("e"))
+                 .select(F.col("idx").alias("gi"), "x", "a", "kappa", F.col("e.a").alias("tb"), F.col("e.s").alias("s"))
+                 .join(mb.select(F.col("idx").alias("midx"), F.col("fb").alias("mfb"), F.col("v").alias("mv")),
+                       (F.col("gi") == F.col("midx")) & (F.col("tb") == F.col("mfb")))
+                 .select("gi", "tb",
+                         F.zip_with("s", "mv", lambda s, v: F.col("kappa") * F.col("x") * (
+                             s - F.when(F.col("tb") == F.col("a"), v * F.col("x")).otherwise(F.lit(0.0)))
+                             + F.lit(lam) * v).alias("g")))
+            grads = g.groupBy("gi", "tb").agg(*[F.sum(F.element_at("g", d + 1)).alias(f"_g{d}") for d in range(k)])
+            gcol = F.array(*[F.coalesce(F.col(f"_g{d}"), F.lit(0.0)) for d in range(k)])
+            upd = model.join(grads, (model["idx"] == grads["gi"]) & (model["field"] == grads["tb"]), "left") \
+                .select("idx", "field", "v", "acc", gcol.alias("grad"))
+            acc = F.zip_with("acc", "grad", lambda a, c: a + c * c)
+            model = materialize(upd.select("idx", "field", acc.alias("acc_n"), "v", "grad").select(
+                "idx", "field",
+                F.zip_with(F.arrays_zip("v", "grad"), "acc_n",
+                           lambda vg, s: vg["v"] - F.lit(eta) * vg["grad"] / F.sqrt(s)).alias("v"),
+                F.col("acc_n").alias("acc")), "ffm_model", run)
+        if valid is not None:
+            loss = val_loss(model)
+            history.append(loss)
+            if log:
+                log(f"epoch {epoch} valid log-loss {loss:.6f}")
+            if loss < best_loss:
+                best, best_loss = model, loss
+            else:
+                break
+        else:
+            best = model
+    return best.select("idx", "field", "v"), history

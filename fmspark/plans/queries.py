@@ -508,3 +508,40 @@ def fm_fit_als(spark, sf):
     return M.auc(sc, "label", "y").select(F.lit("als").alias("method"), F.lit(4).alias("k"),
                                            F.lit(len(hist)).alias("sweeps"), F.round("auc", 6).alias("auc"),
                                            F.lit(round(hist[-1], 6)).alias("train_rmse"))
+
+
+@query
+def ffm_fit(spark, sf):
+    """E7 (rows-only): FFM by mini-batch AdaGrad on the planted label, early
+    stop on a validation split; held-out AUC and log-loss."""
+    from fmspark.operators import ffm as FF
+    from fmspark.operators import fm as M
+    tr, te, _, _ = _planted(spark, sf)
+    fit, val = D.split(tr, "order_id", 0.8, seed=1)
+    fmap = fx.field_table(fx.latent(spark, sf))
+    model, hist = FF.fit_ffm(fit, fmap, 4, epochs=6, eta=0.2, lam=2e-5, valid=val, n_batches=2, seed=7)
+    sc = FF.ffm_score(te, model, fmap, 4, keep=("label",), normalize=True)
+    return M.auc(sc, "label", "p").join(M.log_loss(sc, "label", "p")).select(
+        F.lit("ffm").alias("method"), F.lit(len(hist)).alias("epochs"),
+        F.round("auc", 6).alias("auc"), F.round("log_loss", 6).alias("log_loss"))
+
+
+@query
+def pipeline_end_to_end(spark, sf):
+    """F10 (rows-only): fixture rows -> libsvm text (train and prd) ->
+    prepare (parse, index map) -> FM training -> embedding of both sets ->
+    gzip text; the embedded train lines read back. Scratch output goes to the
+    session's checkpoint folder (shared on a cluster)."""
+    import uuid
+    from fmspark.plans.pipeline import Config, run
+    from fmspark.session import ensure_checkpoint_dir
+    from fmspark.sinks import writers as W
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fmspark-e2e-{uuid.uuid4().hex}"
+    rows = fx.sparse_rows(spark, sf, label="target_planted")
+    W.write_text(W.fm_lines(rows.withColumn("label", F.col("label").cast("double"))), f"{base}/train_txt")
+    W.write_text(W.prd_lines(rows), f"{base}/prd_txt")
+    out = run(spark, Config(train_path=f"{base}/train_txt", prd_path=f"{base}/prd_txt", out_dir=f"{base}/out",
+                            threshold=fx.THRESHOLD, dim_k=4, iter_num=30))
+    lines = spark.read.text(out["prd"])
+    t = S.tokens("value")
+    return lines.select(t[0].alias("order_id"), (F.size(t) - 1).alias("n_values"))

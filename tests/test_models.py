@@ -171,3 +171,15 @@ def test_field_blocked_als_equals_sequential(spark):
         assert r["w"] == pytest.approx(w[r["idx"]], abs=1e-9)
     for r in lat.collect():
         assert r["v"] == pytest.approx(list(V[r["idx"]]), abs=1e-9)
+
+
+def test_ffm_learns_planted_interaction(spark):
+    from fmspark.plans.queries import QUERIES
+    r = QUERIES["ffm_fit"](spark, "/root/testdata/sf0.01").first()
+    assert r["auc"] > 0.95
+
+
+def test_als_query_learns_planted_interaction(spark):
+    from fmspark.plans.queries import QUERIES
+    r = QUERIES["fm_fit_als"](spark, "/root/testdata/sf0.01").first()
+    assert r["auc"] > 0.95
