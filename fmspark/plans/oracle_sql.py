@@ -374,3 +374,31 @@ oracle("vector_slice", """
 select order_id, 0 pos, f_price val from feature_rows
 union all select order_id, 1, cast(f_flag as double) from feature_rows
 """)
+
+oracle("r_formula", "with " + SEG_RANK + """
+, base as (select r.order_id, cast(r.target as double) label, s.f_seg_idx, r.f_price from feature_rows r
+           join seg_rank s using (f_seg)),
+  nseg as (select cast(count(*) as int) n from seg_rank)
+select order_id, label, cast(p.i as int) pos, case when f_seg_idx = p.i then 1e0 else 0e0 end val
+from base, nseg, range(0, 10) p(i) where p.i < nseg.n - 1
+union all
+select order_id, label, cast(nseg.n - 1 as int) pos, f_price val from base, nseg
+""")
+
+oracle("chisq_stats", """
+with cells as (
+  select 0 feature, cast(f_nation as double) v, target y from feature_rows
+  union all select 1, cast(f_prio as double), target from feature_rows
+  union all select 2, cast(f_flag as double), target from feature_rows),
+obs as (select feature, v, y, count(*) o from cells group by feature, v, y),
+rv as (select feature, v, sum(o) rs from obs group by feature, v),
+cy as (select feature, y, sum(o) cs from obs group by feature, y),
+tot as (select feature, sum(o) n from obs group by feature),
+grid as (select rv.feature, rv.v, cy.y, rv.rs * cy.cs / cast(tot.n as double) e
+         from rv join cy using (feature) join tot using (feature))
+select g.feature, cast((select count(*) from rv where rv.feature = g.feature) - 1 as int) *
+       cast((select count(*) from cy where cy.feature = g.feature) - 1 as int) dof,
+       round(sum((coalesce(o.o, 0) - g.e) * (coalesce(o.o, 0) - g.e) / g.e), 6) statistic
+from grid g left join obs o on o.feature = g.feature and o.v = g.v and o.y = g.y
+group by g.feature
+""")

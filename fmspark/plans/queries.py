@@ -545,3 +545,16 @@ def pipeline_end_to_end(spark, sf):
     lines = spark.read.text(out["prd"])
     t = S.tokens("value")
     return lines.select(t[0].alias("order_id"), (F.size(t) - 1).alias("n_values"))
+
+
+@query
+def chisq_stats(spark, sf):
+    """C18 statistics: chi-square of each categorical feature against target."""
+    from pyspark.ml.stat import ChiSquareTest
+    from fmspark.operators import transforms as T
+    d = T.vector_assembler(_fr(spark, sf, "target", "f_nation", "f_prio", "f_flag"),
+                           ["f_nation", "f_prio", "f_flag"], "vec")
+    res = ChiSquareTest.test(d.withColumn("label", F.col("target").cast("double")), "vec", "label", flatten=True)
+    return res.select(F.col("featureIndex").cast("int").alias("feature"),
+                      F.col("degreesOfFreedom").cast("int").alias("dof"),
+                      F.round("statistic", 6).alias("statistic"))
