@@ -123,12 +123,34 @@ def accuracy(scored: DataFrame, label: str = "y", prob: str = "p", threshold: fl
 SOLVERS = {"sgd": "gd", "gd": "gd", "sgda": "adamW", "adamw": "adamW", "adamW": "adamW"}
 
 
+DENSE_MAX_WIDTH = 1 << 14
+
+
+def _sparse_vector_udf(width: int):
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    def build(pairs):
+        d = {}
+        for p in pairs or ():
+            d[int(p["idx"])] = float(p["val"])
+        keys = sorted(d)
+        return SparseVector(width, keys, [d[i] for i in keys])
+    return F.udf(build, VectorUDT())
+
+
 def to_vectors(rows: DataFrame, width: int, *, features: str = "features", label: str = "label",
                keep: tuple[str, ...] = ()) -> DataFrame:
     """Sparse rows -> ``(label, features: vector)`` for Spark ML (index i of
-    the pair goes to slot i; width = largest index + 1). Built from arrays with
-    built-in functions; the dense vector is the ML boundary only."""
+    the pair goes to slot i; ``width`` = largest index + 1).
+
+    Up to ``DENSE_MAX_WIDTH`` slots the vector is built from arrays with
+    built-in functions (JVM only). Wider spaces need a ``SparseVector``, which
+    no built-in function constructs, so a small Python function builds it at
+    this ML boundary (one pass before the training set is cached)."""
     from pyspark.ml.functions import array_to_vector
+    if width > DENSE_MAX_WIDTH:
+        return rows.select(*keep, F.col(label).cast("double").alias("label"),
+                           _sparse_vector_udf(width)(F.col(features)).alias("features"))
     pos = F.map_from_entries(F.transform(features, lambda p: F.struct(p["idx"], p["val"])))
     dense = F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
                         lambda i: F.coalesce(F.element_at(pos, i), F.lit(0.0)))

@@ -183,3 +183,17 @@ def test_als_query_learns_planted_interaction(spark):
     from fmspark.plans.queries import QUERIES
     r = QUERIES["fm_fit_als"](spark, "/root/testdata/sf0.01").first()
     assert r["auc"] > 0.95
+
+
+def test_sparse_and_dense_vectors_agree(spark):
+    rows, _ = random_rows(n=20)
+    df = spark.createDataFrame(rows, PAIRS)
+    dense = {r["row_id"]: r["features"].toArray().tolist() for r in M.to_vectors(df, 9, keep=("row_id",)).collect()}
+    old = M.DENSE_MAX_WIDTH
+    M.DENSE_MAX_WIDTH = 4
+    try:
+        sp = M.to_vectors(df, 9, keep=("row_id",)).collect()
+    finally:
+        M.DENSE_MAX_WIDTH = old
+    assert all(type(r["features"]).__name__ == "SparseVector" for r in sp)
+    assert {r["row_id"]: r["features"].toArray().tolist() for r in sp} == dense
