@@ -54,7 +54,7 @@ def max_abs_scale(rows: DataFrame, features: str = "features") -> DataFrame:
     """C12 on sparse rows: ``(idx, s)`` with ``s = max |val|`` per index
     (1 where the index is all zero). Partial aggregation on the map side; the
     result has one row per feature."""
-    p = rows.select(F.explode(features).alias("_p"))
+    p = rows.select(F.explode_outer(features).alias("_p")).where(F.col("_p").isNotNull())
     return p.groupBy(F.col("_p.idx").alias("idx")).agg(F.max(F.abs("_p.val")).alias("s")) \
         .select("idx", F.when(F.col("s") == 0, F.lit(1.0)).otherwise(F.col("s")).alias("s"))
 

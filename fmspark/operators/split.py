@@ -17,7 +17,7 @@ def feature_map(rows: DataFrame, features: str = "features",
     ``((idx int, pos int), n)``. The distinct runs as a partial + final hash
     aggregation; the numbering runs in value ranges (functions.ordered), so no
     task holds the whole index set."""
-    idx = rows.select(F.explode(features).alias("_p")).select(F.col("_p.idx").alias("idx"))
+    idx = rows.select(F.explode_outer(features).alias("_p")).select(F.col("_p.idx").alias("idx"))
     return dense_positions(idx, "idx", "pos", rows_per_range)
 
 

@@ -25,13 +25,16 @@ def query(fn):
     return fn
 
 
+# The outer explode plus a null filter gives the same rows as a plain
+# explode, without the inferred ``size(array) > 0`` filter that Catalyst
+# would push below the projection (evaluating the array expression twice).
 def _pairs_long(df: DataFrame, keys: tuple[str, ...], col: str = "out") -> DataFrame:
-    return df.select(*keys, F.posexplode(col).alias("pos", "_q")) \
+    return df.select(*keys, F.posexplode_outer(col).alias("pos", "_q")).where(F.col("pos").isNotNull()) \
         .select(*keys, "pos", F.col("_q.idx").alias("idx"), F.col("_q.val").alias("val"))
 
 
 def _values_long(df: DataFrame, keys: tuple[str, ...], col: str = "out") -> DataFrame:
-    return df.select(*keys, F.posexplode(col).alias("pos", "val"))
+    return df.select(*keys, F.posexplode_outer(col).alias("pos", "val")).where(F.col("pos").isNotNull())
 
 
 def _embed(spark, sf, **kw) -> DataFrame:
