@@ -7,9 +7,9 @@ at the level of fields instead of feature pairs. With
 * pairs across fields a < b contribute ``<S[a][b], S[b][a]>``
 * pairs inside field a contribute ``(|S[a][a]|^2 - sum_{i in a} |w_{i,a}|^2 x_i^2) / 2``
 
-So a row costs one aggregation to ``F x F`` vectors (F = fields present in
-the row) and one combination per row; no pair of features is materialised.
-Rows are hash-partitioned on the key once; the two aggregations reuse it.
+A row costs one aggregation over (row, unordered field pair) with plain sums
+and one sum per row; no pair of features is materialised. Rows are
+hash-partitioned on the key once; the two aggregations reuse it.
 
 Training (E7) is mini-batch AdaGrad with the same decomposition for the
 gradient, summed per ``(idx, field)`` by ``groupBy`` and kept as a table.
@@ -28,59 +28,51 @@ def _dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, e: s + e)
 
 
-def field_sums(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *, key: str = "row_id",
-               features: str = "features", keep: tuple[str, ...] = (), clustered: bool = False,
-               normalize: bool = False) -> DataFrame:
-    """Per row and field pair ``(a, b)``: ``S[a][b]`` as ``s`` (k doubles) and
-    ``q = sum_{i in a} |w_{i,a}|^2 x_i^2`` (only for a = b)."""
+def ffm_score(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *, key: str = "row_id",
+              features: str = "features", keep: tuple[str, ...] = (), clustered: bool = False,
+              normalize: bool = False) -> DataFrame:
+    """``key, *keep, y, p`` (``p = sigmoid(y)``). Rows without any known
+    feature score 0.
+
+    Plan: (hash repartition on the key) -> explode -> broadcast join of the
+    model rows ``(idx, own field a, target field b, v)`` -> one hash
+    aggregation per ``(key, lo = least(a, b), hi = greatest(a, b))`` with
+    separate sums for the ``a < b``, ``a > b`` and ``a = b`` sides (so
+    ``S[lo][hi]``, ``S[hi][lo]`` and ``S[a][a]`` come out of the same group) ->
+    the pair term per group -> one hash aggregation per key. Both
+    aggregations reuse the key partitioning; only plain sums are kept (no
+    per-row lists)."""
     fm = field_map.select(F.col("idx").cast("int").alias("_fidx"), F.col("field").cast("int").alias("_a"))
     mm = model.select(F.col("idx").cast("int").alias("_midx"), F.col("field").cast("int").alias("_b"),
                       F.col("v").alias("_v"))
-    # one model row per (feature, target field) with the feature's own field
     m = mm.join(fm, F.col("_midx") == F.col("_fidx")).select("_midx", "_a", "_b", "_v")
     m, _ = maybe_broadcast(m, row_bytes=24 + 8 * k)
-    base = rows.select(key, *[c for c in keep if c != key], S.drop_zero(features).alias("_f"))
-    if normalize:  # instance normalisation: x scaled by 1/sqrt(sum x^2)
+    cols = [c for c in keep if c != key]
+    base = rows.select(key, *cols, S.drop_zero(features).alias("_f"))
+    if normalize:
         nrm = F.sqrt(F.aggregate("_f", F.lit(0.0), lambda s, p: s + p["val"] * p["val"]))
         base = base.withColumn("_f", F.transform("_f", lambda p: S.pair(
             p["idx"], F.when(nrm > 0, p["val"] / nrm).otherwise(p["val"]))))
     if not clustered:
         base = base.repartition(key)
-    cols = [c for c in keep if c != key]
-    # explode_outer + left join keep rows without known features (one group
-    # with null fields), so no join back to the input is needed
     ex = base.select(key, *cols, F.explode_outer("_f").alias("_p"))
     j = ex.join(m, F.col("_p.idx") == F.col("_midx"), "left")
     x = F.col("_p.val")
-    aggs = [F.first(c).alias(c) for c in cols]
-    aggs += [F.sum(F.element_at("_v", d + 1) * x).alias(f"_s{d}") for d in range(k)]
-    aggs.append(F.sum(F.when(F.col("_a") == F.col("_b"),
-                             x * x * F.aggregate("_v", F.lit(0.0), lambda s, e: s + e * e))
-                      .otherwise(F.lit(0.0))).alias("q"))
-    g = j.groupBy(key, "_a", "_b").agg(*aggs)
-    return g.select(key, *cols, F.col("_a").alias("a"), F.col("_b").alias("b"),
-                    F.array(*[F.col(f"_s{d}") for d in range(k)]).alias("s"), "q")
-
-
-def ffm_score(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *, key: str = "row_id",
-              features: str = "features", keep: tuple[str, ...] = (), clustered: bool = False,
-              normalize: bool = False) -> DataFrame:
-    """``key, *keep, y, p`` (``p = sigmoid(y)``). Rows without any known
-    feature score 0."""
-    fs = field_sums(rows, model, field_map, k, key=key, features=features, keep=keep,
-                    clustered=clustered, normalize=normalize)
-    cols = [c for c in keep if c != key]
-    g = fs.groupBy(key).agg(*[F.first(c).alias(c) for c in cols],
-                            F.collect_list(F.struct("a", "b", "s", "q")).alias("_c"))
-    g = g.withColumn("_c", F.filter("_c", lambda e: e["a"].isNotNull() & e["b"].isNotNull()))
-    lookup = F.map_from_entries(F.transform("_c", lambda e: F.struct(
-        (e["a"].cast("long") * F.lit(1 << 31) + e["b"]).alias("k"), e["s"].alias("v"))))
-    cross = F.aggregate(F.filter("_c", lambda e: e["a"] < e["b"]), F.lit(0.0), lambda acc, e: acc + F.coalesce(
-        _dot(e["s"], F.element_at(lookup, e["b"].cast("long") * F.lit(1 << 31) + e["a"])), F.lit(0.0)))
-    inner = F.aggregate(F.filter("_c", lambda e: e["a"] == e["b"]), F.lit(0.0),
-                        lambda acc, e: acc + F.lit(0.5) * (_dot(e["s"], e["s"]) - e["q"]))
-    y = F.coalesce(cross + inner, F.lit(0.0))
-    return g.select(key, *cols, y.alias("y")).withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("y"))))
+    a, b = F.col("_a"), F.col("_b")
+
+    def side(cond, d):
+        return F.sum(F.when(cond, F.element_at("_v", d + 1) * x).otherwise(F.lit(0.0)))
+    aggs = [side(a < b, d).alias(f"_l{d}") for d in range(k)]
+    aggs += [side(a > b, d).alias(f"_h{d}") for d in range(k)]
+    aggs += [side(a == b, d).alias(f"_z{d}") for d in range(k)]
+    aggs.append(F.sum(F.when(a == b, x * x * F.aggregate("_v", F.lit(0.0), lambda s, e: s + e * e))
+                      .otherwise(F.lit(0.0))).alias("_q"))
+    g = j.groupBy(key, *cols, F.least(a, b).alias("_lo"), F.greatest(a, b).alias("_hi")).agg(*aggs)
+    cross = sum((F.col(f"_l{d}") * F.col(f"_h{d}") for d in range(k)), F.lit(0.0))
+    inner = F.lit(0.5) * (sum((F.col(f"_z{d}") * F.col(f"_z{d}") for d in range(k)), F.lit(0.0)) - F.col("_q"))
+    term = F.when(F.col("_lo") < F.col("_hi"), cross).when(F.col("_lo") == F.col("_hi"), inner)
+    y = g.groupBy(key, *cols).agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("y"))
+    return y.withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("y"))))
 
 
 # ---------------------------------------------------------------- training
