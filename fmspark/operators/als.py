@@ -71,6 +71,12 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = 8, *, sweeps: int =
                                              lambda f: F.lit(init_std) * _normal(F.col("idx"), f, seed)).alias("v")),
                          "params", run)
     w0 = 0.0
+    # features per field (one number per field): proves the per-field
+    # parameter and delta tables small enough to broadcast, or not
+    per_field = {r["fld"]: r["count"] for r in params.groupBy("fld").count().collect()}
+
+    def bc(df, fld):
+        return maybe_broadcast(df, row_bytes=24 + 8 * k, known_rows=per_field.get(fld, 0))[0]
 
     def residuals(ex_, params_, w0_):
         pb, _ = maybe_broadcast(params_.select("idx", "w", "v"), row_bytes=24 + 8 * k)
@@ -99,17 +105,17 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = 8, *, sweeps: int =
             exf = ex.where(F.col("fld") == F.lit(fld)).select(key, "idx", "x")
             pf = params.where(F.col("fld") == F.lit(fld))
             # linear weights of the field
-            j = exf.join(res.select(key, "e"), key).join(F.broadcast(pf.select("idx", "w")), "idx")
+            j = exf.join(res.select(key, "e"), key).join(bc(pf.select("idx", "w"), fld), "idx")
             upd = materialize(j.groupBy("idx").agg(F.sum((F.col("e") + F.col("w") * F.col("x")) * F.col("x")).alias("num"),
                                         F.sum(F.col("x") * F.col("x")).alias("den"))
-                   .join(F.broadcast(pf.select("idx", "w")), "idx")
+                   .join(bc(pf.select("idx", "w"), fld), "idx")
                    .select("idx", (F.col("num") / (F.col("den") + F.lit(r1)) - F.col("w")).alias("d")),
                               "upd", run)
-            de = exf.join(F.broadcast(upd), "idx").groupBy(key).agg(F.sum(-F.col("d") * F.col("x")).alias("de"))
+            de = exf.join(bc(upd, fld), "idx").groupBy(key).agg(F.sum(-F.col("d") * F.col("x")).alias("de"))
             res = materialize(res.join(de, key, "left")
                               .select(key, "y", (F.col("e") + F.coalesce("de", F.lit(0.0))).alias("e"), "q"),
                               "res", run)
-            params = materialize(params.join(F.broadcast(upd), "idx", "left")
+            params = materialize(params.join(bc(upd, fld), "idx", "left")
                                  .select("idx", "fld", (F.col("w") + F.coalesce("d", F.lit(0.0))).alias("w"), "v"),
                                  "params", run)
             pf = params.where(F.col("fld") == F.lit(fld))
@@ -119,15 +125,15 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = 8, *, sweeps: int =
             for f in range(k):
                 vf = F.element_at("v", f + 1)
                 qf = F.element_at("q", f + 1)
-                j = exf.join(res.select(key, "e", "q"), key).join(F.broadcast(pf.select("idx", "v")), "idx")
+                j = exf.join(res.select(key, "e", "q"), key).join(bc(pf.select("idx", "v"), fld), "idx")
                 h = F.col("x") * (qf - vf * F.col("x"))
                 upd = materialize(j.select("idx", vf.alias("vf"), F.col("e"), h.alias("h"))
                        .groupBy("idx").agg(F.sum((F.col("e") + F.col("vf") * F.col("h")) * F.col("h")).alias("num"),
                                            F.sum(F.col("h") * F.col("h")).alias("den"), F.first("vf").alias("vf"))
                        .select("idx", (F.col("num") / (F.col("den") + F.lit(r2)) - F.col("vf")).alias("d")),
                                   "upd", run)
-                jj = exf.join(res.select(key, "q"), key).join(F.broadcast(pf.select("idx", "v")), "idx") \
-                    .join(F.broadcast(upd), "idx")
+                jj = exf.join(res.select(key, "q"), key).join(bc(pf.select("idx", "v"), fld), "idx") \
+                    .join(bc(upd, fld), "idx")
                 hh = F.col("x") * (F.element_at("q", f + 1) - F.element_at("v", f + 1) * F.col("x"))
                 dd = jj.groupBy(key).agg(F.sum(-F.col("d") * hh).alias("de"),
                                          F.sum(F.col("d") * F.col("x")).alias("dq"))
@@ -136,7 +142,7 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = 8, *, sweeps: int =
                                F.transform("q", lambda qv, i: F.when(i == F.lit(f), qv + F.coalesce(
                                    F.col("dq"), F.lit(0.0))).otherwise(qv)).alias("q")),
                                   "res", run)
-                params = materialize(params.join(F.broadcast(upd), "idx", "left")
+                params = materialize(params.join(bc(upd, fld), "idx", "left")
                           .select("idx", "fld", "w", F.transform("v", lambda vv, i: F.when(
                               i == F.lit(f), vv + F.coalesce(F.col("d"), F.lit(0.0))).otherwise(vv)).alias("v")),
                                      "params", run)

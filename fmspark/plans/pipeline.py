@@ -21,6 +21,7 @@ from fmspark.operators import fm as M
 from fmspark.operators import rows as R
 from fmspark.operators import split as D
 from fmspark.sinks import writers as W
+from fmspark.session import maybe_broadcast
 from fmspark.sources import libsvm as L
 
 
@@ -74,9 +75,9 @@ def train(rows: DataFrame, fmap: DataFrame, n_features: int, *, label: str = "la
     vec = M.to_vectors(ri, n_features, label=label)
     model = M.fm_fit(vec, method=method, **fit_kw)
     bias, lin_pos, lat_pos = M.model_tables(spark, model)
-    back = fmap.select(F.col("idx"), F.col("pos"))
-    linear = lin_pos.join(F.broadcast(back), lin_pos.idx == back.pos).select(back.idx, "w")
-    latent = lat_pos.join(F.broadcast(back), lat_pos.idx == back.pos).select(back.idx, "v")
+    back, _ = maybe_broadcast(fmap.select(F.col("idx"), F.col("pos")), row_bytes=16, known_rows=n_features)
+    linear = lin_pos.join(back, lin_pos.idx == back.pos).select(back.idx, "w")
+    latent = lat_pos.join(back, lat_pos.idx == back.pos).select(back.idx, "v")
     return bias, linear, latent, model
 
 
@@ -94,7 +95,8 @@ def run(spark: SparkSession, cfg: Config) -> dict:
     out = {}
     emb_train = E.embed(p["train"].withColumn("order_id", F.col("row_id").cast("string")), latent,
                         cfg.threshold, keep=("order_id", "label"), **kw)
-    W.write_text(W.embedded_lines(emb_train, dense=cfg.dense), os.path.join(cfg.out_dir, "embedded_train"))
+    W.write_text(W.embedded_lines(emb_train, key="label", dense=cfg.dense),
+                 os.path.join(cfg.out_dir, "embedded_train"))
     out["train"] = os.path.join(cfg.out_dir, "embedded_train")
     if p["prd"] is not None:
         emb_prd = E.embed(p["prd"], latent, cfg.threshold, keep=("order_id",), **kw)

@@ -40,9 +40,13 @@ def embedded_to_table(df: DataFrame, table: str, width: int, *, col: str = "out"
 
 
 def embedded_lines(df: DataFrame, *, key: str = "order_id", col: str = "out", dense: bool = False) -> DataFrame:
-    """Embedded rows -> text lines ``key idx:val ...`` (or ``key v v ...``)."""
+    """Embedded rows -> text lines ``head idx:val ...`` (or ``head v v ...``):
+    the head is the order id of a prd row or the label of a train row."""
     body = S.format_values(col) if dense else S.format_pairs(col)
-    return df.select(F.concat_ws(" ", F.col(key).cast("string"), body).alias("value"))
+    t = df.schema[key].dataType.typeName()
+    head = S.fmt_num(F.col(key).cast("double")) if t in ("double", "float", "integer", "long", "short") \
+        else F.col(key).cast("string")
+    return df.select(F.concat_ws(" ", head, body).alias("value"))
 
 
 def write_text(lines: DataFrame, path: str, *, compression: str | None = "gzip", mode: str = "overwrite",
