@@ -27,6 +27,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fmspark import defaults as DF
 from fmspark.functions import sparse as S
 from fmspark.session import collect_bounded, ensure_checkpoint_dir, materialize, maybe_broadcast
 
@@ -44,8 +45,9 @@ def _normal(idx: Column, f: Column, seed: int) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
 
 
-def fit_als(rows: DataFrame, field_map: DataFrame, k: int = 8, *, sweeps: int = 3, init_std: float = 0.1,
-            reg: tuple[float, float, float] = (0.0, 0.0, 0.0), seed: int = 0, key: str = "row_id",
+def fit_als(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps: int = 3,
+            init_std: float = DF.FM_INIT_STDEV,
+            reg: tuple[float, float, float] = (DF.FM_R0_REG, DF.FM_R1_REG, DF.FM_R2_REG), seed: int = 0, key: str = "row_id",
             label: str = "label", features: str = "features", partitions: int | None = None,
             log=None):
     """Returns ``(bias, linear(idx, w), latent(idx, v), history)`` where

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fmspark import defaults as DF
 from fmspark.functions import sparse as S
 from fmspark.session import maybe_broadcast
 
@@ -76,8 +77,8 @@ def ffm_score(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *
 
 
 # ---------------------------------------------------------------- training
-def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = 4, *, epochs: int = 15, eta: float = 0.2,
-            lam: float = 2e-5, normalize: bool = True, valid: DataFrame | None = None, n_batches: int = 4,
+def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs: int = DF.FFM_ITERATIONS,
+            eta: float = DF.FFM_ETA, lam: float = DF.FFM_LAMBDA, normalize: bool = DF.FFM_INSTANCE_NORM, valid: DataFrame | None = None, n_batches: int = 4,
             seed: int = 0, key: str = "row_id", label: str = "label", features: str = "features",
             log=None):
     """FFM with logistic loss, mini-batch AdaGrad, early stop on the

@@ -22,6 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fmspark import defaults as DF
 from fmspark.functions import sparse as S
 from fmspark.functions.ordered import exclusive_prefix_sum
 from fmspark.session import maybe_broadcast
@@ -158,8 +159,9 @@ def to_vectors(rows: DataFrame, width: int, *, features: str = "features", label
                        array_to_vector(dense).alias("features"))
 
 
-def fm_fit(train: DataFrame, *, method: str = "adamW", dim_k: int = 8, iter_num: int = 100,
-           init_stdev: float = 0.01, learn_rate: float = 0.01, reg: float | tuple = 0.0,
+def fm_fit(train: DataFrame, *, method: str = DF.FM_SPARK_METHOD, dim_k: int = DF.FM_DIM,
+           iter_num: int = DF.FM_NUM_ITER, init_stdev: float = DF.FM_INIT_STDEV,
+           learn_rate: float = DF.FM_LEARN_RATE, reg: float | tuple = 0.0,
            fit_bias: bool = True, fit_linear: bool = True, seed: int = 0,
            mini_batch_fraction: float = 1.0):
     """Fit a 2-way FM binary classifier on ``(label in {0,1}, features)``.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fmspark import defaults as DF
 from fmspark.functions.ordered import DEFAULT_ROWS_PER_RANGE, dense_positions
 
 BUCKETS = 10_000
@@ -31,21 +32,21 @@ def hash_unit(key, seed: int | None = None) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(k), 1, 8), 16, 10).cast("bigint"), F.lit(BUCKETS))
 
 
-def with_part(df: DataFrame, key: str, ratio: float = 0.8, seed: int | None = None,
+def with_part(df: DataFrame, key: str, ratio: float = DF.TRAIN_RATIO, seed: int | None = None,
               col: str = "part") -> DataFrame:
     """Tag rows ``train`` / ``test``. Disjoint and total by construction."""
     cut = int(round(ratio * BUCKETS))
     return df.withColumn(col, F.when(hash_unit(key, seed) < F.lit(cut), F.lit("train")).otherwise(F.lit("test")))
 
 
-def split(df: DataFrame, key: str, ratio: float = 0.8, seed: int | None = None) -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, key: str, ratio: float = DF.TRAIN_RATIO, seed: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(train, test)`` as two complementary filters of the same input."""
     cut = int(round(ratio * BUCKETS))
     u = hash_unit(key, seed)
     return df.where(u < F.lit(cut)), df.where(u >= F.lit(cut))
 
 
-def split_counts(df: DataFrame, key: str, ratio: float = 0.8, seed: int | None = None) -> DataFrame:
+def split_counts(df: DataFrame, key: str, ratio: float = DF.TRAIN_RATIO, seed: int | None = None) -> DataFrame:
     """Rows per part."""
     return with_part(df, key, ratio, seed).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 

@@ -22,6 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fmspark import defaults as DF
 from fmspark.operators.rows import cast_fill
 
 INF = float("inf")
@@ -85,7 +86,7 @@ def count_kinds(chains: list[list[Op]]) -> dict:
     return dict(Counter(op.kind for ch in chains for op in ch))
 
 
-def transform_pipeline(df: DataFrame, spec: dict, *, relative_error: float = 0.001,
+def transform_pipeline(df: DataFrame, spec: dict, *, relative_error: float = DF.QUANTILE_RELATIVE_ERROR,
                        handle_invalid: str = "error") -> tuple[DataFrame, PipelineModel | None]:
     """C2 (+ B12, C20): apply a spec; each transform replaces the column of
     the same name. Returns ``(transformed, fitted PipelineModel)``.
@@ -173,7 +174,7 @@ def apply_columns(df: DataFrame, op, ins, outs, **kw) -> DataFrame:
     return df
 
 
-def binarizer(df, in_col, out_col, threshold: float = 0.0, drop: bool = False):
+def binarizer(df, in_col, out_col, threshold: float = DF.BINARIZER_THRESHOLD, drop: bool = False):
     """``x > threshold`` -> 1.0 else 0.0."""
     return _finish(MF.Binarizer(threshold=threshold, inputCol=in_col, outputCol=out_col).transform(df),
                    in_col, out_col, drop)
@@ -200,7 +201,7 @@ def onehot(df, in_col, out_col, drop_last: bool = False, drop: bool = False, han
     return _finish(enc.transform(idx).drop(mid), in_col, out_col, drop)
 
 
-def normalizer(df, in_col, out_col, p: float = 2.0):
+def normalizer(df, in_col, out_col, p: float = DF.NORMALIZER_P):
     """P-norm normalisation of a vector column."""
     return MF.Normalizer(inputCol=in_col, outputCol=out_col, p=p).transform(df)
 
@@ -230,7 +231,7 @@ def standard_scaler(df, in_col, out_col, with_std: bool = True, with_mean: bool
     return _finish(r, in_col, out_col, drop)
 
 
-def min_max_scaler(df, in_col, out_col, min_: float = 0.0, max_: float = 1.0):
+def min_max_scaler(df, in_col, out_col, min_: float = DF.MIN_MAX_RANGE[0], max_: float = DF.MIN_MAX_RANGE[1]):
     """C11: rescale to [min, max]; a constant column maps to the midpoint."""
     d, vin, scalar = _vec(df, in_col)
     tmp = f"__{out_col}_v" if scalar else out_col
@@ -264,7 +265,8 @@ def vector_assembler(df, input_cols, out_col, drop: bool = False, handle_invalid
     return r.drop(*input_cols) if drop else r
 
 
-def discretizer(df, in_col, out_col, num_buckets: int = 2, relative_error: float = 0.001,
+def discretizer(df, in_col, out_col, num_buckets: int = DF.QUANTILE_NUM_BUCKETS,
+                relative_error: float = DF.QUANTILE_RELATIVE_ERROR,
                 handle_invalid: str = "error", drop: bool = False):
     """C4: quantile buckets; duplicate cut points collapse."""
     m = MF.QuantileDiscretizer(numBuckets=num_buckets, inputCol=in_col, outputCol=out_col,
@@ -277,7 +279,7 @@ def untransform(df, in_col, out_col):
     return df.withColumn(out_col, F.col(in_col))
 
 
-def vector_indexer(df, in_col, out_col, max_categories: int = 20):
+def vector_indexer(df, in_col, out_col, max_categories: int = DF.VECTOR_INDEXER_MAX_CATEGORIES):
     """Slots with at most ``max_categories`` distinct values become
     category indices; others are kept."""
     m = MF.VectorIndexer(inputCol=in_col, outputCol=out_col, maxCategories=max_categories).fit(df)

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fmspark import defaults as DF
 from fmspark.functions import sparse as S
 from fmspark.operators import embed as E
 from fmspark.operators import fm as M
@@ -30,16 +31,16 @@ class Config:
     train_path: str
     prd_path: str | None
     out_dir: str
-    threshold: int
-    method: str = "adamW"
-    dim_k: int = 8
-    iter_num: int = 50
-    init_stdev: float = 0.1
-    learn_rate: float = 0.1
+    threshold: int = DF.THRESHOLD
+    method: str = DF.FM_SPARK_METHOD
+    dim_k: int = DF.FM_DIM
+    iter_num: int = DF.FM_NUM_ITER
+    init_stdev: float = DF.FM_INIT_STDEV
+    learn_rate: float = DF.FM_LEARN_RATE
     reg: float = 0.0
     seed: int = 0
-    train_ratio: float = 0.8
-    append: bool = True
+    train_ratio: float = DF.TRAIN_RATIO
+    append: bool = DF.IS_APPEND
     numbering: str = "offset"
     dense: bool = False
     table: str | None = None

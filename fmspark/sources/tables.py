@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fmspark import defaults as DF
 from fmspark.operators.rows import numeric_frame
+from fmspark.session import collect_bounded
 
 
 def _table(spark_or_df, table: str | None) -> DataFrame:
@@ -35,13 +37,13 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
-def transform_spec(meta: DataFrame, model: str, max_index: int = 564) -> dict:
+def transform_spec(meta: DataFrame, model: str, max_index: int = DF.MAX_SPEC_INDEX) -> dict:
     """``{fieldname: transform}`` for one model from a metadata table
     ``(fieldname, transform, modelname, indexnum)``. The table is read by the
     caller (``spark.read.jdbc`` with the caller's options, or any table); the
     spec is configuration, so it is collected (bounded by ``max_index``)."""
-    rows = (meta.where((F.col("modelname") == F.lit(model)) & (F.col("indexnum") <= F.lit(max_index)))
-            .select("fieldname", "transform").limit(max_index + 1).collect())
+    rows = collect_bounded(meta.where((F.col("modelname") == F.lit(model)) & (F.col("indexnum") <= F.lit(max_index)))
+                           .select("fieldname", "transform"), max_index + 1, "transform spec")
     return {r["fieldname"]: r["transform"] for r in rows}
 
 

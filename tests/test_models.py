@@ -197,3 +197,23 @@ def test_sparse_and_dense_vectors_agree(spark):
         M.DENSE_MAX_WIDTH = old
     assert all(type(r["features"]).__name__ == "SparseVector" for r in sp)
     assert {r["row_id"]: r["features"].toArray().tolist() for r in sp} == dense
+
+
+def test_model_save_and_latent_load(spark, scratch):
+    import os
+    from fmspark.sources.latent import load_latent
+    rows, _ = random_rows(n=40)
+    df = spark.createDataFrame(rows, PAIRS)
+    vec = M.to_vectors(df, 9)
+    model = M.fm_fit(vec, dim_k=3, iter_num=3, seed=1)
+    M.save_model(model, os.path.join(scratch, "model"))
+    from pyspark.ml.classification import FMClassificationModel
+    assert FMClassificationModel.load(os.path.join(scratch, "model")).factors.numCols == 3
+    calls = []
+
+    def fit():
+        calls.append(1)
+        return M.model_tables(spark, model)[2]
+    lat, k = load_latent(spark, os.path.join(scratch, "latent"), fit)
+    lat2, k2 = load_latent(spark, os.path.join(scratch, "latent"), fit)
+    assert k == k2 == 3 and lat.count() == lat2.count() == 9 and calls == [1]
