@@ -136,3 +136,17 @@ def test_embed_sets_tags_both(spark):
     out = embed_sets(tr, te.drop("label"), lat, 5, keep=("order_id",))
     counts = {r["set"]: r["count"] for r in out.groupBy("set").count().collect()}
     assert counts["train"] + counts["prd"] == rows.count()
+
+
+def test_bucketed_input_needs_no_exchange(spark, scratch):
+    from fmspark.sinks.writers import write_bucketed
+    spark.sql(f"create database if not exists t_emb location '{scratch}/wh'")
+    rows = fx.sparse_rows(spark, SF_SMALL)
+    write_bucketed(rows, "t_emb.rows", "row_id", 8)
+    t = spark.table("t_emb.rows")
+    out = embed(t, fx.latent(spark, SF_SMALL), 5, keep=("order_id",), clustered=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan.lower()
+    a = sorted(map(tuple, out.select("order_id", "out").collect()))
+    b = sorted(map(tuple, embed(rows, fx.latent(spark, SF_SMALL), 5, keep=("order_id",)).select("order_id", "out").collect()))
+    assert a == b
