@@ -124,7 +124,7 @@ def accuracy(scored: DataFrame, label: str = "y", prob: str = "p", threshold: fl
 SOLVERS = {"sgd": "gd", "gd": "gd", "sgda": "adamW", "adamw": "adamW", "adamW": "adamW"}
 
 
-DENSE_MAX_WIDTH = 1 << 14
+DENSE_MAX_WIDTH = 1 << 10
 
 
 def _sparse_vector_udf(width: int):

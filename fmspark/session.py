@@ -95,3 +95,24 @@ def materialize(df: DataFrame, name: str, run_id: str | None = None) -> DataFram
     path = f"{base}/fmspark-{run_id or uuid.uuid4().hex}/{name}-{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 * 1024 * 1024,
+                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> dict:
+    """Session settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions are sized so that a partition holds about
+    ``target_partition_bytes`` at the largest exchange (at least two waves of
+    tasks); AQE coalesces small ones and splits skewed ones at run time.
+    ``spark.checkpoint.dir`` is not set here: it must name a shared folder
+    chosen by the cluster."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        BROADCAST_CONF: str(broadcast_bytes),
+    }
