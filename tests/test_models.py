@@ -217,3 +217,20 @@ def test_model_save_and_latent_load(spark, scratch):
     lat, k = load_latent(spark, os.path.join(scratch, "latent"), fit)
     lat2, k2 = load_latent(spark, os.path.join(scratch, "latent"), fit)
     assert k == k2 == 3 and lat.count() == lat2.count() == 9 and calls == [1]
+
+
+def test_fm_beats_linear_model_on_interaction(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+    from fmspark.plans.queries import _planted
+    tr, te, fmap, n = _planted(spark, "/root/testdata/sf0.01")
+    from fmspark.operators.rows import reindex
+    vtr = M.to_vectors(reindex(tr, fmap, map_rows=n), n)
+    vte = M.to_vectors(reindex(te, fmap, map_rows=n), n)
+    lr = LogisticRegression(maxIter=50).fit(vtr)
+    pr = lr.transform(vte).select(F.col("label").cast("int").alias("y"), vector_to_array("probability")[1].alias("s"))
+    lr_auc = M.auc(pr).first()[0]
+    fm = M.fm_fit(vtr, dim_k=4, iter_num=100, learn_rate=0.1, init_stdev=0.1, seed=7)
+    pf = fm.transform(vte).select(F.col("label").cast("int").alias("y"), vector_to_array("probability")[1].alias("s"))
+    fm_auc = M.auc(pf).first()[0]
+    assert fm_auc > 0.95 and fm_auc - lr_auc > 0.2, (fm_auc, lr_auc)
