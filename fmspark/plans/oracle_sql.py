@@ -95,9 +95,10 @@ from emb_vals e left join nraw n using (order_id)
 """)
 
 oracle("embed_readme_form", """
+with nall as (select order_id, cast(count(*) as int) n from sparse_rows group by order_id)
 select order_id, cast(row_number() over (partition by order_id order by idx) - 1 as int) pos, val from sparse_rows
 union all
-select e.order_id, cast(40 + e.epos as int) pos, e.v val from emb_vals e
+select e.order_id, cast(n.n + e.epos as int) pos, e.v val from emb_vals e join nall n using (order_id)
 """)
 
 oracle("embed_width_check", """
