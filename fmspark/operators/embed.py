@@ -5,7 +5,7 @@ Plan (F1)::
 
     rows --(hash repartition on key, skipped when already clustered)-->
          posexplode_outer(active) --broadcast left join latent on idx-->
-         groupBy(key) : collect (pos, v), sort by pos, flatten
+         groupBy(key, carried columns) : collect (pos, v), sort by pos, flatten
 
 The exchange sits *before* the explode, so the compact input rows are
 shuffled once and the expanded k-wide values are not: the explode, the
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fmspark.functions import sparse as S
 from fmspark.session import maybe_broadcast
@@ -46,7 +47,7 @@ def _latent_side(latent: DataFrame, k_hint: int, salt: int, max_bytes: int | Non
 def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str = "row_id",
                  features: str = "features", clustered: bool = False, k_hint: int = 8,
                  salt: int = 16, on_unknown: str = "error",
-                 max_broadcast_bytes: int | None = None) -> DataFrame:
+                 max_broadcast_bytes: int | None = None, carry_features: bool = True) -> DataFrame:
     """Core of F1: every input column plus ``_raw`` (continuous pairs, idx <=
     threshold), ``_act`` (active one-hot pairs) and ``emb`` (the latent
     vectors of ``_act`` concatenated in feature order). ``key`` must be unique
@@ -55,9 +56,11 @@ def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str
         raise ValueError("on_unknown must be 'error' or 'drop'")
     base = rows.withColumn("_raw", S.continuous(features, threshold)) \
                .withColumn("_act", S.active(features, threshold))
+    if not carry_features:
+        base = base.drop(features)
     if not clustered:
         base = base.repartition(key)
-    cols = [c for c in base.columns if c != key]
+    cols = [c for c in base.columns if c not in (key, "_act")]
     ex = base.select(key, *cols, F.posexplode_outer("_act").alias("_pos", "_ap"))
     ex = ex.withColumn("_aidx", F.col("_ap.idx"))
     lat, salt_col = _latent_side(latent, k_hint, salt, max_broadcast_bytes)
@@ -72,8 +75,13 @@ def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str
                    F.raise_error(F.concat(F.lit("no latent vector for feature index "),
                                           F.col("_aidx").cast("string")))).otherwise(F.col("_v"))
     item = F.when(F.col("_pos").isNotNull() & v.isNotNull(), F.struct(F.col("_pos").alias("p"), v.alias("v")))
-    agg = j.groupBy(key).agg(*[F.first(c).alias(c) for c in cols],
-                             F.collect_list(item).alias("_items"))
+    # the carried columns depend on the (unique) key, so they are grouping
+    # keys rather than first() aggregates; maps cannot be grouping keys
+    types = dict((f.name, f.dataType) for f in j.schema.fields)
+    gkeys = [c for c in cols if not isinstance(types[c], T.MapType)]
+    firsts = [c for c in cols if isinstance(types[c], T.MapType)]
+    agg = j.groupBy(key, *gkeys).agg(*[F.first(c).alias(c) for c in firsts],
+                                     F.collect_list(item).alias("_items"))
     emb = F.flatten(F.transform(F.array_sort("_items"), lambda x: x["v"]))
     return agg.select(key, *cols, emb.alias("emb")).drop("_items")
 
@@ -111,7 +119,8 @@ def embed(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str = "row
     ``array<struct<idx,val>>`` (or ``array<double>`` when ``dense``)."""
     sel = rows.select(key, *[c for c in keep if c != key], features)
     ev = embed_values(sel, latent, threshold, key=key, features=features, clustered=clustered,
-                      k_hint=k_hint, on_unknown=on_unknown, max_broadcast_bytes=max_broadcast_bytes)
+                      k_hint=k_hint, on_unknown=on_unknown, max_broadcast_bytes=max_broadcast_bytes,
+                      carry_features=keep_onehot)
     out = assemble(ev, threshold, features=features, append=append, numbering=numbering,
                    dense=dense, keep_onehot=keep_onehot)
     return ev.select(key, *[c for c in keep if c != key], out.alias("out"))
