@@ -20,6 +20,16 @@ def is_numeric(dt) -> bool:
     return isinstance(dt, NUMERIC)
 
 
+def _regroup(df: DataFrame, key: str, cols: list[str], agg) -> DataFrame:
+    """Per-row regroup after an explode: the carried columns depend on the
+    (unique) key, so they are grouping keys (maps, which cannot be, are
+    carried with first())."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    gkeys = [c for c in cols if not isinstance(types[c], T.MapType)]
+    firsts = [F.first(c).alias(c) for c in cols if isinstance(types[c], T.MapType)]
+    return df.groupBy(key, *gkeys).agg(*firsts, agg)
+
+
 def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", features: str = "features",
             on_unknown: str = "error", clustered: bool = False,
             max_broadcast_bytes: int | None = None, map_rows: int | None = None) -> DataFrame:
@@ -44,7 +54,7 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
                                                F.col("_f.idx").cast("string")))).otherwise(F.col("_mpos"))
     item = F.when(F.col("_f").isNotNull() & newidx.isNotNull(),
                   F.struct(F.col("_p").alias("p"), S.pair(newidx, F.col("_f.val")).alias("q")))
-    g = j.groupBy(key).agg(*[F.first(c).alias(c) for c in cols], F.collect_list(item).alias("_items"))
+    g = _regroup(j, key, cols, F.collect_list(item).alias("_items"))
     return g.select(key, *cols, F.transform(F.array_sort("_items"), lambda x: x["q"]).alias(features))
 
 
@@ -115,7 +125,7 @@ def to_ffm(rows: DataFrame, field_map: DataFrame, *, key: str = "row_id", label:
     tok = F.when(F.col("_f").isNotNull(), F.struct(F.col("_p").alias("p"), F.concat(
         F.coalesce(F.col("_fld"), F.lit(0)).cast("string"), F.lit(":"), F.col("_f.idx").cast("string"),
         F.lit(":"), S.fmt_num(F.col("_f.val"))).alias("t")))
-    g = j.groupBy(key).agg(*[F.first(c).alias(c) for c in cols], F.collect_list(tok).alias("_t"))
+    g = _regroup(j, key, cols, F.collect_list(tok).alias("_t"))
     line = F.concat_ws(" ", S.fmt_num(F.col(label).cast("double")),
                        F.array_join(F.transform(F.array_sort("_t"), lambda x: x["t"]), " "))
     return g.select(*(keep or (key,)), line.alias("line"))
