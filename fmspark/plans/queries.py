@@ -494,7 +494,8 @@ def fm_grid(spark, sf):
     fit, val = D.split(tr, "order_id", 0.8, seed=1)
     vfit = M.to_vectors(R.reindex(fit, fmap, map_rows=n), n)
     vval = M.to_vectors(R.reindex(val, fmap, map_rows=n), n)
-    res, _ = M.grid_search(vfit, vval, ks=(2, 4), iters=(20, 60), learn_rate=0.1, init_stdev=0.1, seed=7)
+    res, _ = M.grid_search(vfit, vval, ks=(2, 4), iters=(20, 60), parallelism=4,
+                           learn_rate=0.1, init_stdev=0.1, seed=7)
     return spark.createDataFrame(res, "k int, iters int, auc double, log_loss double") \
         .select("k", "iters", F.round("auc", 6).alias("auc"), F.round("log_loss", 6).alias("log_loss"))
 
