@@ -78,18 +78,16 @@ def ffm_score(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *
 
 # ---------------------------------------------------------------- training
 def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs: int = DF.FFM_ITERATIONS,
-            eta: float = DF.FFM_ETA, lam: float = DF.FFM_LAMBDA, normalize: bool = DF.FFM_INSTANCE_NORM, valid: DataFrame | None = None, n_batches: int = 4,
+            eta: float = DF.FFM_ETA, lam: float = DF.FFM_LAMBDA, normalize: bool = DF.FFM_INSTANCE_NORM,
+            valid: DataFrame | None = None, n_batches: int = 4,
             seed: int = 0, key: str = "row_id", label: str = "label", features: str = "features",
             log=None):
     """FFM with logistic loss, mini-batch AdaGrad, early stop on the
     validation log-loss. Returns ``(model(idx, field, v), history)``.
 
-    Per mini-batch (rows whose key hashes to the batch): the field sums
-    ``S[a][b]`` per row give ``phi`` and ``kappa = -y / (1 + exp(y phi))``;
-    the gradient of ``w_{i,b}`` (feature i of field a) is
-    ``kappa x_i (S[b][a] - [a = b] w_{i,a} x_i) + lam w_{i,b}``, summed per
-    ``(idx, b)`` by ``groupBy`` (partial aggregation first), and AdaGrad
-    updates the model table. The model and the exploded pairs are written
+    Per mini-batch (rows whose key hashes to the batch), ``ffm_gradients``
+    sums the gradient per ``(idx, b)`` (partial aggregation first), and
+    AdaGrad updates the model table. The model and the exploded pairs are written
     as parquet in the checkpoint folder (``session.materialize``)."""
     import math
     import uuid
@@ -134,34 +132,7 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
         for b in range(n_batches):
             exb = ex.where(F.col("batch") == F.lit(b)).select(key, "y", "idx", "x", "a")
             mb, _ = maybe_broadcast(model.select("idx", F.col("field").alias("fb"), "v"), row_bytes=24 + 8 * k)
-            j = exb.join(mb, "idx")
-            sums = j.groupBy(key, "a", "fb").agg(
-                *[F.sum(F.element_at("v", d + 1) * F.col("x")).alias(f"s{d}") for d in range(k)],
-                F.sum(F.when(F.col("a") == F.col("fb"), F.col("x") * F.col("x") * F.aggregate(
-                    "v", F.lit(0.0), lambda s, e: s + e * e)).otherwise(F.lit(0.0))).alias("q"))
-            per_row = sums.groupBy(key).agg(F.collect_list(F.struct(
-                F.col("a"), F.col("fb").alias("b"), F.array(*[F.col(f"s{d}") for d in range(k)]).alias("s"),
-                F.col("q"))).alias("c"))
-            lookup = F.map_from_entries(F.transform("c", lambda e: F.struct(
-                (e["a"].cast("long") * F.lit(1 << 31) + e["b"]).alias("k"), e["s"].alias("v"))))
-            cross = F.aggregate(F.filter("c", lambda e: e["a"] < e["b"]), F.lit(0.0), lambda acc, e: acc + F.coalesce(
-                _dot(e["s"], F.element_at(lookup, e["b"].cast("long") * F.lit(1 << 31) + e["a"])), F.lit(0.0)))
-            inner = F.aggregate(F.filter("c", lambda e: e["a"] == e["b"]), F.lit(0.0),
-                                lambda acc, e: acc + F.lit(0.5) * (_dot(e["s"], e["s"]) - e["q"]))
-            yrow = exb.groupBy(key).agg(F.first("y").alias("y"))
-            kap = per_row.join(yrow, key).select(
-                key, "c", (-F.col("y") / (F.lit(1.0) + F.exp(F.col("y") * (cross + inner)))).alias("kappa"))
-            # each pair meets the row's S[b][a] for every target field b
-            g = (exb.join(kap, key)
-                 .select("idx", "x", "a", "kappa", F.explode(F.filter("c", lambda e: e["b"] == F.col("a"))).alias("e"))
-                 .select(F.col("idx").alias("gi"), "x", "a", "kappa", F.col("e.a").alias("tb"), F.col("e.s").alias("s"))
-                 .join(mb.select(F.col("idx").alias("midx"), F.col("fb").alias("mfb"), F.col("v").alias("mv")),
-                       (F.col("gi") == F.col("midx")) & (F.col("tb") == F.col("mfb")))
-                 .select("gi", "tb",
-                         F.zip_with("s", "mv", lambda s, v: F.col("kappa") * F.col("x") * (
-                             s - F.when(F.col("tb") == F.col("a"), v * F.col("x")).otherwise(F.lit(0.0)))
-                             + F.lit(lam) * v).alias("g")))
-            grads = g.groupBy("gi", "tb").agg(*[F.sum(F.element_at("g", d + 1)).alias(f"_g{d}") for d in range(k)])
+            grads = ffm_gradients(exb, mb, k, key=key, lam=lam)
             gcol = F.array(*[F.coalesce(F.col(f"_g{d}"), F.lit(0.0)) for d in range(k)])
             upd = model.join(grads, (model["idx"] == grads["gi"]) & (model["field"] == grads["tb"]), "left") \
                 .select("idx", "field", "v", "acc", gcol.alias("grad"))
@@ -183,3 +154,41 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
         else:
             best = model
     return best.select("idx", "field", "v"), history
+
+
+def ffm_gradients(pairs: DataFrame, model: DataFrame, k: int, *, key: str = "row_id",
+                  lam: float = 0.0, clustered: bool = False) -> DataFrame:
+    """Gradient of the summed logistic loss of a set of rows, per model
+    entry: ``(gi, tb, _g0.._g{k-1})`` for ``w_{gi, tb}``.
+
+    ``pairs``: ``(key, y in {-1,1}, idx, x, a)`` (a = field of idx);
+    ``model``: ``(idx, fb, v)`` (broadcast-ready). One aggregation per
+    ``(key, lo, hi)`` gives ``S[lo][hi]``, ``S[hi][lo]`` and ``S[a][a]``; one
+    per key gives ``phi`` and ``kappa = -y / (1 + exp(y phi))``; each
+    ``(feature, target field)`` then reads its mirror vector from its group:
+    ``g = kappa x (S[b][a] - [a = b] w_{i,a} x) + lam w_{i,b}``."""
+    base = pairs if clustered else pairs.repartition(key)
+    j = base.join(model, "idx").withColumn("_lo", F.least("a", "fb")).withColumn("_hi", F.greatest("a", "fb"))
+    x, a, fb = F.col("x"), F.col("a"), F.col("fb")
+
+    def side(cond, d):
+        return F.sum(F.when(cond, F.element_at("v", d + 1) * x).otherwise(F.lit(0.0)))
+    grp = j.groupBy(key, "_lo", "_hi").agg(
+        F.array(*[side(a < fb, d) for d in range(k)]).alias("_l"),
+        F.array(*[side(a > fb, d) for d in range(k)]).alias("_h"),
+        F.array(*[side(a == fb, d) for d in range(k)]).alias("_z"),
+        F.sum(F.when(a == fb, x * x * F.aggregate("v", F.lit(0.0), lambda s, e: s + e * e))
+              .otherwise(F.lit(0.0))).alias("_q"),
+        F.first("y").alias("y"))
+    term = F.when(F.col("_lo") < F.col("_hi"), _dot(F.col("_l"), F.col("_h"))) \
+        .when(F.col("_lo") == F.col("_hi"), F.lit(0.5) * (_dot(F.col("_z"), F.col("_z")) - F.col("_q")))
+    kap = grp.groupBy(key).agg(F.sum(term).alias("_phi"), F.first("y").alias("_y")) \
+        .select(key, (-F.col("_y") / (F.lit(1.0) + F.exp(F.col("_y") * F.col("_phi")))).alias("_kappa"))
+    g = (j.join(grp.select(key, "_lo", "_hi", "_l", "_h", "_z"), [key, "_lo", "_hi"])
+         .join(kap, key)
+         .select(F.col("idx").alias("gi"), F.col("fb").alias("tb"),
+                 F.zip_with(
+                     F.when(a < fb, F.col("_h")).when(a > fb, F.col("_l"))
+                      .otherwise(F.zip_with("_z", "v", lambda z, v: z - v * x)),
+                     "v", lambda m, v: F.col("_kappa") * x * m + F.lit(lam) * v).alias("_gv")))
+    return g.groupBy("gi", "tb").agg(*[F.sum(F.element_at("_gv", d + 1)).alias(f"_g{d}") for d in range(k)])

@@ -234,3 +234,40 @@ def test_fm_beats_linear_model_on_interaction(spark):
     pf = fm.transform(vte).select(F.col("label").cast("int").alias("y"), vector_to_array("probability")[1].alias("s"))
     fm_auc = M.auc(pf).first()[0]
     assert fm_auc > 0.95 and fm_auc - lr_auc > 0.2, (fm_auc, lr_auc)
+
+
+def test_ffm_gradient_matches_numpy(spark):
+    rnd = np.random.default_rng(4)
+    field_of = {0: 0, 1: 0, 2: 1, 3: 1, 4: 2}
+    W = rnd.normal(size=(5, 3, 2))
+    rows = []
+    for r in range(12):
+        feats = sorted(rnd.choice(5, size=rnd.integers(1, 5), replace=False).tolist())
+        rows.append((r, 1.0 if r % 3 else -1.0, [(int(i), float(rnd.normal())) for i in feats]))
+    lam = 0.01
+    G = np.zeros_like(W)
+    for _, y, feats in rows:
+        phi = 0.0
+        for p in range(len(feats)):
+            for q in range(p + 1, len(feats)):
+                (i, xi), (j, xj) = feats[p], feats[q]
+                phi += W[i, field_of[j]] @ W[j, field_of[i]] * xi * xj
+        kappa = -y / (1 + np.exp(y * phi))
+        for p, (i, xi) in enumerate(feats):
+            for b in range(3):
+                d = np.zeros(2)
+                for q, (j, xj) in enumerate(feats):
+                    if q != p and field_of[j] == b:
+                        d += W[j, field_of[i]] * xi * xj
+                G[i, b] += kappa * d + lam * W[i, b]
+    pairs = spark.createDataFrame([(r, y, i, x, field_of[i]) for r, y, f in rows for i, x in f],
+                                  "row_id long, y double, idx int, x double, a int")
+    model = spark.createDataFrame([(i, b, [float(v) for v in W[i, b]]) for i in range(5) for b in range(3)],
+                                  "idx int, fb int, v array<double>")
+    got = {(r["gi"], r["tb"]): [r["_g0"], r["_g1"]] for r in FF.ffm_gradients(pairs, model, 2, lam=lam).collect()}
+    for i in range(5):
+        for b in range(3):
+            if (i, b) in got:
+                assert got[(i, b)] == pytest.approx(list(G[i, b]), abs=1e-9)
+            else:
+                assert np.allclose(G[i, b], 0)
