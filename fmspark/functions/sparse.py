@@ -28,11 +28,18 @@ def tokens(line) -> Column:
     return F.split(F.trim(_c(line)), r"\s+")
 
 
-def parse_pairs(toks) -> Column:
+def num(c, to: str, bad: str = "error") -> Column:
+    """Cast text to a number: malformed text raises (``bad='error'``, as the
+    reference's parser does) or becomes null (``bad='null'``)."""
+    c = _c(c)
+    return c.try_cast(to) if bad == "null" else c.cast(to)
+
+
+def parse_pairs(toks, bad: str = "error") -> Column:
     """``array<string>`` of ``idx:val`` tokens -> ``array<struct<idx,val>>``."""
     return F.transform(_c(toks), lambda t: F.struct(
-        F.substring_index(t, ":", 1).cast("int").alias("idx"),
-        F.substring_index(t, ":", -1).cast("double").alias("val")))
+        num(F.substring_index(t, ":", 1), "int", bad).alias("idx"),
+        num(F.substring_index(t, ":", -1), "double", bad).alias("val")))
 
 
 def pair(idx, val) -> Column:

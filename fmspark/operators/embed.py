@@ -54,6 +54,7 @@ def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str
     per row."""
     if on_unknown not in ("error", "drop"):
         raise ValueError("on_unknown must be 'error' or 'drop'")
+    rows = rows.withColumn(features, F.coalesce(F.col(features), F.array().cast(S.PAIRS)))
     base = rows.withColumn("_raw", S.continuous(features, threshold)) \
                .withColumn("_act", S.active(features, threshold))
     if not carry_features:

@@ -26,18 +26,19 @@ def _lines(spark: SparkSession, path) -> DataFrame:
     return df.where(F.length(F.trim("value")) > 0)
 
 
-def parse_lines(lines: DataFrame, *, is_prd: bool = False, value: str = "value") -> DataFrame:
-    """Text lines -> ``row_id, label | order_id, features``."""
+def parse_lines(lines: DataFrame, *, is_prd: bool = False, value: str = "value", bad: str = "error") -> DataFrame:
+    """Text lines -> ``row_id, label | order_id, features``. Malformed numbers
+    raise (``bad='error'``) or become null (``bad='null'``)."""
     t = lines.select(F.monotonically_increasing_id().alias("row_id"), S.tokens(value).alias("_t"))
-    feats = S.parse_pairs(F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0))))
+    feats = S.parse_pairs(F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0))), bad)
     if is_prd:
         return t.select("row_id", F.col("_t")[0].alias("order_id"), feats.alias("features"))
-    return t.select("row_id", F.col("_t")[0].cast("double").alias("label"), feats.alias("features"))
+    return t.select("row_id", S.num(F.col("_t")[0], "double", bad).alias("label"), feats.alias("features"))
 
 
-def read_libsvm(spark: SparkSession, path, *, is_prd: bool = False) -> DataFrame:
+def read_libsvm(spark: SparkSession, path, *, is_prd: bool = False, bad: str = "error") -> DataFrame:
     """A3 (train form) / A4 (prd form, ``is_prd=True``)."""
-    return parse_lines(_lines(spark, path), is_prd=is_prd)
+    return parse_lines(_lines(spark, path), is_prd=is_prd, bad=bad)
 
 
 def read_labels(spark: SparkSession, path) -> DataFrame:

@@ -150,3 +150,19 @@ def test_bucketed_input_needs_no_exchange(spark, scratch):
     a = sorted(map(tuple, out.select("order_id", "out").collect()))
     b = sorted(map(tuple, embed(rows, fx.latent(spark, SF_SMALL), 5, keep=("order_id",)).select("order_id", "out").collect()))
     assert a == b
+
+
+def test_null_label_and_null_features_survive(spark, scratch):
+    import os
+    from fmspark.sources.libsvm import read_libsvm
+    p = os.path.join(scratch, "bad.txt")
+    with open(p, "w") as f:
+        f.write("NA 1:0.5 7:1\n1\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_libsvm(spark, p).collect()
+    rows = read_libsvm(spark, p, bad="null").withColumn("order_id", F.col("row_id").cast("string"))
+    lat = spark.createDataFrame([(7, [1.0, 2.0])], "idx int, v array<double>")
+    out = {r["label"]: r["out"] for r in embed(rows, lat, 5, keep=("order_id", "label"), dense=True).collect()}
+    assert out == {None: [0.5, 1.0, 2.0], 1.0: []}
+    nulls = spark.createDataFrame([(0, "a", 1, None)], PAIRS)
+    assert embed(nulls, lat, 5, keep=("order_id",), dense=True).first()["out"] == []
