@@ -38,9 +38,13 @@ def exclusive_prefix_sum_sized(df: DataFrame, order_col: str, value_col: str, ou
     n_ranges = min(10_000, -(-total // rows_per_range))
     probs = [i / n_ranges for i in range(1, n_ranges)]
     cuts = sorted(set(df.approxQuantile(order_col, probs, 0.001)))
-    cut_arr = F.array(*[F.lit(c) for c in cuts])
-    rng = F.size(F.filter(cut_arr, lambda c: c <= F.col(order_col)))
-    tagged = df.withColumn("_rng", rng)
+    # range id = number of cut points <= value; Bucketizer finds it by binary
+    # search (splits -inf, cuts..., +inf), so the cost per row is log(ranges)
+    from pyspark.ml.feature import Bucketizer
+    inf = float("inf")
+    tagged = Bucketizer(splits=[-inf] + [float(c) for c in cuts] + [inf], inputCol="_ord", outputCol="_rngd") \
+        .transform(df.withColumn("_ord", F.col(order_col).cast("double"))) \
+        .withColumn("_rng", F.col("_rngd").cast("int")).drop("_ord", "_rngd")
     totals = dict((r["_rng"], r["t"]) for r in
                   tagged.groupBy("_rng").agg(F.sum(value_col).alias("t")).collect())
     per = [totals.get(i, 0) or 0 for i in range(len(cuts) + 1)]
