@@ -239,3 +239,25 @@ def grid_search(train: DataFrame, valid: DataFrame, ks=(4, 8), iters=(50, 100),
             best, best_auc = m, a
     train.unpersist()
     return out, best
+
+
+def fit_sgda(train: DataFrame, valid: DataFrame, regs=(0.0, 0.001, 0.01, 0.1), parallelism: int = 2, **kw):
+    """SGD with adaptive regularisation, re-aimed: AdamW fits for each
+    regularisation strength, the one with the best validation AUC wins
+    (first wins ties). Returns ``(model, reg, rows(reg, auc))``."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml.functions import vector_to_array
+    train = train.cache()
+
+    def one(r):
+        m = fm_fit(train, method="adamW", reg=r, **kw)
+        pr = m.transform(valid).select(F.col("label").cast("int").alias("y"),
+                                       vector_to_array("probability")[1].alias("s"))
+        return m, float(auc(pr).first()[0])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        res = list(pool.map(one, regs))
+    train.unpersist()
+    best = max(range(len(regs)), key=lambda i: (res[i][1], -i))
+    return res[best][0], regs[best], [(r, a) for r, (_, a) in zip(regs, res)]

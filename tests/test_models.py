@@ -271,3 +271,13 @@ def test_ffm_gradient_matches_numpy(spark):
                 assert got[(i, b)] == pytest.approx(list(G[i, b]), abs=1e-9)
             else:
                 assert np.allclose(G[i, b], 0)
+
+
+def test_sgda_picks_regularisation_on_validation(spark):
+    rows, _ = random_rows(n=120)
+    df = spark.createDataFrame(rows, PAIRS)
+    from fmspark.operators.split import split
+    tr, va = split(df, "row_id", 0.7)
+    m, reg, table = M.fit_sgda(M.to_vectors(tr, 9), M.to_vectors(va, 9), regs=(0.0, 0.5), dim_k=2, iter_num=5, seed=1)
+    assert reg in (0.0, 0.5) and len(table) == 2
+    assert dict(table)[reg] == max(a for _, a in table)
