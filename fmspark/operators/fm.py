@@ -121,6 +121,7 @@ def accuracy(scored: DataFrame, label: str = "y", prob: str = "p", threshold: fl
 
 
 # ---------------------------------------------------------------- training
+SGD_MINI_BATCH = 0.1
 SOLVERS = {"sgd": "gd", "gd": "gd", "sgda": "adamW", "adamw": "adamW", "adamW": "adamW"}
 
 
@@ -163,7 +164,7 @@ def fm_fit(train: DataFrame, *, method: str = DF.FM_SPARK_METHOD, dim_k: int = D
            iter_num: int = DF.FM_NUM_ITER, init_stdev: float = DF.FM_INIT_STDEV,
            learn_rate: float = DF.FM_LEARN_RATE, reg: float | tuple = 0.0,
            fit_bias: bool = True, fit_linear: bool = True, seed: int = 0,
-           mini_batch_fraction: float = 1.0):
+           mini_batch_fraction: float | None = None):
     """Fit a 2-way FM binary classifier on ``(label in {0,1}, features)``.
 
     ``method``: ``sgd`` -> gradient descent, ``sgda`` / ``adamW`` -> AdamW
@@ -183,6 +184,8 @@ def fm_fit(train: DataFrame, *, method: str = DF.FM_SPARK_METHOD, dim_k: int = D
         if len(set(reg)) != 1:
             raise ValueError("FMClassifier has a single regularisation strength; r0, r1, r2 must be equal")
         reg = reg[0]
+    if mini_batch_fraction is None:  # sgd samples a mini-batch per iteration
+        mini_batch_fraction = SGD_MINI_BATCH if SOLVERS[method] == "gd" else 1.0
     fm = FMClassifier(labelCol="label", featuresCol="features", factorSize=dim_k, maxIter=iter_num,
                       initStd=init_stdev, stepSize=learn_rate, regParam=float(reg), fitIntercept=fit_bias,
                       fitLinear=fit_linear, seed=seed, solver=SOLVERS[method],
