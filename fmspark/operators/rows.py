@@ -34,6 +34,8 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
             on_unknown: str = "error", clustered: bool = False,
             max_broadcast_bytes: int | None = None, map_rows: int | None = None) -> DataFrame:
     """``idx -> pos`` through the index map ``(idx, pos)``, pair order kept.
+    An optional column ``s`` in the map divides the values (scaling in the
+    same pass).
 
     The input is hash-partitioned on the row key before the explode, so the
     regroup needs no second exchange (as in the embedding). Unknown indices
@@ -41,8 +43,10 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
     """
     if on_unknown not in ("error", "drop"):
         raise ValueError("on_unknown must be 'error' or 'drop'")
-    fm = feature_map.select(F.col("idx").cast("int").alias("_midx"), F.col("pos").cast("int").alias("_mpos"))
-    fm, _ = maybe_broadcast(fm, row_bytes=16, max_bytes=max_broadcast_bytes, known_rows=map_rows)
+    scaled = "s" in feature_map.columns  # optional per-index divisor (a fitted max-abs scale)
+    fm = feature_map.select(F.col("idx").cast("int").alias("_midx"), F.col("pos").cast("int").alias("_mpos"),
+                            (F.col("s").cast("double") if scaled else F.lit(1.0)).alias("_ms"))
+    fm, _ = maybe_broadcast(fm, row_bytes=24, max_bytes=max_broadcast_bytes, known_rows=map_rows)
     base = rows if clustered else rows.repartition(key)
     cols = [c for c in base.columns if c not in (key, features)]
     ex = base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f"))
@@ -53,7 +57,7 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
                         F.raise_error(F.concat(F.lit("feature index not in the index map: "),
                                                F.col("_f.idx").cast("string")))).otherwise(F.col("_mpos"))
     item = F.when(F.col("_f").isNotNull() & newidx.isNotNull(),
-                  F.struct(F.col("_p").alias("p"), S.pair(newidx, F.col("_f.val")).alias("q")))
+                  F.struct(F.col("_p").alias("p"), S.pair(newidx, F.col("_f.val") / F.col("_ms")).alias("q")))
     g = _regroup(j, key, cols, F.collect_list(item).alias("_items"))
     return g.select(key, *cols, F.transform(F.array_sort("_items"), lambda x: x["q"]).alias(features))
 

@@ -43,6 +43,7 @@ class Config:
     append: bool = DF.IS_APPEND
     numbering: str = "offset"
     dense: bool = False
+    scale: bool = False
     table: str | None = None
     extra: dict = field(default_factory=dict)
 
@@ -68,17 +69,27 @@ def prepare(spark: SparkSession, train_path: str, prd_path: str | None, out_dir:
 
 
 def train(rows: DataFrame, fmap: DataFrame, n_features: int, *, label: str = "label", key: str = "row_id",
-          method: str = "adamW", **fit_kw) -> tuple[float, DataFrame, DataFrame, object]:
+          method: str = "adamW", scale: bool = False, **fit_kw) -> tuple[float, DataFrame, DataFrame, object]:
     """Fit on re-indexed rows (positions ``0..n-1``), then key the linear
-    weights and latents by the original index. Labels must be {0, 1}."""
+    weights and latents by the original index. Labels must be {0, 1}.
+
+    ``scale=True`` divides every feature by its largest absolute value (C12)
+    in the same re-index pass and folds the divisor back into the returned
+    tables (``w / s``, ``v / s``), so they score unscaled rows; one-hot
+    features have ``s = 1`` and keep their latents as learned."""
     spark = rows.sparkSession
+    if scale:
+        fmap = fmap.join(M.max_abs_scale(rows), "idx", "left") \
+            .select("idx", "pos", F.coalesce("s", F.lit(1.0)).alias("s"))
     ri = R.reindex(rows.select(key, label, "features"), fmap, key=key, map_rows=n_features)
     vec = M.to_vectors(ri, n_features, label=label)
     model = M.fm_fit(vec, method=method, **fit_kw)
     bias, lin_pos, lat_pos = M.model_tables(spark, model)
-    back, _ = maybe_broadcast(fmap.select(F.col("idx"), F.col("pos")), row_bytes=16, known_rows=n_features)
-    linear = lin_pos.join(back, lin_pos.idx == back.pos).select(back.idx, "w")
-    latent = lat_pos.join(back, lat_pos.idx == back.pos).select(back.idx, "v")
+    back_cols = [F.col("idx"), F.col("pos"), F.col("s") if scale else F.lit(1.0).alias("s")]
+    back, _ = maybe_broadcast(fmap.select(*back_cols), row_bytes=24, known_rows=n_features)
+    linear = lin_pos.join(back, lin_pos.idx == back.pos).select(back.idx, (F.col("w") / F.col("s")).alias("w"))
+    latent = lat_pos.join(back, lat_pos.idx == back.pos).select(
+        back.idx, F.transform("v", lambda x: x / F.col("s")).alias("v"))
     return bias, linear, latent, model
 
 
@@ -89,7 +100,8 @@ def run(spark: SparkSession, cfg: Config) -> dict:
     fit_rows, _ = D.split(rows, "row_id", cfg.train_ratio, seed=cfg.seed)
     bias, linear, latent, model = train(fit_rows, p["feature_map"], p["n_features"], method=cfg.method,
                                         dim_k=cfg.dim_k, iter_num=cfg.iter_num, init_stdev=cfg.init_stdev,
-                                        learn_rate=cfg.learn_rate, reg=cfg.reg, seed=cfg.seed)
+                                        learn_rate=cfg.learn_rate, reg=cfg.reg, seed=cfg.seed,
+                                        scale=cfg.scale)
     W.write_parquet(latent, os.path.join(cfg.out_dir, "latent"))
     latent = spark.read.parquet(os.path.join(cfg.out_dir, "latent"))
     kw = dict(append=cfg.append, numbering=cfg.numbering, dense=cfg.dense, k_hint=cfg.dim_k)

@@ -281,3 +281,23 @@ def test_sgda_picks_regularisation_on_validation(spark):
     m, reg, table = M.fit_sgda(M.to_vectors(tr, 9), M.to_vectors(va, 9), regs=(0.0, 0.5), dim_k=2, iter_num=5, seed=1)
     assert reg in (0.0, 0.5) and len(table) == 2
     assert dict(table)[reg] == max(a for _, a in table)
+
+
+def test_scaled_training_folds_back_exactly(spark):
+    from pyspark.ml.functions import vector_to_array
+    from fmspark.operators import rows as R
+    from fmspark.operators.split import feature_map
+    from fmspark.plans.pipeline import train
+    rnd = random.Random(9)
+    rows = [(r, rnd.randint(0, 1), [(1, rnd.uniform(-5e3, 5e3)), (2, rnd.uniform(0, 3)), (3 + rnd.randint(0, 2), 1.0)])
+            for r in range(60)]
+    df = spark.createDataFrame(rows, PAIRS)
+    fmap, n = feature_map(df)
+    bias, lin, lat, model = train(df, fmap, n, dim_k=2, iter_num=5, seed=3, scale=True)
+    ours = {r["row_id"]: r["y"] for r in M.fm_score(df, bias, M.model_table(lin, lat), 2).collect()}
+    smap = fmap.join(M.max_abs_scale(df), "idx").select("idx", "pos", "s")
+    vec = M.to_vectors(R.reindex(df, smap, map_rows=n), n, keep=("row_id",))
+    theirs = {r["row_id"]: r["raw"] for r in model.transform(vec).select(
+        "row_id", vector_to_array("rawPrediction")[1].alias("raw")).collect()}
+    for k, v in theirs.items():
+        assert ours[k] == pytest.approx(v, rel=1e-9, abs=1e-9)
