@@ -403,3 +403,27 @@ select g.feature, cast((select count(*) from rv where rv.feature = g.feature) -
 from grid g left join obs o on o.feature = g.feature and o.v = g.v and o.y = g.y
 group by g.feature
 """)
+
+oracle("transform_spec_exact", """
+with f as (select order_id, coalesce(f_price, 0e0) f_price, coalesce(f_bal, 0e0) f_bal,
+                  coalesce(f_qty, 0e0) f_qty, coalesce(f_zero_disc, 0e0) f_zero_disc,
+                  coalesce(cast(f_flag as double), 0e0) f_flag, f_seg, f_nation, f_prio from feature_rows),
+cb as (select distinct unnest(quantile_disc(f_bal, [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95])) cut from f),
+cz as (select distinct unnest(quantile_disc(f_zero_disc, [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95])) cut from f),
+st as (select avg(f_price) mu, stddev_samp(f_price) sd from f),
+qb as (select order_id, case when f_qty < 10 then '0.0' when f_qty < 100 then '1.0' else '2.0' end b from f),
+rq as (select b, row_number() over (order by n desc, b) - 1 r from (select b, count(*) n from qb group by b) c),
+rs as (select f_seg v, row_number() over (order by n desc, f_seg) - 1 r
+       from (select f_seg, count(*) n from f group by f_seg) c),
+rn as (select f_nation v, row_number() over (order by n desc, cast(f_nation as varchar)) - 1 r
+       from (select f_nation, count(*) n from f group by f_nation) c),
+rp as (select f_prio v, row_number() over (order by n desc, cast(f_prio as varchar)) - 1 r
+       from (select f_prio, count(*) n from f group by f_prio) c)
+select f.order_id, round((f.f_price - st.mu) / st.sd, 6) f_price,
+       cast((select count(*) from cb where cb.cut <= f.f_bal) as double) f_bal,
+       cast((select count(*) from cz where cz.cut <= f.f_zero_disc) as double) f_zero_disc,
+       f.f_flag, cast(rq.r as int) f_qty, cast(rs.r as int) f_seg, cast(rn.r as int) f_nation, cast(rp.r as int) f_prio
+from f cross join st
+join qb on qb.order_id = f.order_id join rq on rq.b = qb.b
+join rs on rs.v = f.f_seg join rn on rn.v = f.f_nation join rp on rp.v = f.f_prio
+""")

@@ -562,3 +562,17 @@ def chisq_stats(spark, sf):
     return res.select(F.col("featureIndex").cast("int").alias("feature"),
                       F.col("degreesOfFreedom").cast("int").alias("dof"),
                       F.round("statistic", 6).alias("statistic"))
+
+
+@query
+def transform_spec_exact(spark, sf):
+    """C1 + C2 with exact quantiles (relativeError 0), so that SQL can check
+    the whole multi-column pipeline: vectors reported as their active slot,
+    the standardised price rounded to 6 places."""
+    from pyspark.ml.functions import vector_to_array
+    from fmspark.operators import transforms as T
+    fr = fx.feature_rows(spark, sf).withColumn("order_dummy", F.lit(1))
+    out, _ = T.transform_pipeline(fr, FIXTURE_SPEC, relative_error=0.0)
+    vec_cols = ["f_qty", "f_seg", "f_nation", "f_prio"]
+    return out.select("order_id", F.round("f_price", 6).alias("f_price"), "f_bal", "f_zero_disc", "f_flag",
+                      *[(F.array_position(vector_to_array(c), 1.0) - 1).cast("int").alias(c) for c in vec_cols])
