@@ -427,3 +427,9 @@ from f cross join st
 join qb on qb.order_id = f.order_id join rq on rq.b = qb.b
 join rs on rs.v = f.f_seg join rn on rn.v = f.f_nation join rp on rp.v = f.f_prio
 """)
+
+oracle("pipeline_end_to_end", """
+select order_id, cast(sum(case when idx <= 5 then 1 else 0 end)
+                      + 4 * sum(case when idx > 5 and val = 1 then 1 else 0 end) as int) n_values
+from sparse_rows group by order_id
+""")
