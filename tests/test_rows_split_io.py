@@ -170,3 +170,15 @@ def test_latent_and_embedded_tables(spark, scratch):
     W.embedded_to_table(out, "t_fm.emb", 29, mode="overwrite")
     t = spark.table("t_fm.emb")
     assert t.columns[:3] == ["order_id", "target", "f0"] and t.count() == out.count()
+
+
+def test_csv_sink_and_file_sizing(spark, scratch):
+    import glob
+    fr = fx.feature_rows(spark, SF_SMALL).select("order_id", "target", "f_price")
+    W.write_csv(fr, os.path.join(scratch, "csv"))
+    back = spark.read.option("header", True).csv(os.path.join(scratch, "csv"))
+    assert back.columns == ["order_id", "target", "f_price"] and back.count() == fr.count()
+    lines = fr.select(F.col("order_id").alias("value")).coalesce(1)
+    W.write_text(lines, os.path.join(scratch, "txt"), compression=None, max_records_per_file=400)
+    files = glob.glob(os.path.join(scratch, "txt", "part-*"))
+    assert len(files) == -(-fr.count() // 400)
