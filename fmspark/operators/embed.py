@@ -54,8 +54,10 @@ def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str
     per row."""
     if on_unknown not in ("error", "drop"):
         raise ValueError("on_unknown must be 'error' or 'drop'")
-    rows = rows.withColumn(features, F.coalesce(F.col(features), F.array().cast(S.PAIRS)))
-    base = rows.withColumn("_raw", S.continuous(features, threshold)) \
+    # a null feature array embeds as empty: the guard sits on the derived raw
+    # part (posexplode_outer already handles a null active part), so the
+    # feature expression is not referenced more often than before
+    base = rows.withColumn("_raw", F.coalesce(S.continuous(features, threshold), F.array().cast(S.PAIRS))) \
                .withColumn("_act", S.active(features, threshold))
     if not carry_features:
         base = base.drop(features)
@@ -100,7 +102,7 @@ def assemble(df: DataFrame, threshold: int, *, features: str = "features", appen
     """
     if numbering not in NUMBERINGS:
         raise ValueError(f"numbering must be one of {NUMBERINGS}")
-    raw = F.col(features) if keep_onehot else F.col("_raw")
+    raw = F.coalesce(F.col(features), F.array().cast(S.PAIRS)) if keep_onehot else F.col("_raw")
     emb = F.col("emb")
     if dense:  # F6
         return F.concat(S.values(raw), emb) if append else emb
