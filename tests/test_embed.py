@@ -166,3 +166,11 @@ def test_null_label_and_null_features_survive(spark, scratch):
     assert out == {None: [0.5, 1.0, 2.0], 1.0: []}
     nulls = spark.createDataFrame([(0, "a", 1, None)], PAIRS)
     assert embed(nulls, lat, 5, keep=("order_id",), dense=True).first()["out"] == []
+
+
+def test_feature_expression_evaluated_once(spark):
+    from fmspark.plans.queries import QUERIES
+    segs = fx.categories(fx.feature_rows(spark, SF_SMALL), "f_seg")["f_seg"]
+    plan = QUERIES["embed_dense"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    # each build of the one-hot array holds one CASE WHEN per segment
+    assert plan.count("CASE WHEN (f_seg") == len(segs)
