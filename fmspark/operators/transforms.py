@@ -144,17 +144,49 @@ def transform_pipeline(df: DataFrame, spec: dict, *, relative_error: float = DF.
     if not stages:
         return data, None
     model = Pipeline(stages=stages).fit(data)
-    res = model.transform(data)
-    sel = []
-    std_arr = vector_to_array("__std_out") if std_cols else None
-    for c in data.columns:
-        if c in std_cols:
-            sel.append(F.element_at(std_arr, std_cols.index(c) + 1).alias(c))
-        elif c in cur and cur[c] != c:
-            sel.append(F.col(cur[c]).alias(c))
-        else:
-            sel.append(F.col(c))
-    return res.select(*sel), model
+    fitted = FittedSpec(model, drop, numeric_first, cur, std_cols)
+    return fitted.transform(df), model
+
+
+class FittedSpec:
+    """A fitted spec: applies the same casts, stages and renames to another
+    set (for example a prediction set scored with the training fit; use
+    ``handle_invalid='keep'`` for categories unseen in training)."""
+
+    def __init__(self, model: PipelineModel, drop, numeric_first, cur, std_cols):
+        self.model, self.drop, self.numeric_first = model, list(drop), list(numeric_first)
+        self.cur, self.std_cols = dict(cur), list(std_cols)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        data = df.drop(*self.drop)
+        if self.numeric_first:
+            data = cast_fill(data, self.numeric_first)
+        res = self.model.transform(data)
+        std_arr = vector_to_array("__std_out") if self.std_cols else None
+        sel = []
+        for c in data.columns:
+            if c in self.std_cols:
+                sel.append(F.element_at(std_arr, self.std_cols.index(c) + 1).alias(c))
+            elif c in self.cur and self.cur[c] != c:
+                sel.append(F.col(self.cur[c]).alias(c))
+            else:
+                sel.append(F.col(c))
+        return res.select(*sel)
+
+
+def fit_spec(df: DataFrame, spec: dict, **kw) -> FittedSpec | None:
+    """Fit a spec once (on a training set) for reuse on other sets."""
+    chains = parse_transform(spec)
+    if not any(ch[0].kind != "delete" for ch in chains if ch):
+        return None
+    _, model = transform_pipeline(df, spec, **kw)
+    drop = [ch[0].field for ch in chains if ch and ch[0].kind == "delete"]
+    kept = [ch for ch in chains if ch and ch[0].kind != "delete"]
+    numeric_first = [ch[0].field for ch in kept if ch[0].kind != "onehot"]
+    cur = {ch[0].field: (ch[0].field if ch[-1].kind in ("untransform", "standard_scaler")
+                         else f"__{ch[0].field}__{len(ch) - 1}") for ch in kept}
+    std = [ch[0].field for ch in kept if ch[0].kind == "standard_scaler"]
+    return FittedSpec(model, drop, numeric_first, cur, std)
 
 
 # ---------------------------------------------------------------- single operators

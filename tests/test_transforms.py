@@ -84,3 +84,18 @@ def test_discretizer_collapses_duplicate_cuts(spark):
     df = spark.createDataFrame([(0.0,)] * 90 + [(float(i),) for i in range(1, 11)], "x double")
     out = T.discretizer(df, "x", "b", 20, relative_error=0.0)
     assert out.select("b").distinct().count() < 20
+
+
+def test_fitted_spec_reused_on_another_set(spark):
+    from fmspark.operators.split import split
+    from fmspark.plans.queries import FIXTURE_SPEC
+    fr = fx.feature_rows(spark, SF_SMALL).withColumn("order_dummy", F.lit(1))
+    tr, te = split(fr, "order_id", 0.8)
+    spec = dict(FIXTURE_SPEC)
+    fitted = T.fit_spec(tr, spec, handle_invalid="keep")
+    a = fitted.transform(te)
+    b, _ = T.transform_pipeline(tr, spec, handle_invalid="keep")
+    assert a.columns == b.columns and a.count() == te.count()
+    # the whole training set through the fitted spec equals the direct result
+    c = fitted.transform(tr)
+    assert sorted(map(tuple, c.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
