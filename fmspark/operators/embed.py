@@ -18,7 +18,9 @@ key (``clustered=True``) runs with no shuffle at all.
 The latent table is broadcast only when a bounded count proves it fits the
 broadcast budget; otherwise the join is a shuffle join whose build side is
 replicated ``salt`` times and whose probe side is salted by key, so a single
-hot feature (active in a third of all rows) spreads over ``salt`` tasks.
+hot feature (active in a third of all rows) spreads over ``salt`` tasks; that
+path shuffles for the join and again for the regroup, and skips the upfront
+repartition.
 """
 
 from __future__ import annotations
@@ -61,12 +63,15 @@ def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str
                .withColumn("_act", S.active(features, threshold))
     if not carry_features:
         base = base.drop(features)
-    if not clustered:
+    lat, salt_col = _latent_side(latent, k_hint, salt, max_broadcast_bytes)
+    if not clustered and salt_col is None:
+        # broadcast path: partition the compact rows once; everything after
+        # keeps the key partitioning. (The shuffle-join path partitions by
+        # (idx, salt) for the join and by key for the regroup instead.)
         base = base.repartition(key)
     cols = [c for c in base.columns if c not in (key, "_act")]
     ex = base.select(key, *cols, F.posexplode_outer("_act").alias("_pos", "_ap"))
     ex = ex.withColumn("_aidx", F.col("_ap.idx"))
-    lat, salt_col = _latent_side(latent, k_hint, salt, max_broadcast_bytes)
     if salt_col is None:
         j = ex.join(lat, ex["_aidx"] == lat["_lidx"], "left")
     else:
