@@ -46,8 +46,9 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
     scaled = "s" in feature_map.columns  # optional per-index divisor (a fitted max-abs scale)
     fm = feature_map.select(F.col("idx").cast("int").alias("_midx"), F.col("pos").cast("int").alias("_mpos"),
                             (F.col("s").cast("double") if scaled else F.lit(1.0)).alias("_ms"))
-    fm, _ = maybe_broadcast(fm, row_bytes=24, max_bytes=max_broadcast_bytes, known_rows=map_rows)
-    base = rows if clustered else rows.repartition(key)
+    fm, is_b = maybe_broadcast(fm, row_bytes=24, max_bytes=max_broadcast_bytes, known_rows=map_rows)
+    # partition once only when the join is a broadcast (keeps the key partitioning)
+    base = rows if clustered or not is_b else rows.repartition(key)
     cols = [c for c in base.columns if c not in (key, features)]
     ex = base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f"))
     j = ex.join(fm, F.col("_f.idx") == F.col("_midx"), "left")
@@ -119,9 +120,9 @@ def to_ffm(rows: DataFrame, field_map: DataFrame, *, key: str = "row_id", label:
     """``label field:feature:value`` text. The field of each index comes
     from ``field_map(idx, field)``, a table as small as the feature space."""
     fm = field_map.select(F.col("idx").cast("int").alias("_fidx"), F.col("field").cast("int").alias("_fld"))
-    fm, _ = maybe_broadcast(fm, row_bytes=16, known_rows=map_rows)
+    fm, is_b = maybe_broadcast(fm, row_bytes=16, known_rows=map_rows)
     base = rows if keep_zero else rows.withColumn(features, S.drop_zero(features))
-    if not clustered:
+    if not clustered and is_b:
         base = base.repartition(key)
     cols = [c for c in dict.fromkeys([label, *keep]) if c != key]
     ex = base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f"))
