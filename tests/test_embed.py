@@ -174,3 +174,10 @@ def test_feature_expression_evaluated_once(spark):
     plan = QUERIES["embed_dense"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     # each build of the one-hot array holds one CASE WHEN per segment
     assert plan.count("CASE WHEN (f_seg") == len(segs)
+
+
+def test_fallback_plan_has_no_upfront_repartition(spark):
+    rows = fx.sparse_rows(spark, SF_SMALL)
+    out = embed(rows, fx.latent(spark, SF_SMALL), 5, keep=("order_id",), max_broadcast_bytes=1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" not in plan
