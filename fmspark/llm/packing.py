@@ -28,6 +28,8 @@ without being remembered.
 
 from __future__ import annotations
 
+import os
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -38,13 +40,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import documents, saved, ship
-from .textvec import utf8
+from .textvec import slices, utf8
 
 CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 LONG_WORD = 256
 REMEMBERED = 400_000
+ENCODE_BYTES = 1 << 22
+MARKS = string.punctuation
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -56,31 +60,54 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit bytes.
 
     The vocabulary's tokens never cross white space, so a text's ids are those
-    of its words in a row; each process remembers the ids of words it has seen,
-    up to ``REMEMBERED``, then starts over."""
+    of its words in a row, and a word's those of its letters and of the marks
+    after them. Each process remembers the ids of words it has seen, up to
+    ``REMEMBERED``, then starts over; unknown ones are encoded many at a time,
+    in the task's own thread."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        found = self.tok.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return {w: np.asarray(e.ids, "<u4").tobytes() for w, e in zip(words, found)}
-
-    def ids(self, text: bytes) -> bytes:
-        words = text.split()
-        known = self.known
-        new = {w for w in words if w not in known}
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = set(words)
-            got = self._learn(sorted(new))
-            known.update((w, t) for w, t in got.items() if len(w) <= LONG_WORD)
-            if len(known) < len(got) or any(len(w) > LONG_WORD for w in got):
-                return b"".join([known[w] if w in known else got[w] for w in words])
-        return b"".join(map(known.__getitem__, words))
+    def _encode(self, new: list[str]) -> dict[str, bytes]:
+        out = {}
+        for k in range(0, len(new), 20_000):
+            part = new[k:k + 20_000]
+            for s, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
+                out[s] = np.asarray(e.ids, "<u4").tobytes()
+        return out
+
+    @staticmethod
+    def _split(word: bytes) -> tuple[str, ...]:
+        """Letters and the marks after them, or the whole word where it is
+        anything else. Case does not matter to the vocabulary."""
+        s = word.decode()
+        letters = s.rstrip(MARKS)
+        if not letters.isalpha():
+            return (s,)
+        marks = s[len(letters):]
+        letters = letters.lower() if letters.isascii() else letters
+        return (letters, marks) if marks else (letters,)
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        split = [t.split() for t in texts]
+        known, parts = self.known, self.parts
+        if len(known) > REMEMBERED or len(parts) > REMEMBERED:
+            known.clear()
+            parts.clear()
+        new = {w: self._split(w) for w in set().union(*split) - known.keys()}
+        missing = sorted({p for ps in new.values() for p in ps if p not in parts})
+        found = self._encode(missing)
+        got = {w: b"".join([found[p] if p in found else parts[p] for p in ps]) for w, ps in new.items()}
+        known.update((w, t) for w, t in got.items() if len(w) <= LONG_WORD)
+        parts.update((p, t) for p, t in found.items() if len(p) <= LONG_WORD)
+        if any(len(w) > LONG_WORD for w in got):
+            return [b"".join([known[w] if w in known else got[w] for w in words]) for words in split]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -111,12 +138,13 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", c
             buf, offs = utf8(b.column(1))
             raw, doc_ids = buf.tobytes(), b.column(0).to_pylist()
             cols: list[list] = [[] for _ in fields]
-            for k, d in enumerate(doc_ids):
-                ids = enc.ids(raw[offs[k]:offs[k + 1]]) + end
-                for n, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at:at + step]
-                    for c, v in zip(cols, (d, n, at // 4, len(part) // 4, zlib.crc32(part), part)):
-                        c.append(v)
+            for i, j in slices(offs, ENCODE_BYTES):
+                for d, ids in zip(doc_ids[i:j], enc.encode([raw[offs[k]:offs[k + 1]] for k in range(i, j)])):
+                    ids += end
+                    for n, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at:at + step]
+                        for c, v in zip(cols, (d, n, at // 4, len(part) // 4, zlib.crc32(part), part)):
+                            c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], names=[f for f, _ in fields])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
