@@ -46,7 +46,7 @@ CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 LONG_WORD = 256
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 ENCODE_BYTES = 1 << 22
 MARKS = string.punctuation
 
@@ -69,13 +69,30 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        words = self.tok.get_vocab()
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of words. Letters alone are one run of tokens, of which only the
+        last ends a word, so many go into one text and come apart again."""
+        plain = [s for s in new if s.isalpha()]
         out = {}
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
+        for k in range(0, len(plain), 20_000):
+            rows = [plain[i:i + 200] for i in range(k, min(k + 20_000, len(plain)), 200)]
+            for row, e in zip(rows, self.tok.encode_batch_fast([" ".join(r) for r in rows], add_special_tokens=False)):
+                ids = np.asarray(e.ids, "<u4")
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) == len(row):
+                    raw, at = ids.tobytes(), 0
+                    for s, to in zip(row, (4 * ends).tolist()):
+                        out[s] = raw[at:to]
+                        at = to
+        rest = [s for s in new if s not in out]
+        for k in range(0, len(rest), 20_000):
+            part = rest[k:k + 20_000]
             for s, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
                 out[s] = np.asarray(e.ids, "<u4").tobytes()
         return out
