@@ -106,11 +106,11 @@ def without_repeats(docs: DataFrame, **how) -> DataFrame:
     whose id is null or stands for several texts are told apart by position
     only: cut is what ``repeats`` names under that id."""
     id_col, text_col = how.get("id_col", "doc_id"), how.get("text_col", "text")
-    gone = repeats(docs, **how).where("removed").groupBy("_id").agg(F.collect_set("para").alias("_gone"))
-    i, lines = free_name(docs, "_i"), F.split(F.col(text_col), "\n", -1)
-    out = docs.withColumn(i, F.col(id_col).cast("long")).join(gone, F.col(i).eqNullSafe(F.col("_id")), "left")
-    kept = F.filter(lines, lambda x, n: ~F.array_contains("_gone", n))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    i, cut, key = free_name(docs, "_i"), free_name(docs, "_cut"), free_name(docs, "_key")
+    gone = repeats(docs, **how).where("removed").groupBy(F.col("_id").alias(key)).agg(F.collect_set("para").alias(cut))
+    out = docs.withColumn(i, F.col(id_col).cast("long")).join(gone, F.col(i).eqNullSafe(F.col(key)), "left")
+    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, n: ~F.array_contains(cut, n))
+    text = F.when(F.col(cut).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return out.withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -5,13 +5,14 @@ and its weight (size). Two texts that share a band are candidates; candidates
 are verified on the texts themselves; classes are the connected components of
 verified links.
 
-A bucket may hold a third of all texts, so its pairs are never listed. In each
-round a bucket has a few leaders (its smallest keys), and its texts are checked
-against the leaders of other classes than their own only. Verified links merge
-classes, which leaves less to check. The number of leaders grows fourfold a
-round; a bucket not much larger than its number of leaders has all its texts
-lead, which completes it. The rounds end when every bucket is one class or
-complete, so no link between texts that share a band is lost.
+A bucket may hold a third of all texts, so its pairs are never listed. First
+every text is checked against one leader, the smallest key of all its buckets.
+Then, in buckets that still hold texts of several classes, leaders are checked
+against the texts of other classes than their own. A bucket of up to twice the
+number of leaders has all its texts lead, which settles it; for larger ones the
+leaders are sixteen times as many in the next round, until the largest open
+bucket is settled. Merged classes leave less to check, and no link between
+texts that share a band is lost.
 Keys are hashes, so the smallest key is a random text, and the same one for a
 group of similar texts in most of its buckets: the first round checks about one
 link a text.
@@ -25,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved, small
-from .components import components
+from .components import components, renamed
 
-GROWTH = 4
+GROWTH = 16
 
 
 def bands_for(threshold: float, recall: float, rows: int) -> int:
@@ -47,7 +48,7 @@ def buckets_of(items: DataFrame) -> DataFrame:
     shared = saved(each.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "shared")
     rows = saved(each.join(small(shared, 48), "hash"), "members")
     leads = saved(rows.groupBy("hash").agg(F.min("key").alias("lead")), "leads")
-    return saved(rows.join(small(leads, 96), "hash"), "buckets")
+    return saved(rows.join(leads, "hash"), "buckets")
 
 
 def similar_classes(items: DataFrame, texts: Callable[[DataFrame], DataFrame], verify: Callable[[Column, Column], Column],
@@ -55,8 +56,8 @@ def similar_classes(items: DataFrame, texts: Callable[[DataFrame], DataFrame], v
     """``items``: a written table (key, weight, bands), each key once, with
     band hashes that differ between bands. ``texts(keys)`` gives (key, text) of
     a key table, once each; ``verify`` the similarity of two text columns.
-    Returns (key, root) of the texts that have a link; ``root`` is the smallest
-    key of the class."""
+    Returns (key, root) of the texts that are not the smallest key of their
+    class; ``root`` is that key."""
     buckets = buckets_of(items)
     library = saved(texts(buckets.select("key").distinct()), "texts")
     # round 0: each text against the smallest leader of all its buckets
@@ -64,26 +65,22 @@ def similar_classes(items: DataFrame, texts: Callable[[DataFrame], DataFrame], v
     sizes = items.select(F.col("key").alias("lead"), F.col("weight").alias("wa"))
     tested = saved(first.join(sizes, "lead").where(_near_size(F.col("wa"), F.col("wb"), threshold))
                    .select(F.col("lead").alias("a"), F.col("key").alias("b")), "pairs")
-    found = saved(_verified(tested, library, verify, threshold), "links")
-    classes = _classes(found)
+    classes = components(_verified(tested, library, verify, threshold))
     leaders = GROWTH
     while True:
-        rows = _classed(buckets, classes)
-        cross = saved(_cross_pairs(rows, leaders, threshold).join(tested, ["a", "b"], "left_anti"), "pairs")
-        new = saved(_verified(cross, library, verify, threshold), "links")
-        tested = saved(tested.unionByName(cross), "tested")
-        if not new.isEmpty():
-            found = saved(found.unionByName(new), "links")
-            classes = _classes(found)
-            continue
-        largest = _open(rows).agg(F.max("n")).first()[0]
-        if largest is None or largest <= 2 * leaders:
-            return classes.select(F.col("node").alias("key"), "root")
+        rows = saved(renamed(buckets.select("hash", "key", "weight", F.col("key").alias("root")), classes, "root"), "classed")
+        open_ = saved(_open(rows), "open")
+        largest = open_.agg(F.max("n")).first()[0]
+        if largest is None:
+            break
+        cross = saved(_cross_pairs(rows, open_, leaders, threshold).join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = components(renamed(_verified(cross, library, verify, threshold), classes, "u", "v"))
+        classes = saved(renamed(classes, found, "root").unionByName(found), "classes")
+        if largest <= 2 * leaders:
+            break
+        tested = tested.unionByName(cross)
         leaders *= GROWTH
-
-
-def _classes(links: DataFrame) -> DataFrame:
-    return saved(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "classes")
+    return classes.select(F.col("node").alias("key"), "root")
 
 
 def _near_size(a: Column, b: Column, threshold: float) -> Column:
@@ -91,20 +88,15 @@ def _near_size(a: Column, b: Column, threshold: float) -> Column:
     return F.least(a, b) >= F.lit(threshold) * F.greatest(a, b)
 
 
-def _classed(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    c = small(classes.select(F.col("node").alias("key"), "root"), 160)
-    return saved(buckets.drop("lead").join(c, "key", "left").withColumn("root", F.coalesce("root", "key")), "classed")
-
-
 def _open(rows: DataFrame) -> DataFrame:
     """Buckets whose texts are in more than one class, with their sizes."""
     return (rows.groupBy("hash").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n"))
             .where("r0 <> r1").select("hash", "n"))
 
 
-def _cross_pairs(rows: DataFrame, leaders: int, threshold: float) -> DataFrame:
+def _cross_pairs(rows: DataFrame, open_: DataFrame, leaders: int, threshold: float) -> DataFrame:
     """(a, b): a leader and a text of another class in the same open bucket."""
-    rows = saved(rows.join(small(saved(_open(rows), "open"), 64), "hash"), "mixed")
+    rows = saved(rows.join(open_, "hash"), "mixed")
     # in a bucket that is small enough, every text leads
     sub = F.when(F.col("n") <= 2 * leaders, F.xxhash64("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(leaders)))
     lead = (rows.groupBy("hash", sub.alias("sub")).agg(F.min(F.struct("key", "root", "weight")).alias("l"))
@@ -117,4 +109,4 @@ def _verified(pairs: DataFrame, library: DataFrame, verify: Callable[[Column, Co
     a = library.select(F.col("key").alias("a"), F.col("text").alias("ta"))
     b = library.select(F.col("key").alias("b"), F.col("text").alias("tb"))
     both = pairs.join(b, "b").join(a, "a")
-    return both.select("a", "b", verify(F.col("ta"), F.col("tb")).alias("s")).where(F.col("s") >= threshold).select("a", "b")
+    return both.select("a", "b", verify(F.col("ta"), F.col("tb")).alias("s")).where(F.col("s") >= threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))

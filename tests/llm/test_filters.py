@@ -1,0 +1,203 @@
+"""Quality rules, classifier, personal data and licenses against plain Python."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fmspark.llm import licenses as L
+from fmspark.llm import ordinal_quality as O
+from fmspark.llm import pii as I
+from fmspark.llm import quality_rules as Q
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_stats(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    count = {}
+    for w in windows:
+        count[w] = count.get(w, 0) + 1
+    covered = {i + k for i, w in enumerate(windows) if count[w] > 1 for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered),
+            n < 50 or 100 * len(covered) > 50 * n)
+
+
+def test_stats_and_base_rule(spark):
+    odd = ["", None, " \n\t", "a", "a a a a", "x\ny\nx\n\nx \n", "é ö | <b> #  z", "one two three one two three", "w" * 30000,
+           "p q r " * 20000, "a\x1cb c d\x0be"]
+    rows = [(i, t) for i, t in enumerate(odd)]
+    rows += [(100 + r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out, name, _ = Q.judge(docs, [])
+    got = {r[0]: tuple(r[1:]) for r in out.select("doc_id", *[F.col(name)[c] for c in Q.COUNTS[:5]], Q.base_failed(F.col(name))).collect()}
+    for i, t in rows:
+        assert got[i] == plain_stats(t), (i, t and t[:80])
+
+
+def test_learned_list_separates(spark):
+    rng = np.random.default_rng(1)
+    at = {c: k for k, c in enumerate(Q.COUNTS)}
+    counts = rng.integers(100, 400, (900, len(Q.COUNTS)))
+    counts[:, at["n_symbols"]] = 0
+    counts[:, at["word_chars"]] = 2000
+    counts[:, at["n_words"]] = 400
+    bad = rng.random(900) < 0.2
+    counts[bad, at["n_symbols"]] = rng.integers(300, 900, bad.sum())
+    rules = Q.learn(counts, bad)
+    assert rules and all(r.good == 0 for r in rules)
+    assert Q.learn(counts[::-1], bad[::-1]) == rules
+    assert Q.learn(counts, np.zeros(900, bool)) == []
+    assert Q.learn(np.zeros((0, len(Q.COUNTS))), np.zeros(0, bool)) == []
+
+
+def test_rules_keep_columns_and_take_odd_labels(spark):
+    docs = spark.createDataFrame([(1, "good words " * 40 + "end", 1.0), (None, None, 2.0), (3, "", 3.0)], "doc_id long, text string, _stats double")
+    labels = spark.createDataFrame([(1, None), (None, 1), (9, 0)], "doc_id long, quality int")
+    assert Q.fit(docs, labels) == []
+    assert Q.keep_good(docs, labels).columns == docs.columns
+    assert Q.keep_good(docs.limit(0), labels).count() == 0
+
+
+def test_rules_keep_good_documents(spark):
+    got = {r.doc_id: r for r in Q.query(spark, "/root/testdata/sf0.1").select("doc_id", "base_failed", "kept").collect()}
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()
+    good = [r for r in labels if r.quality == 1 and not got[r.doc_id].base_failed]
+    bad = [r for r in labels if r.quality == 0]
+    assert np.mean([got[r.doc_id].kept for r in good]) > 0.99
+    assert np.mean([got[r.doc_id].kept for r in bad]) < 0.05
+
+
+def test_ordinal_model_on_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    graded = labels.select("doc_id", grade.alias("grade"))
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    model = O.fit(docs, graded.where(~held))
+    assert (np.diff(model.cuts) > 0).all()
+    out, name = O.score(docs, model)
+    rows = out.join(graded.where(held), "doc_id").select("grade", F.col(name)["grade"].alias("e"), F.col(name)["tail"].alias("t")).collect()
+    kept = {g: np.mean([r.t >= 0.5 for r in rows if r.grade == g]) for g in (0, 1, 2)}
+    assert kept[2] > 0.98 and kept[0] < 0.05 and kept[1] < 0.65
+    means = [np.mean([r.e for r in rows if r.grade == g]) for g in (0, 1, 2)]
+    assert means[0] < means[1] < means[2]
+
+
+def test_ordinal_cases(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["good fine text", "bad ugly text", None, ""] * 10)], "doc_id long, text string")
+    grades = spark.createDataFrame([(i, [2, 0, None, None][i % 4]) for i in range(40)], "doc_id long, grade int")
+    model = O.fit(docs, grades, min_z=0.5)
+    out, name = O.score(docs.withColumn("_grade", F.lit("mine")), model)
+    rows = out.select("doc_id", F.col(name)["tail"].alias("t")).collect()
+    assert len(rows) == 40 and all(0 <= r.t <= 1 for r in rows)
+    with pytest.raises(ValueError):
+        O.fit(docs, grades.where("grade = 2"))
+
+
+def plain_spans(text):
+    t, out = text or "", []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(d) <= 19 and sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def odd_texts():
+    rnd = random.Random(1)
+    parts = ["a", "b@c.d", "@", ".", "_", "%", "+1", "4", "11", " ", "-", "255", "256.1", "1.1.1.1", "é", "𝒳", "(", ")", "+", "x@y.z",
+             "5500005555555559", "4111 1111 1111 1111", "\n", "DE89370400440532013000", "iban ", "123-45-6789", "ssn "]
+    rows = [(i, "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40)))) for i in range(400)]
+    return rows + [(9001, None), (9002, ""), (9003, "1 " * 30000), (9004, "a" * 100000), (9005, "+1" + " " * 50000), (9006, "a@b.c " * 1000), (None, "x@y.z")]
+
+
+def test_spans_and_mask(spark):
+    rows = odd_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = I.find_spans(docs.withColumn("_email", F.lit(1)))
+    got = {r.doc_id: r for r in found.select("doc_id", "spans", I.span_text(F.filter("spans", lambda s: s["base"])).alias("b")).collect()}
+    masked = {r.doc_id: r.text for r in I.mask(docs).collect()}
+    for i, text in rows:
+        assert got[i].b == ",".join(f"{k}:{a}:{b}" for k, a, b in plain_spans(text))
+        merged = []
+        for a, b, k in sorted((s.start, s.end, s.kind) for s in got[i].spans):
+            if merged and a < merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b, k])
+        want, at = "", 0
+        for a, b, k in merged:
+            want, at = want + text[at:a] + f"<{k.upper()}>", b
+        assert masked[i] == (None if text is None else want + text[at:])
+
+
+def test_checksums_and_context(spark):
+    docs = spark.createDataFrame([(1, "account DE89 3704 0044 0532 0130 00 ok"), (2, "DE88370400440532013000"), (3, "ssn 123-45-6789"),
+                                  (4, "part 123-45-6789"), (5, "GB82WEST12345698765432")], "doc_id long, text string")
+    got = {r.doc_id: [s.kind for s in r.spans] for r in I.find_spans(docs).collect()}
+    assert got == {1: ["iban"], 2: [], 3: ["ssn"], 4: [], 5: ["iban"]}
+
+
+def test_pii_query_digest(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in I.query(spark, SF).collect():
+        want = ",".join(f"{k}:{a}:{b}" for k, a, b in plain_spans(texts[r.doc_id]))
+        assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_no_python_on_the_native_paths(spark):
+    for query in (I.query, L.query):
+        plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_licenses(spark):
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy"
+    near = notice.replace("charge", "cost")
+    filler = " ".join(f"w{i}" for i in range(200))
+    rows = [(1, f"{filler} {notice} {filler}"), (2, notice.upper()), (3, filler), (4, None), (5, ""), (6, "MIT License"),
+            (7, f"{filler}\nReleased under the MIT License.\n{notice}"), (7, "Released under the MIT License"), (8, f"{filler} {near}"),
+            (None, "Licensed under CC BY-NC 4.0.")]
+    got = {(r._id, r.license): r.containment for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, "MIT"): 1.0, (2, "MIT"): 1.0, (7, "MIT"): 1.0, (None, "CC-BY-NC-4.0"): 1.0}
+    assert L.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    with pytest.raises(ValueError):
+        L.scan(spark.createDataFrame(rows, "doc_id long, text string"), L.template_table(spark, {"x": ["too short"]}))
+
+
+def test_licenses_against_all_windows(spark):
+    import regex
+    sh = lambda w: [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    words = lambda t: regex.split(r"[^\p{L}\p{N}]+", (t or "").lower())
+    templates = [(k, set(sh(words(x)))) for k, v in L.TEMPLATES.items() for x in v]
+    want = {}
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect():
+        s = sh(words(r.text))
+        for k, t in templates:
+            for j in range(0, len(s), len(t)):
+                c = len(t & set(s[j:j + 2 * len(t)])) / len(t)
+                if c >= 0.8:
+                    want[(r.doc_id, k)] = max(c, want.get((r.doc_id, k), 0))
+    got = {(r.doc_id, r.license): r.containment for r in L.query(spark, "/root/testdata/sf0.01").collect()}
+    assert got == want
