@@ -112,3 +112,10 @@ def numbered(vals, start) -> Column:
     """``array<double>`` -> pairs numbered from ``start``."""
     return F.transform(_c(vals), lambda v, i: F.struct(
         (i + F.lit(start)).cast("int").alias("idx"), v.cast("double").alias("val")))
+
+
+def line_head(col: str) -> Column:
+    """The label at the head of a text line. A null one raises: the line's
+    first feature would be read in its place."""
+    x = F.col(col).cast("double")
+    return F.when(x.isNull(), F.raise_error(F.lit(f"null {col} at the head of a line"))).otherwise(fmt_num(x))

@@ -71,7 +71,10 @@ def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str
         base = base.repartition(key)
     cols = [c for c in base.columns if c not in (key, "_act")]
     ex = base.select(key, *cols, F.posexplode_outer("_act").alias("_pos", "_ap"))
-    ex = ex.withColumn("_aidx", F.col("_ap.idx"))
+    # wide carried columns ride on a row's first exploded position only: they are
+    # neither copied per active feature nor grouped on
+    head = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+    ex = ex.select(key, *[F.when(head, F.col(c)).alias(c) for c in cols], "_pos", F.col("_ap.idx").alias("_aidx"))
     if salt_col is None:
         j = ex.join(lat, ex["_aidx"] == lat["_lidx"], "left")
     else:
@@ -83,13 +86,8 @@ def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str
                    F.raise_error(F.concat(F.lit("no latent vector for feature index "),
                                           F.col("_aidx").cast("string")))).otherwise(F.col("_v"))
     item = F.when(F.col("_pos").isNotNull() & v.isNotNull(), F.struct(F.col("_pos").alias("p"), v.alias("v")))
-    # the carried columns depend on the (unique) key, so they are grouping
-    # keys rather than first() aggregates; maps cannot be grouping keys
-    types = dict((f.name, f.dataType) for f in j.schema.fields)
-    gkeys = [c for c in cols if not isinstance(types[c], T.MapType)]
-    firsts = [c for c in cols if isinstance(types[c], T.MapType)]
-    agg = j.groupBy(key, *gkeys).agg(*[F.first(c).alias(c) for c in firsts],
-                                     F.collect_list(item).alias("_items"))
+    agg = j.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols],
+                             F.collect_list(item).alias("_items"))
     emb = F.flatten(F.transform(F.array_sort("_items"), lambda x: x["v"]))
     return agg.select(key, *cols, emb.alias("emb")).drop("_items")
 

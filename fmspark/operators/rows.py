@@ -20,14 +20,16 @@ def is_numeric(dt) -> bool:
     return isinstance(dt, NUMERIC)
 
 
+def _head_only(df: DataFrame, key: str, cols: list[str], pos: str, item: str) -> DataFrame:
+    """Carried columns on a row's first exploded position only, so that wide
+    ones are neither copied per feature nor grouped on."""
+    head = F.coalesce(F.col(pos), F.lit(0)) == 0
+    return df.select(key, *[F.when(head, F.col(c)).alias(c) for c in cols], pos, item)
+
+
 def _regroup(df: DataFrame, key: str, cols: list[str], agg) -> DataFrame:
-    """Per-row regroup after an explode: the carried columns depend on the
-    (unique) key, so they are grouping keys (maps, which cannot be, are
-    carried with first())."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    gkeys = [c for c in cols if not isinstance(types[c], T.MapType)]
-    firsts = [F.first(c).alias(c) for c in cols if isinstance(types[c], T.MapType)]
-    return df.groupBy(key, *gkeys).agg(*firsts, agg)
+    """Per-row regroup after an explode of rows with a unique key."""
+    return df.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols], agg)
 
 
 def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", features: str = "features",
@@ -50,7 +52,7 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
     # partition once only when the join is a broadcast (keeps the key partitioning)
     base = rows if clustered or not is_b else rows.repartition(key)
     cols = [c for c in base.columns if c not in (key, features)]
-    ex = base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f"))
+    ex = _head_only(base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f")), key, cols, "_p", "_f")
     j = ex.join(fm, F.col("_f.idx") == F.col("_midx"), "left")
     newidx = F.col("_mpos")
     if on_unknown == "error":
@@ -104,7 +106,7 @@ def to_libsvm_line(df: DataFrame, label: str, cols: list[str], *, keep: tuple[st
         else:
             parts.append(F.array(F.col(c).cast("double")))
     vals = F.concat(*parts) if len(parts) > 1 else parts[0]
-    line = F.concat_ws(" ", S.fmt_num(F.col(label).cast("double")), S.format_pairs(S.numbered(vals, 1)))
+    line = F.concat_ws(" ", S.line_head(label), S.format_pairs(S.numbered(vals, 1)))
     return df.select(*keep, line.alias("line"))
 
 
@@ -125,13 +127,13 @@ def to_ffm(rows: DataFrame, field_map: DataFrame, *, key: str = "row_id", label:
     if not clustered and is_b:
         base = base.repartition(key)
     cols = [c for c in dict.fromkeys([label, *keep]) if c != key]
-    ex = base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f"))
+    ex = _head_only(base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f")), key, cols, "_p", "_f")
     j = ex.join(fm, F.col("_f.idx") == F.col("_fidx"), "left")
     tok = F.when(F.col("_f").isNotNull(), F.struct(F.col("_p").alias("p"), F.concat(
         F.coalesce(F.col("_fld"), F.lit(0)).cast("string"), F.lit(":"), F.col("_f.idx").cast("string"),
         F.lit(":"), S.fmt_num(F.col("_f.val"))).alias("t")))
     g = _regroup(j, key, cols, F.collect_list(tok).alias("_t"))
-    line = F.concat_ws(" ", S.fmt_num(F.col(label).cast("double")),
+    line = F.concat_ws(" ", S.line_head(label),
                        F.array_join(F.transform(F.array_sort("_t"), lambda x: x["t"]), " "))
     return g.select(*(keep or (key,)), line.alias("line"))
 
@@ -155,14 +157,14 @@ def cast_fill(df: DataFrame, cols: list[str], *, keep: tuple[str, ...] = ()) ->
 
 
 def numeric_frame(df: DataFrame) -> DataFrame:
-    """A7 (the intention of it): keep the numeric columns, nulls -> 0.
-
-    One aggregate counts nulls per column so that only columns with nulls are
-    filled; string columns are dropped."""
-    num = [f.name for f in df.schema.fields if is_numeric(f.dataType)]
-    if not num:
-        return df.select()
-    nulls = df.select(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in num]).first().asDict()
-    fill = [c for c in num if nulls[c]]
-    out = df.select(*num)
-    return out.fillna(0, subset=fill) if fill else out
+    """A7 (the intention of it): keep the numeric columns, null and NaN -> 0,
+    whatever the other rows hold; string columns are dropped."""
+    num = [f for f in df.schema.fields if is_numeric(f.dataType)]
+
+    def filled(f):
+        c = F.col(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = F.nanvl(c, F.lit(0).cast(f.dataType))
+        return F.coalesce(c, F.lit(0).cast(f.dataType)).alias(f.name)
+
+    return df.select(*[filled(f) for f in num])

@@ -10,13 +10,21 @@ from pyspark.sql import functions as F
 from fmspark.functions import sparse as S
 
 
+def _exactly(arr, n: int, what: str):
+    """``arr``, raising where it does not have ``n`` values: columns made by
+    position would lose the rest without a word."""
+    return F.when(F.size(arr) != n, F.raise_error(F.concat(
+        F.lit(f"{what}: {n} values expected, found "), F.size(arr).cast("string")))).otherwise(arr)
+
+
 def latent_columns(latent: DataFrame, k: int | None = None) -> DataFrame:
     """G1 layout: ``idx, dim1..dimk`` as doubles, keyed by the feature index
     (the reference's table had no key)."""
     if k is None:
         k = latent.select(F.max(F.size("v"))).first()[0] or 0
-    return latent.select(F.col("idx").cast("int").alias("idx"),
-                         *[F.element_at("v", i + 1).alias(f"dim{i + 1}") for i in range(k)])
+    rows = latent.select("idx", _exactly(F.col("v"), k, "latent vector").alias("_v"))
+    return rows.select(F.col("idx").cast("int").alias("idx"),
+                         *[F.get("_v", F.lit(i)).alias(f"dim{i + 1}") for i in range(k)])
 
 
 def latent_to_table(latent: DataFrame, table: str, k: int | None = None, mode: str = "overwrite") -> None:
@@ -28,7 +36,8 @@ def flatten_embedded(df: DataFrame, width: int, *, col: str = "out", keep: tuple
                      dense: bool = True) -> DataFrame:
     """Embedded rows -> ``keep..., f0..f{width-1}`` doubles (only at the sink)."""
     vals = F.col(col) if dense else S.values(col)
-    return df.select(*keep, *[F.element_at(vals, i + 1).alias(f"f{i}") for i in range(width)])
+    rows = df.select(*keep, _exactly(vals, width, "embedded row").alias("_values"))
+    return rows.select(*keep, *[F.get("_values", F.lit(i)).alias(f"f{i}") for i in range(width)])
 
 
 def embedded_to_table(df: DataFrame, table: str, width: int, *, col: str = "out",
@@ -44,8 +53,8 @@ def embedded_lines(df: DataFrame, *, key: str = "order_id", col: str = "out", de
     the head is the order id of a prd row or the label of a train row."""
     body = S.format_values(col) if dense else S.format_pairs(col)
     t = df.schema[key].dataType.typeName()
-    head = S.fmt_num(F.col(key).cast("double")) if t in ("double", "float", "integer", "long", "short") \
-        else F.col(key).cast("string")
+    head = S.line_head(key) if t in ("double", "float", "integer", "long", "short") else F.when(
+        F.col(key).isNull(), F.raise_error(F.lit(f"null {key} at the head of a line"))).otherwise(F.col(key).cast("string"))
     return df.select(F.concat_ws(" ", head, body).alias("value"))
 
 

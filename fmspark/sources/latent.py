@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 def load_latent(spark: SparkSession, path: str,
                 fit: Callable[[], DataFrame] | None = None) -> tuple[DataFrame, int]:
-    """``(latent(idx, v), k)``. When ``path`` cannot be read and ``fit`` is
+    """``(latent(idx, v), k)``. When ``path`` does not exist and ``fit`` is
     given, ``fit()`` produces the table, which is written to ``path`` first."""
     try:
         lat = spark.read.parquet(path)
-    except AnalysisException:
-        if fit is None:
+    except AnalysisException as e:
+        # any other error is a table that is there: it must not be overwritten
+        if fit is None or e.getCondition() != "PATH_NOT_FOUND":
             raise
         fit().write.mode("overwrite").parquet(path)
         lat = spark.read.parquet(path)
