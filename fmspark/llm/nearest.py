@@ -76,9 +76,6 @@ class Heap:
 
     def offer(self, score: np.ndarray, ids: np.ndarray) -> None:
         score, ids = np.concatenate([self.score, score]), np.concatenate([self.id, ids])
-        if len(score) > 4 * self.k:  # all ties of the k-th stay
-            cut = -np.partition(-score, self.k - 1)[self.k - 1]
-            score, ids = score[score >= cut], ids[score >= cut]
         order = np.lexsort([ids, -score])
         ids, score = ids[order], score[order]
         first = np.sort(np.unique(ids, return_index=True)[1])[:self.k]
@@ -99,8 +96,10 @@ def search_block(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
         slack = (qe[:, None] * cn[None, :] + qn[:, None] * ce[None, :]) * (1 + 1e-9) + 1e-12 * qn[:, None] * (cn + ce)[None, :]
         guess[qid[:, None] == ids[None, :]] = -np.inf
         low = guess - slack
+        # the k-th bound counts candidates, so it needs each id once
+        distinct = len(np.unique(ids)) == len(ids)
         for i, heap in enumerate(heaps):
-            floor = np.partition(low[i], -k - 1)[-k - 1] if len(ids) > k else -np.inf
+            floor = np.partition(low[i], -k - 1)[-k - 1] if distinct and len(ids) > k else -np.inf
             if len(heap.score) == k:
                 floor = max(floor, heap.score[-1])
             live = np.flatnonzero((guess[i] + slack[i] >= floor) & (guess[i] > -np.inf))
