@@ -28,12 +28,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, saved, ship, small, text_key
-from .similar import bands_for, similar_classes
-from .textvec import GOLDEN, U64, bag_of, each_slice, in_text, mix, occurrence, stream, weighted_jaccard
+from .similar import bands_for, least_matches, similar_classes, sketches, unit_lists
+from .textvec import GOLDEN, U64, Words, each_slice, in_text, mix, occurrence, stream
 
 THRESHOLD = 0.8
 RECALL = 0.9999
@@ -91,31 +91,26 @@ def band_hashes(sig: np.ndarray, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def unit_elements(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the (shingle, occurrence) pairs of each text, and the text of each."""
+    shingle, text = w.shingles()
+    nth = occurrence(in_text(shingle, text))
+    with np.errstate(over="ignore"):
+        return mix(shingle + nth.astype(U64) * U64(0xA24BAED4963EE407)), text
+
+
 def text_bands(texts: pa.Array, bands: int, rows: int) -> pa.Array:
-    """``weight`` (shingles, repeats counted) and ``bands`` of each text."""
-    weights, hashes = [], []
+    """``weight`` (shingles, repeats counted), ``bands`` and ``sketch`` of each text."""
+    weights, hashes, sigs = [np.zeros(0, np.int64)], [np.zeros((0, bands), np.int64)], [np.zeros((0, bands * rows), U64)]
     for _, _, w in each_slice(texts):
-        shingle, text = w.shingles()
-        weight = np.bincount(text, minlength=w.docs).astype(np.int64)
-        nth = occurrence(in_text(shingle, text))
-        with np.errstate(over="ignore"):
-            element = mix(shingle + nth.astype(U64) * U64(0xA24BAED4963EE407))
-        hashes.append(band_hashes(dart_signatures(element, text, weight, bands * rows), rows))
-        weights.append(weight)
-    flat = np.concatenate(hashes) if hashes else np.zeros((0, bands), np.int64)
+        element, text = unit_elements(w)
+        weights.append(np.bincount(text, minlength=w.docs).astype(np.int64))
+        sigs.append(dart_signatures(element, text, weights[-1], bands * rows))
+        hashes.append(band_hashes(sigs[-1], rows))
+    flat = np.concatenate(hashes)
     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands), pa.array(flat.ravel()))
-    return pa.StructArray.from_arrays([pa.array(np.concatenate(weights) if weights else np.zeros(0, np.int64)), lists],
-                                      names=["weight", "bands"])
-
-
-def weighted_similarity(a: Column, b: Column) -> Column:
-    """Weighted Jaccard of two text columns."""
-
-    @F.arrow_udf("double")
-    def similarity(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([weighted_jaccard(bag_of(s), bag_of(t)) for s, t in zip(x.to_pylist(), y.to_pylist())], pa.float64())
-
-    return similarity(a, b)
+    return pa.StructArray.from_arrays([pa.array(np.concatenate(weights)), lists, sketches(np.concatenate(sigs))],
+                                      names=["weight", "bands", "sketch"])
 
 
 def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
@@ -125,20 +120,21 @@ def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     ship(docs.sparkSession)
     bands = bands_for(threshold, recall, rows)
 
-    @F.arrow_udf("struct<weight:bigint,bands:array<bigint>>")
+    @F.arrow_udf("struct<weight:bigint,bands:array<bigint>,sketch:binary>")
     def signature(texts: pa.Array) -> pa.Array:
         return text_bands(texts, bands, rows)
 
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows_ = saved(source.select("_id", text_key(F.col("text")).alias("key"), signature("text").alias("s"))
-                  .select("_id", "key", "s.weight", "s.bands"), "signatures")
-    items = saved(rows_.where("weight > 0").dropDuplicates(["key"]).select("key", "weight", "bands"), "items")
+                  .select("_id", "key", "s.weight", "s.bands", "s.sketch"), "signatures")
+    items = saved(rows_.where("weight > 0").dropDuplicates(["key"]).select("key", "weight", "bands", "sketch"), "items")
 
-    def texts(keys: DataFrame) -> DataFrame:
+    def units_of(keys: DataFrame) -> DataFrame:
         return (source.select(text_key(F.col("text")).alias("key"), "text").join(small(keys, 64), "key")
-                .dropDuplicates(["key"]))
+                .dropDuplicates(["key"]).select("key", unit_lists("text", unit_elements).alias("units")))
 
-    return rows_.select("_id", "key", "weight"), similar_classes(items, texts, weighted_similarity, threshold)
+    classes = similar_classes(items, units_of, threshold, least_matches(threshold, bands * rows))
+    return rows_.select("_id", "key", "weight"), classes
 
 
 def labelled(rows: DataFrame, classes: DataFrame) -> DataFrame:

@@ -17,13 +17,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, free_name, n_words, saved, ship, small, text_key
 from .near_dedup import band_hashes
-from .similar import bands_for, similar_classes
-from .textvec import U64, bag_of, each_slice, jaccard, stream
+from .similar import bands_for, least_matches, similar_classes, sketches, unit_lists
+from .textvec import U64, Words, each_slice, stream
 
 MIN_WORDS = 15
 THRESHOLD = 0.8
@@ -45,22 +45,15 @@ def minhash(shingle: np.ndarray, text: np.ndarray, n: int, k: int) -> np.ndarray
 
 
 def line_bands(lines: pa.Array, bands: int, rows: int) -> pa.Array:
-    found = []
+    """``bands`` and ``sketch`` of each line."""
+    found, sigs = [np.zeros((0, bands), np.int64)], [np.zeros((0, bands * rows), U64)]
     for _, _, w in each_slice(lines):
         shingle, text = w.shingles()
-        found.append(band_hashes(minhash(shingle, text, w.docs, bands * rows), rows))
-    flat = np.concatenate(found) if found else np.zeros((0, bands), np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands), pa.array(flat.ravel()))
-
-
-def set_similarity(a: Column, b: Column) -> Column:
-    """Jaccard of the shingle sets of two text columns."""
-
-    @F.arrow_udf("double")
-    def similarity(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([jaccard(bag_of(s), bag_of(t)) for s, t in zip(x.to_pylist(), y.to_pylist())], pa.float64())
-
-    return similarity(a, b)
+        sigs.append(minhash(shingle, text, w.docs, bands * rows))
+        found.append(band_hashes(sigs[-1], rows))
+    flat = np.concatenate(found)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands), pa.array(flat.ravel()))
+    return pa.StructArray.from_arrays([lists, sketches(np.concatenate(sigs))], names=["bands", "sketch"])
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -78,20 +71,21 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     ship(docs.sparkSession)
     bands = bands_for(threshold, recall, rows)
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("struct<bands:array<bigint>,sketch:binary>")
     def signature(lines: pa.Array) -> pa.Array:
         return line_bands(lines, bands, rows)
 
     source = paragraphs(docs, id_col, text_col, min_words)
-    placed = saved(source.select("_id", "para", "words", text_key(F.col("line")).alias("key"), signature("line").alias("bands")), "paragraphs")
+    placed = saved(source.select("_id", "para", "words", text_key(F.col("line")).alias("key"), signature("line").alias("s"))
+                   .select("_id", "para", "words", "key", "s.bands", "s.sketch"), "paragraphs")
     # every different paragraph once; sizes are left to the exact check
-    items = saved(placed.dropDuplicates(["key"]).select("key", F.lit(1).cast("long").alias("weight"), "bands"), "items")
+    items = saved(placed.dropDuplicates(["key"]).select("key", F.lit(1).cast("long").alias("weight"), "bands", "sketch"), "items")
 
-    def texts(keys: DataFrame) -> DataFrame:
-        return (source.select(text_key(F.col("line")).alias("key"), F.col("line").alias("text")).join(small(keys, 64), "key")
-                .dropDuplicates(["key"]))
+    def units_of(keys: DataFrame) -> DataFrame:
+        return (source.select(text_key(F.col("line")).alias("key"), "line").join(small(keys, 64), "key")
+                .dropDuplicates(["key"]).select("key", F.array_distinct(unit_lists("line", Words.shingles)).alias("units")))
 
-    classes = similar_classes(items, texts, set_similarity, threshold)
+    classes = similar_classes(items, units_of, threshold, least_matches(threshold, bands * rows))
     at = placed.select("_id", "para", "words", "key").distinct()
     at = saved(at.join(small(classes, 96), "key", "left").withColumn("root", F.coalesce("root", "key")).drop("key"), "placed")
     order = F.struct(F.col("_id").isNull().alias("x"), F.col("_id").alias("i"), F.col("para").alias("p"))

@@ -1,8 +1,11 @@
 """Classes of similar texts from banded signatures.
 
-Input is one row per *different* text: a 16-byte content key, its band hashes
-and its weight (size). Two texts that share a band are candidates; candidates
-are verified on the texts themselves; classes are the connected components of
+Input is one row per *different* text: a 16-byte content key, its band hashes,
+its weight (size) and a sketch, one byte of each signature value. Two texts that
+share a band are candidates. Candidates whose sketches agree in fewer places
+than a pair at the threshold does but once in ``1 / MISS`` times are not looked
+at further; the others are verified on the units (hashed shingles) of their
+whole texts, by ``array_intersect``; classes are the connected components of
 verified links.
 
 A bucket may hold a third of all texts, so its pairs are never listed. First
@@ -20,15 +23,21 @@ link a text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved, small
 from .components import components, renamed
+from .textvec import Words, each_slice
 
 GROWTH = 16
+# Probability that the sketches rule out a pair at the threshold.
+MISS = 1e-5
 
 
 def bands_for(threshold: float, recall: float, rows: int) -> int:
@@ -40,6 +49,55 @@ def bands_for(threshold: float, recall: float, rows: int) -> int:
     return n
 
 
+def least_matches(threshold: float, k: int, miss: float = MISS) -> int:
+    """Places of ``k`` in which a pair at ``threshold`` agrees at least, but
+    for a probability of ``miss``."""
+    below, m = 0.0, 0
+    while m < k:
+        below += math.comb(k, m) * threshold ** m * (1 - threshold) ** (k - m)
+        if below > miss:
+            break
+        m += 1
+    return m
+
+
+def sketches(sig: np.ndarray) -> pa.Array:
+    """The low byte of every signature value, one binary a row."""
+    n, k = sig.shape
+    flat = (sig & np.uint64(255)).astype(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1, dtype=np.int32) * k).tobytes()), pa.py_buffer(flat.tobytes())])
+
+
+def agreeing(a: Column, b: Column) -> Column:
+    """Places in which two sketches of one length agree."""
+
+    @F.arrow_udf("int")
+    def agree(x: pa.Array, y: pa.Array) -> pa.Array:
+        def grid(v: pa.Array) -> np.ndarray:
+            offs = np.frombuffer(v.buffers()[1], np.int32)[v.offset:v.offset + len(v) + 1]
+            return np.frombuffer(v.buffers()[2], np.uint8)[offs[0]:offs[-1]].reshape(len(v), -1)
+        if not len(x):
+            return pa.array([], pa.int32())
+        return pa.array((grid(x) == grid(y)).sum(axis=1, dtype=np.int32))
+
+    return agree(a, b)
+
+
+def unit_lists(text: str, elements: Callable[[Words], tuple[np.ndarray, np.ndarray]]) -> Column:
+    """The hashes that ``elements`` finds in each text of a column, as a list."""
+
+    @F.arrow_udf("array<bigint>")
+    def lists(texts: pa.Array) -> pa.Array:
+        found, ends = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+        for _, _, w in each_slice(texts):
+            element, of = elements(w)
+            found.append(element)
+            ends.append(ends[-1][-1] + np.cumsum(np.bincount(of, minlength=w.docs)))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(found).view(np.int64)))
+
+    return lists(text)
+
+
 def buckets_of(items: DataFrame) -> DataFrame:
     """(hash, key, weight, lead) of the buckets that hold two texts or more.
     ``items`` has each key once, so a count finds them; it is taken over the
@@ -51,21 +109,23 @@ def buckets_of(items: DataFrame) -> DataFrame:
     return saved(rows.join(leads, "hash"), "buckets")
 
 
-def similar_classes(items: DataFrame, texts: Callable[[DataFrame], DataFrame], verify: Callable[[Column, Column], Column],
-                    threshold: float) -> DataFrame:
-    """``items``: a written table (key, weight, bands), each key once, with
-    band hashes that differ between bands. ``texts(keys)`` gives (key, text) of
-    a key table, once each; ``verify`` the similarity of two text columns.
-    Returns (key, root) of the texts that are not the smallest key of their
-    class; ``root`` is that key."""
+def similar_classes(items: DataFrame, units: Callable[[DataFrame], DataFrame], threshold: float, matches: int) -> DataFrame:
+    """``items``: a written table (key, weight, bands, sketch), each key once,
+    with band hashes that differ between bands. ``units(keys)`` gives (key,
+    units) of a key table, once each: the different units of a text, whose
+    Jaccard is the similarity. ``matches``: places in which the sketches of a
+    pair agree at least. Returns (key, root) of the texts that are not the
+    smallest key of their class; ``root`` is that key."""
     buckets = buckets_of(items)
-    library = saved(texts(buckets.select("key").distinct()), "texts")
+    keys = buckets.select("key").distinct()
+    library = saved(units(keys), "units")
+    marks = items.select("key", "sketch")
     # round 0: each text against the smallest leader of all its buckets
     first = buckets.where("key <> lead").groupBy("key").agg(F.min("lead").alias("lead"), F.first("weight").alias("wb"))
     sizes = items.select(F.col("key").alias("lead"), F.col("weight").alias("wa"))
     tested = saved(first.join(sizes, "lead").where(_near_size(F.col("wa"), F.col("wb"), threshold))
                    .select(F.col("lead").alias("a"), F.col("key").alias("b")), "pairs")
-    classes = components(_verified(tested, library, verify, threshold))
+    classes = components(_verified(tested, library, threshold))
     leaders = GROWTH
     while True:
         rows = saved(renamed(buckets.select("hash", "key", "weight", F.col("key").alias("root")), classes, "root"), "classed")
@@ -73,8 +133,8 @@ def similar_classes(items: DataFrame, texts: Callable[[DataFrame], DataFrame], v
         largest = open_.agg(F.max("n")).first()[0]
         if largest is None:
             break
-        cross = saved(_cross_pairs(rows, open_, leaders, threshold).join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = components(renamed(_verified(cross, library, verify, threshold), classes, "u", "v"))
+        cross = saved(_cross_pairs(rows, open_, marks, leaders, threshold, matches).join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = components(renamed(_verified(cross, library, threshold), classes, "u", "v"))
         classes = saved(renamed(classes, found, "root").unionByName(found), "classes")
         if largest <= 2 * leaders:
             break
@@ -94,19 +154,21 @@ def _open(rows: DataFrame) -> DataFrame:
             .where("r0 <> r1").select("hash", "n"))
 
 
-def _cross_pairs(rows: DataFrame, open_: DataFrame, leaders: int, threshold: float) -> DataFrame:
+def _cross_pairs(rows: DataFrame, open_: DataFrame, marks: DataFrame, leaders: int, threshold: float, matches: int) -> DataFrame:
     """(a, b): a leader and a text of another class in the same open bucket."""
-    rows = saved(rows.join(open_, "hash"), "mixed")
+    rows = saved(rows.join(open_, "hash").join(marks, "key"), "mixed")
     # in a bucket that is small enough, every text leads
     sub = F.when(F.col("n") <= 2 * leaders, F.xxhash64("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(leaders)))
-    lead = (rows.groupBy("hash", sub.alias("sub")).agg(F.min(F.struct("key", "root", "weight")).alias("l"))
-            .select("hash", F.col("l.key").alias("a"), F.col("l.root").alias("ra"), F.col("l.weight").alias("wa")))
-    pairs = rows.join(lead, "hash").where((F.col("ra") != F.col("root")) & _near_size(F.col("wa"), F.col("weight"), threshold))
+    lead = (rows.groupBy("hash", sub.alias("sub")).agg(F.min(F.struct("key", "root", "weight", "sketch")).alias("l"))
+            .select("hash", F.col("l.key").alias("a"), F.col("l.root").alias("ra"), F.col("l.weight").alias("wa"), F.col("l.sketch").alias("sa")))
+    pairs = (rows.join(lead, "hash").where((F.col("ra") != F.col("root")) & _near_size(F.col("wa"), F.col("weight"), threshold))
+             .where(agreeing(F.col("sa"), F.col("sketch")) >= matches))
     return pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, library: DataFrame, verify: Callable[[Column, Column], Column], threshold: float) -> DataFrame:
-    a = library.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-    b = library.select(F.col("key").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(b, "b").join(a, "a")
-    return both.select("a", "b", verify(F.col("ta"), F.col("tb")).alias("s")).where(F.col("s") >= threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
+def _verified(pairs: DataFrame, library: DataFrame, threshold: float) -> DataFrame:
+    a = library.select(F.col("key").alias("a"), F.col("units").alias("ta"))
+    b = library.select(F.col("key").alias("b"), F.col("units").alias("tb"))
+    both = pairs.join(b, "b").join(a, "a").withColumn("common", F.size(F.array_intersect("ta", "tb")))
+    near = F.col("common") >= F.lit(threshold) * (F.size("ta") + F.size("tb") - F.col("common"))
+    return both.where(near).select(F.col("a").alias("u"), F.col("b").alias("v"))
