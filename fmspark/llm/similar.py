@@ -10,15 +10,16 @@ verified links.
 
 A bucket may hold a third of all texts, so its pairs are never listed. First
 every text is checked against one leader, the smallest key of all its buckets.
-Then, in buckets that still hold texts of several classes, leaders are checked
-against the texts of other classes than their own. A bucket of up to twice the
-number of leaders has all its texts lead, which settles it; for larger ones the
-leaders are sixteen times as many in the next round, until the largest open
-bucket is settled. Merged classes leave less to check, and no link between
-texts that share a band is lost.
 Keys are hashes, so the smallest key is a random text, and the same one for a
-group of similar texts in most of its buckets: the first round checks about one
-link a text.
+group of similar texts in most of its buckets: this takes about one check a
+text. Buckets that still hold several classes are settled next. In those of up
+to ``SMALL`` texts, texts of different classes pair up. In larger ones the
+texts outside the bucket's largest class are dealt into blocks, and each block
+meets the bucket's texts block by block: all overlaps of two blocks are products
+of 0/1 matrices over the units both have. Of the links found there, a task gives
+out one for each text, to the first text that its links lead to in the block.
+A block is bounded in texts and in units, so a task's memory is too, and no
+link between texts that share a band is lost.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,12 @@ from .common import saved, small
 from .components import components, renamed
 from .textvec import Words, each_slice
 
-GROWTH = 16
+SMALL = 32
+# Texts and units that a block of a larger bucket holds on average.
+BLOCK_TEXTS = 256
+BLOCK_UNITS = 150_000
+# Columns of a 0/1 matrix.
+COLUMNS = 1024
 # Probability that the sketches rule out a pair at the threshold.
 MISS = 1e-5
 
@@ -126,21 +133,14 @@ def similar_classes(items: DataFrame, units: Callable[[DataFrame], DataFrame], t
     tested = saved(first.join(sizes, "lead").where(_near_size(F.col("wa"), F.col("wb"), threshold))
                    .select(F.col("lead").alias("a"), F.col("key").alias("b")), "pairs")
     classes = components(_verified(tested, library, threshold))
-    leaders = GROWTH
-    while True:
-        rows = saved(renamed(buckets.select("hash", "key", "weight", F.col("key").alias("root")), classes, "root"), "classed")
-        open_ = saved(_open(rows), "open")
-        largest = open_.agg(F.max("n")).first()[0]
-        if largest is None:
-            break
-        cross = saved(_cross_pairs(rows, open_, marks, leaders, threshold, matches).join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = components(renamed(_verified(cross, library, threshold), classes, "u", "v"))
-        classes = saved(renamed(classes, found, "root").unionByName(found), "classes")
-        if largest <= 2 * leaders:
-            break
-        tested = tested.unionByName(cross)
-        leaders *= GROWTH
-    return classes.select(F.col("node").alias("key"), "root")
+    rows = saved(renamed(buckets.select("hash", "key", "weight", F.col("key").alias("root")), classes, "root"), "classed")
+    open_ = saved(_open(rows), "open")
+    mixed = saved(rows.join(open_, "hash"), "mixed")
+    pairs = saved(_small_pairs(mixed, marks, threshold, matches).join(tested, ["a", "b"], "left_anti"), "pairs")
+    links = _verified(pairs, library, threshold).unionByName(_block_links(mixed, library, threshold))
+    found = components(renamed(links, classes, "u", "v"))
+    classes = renamed(classes, found, "root").unionByName(found)
+    return saved(classes.select(F.col("node").alias("key"), "root"), "classes")
 
 
 def _near_size(a: Column, b: Column, threshold: float) -> Column:
@@ -149,21 +149,99 @@ def _near_size(a: Column, b: Column, threshold: float) -> Column:
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """Buckets whose texts are in more than one class, with their sizes."""
-    return (rows.groupBy("hash").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n"))
-            .where("r0 <> r1").select("hash", "n"))
-
-
-def _cross_pairs(rows: DataFrame, open_: DataFrame, marks: DataFrame, leaders: int, threshold: float, matches: int) -> DataFrame:
-    """(a, b): a leader and a text of another class in the same open bucket."""
-    rows = saved(rows.join(open_, "hash").join(marks, "key"), "mixed")
-    # in a bucket that is small enough, every text leads
-    sub = F.when(F.col("n") <= 2 * leaders, F.xxhash64("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(leaders)))
-    lead = (rows.groupBy("hash", sub.alias("sub")).agg(F.min(F.struct("key", "root", "weight", "sketch")).alias("l"))
-            .select("hash", F.col("l.key").alias("a"), F.col("l.root").alias("ra"), F.col("l.weight").alias("wa"), F.col("l.sketch").alias("sa")))
-    pairs = (rows.join(lead, "hash").where((F.col("ra") != F.col("root")) & _near_size(F.col("wa"), F.col("weight"), threshold))
-             .where(agreeing(F.col("sa"), F.col("sketch")) >= matches))
-    return pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
+    """Buckets whose texts are in more than one class: their texts, those
+    outside the largest class (``top``), and the blocks for both."""
+    per = rows.groupBy("hash", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
+    all_ = per.groupBy("hash").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.count(F.lit(1)).alias("roots"),
+                                   F.max(F.struct("n", "root", "w")).alias("top")).where("roots > 1")
+
+    def blocks(n: Column, w: Column) -> Column:
+        return F.ceil(F.greatest(n / BLOCK_TEXTS, w / BLOCK_UNITS, F.lit(1))).cast("int")
+
+    return all_.select("hash", "n", F.col("top.root").alias("top"), blocks(F.col("n"), F.col("w")).alias("blocks"),
+                       blocks(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w")).alias("odd_blocks"))
+
+
+def _small_pairs(mixed: DataFrame, marks: DataFrame, threshold: float, matches: int) -> DataFrame:
+    """(a, b): texts of different classes in the same small open bucket."""
+    rows = mixed.where(F.col("n") <= SMALL).join(marks, "key").select("hash", "key", "root", "weight", "sketch")
+    b = rows.select("hash", *[F.col(c).alias(f"{c}_b") for c in ("key", "root", "weight", "sketch")])
+    pairs = (rows.join(b, "hash").where((F.col("key") < F.col("key_b")) & (F.col("root") != F.col("root_b")))
+             .where(_near_size(F.col("weight"), F.col("weight_b"), threshold))
+             .where(agreeing(F.col("sketch"), F.col("sketch_b")) >= matches))
+    return pairs.select(F.col("key").alias("a"), F.col("key_b").alias("b")).distinct()
+
+
+def overlaps(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
+    """Common units of every list of ``a`` with every list of ``b``; a list has
+    no unit twice."""
+    va, vb = a.flatten().to_numpy(zero_copy_only=False), b.flatten().to_numpy(zero_copy_only=False)
+    ra, rb = (np.repeat(np.arange(len(x)), pc.list_value_length(x).to_numpy(zero_copy_only=False)) for x in (a, b))
+    both = np.intersect1d(va, vb)
+    out = np.zeros((len(a), len(b)), np.float32)
+    if not len(both):
+        return out
+
+    def columns(v: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(both, v), len(both) - 1)
+        hit = both[at] == v
+        at, r = at[hit], r[hit]
+        order = np.argsort(at, kind="stable")
+        return at[order], r[order]
+
+    (ca, ra), (cb, rb) = columns(va, ra), columns(vb, rb)
+    for lo in range(0, len(both), COLUMNS):
+        m = []
+        for c, r, n in ((ca, ra, len(a)), (cb, rb, len(b))):
+            i, j = np.searchsorted(c, [lo, lo + COLUMNS])
+            x = np.zeros((n, min(COLUMNS, len(both) - lo)), np.float32)
+            x[r[i:j], c[i:j] - lo] = 1
+            m.append(x)
+        out += m[0] @ m[1].T
+    return out
+
+
+def forest(linked: np.ndarray) -> np.ndarray:
+    """The first member of each row's and each column's component in a
+    two-sided graph; columns are numbered after rows."""
+    n, m = linked.shape
+    row, col = np.arange(n), np.arange(n, n + m)
+    while n and m:
+        before = row.sum() + col.sum()
+        col = np.minimum(col, np.where(linked, row[:, None], n + m).min(axis=0))
+        row = np.minimum(row, np.where(linked, col[None, :], n + m).min(axis=1))
+        if row.sum() + col.sum() == before:
+            break
+    return np.concatenate([row, col])
+
+
+def _block_links(mixed: DataFrame, library: DataFrame, threshold: float) -> DataFrame:
+    """(u, v): linked texts of different classes in the same large open bucket."""
+    rows = mixed.where(F.col("n") > SMALL).join(library, "key")
+    spread = F.xxhash64("key")
+    odd = rows.where(F.col("root") != F.col("top")).select(
+        "hash", F.pmod(spread, F.col("odd_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"),
+        F.lit(True).alias("odd"), "key", "root", "units")
+    every = rows.select(
+        "hash", F.explode(F.sequence(F.lit(0), F.col("odd_blocks") - 1)).alias("i"), F.pmod(spread, F.col("blocks")).cast("int").alias("j"),
+        F.lit(False).alias("odd"), "key", "root", "units")
+
+    def links(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        code = pa.chunked_array([block["root"].combine_chunks().dictionary_encode().indices]).to_numpy()
+        is_odd = block["odd"].to_numpy()
+        block = block.take(np.argsort(~is_odd, kind="stable")).combine_chunks()
+        lists, n = block["units"].combine_chunks(), int(is_odd.sum())
+        size = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        common = overlaps(lists[:n], lists[n:])
+        linked = common >= threshold * (size[:n, None] + size[None, n:] - common)
+        linked &= code[is_odd][:, None] != code[~is_odd][None, :]
+        top = forest(linked)
+        u = np.flatnonzero(top != np.arange(len(top)))
+        key = block["key"]
+        return pa.table({"u": key.take(pa.array(u)), "v": key.take(pa.array(top[u]))})
+
+    return odd.unionByName(every).groupBy("hash", "i", "j").applyInArrow(links, "u binary, v binary")
 
 
 def _verified(pairs: DataFrame, library: DataFrame, threshold: float) -> DataFrame:

@@ -4,10 +4,12 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fmspark.llm import near_dedup as N
 from fmspark.llm import paragraphs as P
+from fmspark.llm import similar as S
 from fmspark.llm import textvec as T
 from fmspark.llm.components import components
 from fmspark.llm.similar import bands_for
@@ -107,6 +109,40 @@ def test_near_classes_against_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_large_buckets_against_all_pairs(spark, monkeypatch):
+    """Buckets beyond ``SMALL`` go through blocks, here of a few texts."""
+    monkeypatch.setattr(S, "SMALL", 3)
+    monkeypatch.setattr(S, "BLOCK_TEXTS", 5)
+    rnd = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for _ in range(60):  # most pairs of copies are below the threshold, some are above
+        copy = list(base)
+        for p in rnd.sample(range(120), rnd.randrange(1, 5)):
+            copy[p] = f"x{rnd.randrange(10 ** 9)}"
+        texts.append(" ".join(copy))
+    bags = {i: T.bag_of(t) for i, t in enumerate(texts)}
+    links = links_of(bags, T.weighted_jaccard)
+    want = roots(bags, links)
+    assert 1 < len(set(want.values())) < 60
+    rows, classes = N.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    first = {}
+    named = sorted(N.labelled(rows, classes).collect(), key=lambda r: r._id)
+    for r in named:
+        first.setdefault(bytes(r.root), r._id)
+    assert {r._id: first[bytes(r.root)] for r in named} == want
+
+
+def test_overlaps_and_forest():
+    rnd = np.random.default_rng(3)
+    a, b = ([sorted(rnd.choice(4000, rnd.integers(0, 1800), replace=False).tolist()) for _ in range(n)] for n in (7, 5))
+    got = S.overlaps(pa.array([[], *a], pa.list_(pa.int64()))[1:], pa.array(b, pa.list_(pa.int64())))
+    assert got.tolist() == [[len(set(x) & set(y)) for y in b] for x in a]
+    assert S.forest(np.array([[1, 0, 0], [1, 1, 0], [0, 0, 0]], bool)).tolist() == [0, 0, 2, 0, 0, 5]
+    assert S.forest(np.zeros((0, 2), bool)).tolist() == [0, 1]
+    assert S.least_matches(0.8, 72) < 58
+
+
 def test_keep_one_with_repeated_and_null_ids(spark):
     t = "some words that make up a text of more than five"
     docs = spark.createDataFrame([(1, t), (1, t), (None, t), (None, t + " x y"), (2, "other text altogether, not the same at all"), (None, None)],
