@@ -46,8 +46,8 @@ CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 LONG_WORD = 256
-REMEMBERED = 600_000
-ENCODE_BYTES = 1 << 22
+REMEMBERED = 300_000
+ENCODE_BYTES = 1 << 20
 MARKS = string.punctuation
 
 
