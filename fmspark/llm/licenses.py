@@ -70,7 +70,8 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def _words(text: Column) -> Column:
-    return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    """Words in order; split leaves an empty one where a text starts or ends with a mark."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def _shingles(words: Column) -> Column:

@@ -201,3 +201,29 @@ def test_licenses_against_all_windows(spark):
                     want[(r.doc_id, k)] = max(c, want.get((r.doc_id, k), 0))
     got = {(r.doc_id, r.license): r.containment for r in L.query(spark, "/root/testdata/sf0.01").collect()}
     assert got == want
+
+
+def test_every_notice_at_every_place(spark):
+    import regex
+    words = lambda t: regex.findall(r"[\p{L}\p{N}]+", t.lower())
+    sh = lambda t: [tuple(words(t)[i:i + 5]) for i in range(len(words(t)) - 4)]
+    filler = " ".join(f"w{i}" for i in range(60))
+    templates = [(k, x) for k, v in L.TEMPLATES.items() for x in v]
+    shapes = ("{n} {f}", "# {n} {f}", "{f} {n} {f}", "{f} {n}", "{b} {f}", "{f}\n{b}", "{f} {e} {f}")
+    rows = []
+    for _, x in templates:
+        bare = x.rstrip(".")
+        edited = " ".join(bare.split()[:-1] + ["altered"])
+        rows += [(len(rows) + i, s.format(n=x, b=bare, e=edited, f=filler)) for i, s in enumerate(shapes)]
+    want = {}
+    for i, text in rows:
+        s = sh(text)
+        for k, x in templates:
+            t = set(sh(x))
+            c = max(len(t & set(s[j:j + 2 * len(t)])) / len(t) for j in range(0, len(s), len(t)))
+            if c >= 0.8:
+                want[(i, k)] = max(c, want.get((i, k), 0))
+    got = {(r._id, r.license): r.containment for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+    for n, (k, _) in enumerate(templates):
+        assert all(got[(n * len(shapes) + i, k)] == 1.0 for i in range(6))
