@@ -9,12 +9,13 @@ the tail probability ``P(grade >= G - 1)`` that selects documents.
 
 Grades from ``labels``: 0 low quality, 1 good but toxic, 2 good. The model is
 fitted by gradient steps on at most ``max_labelled`` labelled documents (by smallest hash
-of the id); words in fewer than ``min_docs`` of them, or whose documents' mean grade is within
+of the id), one row an id; words in fewer than ``min_docs`` of them, or whose documents' mean grade is within
 ``min_z`` standard errors of all documents', get no weight. Every
 document is scored on its whole text; the weights broadcast have a fixed size.
 
 Cases: null and empty texts have no features and get the score of the average
-text. Null labels are not used; a document labelled twice gets its lower grade.
+text. Null labels are not used; a document labelled twice gets its lower grade,
+and one whose id stands for several rows is fitted once, on its smallest text.
 Without labels of two grades fitting raises. Repeated rows and null ids are scored row by row.
 """
 
@@ -89,7 +90,7 @@ class Model:
         for _, slot, owner, dense in features(texts):
             weighty = self.words[slot] != 0
             s, o = _different(slot[weighty], owner[weighty])
-            score = np.bincount(o, weights=self.words[s], minlength=len(dense))
+            score = np.bincount(o, weights=self.words[s], minlength=len(dense)).astype(float)  # whole numbers if there is no word
             empty = dense.sum(axis=1) == 0
             score += np.where(empty, 0.0, ((dense - self.mean) / self.scale) @ self.dense)
             out.append(score)
@@ -181,6 +182,7 @@ def fit(docs: DataFrame, grades: DataFrame, *, id_col: str = "doc_id", text_col:
             names=["slots", "dense"])
 
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(picked), "_id")
+            .groupBy("_id").agg(F.min("_grade").alias("_grade"), F.min("_t").alias("_t"))  # max_labelled rows, however often an id stands in docs
             .select("_id", "_grade", extract("_t").alias("f")).select("_id", "_grade", "f.slots", "f.dense")).toArrow()
     rows = rows.sort_by([("_id", "ascending")])
     slots = rows["slots"].combine_chunks()

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,3 +228,13 @@ def test_every_notice_at_every_place(spark):
     assert got == want
     for n, (k, _) in enumerate(templates):
         assert all(got[(n * len(shapes) + i, k)] == 1.0 for i in range(6))
+
+
+def test_repeated_labelled_id_counts_once(spark):
+    rows = [(i, t) for i, t in enumerate(["good fine text", "bad ugly text", "good text", "ugly words"] * 10)]
+    grades = spark.createDataFrame([(i, [2, 0, 2, 0][i % 4]) for i in range(40)], "doc_id long, grade int")
+    more = rows + [(1, "bad ugly text")] * 500 + [(2, "later than the first")] * 300
+    once, often = (O.fit(spark.createDataFrame(r, "doc_id long, text string"), grades, min_z=0.5) for r in (rows, more))
+    for part in ("words", "dense", "mean", "scale", "cuts"):
+        assert (getattr(once, part) == getattr(often, part)).all()
+    assert np.isfinite(once.scores(pa.array(["zzz yyy", "qqq"]))).all()  # no word with a weight
