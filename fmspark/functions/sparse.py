@@ -114,6 +114,15 @@ def numbered(vals, start) -> Column:
         (i + F.lit(start)).cast("int").alias("idx"), v.cast("double").alias("val")))
 
 
+def field_of(field, idx, other: int | None = None) -> Column:
+    """The field looked up for a feature (null ``idx``: no feature). One that
+    the field map does not hold, or holds as null, is in field ``other``;
+    without ``other`` it raises."""
+    none = F.raise_error(F.concat(F.lit("feature without a field in the field map: "), _c(idx).cast("string"))) \
+        if other is None else F.lit(other)
+    return F.when(_c(idx).isNull() | _c(field).isNotNull(), _c(field)).otherwise(none.cast("int"))
+
+
 def line_head(col: str) -> Column:
     """The label at the head of a text line. A null one raises: the line's
     first feature would be read in its place."""

@@ -52,7 +52,8 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps
             log=None):
     """Returns ``(bias, linear(idx, w), latent(idx, v), history)`` where
     history is the training RMSE after each sweep. Labels in {0,1} are mapped
-    to {-1,1}."""
+    to {-1,1}. A feature that the field map lacks raises: put into one field,
+    several of them could stand in one row."""
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -63,7 +64,7 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps
     run = uuid.uuid4().hex
     ex = materialize(rows.select(key, yv.alias("y"), F.explode_outer(S.drop_zero(features)).alias("_p"))
                      .select(key, "y", F.col("_p.idx").alias("idx"), F.col("_p.val").alias("x"))
-                     .join(fmap_b, "idx", "left")
+                     .join(fmap_b, "idx", "left").withColumn("fld", S.field_of("fld", "idx"))
                      .repartition(n_part, key), "pairs", run)
     fields = sorted(r[0] for r in collect_bounded(ex.select("fld").where("fld is not null").distinct(),
                                                   100_000, "fields"))

@@ -31,9 +31,10 @@ def _dot(a, b):
 
 def ffm_score(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *, key: str = "row_id",
               features: str = "features", keep: tuple[str, ...] = (), clustered: bool = False,
-              normalize: bool = False) -> DataFrame:
+              normalize: bool = False, other_field: int | None = None) -> DataFrame:
     """``key, *keep, y, p`` (``p = sigmoid(y)``). Rows without any known
-    feature score 0.
+    feature score 0. A model feature that the field map lacks is in
+    ``other_field``, or raises.
 
     Plan: (hash repartition on the key) -> explode -> broadcast join of the
     model rows ``(idx, own field a, target field b, v)`` -> one hash
@@ -46,7 +47,8 @@ def ffm_score(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *
     fm = field_map.select(F.col("idx").cast("int").alias("_fidx"), F.col("field").cast("int").alias("_a"))
     mm = model.select(F.col("idx").cast("int").alias("_midx"), F.col("field").cast("int").alias("_b"),
                       F.col("v").alias("_v"))
-    m = mm.join(fm, F.col("_midx") == F.col("_fidx")).select("_midx", "_a", "_b", "_v")
+    m = mm.join(fm, F.col("_midx") == F.col("_fidx"), "left") \
+        .select("_midx", S.field_of("_a", "_midx", other_field).alias("_a"), "_b", "_v")
     m, _ = maybe_broadcast(m, row_bytes=24 + 8 * k)
     cols = [c for c in keep if c != key]
     base = rows.select(key, *cols, S.drop_zero(features).alias("_f"))
@@ -81,9 +83,10 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
             eta: float = DF.FFM_ETA, lam: float = DF.FFM_LAMBDA, normalize: bool = DF.FFM_INSTANCE_NORM,
             valid: DataFrame | None = None, n_batches: int = 4,
             seed: int = 0, key: str = "row_id", label: str = "label", features: str = "features",
-            log=None):
+            log=None, other_field: int | None = None):
     """FFM with logistic loss, mini-batch AdaGrad, early stop on the
-    validation log-loss. Returns ``(model(idx, field, v), history)``.
+    validation log-loss. Returns ``(model(idx, field, v), history)``. A feature
+    that the field map lacks is in ``other_field``, or raises.
 
     Per mini-batch (rows whose key hashes to the batch), ``ffm_gradients``
     sums the gradient per ``(idx, b)`` (partial aggregation first), and
@@ -106,7 +109,7 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
             p["idx"], F.when(nrm > 0, p["val"] / nrm).otherwise(p["val"]))))
     ex = materialize(base.select(key, "y", F.explode("_f").alias("_p"))
                      .select(key, "y", F.col("_p.idx").alias("idx"), F.col("_p.val").alias("x"))
-                     .join(fm_b, "idx")
+                     .join(fm_b, "idx", "left").withColumn("a", S.field_of("a", "idx", other_field))
                      .withColumn("batch", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n_batches))),
                      "ffm_pairs", run)
     fields = sorted(r[0] for r in collect_bounded(ex.select("a").distinct(), 100_000, "fields"))
@@ -122,7 +125,7 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
 
     def val_loss(m):
         sc = ffm_score(valid, m.select("idx", "field", "v"), field_map, k, key=key, keep=(label,),
-                       normalize=normalize)
+                       normalize=normalize, other_field=other_field)
         p = F.least(F.greatest("p", F.lit(1e-15)), F.lit(1 - 1e-15))
         y = (F.col(label).cast("double") > 0).cast("double")
         return sc.agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))).first()[0]

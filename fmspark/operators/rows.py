@@ -118,9 +118,10 @@ def to_dense(rows: DataFrame, *, label: str = "label", features: str = "features
 
 def to_ffm(rows: DataFrame, field_map: DataFrame, *, key: str = "row_id", label: str = "label",
            features: str = "features", keep: tuple[str, ...] = (), keep_zero: bool = False,
-           clustered: bool = False, map_rows: int | None = None) -> DataFrame:
+           clustered: bool = False, map_rows: int | None = None, other_field: int | None = None) -> DataFrame:
     """``label field:feature:value`` text. The field of each index comes
-    from ``field_map(idx, field)``, a table as small as the feature space."""
+    from ``field_map(idx, field)``, a table as small as the feature space; a
+    feature that the map lacks is in ``other_field``, or raises."""
     fm = field_map.select(F.col("idx").cast("int").alias("_fidx"), F.col("field").cast("int").alias("_fld"))
     fm, is_b = maybe_broadcast(fm, row_bytes=16, known_rows=map_rows)
     base = rows if keep_zero else rows.withColumn(features, S.drop_zero(features))
@@ -130,7 +131,7 @@ def to_ffm(rows: DataFrame, field_map: DataFrame, *, key: str = "row_id", label:
     ex = _head_only(base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f")), key, cols, "_p", "_f")
     j = ex.join(fm, F.col("_f.idx") == F.col("_fidx"), "left")
     tok = F.when(F.col("_f").isNotNull(), F.struct(F.col("_p").alias("p"), F.concat(
-        F.coalesce(F.col("_fld"), F.lit(0)).cast("string"), F.lit(":"), F.col("_f.idx").cast("string"),
+        S.field_of("_fld", "_f.idx", other_field).cast("string"), F.lit(":"), F.col("_f.idx").cast("string"),
         F.lit(":"), S.fmt_num(F.col("_f.val"))).alias("t")))
     g = _regroup(j, key, cols, F.collect_list(tok).alias("_t"))
     line = F.concat_ws(" ", S.line_head(label),

@@ -301,3 +301,23 @@ def test_scaled_training_folds_back_exactly(spark):
         "row_id", vector_to_array("rawPrediction")[1].alias("raw")).collect()}
     for k, v in theirs.items():
         assert ours[k] == pytest.approx(v, rel=1e-9, abs=1e-9)
+
+
+def test_feature_without_a_field(spark):
+    from fmspark.operators.rows import to_ffm
+    df = spark.createDataFrame([(r, r % 2, [(0, 1.0), (1, 2.0), (2 + r % 2, 0.5)]) for r in range(8)] + [(8, 1, [])], PAIRS)
+    model = spark.createDataFrame([(i, f, [0.1 * (i + 1), 0.2 * (f + 1)]) for i in range(4) for f in (0, 1, 9)],
+                                  "idx int, field int, v array<double>")
+    part = spark.createDataFrame([(0, 0), (1, 1), (2, None)], "idx int, field int")  # 2 and 3 have none
+    full = spark.createDataFrame([(0, 0), (1, 1), (2, 9), (3, 9)], "idx int, field int")
+    calls = [lambda m, **o: FF.ffm_score(df, model, m, 2, **o),
+             lambda m, **o: FF.fit_ffm(df, m, 2, epochs=1, n_batches=2, valid=df, **o)[0],
+             lambda m, **o: to_ffm(df, m, **o)]
+    for call in calls:
+        got, want = (sorted(map(str, call(*a, **o).collect())) for a, o in (((part,), {"other_field": 9}), ((full,), {})))
+        assert got == want
+        with pytest.raises(Exception, match="without a field"):
+            call(part).collect()
+    with pytest.raises(Exception, match="without a field"):
+        fit_als(df, part, 2, sweeps=1)
+    fit_als(df, full, 2, sweeps=1)
