@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fmspark.operators.embed import embed, width_report, attach_target, embed_sets
 from fmspark.plans import fixtures as fx
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 PAIRS = "row_id long, order_id string, label int, features array<struct<idx:int,val:double>>"
 

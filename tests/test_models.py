@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 from fmspark.operators import ffm as FF
 from fmspark.operators import fm as M
 from fmspark.operators.als import fit_als

@@ -3,7 +3,7 @@ names, multiset of values) on the small tables."""
 
 import pytest
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 from fmspark.plans.oracle_sql import ORACLES
 from fmspark.plans.queries import QUERIES
 from oracle_check import compare, duck

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 from fmspark.functions import sparse as S
 from fmspark.functions.ordered import dense_positions, exclusive_prefix_sum
 from fmspark.operators import rows as R

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 from fmspark.operators.embed import embed
 from fmspark.plans import fixtures as fx
 from fmspark.sinks import writers as W

@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 from fmspark.operators import transforms as T
 from fmspark.plans import fixtures as fx
 
