@@ -22,14 +22,10 @@ as it needs.
 Cases: a null or empty text is one token, the end mark. A longer document is
 cut at the capacity, its last piece may be shorter; nothing else is cut. Null
 and repeated ids are packed row by row. An empty table gives no sequences.
-Very long words (no white space for more than ``LONG_WORD`` bytes) are encoded
-without being remembered.
 """
 
 from __future__ import annotations
 
-import os
-import string
 import zlib
 from collections.abc import Iterator
 
@@ -41,99 +37,12 @@ from pyspark.sql import types as T
 
 from .common import documents, saved, ship
 from .textvec import slices, utf8
+from .wordids import encoder, vocabulary_path
 
 CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-LONG_WORD = 256
-REMEMBERED = 300_000
-ENCODE_BYTES = 1 << 20
-MARKS = string.punctuation
-
-
-def vocabulary_path(name: str = VOCABULARY) -> str:
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
-class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes.
-
-    The vocabulary's tokens never cross white space, so a text's ids are those
-    of its words in a row, and a word's those of its letters and of the marks
-    after them. Each process remembers the ids of words it has seen, up to
-    ``REMEMBERED``, then starts over; unknown ones are encoded many at a time,
-    in the task's own thread."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        words = self.tok.get_vocab()
-        self.ends = np.zeros(max(words.values()) + 1, bool)
-        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _encode(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of words. Letters alone are one run of tokens, of which only the
-        last ends a word, so many go into one text and come apart again."""
-        plain = [s for s in new if s.isalpha()]
-        out = {}
-        for k in range(0, len(plain), 20_000):
-            rows = [plain[i:i + 200] for i in range(k, min(k + 20_000, len(plain)), 200)]
-            for row, e in zip(rows, self.tok.encode_batch_fast([" ".join(r) for r in rows], add_special_tokens=False)):
-                ids = np.asarray(e.ids, "<u4")
-                ends = np.flatnonzero(self.ends[ids]) + 1
-                if len(ends) == len(row):
-                    raw, at = ids.tobytes(), 0
-                    for s, to in zip(row, (4 * ends).tolist()):
-                        out[s] = raw[at:to]
-                        at = to
-        rest = [s for s in new if s not in out]
-        for k in range(0, len(rest), 20_000):
-            part = rest[k:k + 20_000]
-            for s, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                out[s] = np.asarray(e.ids, "<u4").tobytes()
-        return out
-
-    @staticmethod
-    def _split(word: bytes) -> tuple[str, ...]:
-        """Letters and the marks after them, or the whole word where it is
-        anything else. Case does not matter to the vocabulary."""
-        s = word.decode()
-        letters = s.rstrip(MARKS)
-        if not letters.isalpha():
-            return (s,)
-        marks = s[len(letters):]
-        letters = letters.lower() if letters.isascii() else letters
-        return (letters, marks) if marks else (letters,)
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text."""
-        split = [t.split() for t in texts]
-        known, parts = self.known, self.parts
-        if len(known) > REMEMBERED or len(parts) > REMEMBERED:
-            known.clear()
-            parts.clear()
-        new = {w: self._split(w) for w in set().union(*split) - known.keys()}
-        missing = sorted({p for ps in new.values() for p in ps if p not in parts})
-        found = self._encode(missing)
-        got = {w: b"".join([found[p] if p in found else parts[p] for p in ps]) for w, ps in new.items()}
-        known.update((w, t) for w, t in got.items() if len(w) <= LONG_WORD)
-        parts.update((p, t) for p, t in found.items() if len(p) <= LONG_WORD)
-        if any(len(w) > LONG_WORD for w in got):
-            return [b"".join([known[w] if w in known else got[w] for w in words]) for words in split]
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+ENCODE_BYTES = 2 << 20
 
 
 def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -148,16 +57,18 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", c
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer or vocabulary_path())
+        enc = encoder(tokenizer or vocabulary_path(VOCABULARY))
         for b in batches:
             if not b.num_rows:
                 continue
             buf, offs = utf8(b.column(1))
-            raw, doc_ids = buf.tobytes(), b.column(0).to_pylist()
+            doc_ids = b.column(0).to_pylist()
             cols: list[list] = [[] for _ in fields]
             for i, j in slices(offs, ENCODE_BYTES):
-                for d, ids in zip(doc_ids[i:j], enc.encode([raw[offs[k]:offs[k + 1]] for k in range(i, j)])):
-                    ids += end
+                flat, first = enc.encode(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+                raw, first = flat.astype("<u4").tobytes(), (4 * first).tolist()
+                for k, d in enumerate(doc_ids[i:j]):
+                    ids = raw[first[k]:first[k + 1]] + end
                     for n, at in enumerate(range(0, len(ids), step)):
                         part = ids[at:at + step]
                         for c, v in zip(cols, (d, n, at // 4, len(part) // 4, zlib.crc32(part), part)):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fmspark.llm import packing as P
 from fmspark.llm import textvec as T
+from fmspark.llm import wordids as W
 
 ODD = ["", None, "x", " lead trail \n", "a b  c a b c a", "été là\tö\x0bz", "a\x1cb\x85c", "w" * 5000, "一 二 三 四 五 六", "a " * 3000]
 
@@ -47,17 +48,32 @@ def test_slices_do_not_change_hashes():
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(P.vocabulary_path())
+    return Tokenizer.from_file(W.vocabulary_path(P.VOCABULARY))
 
 
-def test_encoder_equals_the_tokenizer(tokenizer, monkeypatch):
-    monkeypatch.setattr(P, "REMEMBERED", 50)
-    enc = P.Encoder(P.vocabulary_path())
+@pytest.mark.parametrize("bits,pool", [(20, 1 << 20), (4, 1 << 20), (10, 300)])
+def test_encoder_equals_the_tokenizer(tokenizer, bits, pool):
+    enc = W.Encoder(W.vocabulary_path(P.VOCABULARY), table_bits=bits, pool=pool)
     rnd = random.Random(3)
-    parts = ["a", "B", "'s", "é", " ", "1", "\x1c", "\x85", "  ", ".", "<|endoftext|>", "　", "ẛ̣", "Σς", "ﬁ", "한", "\n", "q" * 300, "Word,", "don't!", "ÉTÉ.", "İx", "I'LL", "…!"]
-    for _ in range(500):
-        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40)))
-        assert np.frombuffer(enc.encode([text.encode()])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    parts = ["a", "B", "'s", "é", " ", "1", "\x1c", "\x85", "  ", ".", "<|endoftext|>", "　", "ẛ̣", "Σς", "ﬁ", "한", "\n", "q" * 300, "Word,", "don't!", "ÉTÉ.", "İx", "I'LL", "…!", "e\u0301", "ß", "µ"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40))) for _ in range(600)] + [None, ""]
+    buf, offs = T.utf8(pa.array(texts))
+    for i in range(0, len(texts), 7):
+        j = min(i + 7, len(texts))
+        ids, first = enc.encode(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+        for k, text in enumerate(texts[i:j]):
+            assert ids[first[k]:first[k + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_encoder_tells_words_of_one_first_hash_apart(tokenizer, monkeypatch):
+    real = W.word_keys
+    monkeypatch.setattr(W, "word_keys", lambda w: (real(w)[0] % np.uint64(3), real(w)[1]))
+    enc = W.Encoder(W.vocabulary_path(P.VOCABULARY))
+    text = " ".join(f"word{i} Letters{'abc'[i % 3] * i}!" for i in range(30))
+    for _ in range(3):
+        buf, offs = T.utf8(pa.array([text, None]))
+        ids, first = enc.encode(buf, offs)
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids and first.tolist() == [0, len(ids), len(ids)]
 
 
 @pytest.mark.parametrize("capacity,n", [(10, 50), (64, 2000), (512, 5000), (4096, 4000)])
