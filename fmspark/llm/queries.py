@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (licenses, mixing, near_dedup, nearest, ordinal_quality, packing, paragraphs, pii,
-               quality_rules, sharding)
+               quality_rules, sharding, token_files, vector_codes)
 
 QUERIES = {
     "op1_substring_dedup": paragraphs.query,
@@ -16,8 +16,11 @@ QUERIES = {
     "op8_packing": packing.query,
     "op9_quality_classifier": ordinal_quality.query,
     "op10_near_dedup": near_dedup.query,
+    "op11_vector_codes": vector_codes.query,
+    "op12_token_files": token_files.query,
 }
 
 ORACLES = {
     "op4_nearest_neighbours": nearest.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
 }
