@@ -1,65 +1,84 @@
-"""Ordered running sums without a single-partition window.
+"""Numbering and running sums over sorted rows, one way at every size.
 
-A window with ``orderBy`` and no ``partitionBy`` moves every row into one
-task. ``exclusive_prefix_sum`` keeps that form only for inputs proven small
-by a bounded count; larger inputs are cut into value ranges at approximate
-quantiles, the per-range totals (one number per range) become offsets, and
-each range runs its own window in parallel. The cut points and offsets are
-computed once and embedded as literals, so a recomputed task sees the same
-plan.
+A window with ``orderBy`` and no ``partitionBy`` moves every row into one task.
+Here rows are sorted into value ranges (one a shuffle partition), written with
+the number of their range and their place in it, and the ranges' totals, one
+row a range, become offsets. The written table fixes the ranges, so a task that
+runs again sees the same ones.
+
+Order of values: null first, then ascending, NaN after every number and equal
+to itself (as ``ORDER BY`` has it).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fmspark.session import materialize, maybe_broadcast
+
+# monotonically_increasing_id keeps a row's place in its partition in its low bits
+PLACE_BITS = 33
+
 
-DEFAULT_ROWS_PER_RANGE = 2_000_000
+def in_ranges(df: DataFrame, order: Sequence[Column], parts: int | None = None) -> DataFrame:
+    """``df`` sorted into ``parts`` value ranges and written, with ``_range`` and
+    ``_nth`` (a row's 0-based place in its range). ``parts``: the session's
+    shuffle partitions unless given. Equal keys share a range: where one may
+    have a large share of the rows, end ``order`` with a column that tells
+    them apart."""
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+           .withColumn("_range", F.spark_partition_id())
+           .withColumn("_nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << PLACE_BITS) - 1))))
+    return materialize(out, "ranges")
 
 
-def exclusive_prefix_sum(df: DataFrame, order_col: str, value_col: str, out_col: str,
-                         rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
-    """``out_col`` = sum of ``value_col`` over the rows whose ``order_col`` is
-    smaller. ``order_col`` must be distinct (aggregate ties first)."""
-    return exclusive_prefix_sum_sized(df, order_col, value_col, out_col, rows_per_range)[0]
+def numbered(df: DataFrame, order: Sequence[Column], *, by: Sequence[str] = (), out_col: str = "pos",
+             parts: int | None = None) -> DataFrame:
+    """``df`` with ``out_col``: a row's 0-based number, in ``order``, among the
+    rows that agree in ``by`` (null agrees with null). A group may have any share
+    of the rows: it spans as many ranges as it needs."""
+    rows = in_ranges(df, [F.col(b).asc_nulls_first() for b in by] + list(order), parts)
+    # at most one row a range and group
+    sizes = rows.groupBy("_range", *by).agg(F.min("_nth").alias("_lo"), F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col("_range").alias("_r"), *[F.col(b).alias(f"_b{i}") for i, b in enumerate(by)],
+                           (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_lo")).alias("_off"))
+    offsets = maybe_broadcast(materialize(offsets, "offsets"), 64)[0]
+    same = F.col("_range") == F.col("_r")
+    for i, b in enumerate(by):
+        same &= F.col(b).eqNullSafe(F.col(f"_b{i}"))
+    return (rows.join(offsets, same).withColumn(out_col, F.col("_nth") + F.col("_off"))
+            .drop("_range", "_nth", "_r", "_off", *[f"_b{i}" for i in range(len(by))]))
 
 
-def exclusive_prefix_sum_sized(df: DataFrame, order_col: str, value_col: str, out_col: str,
-                               rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> tuple[DataFrame, int]:
-    """As ``exclusive_prefix_sum``, also returning the row count (exact when
-    at most ``rows_per_range``, else the full count)."""
-    n = df.limit(rows_per_range + 1).count()
-    prior = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    if n <= rows_per_range:
-        return df.withColumn(out_col, F.coalesce(F.sum(value_col).over(prior), F.lit(0))), n
-    total = df.count()
-    n_ranges = min(10_000, -(-total // rows_per_range))
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = sorted(set(df.approxQuantile(order_col, probs, 0.001)))
-    # range id = number of cut points <= value; Bucketizer finds it by binary
-    # search (splits -inf, cuts..., +inf), so the cost per row is log(ranges)
-    from pyspark.ml.feature import Bucketizer
-    inf = float("inf")
-    tagged = Bucketizer(splits=[-inf] + [float(c) for c in cuts] + [inf], inputCol="_ord", outputCol="_rngd") \
-        .transform(df.withColumn("_ord", F.col(order_col).cast("double"))) \
-        .withColumn("_rng", F.col("_rngd").cast("int")).drop("_ord", "_rngd")
-    totals = dict((r["_rng"], r["t"]) for r in
-                  tagged.groupBy("_rng").agg(F.sum(value_col).alias("t")).collect())
-    per = [totals.get(i, 0) or 0 for i in range(len(cuts) + 1)]
-    offsets = [0] + list(accumulate(per))[:-1]
-    off_arr = F.array(*[F.lit(o) for o in offsets])
-    w = Window.partitionBy("_rng").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    return (tagged.withColumn(out_col, F.element_at(off_arr, F.col("_rng") + 1)
-                              + F.coalesce(F.sum(value_col).over(w), F.lit(0)))
-            .drop("_rng")), total
+def exclusive_prefix_sum(df: DataFrame, order_col: str, value_col: str, out_col: str, parts: int | None = None) -> DataFrame:
+    """``out_col`` = sum of ``value_col`` (null: 0) over the rows whose
+    ``order_col`` is smaller. ``order_col`` must be distinct (aggregate ties
+    first)."""
+    rows = in_ranges(df, [F.col(order_col).asc_nulls_first()], parts)
+    sums = rows.groupBy("_range").agg(F.sum(value_col).alias("t"))
+    kind = sums.schema["t"].dataType
+    totals = sums.orderBy("_range").collect()  # one row a range
+    zero = 0.0 if isinstance(kind, (T.DoubleType, T.FloatType)) else 0
+    each = [r["t"] if r["t"] is not None else zero for r in totals]
+    offsets = df.sparkSession.createDataFrame(
+        list(zip([r["_range"] for r in totals], [zero, *accumulate(each)])),
+        T.StructType([T.StructField("_range", T.IntegerType()), T.StructField("_off", kind)]))
+    within = Window.partitionBy("_range").orderBy(F.col(order_col).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.join(F.broadcast(offsets), "_range")
+    return (out.withColumn(out_col, F.col("_off") + F.coalesce(F.sum(value_col).over(within), F.lit(zero).cast(kind)))
+            .drop("_range", "_nth", "_off"))
 
 
-def dense_positions(values: DataFrame, col: str, out_col: str = "pos",
-                    rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> tuple[DataFrame, int]:
-    """Distinct values of ``col`` numbered ``0..n-1`` in ascending order;
-    returns ``(table, n)``."""
-    d = values.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1).cast("long"))
-    out, n = exclusive_prefix_sum_sized(d, col, "_one", out_col, rows_per_range)
-    return out.drop("_one").withColumn(out_col, F.col(out_col).cast("int")), n
+def dense_positions(values: DataFrame, col: str, out_col: str = "pos", parts: int | None = None) -> tuple[DataFrame, int]:
+    """Distinct values of ``col`` (null left out) numbered ``0..n-1`` in
+    ascending order; returns ``(table, n)``."""
+    d = values.select(col).where(F.col(col).isNotNull()).distinct()
+    out = materialize(numbered(d, [F.col(col)], out_col=out_col, parts=parts).withColumn(out_col, F.col(out_col).cast("int")), "positions")
+    return out, out.count()

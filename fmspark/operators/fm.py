@@ -93,18 +93,19 @@ def sigmoid(y: Column) -> Column:
 
 
 # ---------------------------------------------------------------- metrics
-def auc(scored: DataFrame, label: str = "y", score: str = "s",
-        rows_per_range: int | None = None) -> DataFrame:
+def auc(scored: DataFrame, label: str = "y", score: str = "s", parts: int | None = None) -> DataFrame:
     """ROC AUC with ties counted one half:
     ``sum_s P(s) * (N(< s) + N(s)/2) / (P * N)``. Scores are aggregated first;
-    the running count of negatives runs in value ranges (no single-partition
-    window beyond a proven-small input)."""
-    b = scored.groupBy(F.col(score).alias("_k")).agg(
+    the running count of negatives runs in value ranges (functions.ordered).
+    Rows with a null label or score take no part; NaN is above every number and
+    ties with itself. One class only: null."""
+    used = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    b = used.groupBy(F.col(score).alias("_k")).agg(
         F.sum(F.col(label).cast("long")).alias("_p"),
         F.sum((F.lit(1) - F.col(label)).cast("long")).alias("_n"))
-    w = exclusive_prefix_sum(b, "_k", "_n", "_nb", **({"rows_per_range": rows_per_range} if rows_per_range else {}))
-    return w.agg((F.sum(F.col("_p") * (F.col("_nb") + F.col("_n") / F.lit(2.0))).cast("double")
-                  / (F.sum("_p").cast("double") * F.sum("_n").cast("double"))).alias("auc"))
+    w = exclusive_prefix_sum(b, "_k", "_n", "_nb", parts)
+    return w.agg(F.try_divide(F.sum(F.col("_p") * (F.col("_nb") + F.col("_n") / F.lit(2.0))).cast("double"),
+                              F.sum("_p").cast("double") * F.sum("_n").cast("double")).alias("auc"))
 
 
 def log_loss(scored: DataFrame, label: str = "y", prob: str = "p", eps: float = EPS) -> DataFrame:

@@ -6,20 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fmspark import defaults as DF
-from fmspark.functions.ordered import DEFAULT_ROWS_PER_RANGE, dense_positions
+from fmspark.functions.ordered import dense_positions
 
 BUCKETS = 10_000
 
 
 def feature_map(rows: DataFrame, features: str = "features",
-                rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> tuple[DataFrame, int]:
+                parts: int | None = None) -> tuple[DataFrame, int]:
     """Distinct feature indices of all rows, ascending -> ``0..n-1``.
 
     ``((idx int, pos int), n)``. The distinct runs as a partial + final hash
     aggregation; the numbering runs in value ranges (functions.ordered), so no
-    task holds the whole index set."""
+    task holds the whole index set. The map is written once, then read."""
     idx = rows.select(F.explode_outer(features).alias("_p")).select(F.col("_p.idx").alias("idx"))
-    return dense_positions(idx, "idx", "pos", rows_per_range)
+    return dense_positions(idx, "idx", "pos", parts)
 
 
 def hash_unit(key, seed: int | None = None) -> Column:

@@ -85,11 +85,23 @@ def test_auc_matches_evaluator_with_ties(spark):
     assert ours == pytest.approx(theirs, abs=1e-12)
 
 
-def test_auc_ranged_path(spark):
+@pytest.mark.parametrize("parts", [1, 4, 60])
+def test_auc_does_not_depend_on_ranges(spark, parts):
     df = spark.range(0, 3000).select((F.col("id") % 2).alias("y"), (F.col("id") * 37 % 1009).cast("double").alias("s"))
-    a = M.auc(df, "y", "s").first()[0]
-    b = M.auc(df, "y", "s", rows_per_range=100).first()[0]
-    assert a == pytest.approx(b, abs=1e-15)
+    assert M.auc(df, "y", "s", parts).first()[0] == pytest.approx(M.auc(df, "y", "s", 9).first()[0], abs=1e-15)
+
+
+@pytest.mark.parametrize("parts", [1, 2, 30])
+def test_auc_null_nan_and_one_class(spark, parts):
+    nan = float("nan")
+    rows = [(1, 0.9), (0, 0.9), (0, 0.1), (1, nan), (0, nan), (1, None), (None, 0.5), (1, 0.4)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    used = [(y, 1e9 if s != s else s) for y, s in rows if y is not None and s is not None]
+    pairs = [(p, n) for y, p in used if y for z, n in used if not z]
+    want = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p, n in pairs) / len(pairs)
+    assert M.auc(df, "y", "s", parts).first()[0] == pytest.approx(want)
+    assert M.auc(df.where("y = 1"), "y", "s", parts).first()[0] is None
+    assert M.auc(df.limit(0), "y", "s", parts).first()[0] is None
 
 
 def test_log_loss_and_accuracy(spark):

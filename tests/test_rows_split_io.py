@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from inputs import SF_SMALL
 from fmspark.functions import sparse as S
-from fmspark.functions.ordered import dense_positions, exclusive_prefix_sum
+from fmspark.functions.ordered import dense_positions, exclusive_prefix_sum, numbered
 from fmspark.operators import rows as R
 from fmspark.operators import split as D
 from fmspark.plans import fixtures as fx
@@ -89,20 +89,42 @@ def test_feature_map_golden(spark):
     assert {r["idx"]: r["pos"] for r in fmap.collect()} == {66: 0, 67: 1, 75: 2}
 
 
-def test_dense_positions_ranged_path(spark):
-    vals = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("v"))
-    small, n1 = dense_positions(vals, "v", "pos")
-    big, n2 = dense_positions(vals, "v", "pos", rows_per_range=300)
-    assert n1 == n2 == 5000
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
-    assert sorted(r["pos"] for r in big.collect()) == list(range(5000))
-
-
-def test_prefix_sum_ranged_path(spark):
-    df = spark.range(1, 2001).select(F.col("id").alias("k"), (F.col("id") % 3).alias("v"))
-    a = {r["k"]: r["s"] for r in exclusive_prefix_sum(df, "k", "v", "s").collect()}
-    b = {r["k"]: r["s"] for r in exclusive_prefix_sum(df, "k", "v", "s", rows_per_range=150).collect()}
-    assert a == b and a[1] == 0 and a[2] == 1
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_dense_positions_do_not_depend_on_ranges(spark, parts):
+    vals = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("v")).unionByName(spark.createDataFrame([(None,), (3,)], "v long"))
+    got, n = dense_positions(vals, "v", "pos", parts=parts)
+    want = sorted({i * 7 % 5003 for i in range(5000)} | {3})
+    assert n == len(want) and {r["v"]: r["pos"] for r in got.collect()} == {v: i for i, v in enumerate(want)}
+
+
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_prefix_sum_does_not_depend_on_ranges(spark, parts):
+    df = spark.range(1, 2001).select(F.col("id").alias("k"), F.when(F.col("id") % 5 > 0, F.col("id") % 3).alias("v"))
+    got = {r["k"]: r["s"] for r in exclusive_prefix_sum(df, "k", "v", "s", parts=parts).collect()}
+    run, want = 0, {}
+    for k in range(1, 2001):
+        want[k] = run
+        run += k % 3 if k % 5 else 0
+    assert got == want
+
+
+def test_prefix_sum_null_first_nan_last(spark):
+    df = spark.createDataFrame([(None, 1.5), (float("nan"), 4.0), (float("inf"), 2.0), (-1.0, None)], "k double, v double")
+    got = exclusive_prefix_sum(df, "k", "v", "s", parts=3).orderBy("s").collect()
+    assert sorted(r["s"] for r in got) == [0.0, 1.5, 1.5, 3.5] and got[-1]["v"] == 4.0
+
+
+def test_numbered_within_groups_that_span_ranges(spark):
+    df = spark.range(0, 900).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.when(F.col("id") % 2 == 0, F.lit("b"))).alias("g"),
+                                    ((F.col("id") * 389) % 907).alias("v"))
+    got = numbered(df, [F.col("v")], by=["g"], parts=20).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["g"], []).append((r["v"], r["pos"]))
+    assert set(by) == {None, "b", "hot"} and len(got) == 900
+    for rows in by.values():
+        assert [p for _, p in sorted(rows)] == list(range(len(rows)))
+    assert numbered(df.limit(0), [F.col("v")], by=["g"]).count() == 0
 
 
 def test_reindex_unknown_raises(spark):
