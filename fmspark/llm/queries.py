@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (licenses, mixing, near_dedup, nearest, ordinal_quality, packing, paragraphs, pii,
+from . import (licenses, merkle, mixing, near_dedup, nearest, ordinal_quality, packing, paragraphs, pii,
                quality_rules, sharding, token_files, vector_codes)
 
 QUERIES = {
@@ -18,9 +18,11 @@ QUERIES = {
     "op10_near_dedup": near_dedup.query,
     "op11_vector_codes": vector_codes.query,
     "op12_token_files": token_files.query,
+    "op13_merkle_manifest": merkle.query,
 }
 
 ORACLES = {
     "op4_nearest_neighbours": nearest.ORACLE,
     "op11_vector_codes": vector_codes.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
