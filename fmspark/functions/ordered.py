@@ -53,15 +53,16 @@ def numbered(df: DataFrame, order: Sequence[Column], *, by: Sequence[str] = (),
     same = F.col("_range") == F.col("_r")
     for i, b in enumerate(by):
         same &= F.col(b).eqNullSafe(F.col(f"_b{i}"))
-    return (rows.join(offsets, same).withColumn(out_col, F.col("_nth") + F.col("_off"))
-            .drop("_range", "_nth", "_r", "_off", *[f"_b{i}" for i in range(len(by))]))
+    return rows.join(offsets, same).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_nth") + F.col("_off")).alias(out_col))
 
 
-def exclusive_prefix_sum(df: DataFrame, order_col: str, value_col: str, out_col: str, parts: int | None = None) -> DataFrame:
+def exclusive_prefix_sum(df: DataFrame, order_col: str | Sequence[str], value_col: str, out_col: str, parts: int | None = None) -> DataFrame:
     """``out_col`` = sum of ``value_col`` (null: 0) over the rows whose
-    ``order_col`` is smaller. ``order_col`` must be distinct (aggregate ties
-    first)."""
-    rows = in_ranges(df, [F.col(order_col).asc_nulls_first()], parts)
+    ``order_col`` (one column, or several in order) is smaller. It must be
+    distinct (aggregate ties first)."""
+    cols = [order_col] if isinstance(order_col, str) else list(order_col)
+    order = [F.col(c).asc_nulls_first() for c in cols]
+    rows = in_ranges(df, order, parts)
     sums = rows.groupBy("_range").agg(F.sum(value_col).alias("t"))
     kind = sums.schema["t"].dataType
     totals = sums.orderBy("_range").collect()  # one row a range
@@ -70,12 +71,36 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, value_col: str, out_col:
     offsets = df.sparkSession.createDataFrame(
         list(zip([r["_range"] for r in totals], [zero, *accumulate(each)])),
         T.StructType([T.StructField("_range", T.IntegerType()), T.StructField("_off", kind)]))
-    within = Window.partitionBy("_range").orderBy(F.col(order_col).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = rows.join(F.broadcast(offsets), "_range")
     return (out.withColumn(out_col, F.col("_off") + F.coalesce(F.sum(value_col).over(within), F.lit(zero).cast(kind)))
             .drop("_range", "_nth", "_off"))
 
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str], buckets: Sequence[int], parts: int | None = None) -> list[list[float]]:
+    """For each column the values of rank ``ceil(i n / b)``, ``0 < i < b``, of its
+    ``n`` values (null and NaN left out), ``b`` its number of buckets. Different
+    values are counted, then counted up in sorted ranges, all columns in one go;
+    only the values asked for reach the driver."""
+    spark = df.sparkSession
+    each = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])))
+    counts = each.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    run = materialize(exclusive_prefix_sum(counts, ["c", "v"], "n", "before", parts), "value-counts")
+    sizes = {r["c"]: (r["lo"], r["n"]) for r in run.groupBy("c").agg(F.min("before").alias("lo"), F.sum("n").alias("n")).collect()}  # one row a column
+    wanted = [(i, sizes[i][0] + -(-k * sizes[i][1] // b)) for i, b in enumerate(buckets) if i in sizes for k in range(1, b)]
+    out: list[list[float]] = [[] for _ in cols]
+    if not wanted:
+        return out
+    ranks = spark.createDataFrame(sorted(set(wanted)), "c int, r long").groupBy("c").agg(F.collect_list("r").alias("ranks")).withColumnRenamed("c", "_c")
+    near = run.join(F.broadcast(ranks), F.col("c") == F.col("_c")).where(F.exists("ranks", lambda r: (r > F.col("before")) & (r <= F.col("before") + F.col("n"))))
+    at = {}
+    for r in near.select("c", "v", "before", "n").collect():  # at most one row a bucket
+        at.setdefault(r["c"], []).append((r["before"], r["before"] + r["n"], r["v"]))
+    for c, rank in wanted:
+        out[c].append(next(v for lo, hi, v in at[c] if lo < rank <= hi))
+    return out
+
+
 def dense_positions(values: DataFrame, col: str, out_col: str = "pos", parts: int | None = None) -> tuple[DataFrame, int]:
     """Distinct values of ``col`` (null left out) numbered ``0..n-1`` in
     ascending order; returns ``(table, n)``."""

@@ -9,7 +9,9 @@ Two features of one one-hot field never occur in the same row, so their
 updates do not interact: one ``groupBy(idx)`` updates the whole field for
 one factor, and equals the sequential sweep over that field's features.
 
-Data layout: the exploded pairs, the residual table (one row per training
+Two layouts. ``fit_als`` keeps one row a training row and recomputes its score
+from the parameters in every pass. ``fit_als_joined`` is for parameters that do
+not fit a broadcast: the exploded pairs, the residual table (one row per training
 row) and the parameter table (one row per feature) are written as parquet in
 the session's checkpoint folder after every step (``session.materialize``):
 each update reads the residual table twice (for the sums, then to apply
@@ -29,20 +31,52 @@ from pyspark.sql import functions as F
 
 from fmspark import defaults as DF
 from fmspark.functions import sparse as S
-from fmspark.session import collect_bounded, ensure_checkpoint_dir, materialize, maybe_broadcast
-
-TWO31 = 2 ** 31
-
-
-def _unit(*cols) -> Column:
-    """Deterministic uniform (0, 1) from a hash of the columns."""
-    return (F.pmod(F.xxhash64(*cols), F.lit(TWO31)) + F.lit(1)).cast("double") / F.lit(float(TWO31 + 1))
-
-
-def _normal(idx: Column, f: Column, seed: int) -> Column:
-    u1 = _unit(idx, f, F.lit(seed), F.lit(1))
-    u2 = _unit(idx, f, F.lit(seed), F.lit(2))
-    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
+from fmspark.functions.random import normal
+from fmspark.operators.fm_train import BIAS, arrays_of
+from fmspark.operators.fm_train import in_row as scored_rows
+from fmspark.session import broadcast_budget, collect_bounded, ensure_checkpoint_dir, materialize, maybe_broadcast
+
+def als_sums(rows: DataFrame, params: DataFrame, k: int, width: int, field: int, factor: int | None, *, key: str = "row_id") -> DataFrame:
+    """``idx, num, den`` of one coordinate update of a field: of its weights, or of
+    its factors number ``factor``; the new value is ``num / (den + reg)``. ``rows``:
+    (key, y, features with ``idx, val, fld``), ``params``: (idx, w, v), bias at
+    ``BIAS``. A row scores itself, so neither residuals nor row sums are stored,
+    and only ``num`` and ``den`` leave it."""
+    arrays = arrays_of(params, k, width)
+    j = scored_rows(rows, arrays, k, "features").withColumn("_e", F.col("y") - F.col("_yhat"))
+    j = j.select("_e", "_q", F.explode(F.filter("_f", lambda p: p["fld"] == field)).alias("_p"))
+    j = j.select("_e", "_q", F.col("_p.idx").alias("idx"), F.col("_p.val").alias("x"))
+    if factor is None:
+        sums = j.groupBy("idx").agg(F.sum(F.col("_e") * F.col("x")).alias("eh"), F.sum(F.col("x") * F.col("x")).alias("den"))
+        old = F.col("w")
+    else:
+        # h = x (q - v x) needs the index's own factor, which is the same for all its rows
+        q = F.get("_q", F.lit(factor))
+        own, _ = maybe_broadcast(params.where("idx >= 0").select(F.col("idx").alias("_i"), F.get("v", F.lit(factor)).alias("_v")), 24, known_rows=width)
+        j = j.join(own, F.col("idx") == F.col("_i"))
+        h = F.col("x") * (q - F.col("_v") * F.col("x"))
+        sums = j.select("idx", "_e", h.alias("h")).groupBy("idx").agg(F.sum(F.col("_e") * F.col("h")).alias("eh"), F.sum(F.col("h") * F.col("h")).alias("den"))
+        old = F.get("v", F.lit(factor))
+    p = params.select(F.col("idx").alias("_i"), "w", "v")
+    return sums.join(p, F.col("idx") == F.col("_i")).select("idx", (F.col("eh") + old * F.col("den")).alias("num"), "den")
+
+
+def _replaced(factor: int) -> Column:
+    """``v`` with ``_t``, where there is one, as its value number ``factor``."""
+    return F.transform("v", lambda x, i: F.when(i == factor, F.coalesce(F.col("_t"), x)).otherwise(x))
+
+
+def with_fields(rows: DataFrame, field_map: DataFrame, *, key: str = "row_id", label: str = "label", features: str = "features") -> DataFrame:
+    """``key, y`` (-1 or 1) ``, features`` with the field of each: one row a
+    training row, written once. A feature that the field map lacks raises."""
+    fmap = field_map.select(F.col("idx").cast("int").alias("idx"), F.col("field").cast("int").alias("fld"))
+    fmap_b, _ = maybe_broadcast(fmap, row_bytes=16)
+    y = F.when(F.col(label).cast("double") == 0, F.lit(-1.0)).otherwise(F.signum(F.col(label).cast("double")))
+    ex = rows.select(key, y.alias("y"), F.posexplode_outer(S.drop_zero(features)).alias("_n", "_p")).select(key, "y", "_n", "_p.idx", F.col("_p.val").alias("val"))
+    ex = ex.join(fmap_b, "idx", "left").withColumn("fld", S.field_of("fld", "idx"))
+    item = F.when(F.col("idx").isNotNull(), F.struct("_n", "idx", F.col("val").cast("double").alias("val"), "fld"))
+    out = ex.groupBy(key, "y").agg(F.array_sort(F.collect_list(item)).alias("l"))  # of one row
+    return materialize(out.select(key, "y", F.transform("l", lambda p: F.struct(p["idx"].alias("idx"), p["val"].alias("val"), p["fld"].alias("fld"))).alias("features")), "als-rows")
 
 
 def fit_als(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps: int = 3,
@@ -53,7 +87,62 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps
     """Returns ``(bias, linear(idx, w), latent(idx, v), history)`` where
     history is the training RMSE after each sweep. Labels in {0,1} are mapped
     to {-1,1}. A feature that the field map lacks raises: put into one field,
-    several of them could stand in one row."""
+    several of them could stand in one row.
+
+    Rows are written once, a row a training row, and never again: an update is one
+    pass that scores rows from the parameters (three arrays in one row, proven to
+    fit a broadcast) and adds up two numbers an index; only the parameters, a row
+    an index, are written between updates. Parameters beyond the broadcast budget
+    are joined instead (``fit_als_joined``)."""
+    spark = rows.sparkSession
+    ensure_checkpoint_dir(spark)
+    top = field_map.agg(F.max("idx")).first()[0]
+    width = int(top if top is not None else 0) + 1
+    if 8 * width * (k + 2) > broadcast_budget(spark):
+        return fit_als_joined(rows, field_map, k, sweeps=sweeps, init_std=init_std, reg=reg, seed=seed, key=key, label=label, features=features,
+                              partitions=partitions, log=log)
+    r0, r1, r2 = reg
+    data = with_fields(rows, field_map, key=key, label=label, features=features)
+    n_rows = data.count()
+    used = materialize(data.select(F.explode("features").alias("p")).select("p.idx", "p.fld").distinct(), "als-used")
+    fields = sorted(r[0] for r in collect_bounded(used.select("fld").distinct(), 100_000, "fields"))
+    init = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: F.lit(float(init_std)) * normal(F.col("idx"), f, seed))
+    bias_row = spark.range(1).select(F.lit(BIAS).alias("idx"), F.lit(0.0).alias("w"), F.array_repeat(F.lit(0.0), k).alias("v"))
+    params = materialize(used.select("idx", F.lit(0.0).alias("w"), init.alias("v")).unionByName(bias_row), "als-params")
+
+    def residual_sums(power: int) -> float:
+        e = F.col("y") - F.col("_yhat")
+        return scored_rows(data, arrays_of(params, k, width), k, "features").agg(F.sum(e if power == 1 else e * e)).first()[0] or 0.0
+
+    w0, history = 0.0, []
+    for _ in range(sweeps):
+        w0 = (residual_sums(1) + n_rows * w0) / (n_rows + r0) if n_rows + r0 else 0.0
+        params = materialize(params.withColumn("w", F.when(F.col("idx") == BIAS, F.lit(w0)).otherwise(F.col("w"))), "als-params")
+        for fld in fields:
+            for f in (None, *range(k)):
+                s = als_sums(data, params, k, width, fld, f, key=key)
+                new = F.try_divide(F.col("num"), F.col("den") + F.lit(float(r1 if f is None else r2)))
+                s = s.select(F.col("idx").alias("_i"), F.coalesce(new, F.lit(0.0)).alias("_t"))
+                j = params.join(s, F.col("idx") == F.col("_i"), "left")
+                if f is None:
+                    j = j.withColumn("w", F.coalesce("_t", "w"))
+                else:
+                    j = j.withColumn("v", _replaced(f))
+                params = materialize(j.select("idx", "w", "v"), "als-params")
+                if log:
+                    log(f"field {fld} {'linear' if f is None else f'factor {f}'}")
+        history.append(math.sqrt(residual_sums(2) / max(1, n_rows)))
+    own = params.where(F.col("idx") != BIAS)
+    return w0, own.select("idx", "w"), own.select("idx", "v"), history
+
+
+def fit_als_joined(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps: int = 3,
+            init_std: float = DF.FM_INIT_STDEV,
+            reg: tuple[float, float, float] = (DF.FM_R0_REG, DF.FM_R1_REG, DF.FM_R2_REG), seed: int = 0, key: str = "row_id",
+            label: str = "label", features: str = "features", partitions: int | None = None,
+            log=None):
+    """As ``fit_als``, with parameters of any number: pairs, residuals and row sums
+    are tables that are joined by row key and written after each update."""
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -71,7 +160,7 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps
     params = materialize(ex.where("idx is not null").select("idx", "fld").distinct()
                          .select("idx", "fld", F.lit(0.0).alias("w"),
                                  F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                                             lambda f: F.lit(init_std) * _normal(F.col("idx"), f, seed)).alias("v")),
+                                             lambda f: F.lit(init_std) * normal(F.col("idx"), f, seed)).alias("v")),
                          "params", run)
     w0 = 0.0
     # features per field (one number per field): proves the per-field

@@ -95,7 +95,7 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
     import math
     import uuid
 
-    from fmspark.operators.als import _unit
+    from fmspark.functions.random import unit
     from fmspark.session import collect_bounded, materialize
 
     run = uuid.uuid4().hex
@@ -119,7 +119,7 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
         .select("idx", F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
         .select("idx", "field",
                 F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                            lambda d: F.lit(coef) * _unit(F.col("idx"), F.col("field"), d, F.lit(seed))).alias("v"),
+                            lambda d: F.lit(coef) * unit(F.col("idx"), F.col("field"), d, F.lit(seed))).alias("v"),
                 F.array_repeat(F.lit(1.0), k).alias("acc")),
         "ffm_model", run)
 

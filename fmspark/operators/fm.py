@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from fmspark import defaults as DF
 from fmspark.functions import sparse as S
 from fmspark.functions.ordered import exclusive_prefix_sum
-from fmspark.session import maybe_broadcast
+from fmspark.session import materialize, maybe_broadcast
 
 EPS = 1e-15
 
@@ -68,7 +68,8 @@ def fm_score(rows: DataFrame, bias: float, model: DataFrame, k: int, *, key: str
     and ``p = sigmoid(y)``. Features absent from the model contribute 0."""
     m = model.select(F.col("idx").alias("_midx"), F.col("w").alias("_w"), F.col("v").alias("_v"),
                      F.col("s").alias("_s"))
-    m, _ = maybe_broadcast(m, row_bytes=40 + 8 * k, max_bytes=max_broadcast_bytes)
+    # the model may be a join of derived tables: written once, counted, used
+    m, _ = maybe_broadcast(materialize(m, "model"), row_bytes=40 + 8 * k, max_bytes=max_broadcast_bytes)
     cols = [c for c in keep if c != key]
     base = rows.select(key, *cols, S.drop_zero(features).alias("_f"))
     # no repartition: the pairs of a row sit together in one task, so the

@@ -86,7 +86,7 @@ def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
     return rows
 
 
-def materialize(df: DataFrame, name: str, run_id: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, run_id: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as parquet under the session's checkpoint folder (shared on
     a cluster) and read it back: cuts the lineage like ``checkpoint()`` and
     survives executor loss, and the re-read plan's size estimate is the file
@@ -95,8 +95,8 @@ def materialize(df: DataFrame, name: str, run_id: str | None = None) -> DataFram
     import uuid
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/fmspark-{run_id or uuid.uuid4().hex}/{name}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 * 1024 * 1024,

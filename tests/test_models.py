@@ -167,13 +167,13 @@ def np_als(rows, field_of, k, sweeps, V0, reg):
 
 
 def test_field_blocked_als_equals_sequential(spark):
-    from fmspark.operators.als import _normal
+    from fmspark.functions.random import normal
     rows, field_of = random_rows(n=40)
     df = spark.createDataFrame(rows, PAIRS)
     fmap = spark.createDataFrame(list(field_of.items()), "idx int, field int")
     k, seed, std = 2, 5, 0.3
     init = spark.range(9).select(F.col("id").cast("int").alias("idx"), F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)), lambda f: F.lit(std) * _normal(F.col("id").cast("int"), f, seed)).alias("v"))
+        F.sequence(F.lit(0), F.lit(k - 1)), lambda f: F.lit(std) * normal(F.col("id").cast("int"), f, seed)).alias("v"))
     V0 = np.array([r["v"] for r in sorted(init.collect(), key=lambda r: r["idx"])])
     reg = (0.0, 0.5, 0.5)
     b, lin, lat, hist = fit_als(df, fmap, k, sweeps=1, init_std=std, reg=reg, seed=seed)
@@ -295,24 +295,42 @@ def test_sgda_picks_regularisation_on_validation(spark):
     assert dict(table)[reg] == max(a for _, a in table)
 
 
-def test_scaled_training_folds_back_exactly(spark):
-    from pyspark.ml.functions import vector_to_array
+@pytest.mark.parametrize("method", ["adamW", "sgd", "sgda", "als"])
+def test_scaled_training_folds_back_exactly(spark, method):
+    from fmspark.operators import fm_train as FT
     from fmspark.operators import rows as R
-    from fmspark.operators.split import feature_map
+    from fmspark.operators.split import feature_map, split
     from fmspark.plans.pipeline import train
     rnd = random.Random(9)
     rows = [(r, rnd.randint(0, 1), [(1, rnd.uniform(-5e3, 5e3)), (2, rnd.uniform(0, 3)), (3 + rnd.randint(0, 2), 1.0)])
             for r in range(60)]
     df = spark.createDataFrame(rows, PAIRS)
     fmap, n = feature_map(df)
-    bias, lin, lat, model = train(df, fmap, n, dim_k=2, iter_num=5, seed=3, scale=True)
+    how = {"sgda": {"valid": split(df, "row_id", 0.5)[1]},
+           "als": {"field_map": spark.createDataFrame([(1, 0), (2, 1), (3, 2), (4, 2), (5, 2)], "idx int, field int")}}.get(method, {})
+    bias, lin, lat, model = train(df, fmap, n, method=method, dim_k=2, iter_num=2, seed=3, scale=True, reg=0.01, **how)
+    assert len(model.history) == 2
     ours = {r["row_id"]: r["y"] for r in M.fm_score(df, bias, M.model_table(lin, lat), 2).collect()}
     smap = fmap.join(M.max_abs_scale(df), "idx").select("idx", "pos", "s")
-    vec = M.to_vectors(R.reindex(df, smap, map_rows=n), n, keep=("row_id",))
-    theirs = {r["row_id"]: r["raw"] for r in model.transform(vec).select(
-        "row_id", vector_to_array("rawPrediction")[1].alias("raw")).collect()}
+    theirs = {r["row_id"]: r["y"] for r in FT.predictions(R.reindex(df, smap, map_rows=n), model, n).collect()}
+    assert ours.keys() == theirs.keys()
     for k, v in theirs.items():
         assert ours[k] == pytest.approx(v, rel=1e-9, abs=1e-9)
+    with pytest.raises(ValueError):
+        train(df, fmap, n, method="mcmc")
+
+
+def test_als_layouts_agree(spark):
+    from fmspark.operators.als import fit_als_joined
+    rows, field_of = random_rows(n=40)
+    df = spark.createDataFrame(rows, PAIRS)
+    fmap = spark.createDataFrame(list(field_of.items()), "idx int, field int")
+    how = dict(sweeps=1, init_std=0.3, reg=(0.1, 0.5, 0.5), seed=5)
+    b, lin, lat, hist = fit_als(df, fmap, 1, **how)
+    b2, lin2, lat2, hist2 = fit_als_joined(df, fmap, 1, **how)
+    assert b == pytest.approx(b2) and hist == pytest.approx(hist2)
+    assert {r.idx: round(r.w, 9) for r in lin.collect()} == {r.idx: round(r.w, 9) for r in lin2.collect()}
+    assert {r.idx: round(r.v[0], 9) for r in lat.collect()} == {r.idx: round(r.v[0], 9) for r in lat2.collect()}
 
 
 def test_feature_without_a_field(spark):
