@@ -12,6 +12,7 @@ reference's call shapes: ``(df, in, out, ..., drop)``.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from typing import NamedTuple
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fmspark import defaults as DF
+from fmspark.functions.ordered import exact_quantiles
 from fmspark.operators.rows import cast_fill
 
 INF = float("inf")
@@ -89,13 +91,21 @@ def count_kinds(chains: list[list[Op]]) -> dict:
 def transform_pipeline(df: DataFrame, spec: dict, *, relative_error: float = DF.QUANTILE_RELATIVE_ERROR,
                        handle_invalid: str = "error") -> tuple[DataFrame, PipelineModel | None]:
     """C2 (+ B12, C20): apply a spec; each transform replaces the column of
-    the same name. Returns ``(transformed, fitted PipelineModel)``.
+    the same name. Returns ``(transformed, fitted PipelineModel)``."""
+    fitted = _fitted(df, spec, relative_error, handle_invalid)
+    return fitted.transform(df), fitted.model
+
+
+def _fitted(df: DataFrame, spec: dict, relative_error: float, handle_invalid: str) -> FittedSpec:
+    """Fit a spec.
 
     Columns whose chain starts with a numeric transform are cast to double
     with null/NaN -> 0 first (one ``select``). One-hot steps on string
     columns are not cast. Stages run depth by depth; at each depth one
     multi-column estimator per kind. ``handle_invalid='keep'`` gives unseen
-    categories (a prediction set) their own last one-hot slot."""
+    categories (a prediction set) their own last one-hot slot. Quantiles are
+    sketches of ``relative_error``, or exact where it is 0 (ranks over counted
+    values in sorted ranges)."""
     chains = parse_transform(spec)
     drop = [ch[0].field for ch in chains if ch and ch[0].kind == "delete"]
     chains = [ch for ch in chains if ch and ch[0].kind != "delete"]
@@ -117,6 +127,10 @@ def transform_pipeline(df: DataFrame, spec: dict, *, relative_error: float = DF.
             if kind == "bucketizer":
                 stages.append(MF.Bucketizer(splitsArray=[o.arg for o in ops], inputCols=ins, outputCols=outs,
                                             handleInvalid="error"))
+            elif kind == "discretizer" and relative_error == 0:
+                seen = Pipeline(stages=stages).fit(data).transform(data) if stages else data
+                cuts = exact_quantiles(seen, ins, [o.arg for o in ops])
+                stages.append(MF.Bucketizer(splitsArray=[_splits(c) for c in cuts], inputCols=ins, outputCols=outs, handleInvalid="error"))
             elif kind == "discretizer":
                 stages.append(MF.QuantileDiscretizer(numBucketsArray=[o.arg for o in ops], inputCols=ins,
                                                      outputCols=outs, relativeError=relative_error,
@@ -141,11 +155,13 @@ def transform_pipeline(df: DataFrame, spec: dict, *, relative_error: float = DF.
                 outs = ins
             for o, out in zip(ops, outs):
                 cur[o.field] = out
-    if not stages:
-        return data, None
-    model = Pipeline(stages=stages).fit(data)
-    fitted = FittedSpec(model, drop, numeric_first, cur, std_cols)
-    return fitted.transform(df), model
+    model = Pipeline(stages=stages).fit(data) if stages else None
+    return FittedSpec(model, drop, numeric_first, cur, std_cols)
+
+
+def _splits(cuts: list[float]) -> list[float]:
+    """Bucket limits of quantiles; equal ones collapse."""
+    return [-math.inf, *sorted(set(cuts)), math.inf]
 
 
 class FittedSpec:
@@ -153,7 +169,7 @@ class FittedSpec:
     set (for example a prediction set scored with the training fit; use
     ``handle_invalid='keep'`` for categories unseen in training)."""
 
-    def __init__(self, model: PipelineModel, drop, numeric_first, cur, std_cols):
+    def __init__(self, model: PipelineModel | None, drop, numeric_first, cur, std_cols):
         self.model, self.drop, self.numeric_first = model, list(drop), list(numeric_first)
         self.cur, self.std_cols = dict(cur), list(std_cols)
 
@@ -161,6 +177,8 @@ class FittedSpec:
         data = df.drop(*self.drop)
         if self.numeric_first:
             data = cast_fill(data, self.numeric_first)
+        if self.model is None:
+            return data
         res = self.model.transform(data)
         std_arr = vector_to_array("__std_out") if self.std_cols else None
         sel = []
@@ -179,14 +197,7 @@ def fit_spec(df: DataFrame, spec: dict, **kw) -> FittedSpec | None:
     chains = parse_transform(spec)
     if not any(ch[0].kind != "delete" for ch in chains if ch):
         return None
-    _, model = transform_pipeline(df, spec, **kw)
-    drop = [ch[0].field for ch in chains if ch and ch[0].kind == "delete"]
-    kept = [ch for ch in chains if ch and ch[0].kind != "delete"]
-    numeric_first = [ch[0].field for ch in kept if ch[0].kind != "onehot"]
-    cur = {ch[0].field: (ch[0].field if ch[-1].kind in ("untransform", "standard_scaler")
-                         else f"__{ch[0].field}__{len(ch) - 1}") for ch in kept}
-    std = [ch[0].field for ch in kept if ch[0].kind == "standard_scaler"]
-    return FittedSpec(model, drop, numeric_first, cur, std)
+    return _fitted(df, spec, kw.pop("relative_error", DF.QUANTILE_RELATIVE_ERROR), kw.pop("handle_invalid", "error"), **kw)
 
 
 # ---------------------------------------------------------------- single operators
@@ -300,7 +311,12 @@ def vector_assembler(df, input_cols, out_col, drop: bool = False, handle_invalid
 def discretizer(df, in_col, out_col, num_buckets: int = DF.QUANTILE_NUM_BUCKETS,
                 relative_error: float = DF.QUANTILE_RELATIVE_ERROR,
                 handle_invalid: str = "error", drop: bool = False):
-    """C4: quantile buckets; duplicate cut points collapse."""
+    """C4: quantile buckets; duplicate cut points collapse. ``relative_error`` 0:
+    exact quantiles, no column goes through the driver."""
+    if relative_error == 0:
+        splits = _splits(exact_quantiles(df, [in_col], [num_buckets])[0])
+        b = MF.Bucketizer(splits=splits, inputCol=in_col, outputCol=out_col, handleInvalid=handle_invalid)
+        return _finish(b.transform(df), in_col, out_col, drop)
     m = MF.QuantileDiscretizer(numBuckets=num_buckets, inputCol=in_col, outputCol=out_col,
                                relativeError=relative_error, handleInvalid=handle_invalid).fit(df)
     return _finish(m.transform(df), in_col, out_col, drop)

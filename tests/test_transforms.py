@@ -99,3 +99,26 @@ def test_fitted_spec_reused_on_another_set(spark):
     # the whole training set through the fitted spec equals the direct result
     c = fitted.transform(tr)
     assert sorted(map(tuple, c.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_exact_quantiles_by_ranks(spark, parts):
+    import math
+
+    from fmspark.functions.ordered import exact_quantiles
+    rows = [(float(i * 7 % 50), None if i % 4 else float(i), 3.0, float("nan")) for i in range(203)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = exact_quantiles(df, ["a", "b", "c", "d"], [10, 4, 3, 5], parts)
+    for k, (col, n) in enumerate(zip(zip(*rows), (10, 4, 3, 5))):
+        vals = sorted(v for v in col if v is not None and not math.isnan(v))
+        assert got[k] == ([vals[-(-i * len(vals) // n) - 1] for i in range(1, n)] if vals else [])
+    assert exact_quantiles(df.limit(0), ["a"], [4], parts) == [[]]
+
+
+def test_fit_spec_is_what_the_pipeline_applies(spark):
+    df = spark.createDataFrame([(float(i), str(i % 3), float(i % 5), 1.0) for i in range(60)], "x double, s string, y double, z double")
+    spec = {"x": "discretize(4)", "s": "onehot", "y": "bucket(min,2,max);onehot()", "z": "Untransform"}
+    for err in (0.0, 0.001):
+        out, _ = T.transform_pipeline(df, spec, relative_error=err)
+        again = T.fit_spec(df, spec, relative_error=err).transform(df)
+        assert sorted(map(str, out.collect())) == sorted(map(str, again.collect())) and out.columns == again.columns
