@@ -16,39 +16,55 @@ embedding, so no join back is needed. Input bucketed or partitioned by the
 key (``clustered=True``) runs with no shuffle at all.
 
 The latent table is broadcast only when a bounded count proves it fits the
-broadcast budget; otherwise the join is a shuffle join whose build side is
-replicated ``salt`` times and whose probe side is salted by key, so a single
-hot feature (active in a third of all rows) spreads over ``salt`` tasks; that
-path shuffles for the join and again for the regroup, and skips the upfront
-repartition.
+broadcast budget. Otherwise indices are counted, the rows of the few hot ones
+(at most ``HOT_PER_PARTITION`` a shuffle partition) are broadcast, and the table
+is joined once for all others; pairs of hot indices are spread over the join's
+partitions by row. That path shuffles for the join and again for the regroup,
+and skips the upfront repartition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fmspark.functions import sparse as S
-from fmspark.session import maybe_broadcast
+from fmspark.session import materialize, maybe_broadcast
 
 NUMBERINGS = ("offset", "zero")
 
 
-def _latent_side(latent: DataFrame, k_hint: int, salt: int, max_bytes: int | None):
-    lat = latent.select(F.col("idx").cast("int").alias("_lidx"), F.col("v").alias("_v"))
-    lat_b, is_b = maybe_broadcast(lat, row_bytes=16 + 8 * max(1, k_hint), max_bytes=max_bytes)
-    if is_b:
-        return lat_b, None
-    # replicate the (large) latent table over the salt values; the probe side
-    # picks one replica per row, so hot indices fan out over `salt` tasks
-    rep = lat.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return rep, "_salt"
+HOT_PER_PARTITION = 4
+
+
+def hot_indices(active: DataFrame, idx: str = "idx") -> DataFrame:
+    """``_hidx``: the indices that hold more than a quarter of a shuffle partition's
+    share of all (row, index) pairs, at most ``HOT_PER_PARTITION`` a partition."""
+    parts = int(active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    freq = materialize(active.groupBy(F.col(idx).alias("_hidx")).agg(F.count(F.lit(1)).alias("_n")), "index-counts")
+    total = freq.agg(F.sum("_n")).first()[0] or 0
+    return freq.where(F.col("_n") * F.lit(HOT_PER_PARTITION * parts) > F.lit(total)).select("_hidx")
+
+
+def _with_latents(ex: DataFrame, latent: DataFrame, broadcast: DataFrame | None, key: str) -> DataFrame:
+    """Exploded rows (``_aidx``) with ``_v``, their index's latent vector. Where the
+    latent table is too large to broadcast it is joined as it is, but for the rows
+    of hot indices: those few are broadcast, and the pairs that use them get keys
+    of their own in the large join, spread by row."""
+    if broadcast is not None:
+        return ex.join(broadcast, ex["_aidx"] == broadcast["_lidx"], "left")
+    hot = hot_indices(ex.where(F.col("_aidx").isNotNull()), "_aidx")
+    some = latent.join(F.broadcast(hot), F.col("_lidx") == F.col("_hidx"), "left_semi").select(F.col("_lidx").alias("_hidx"), F.col("_v").alias("_hv"))
+    ex = ex.join(F.broadcast(some), F.col("_aidx") == F.col("_hidx"), "left")
+    own = -F.lit(1) - F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)).cast("int")  # no index is negative
+    ex = ex.withColumn("_jidx", F.when(F.col("_hv").isNotNull() | F.col("_aidx").isNull(), own).otherwise(F.col("_aidx")))
+    return ex.join(latent, F.col("_jidx") == F.col("_lidx"), "left").withColumn("_v", F.coalesce("_hv", "_v"))
 
 
 def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str = "row_id",
                  features: str = "features", clustered: bool = False, k_hint: int = 8,
-                 salt: int = 16, on_unknown: str = "error",
+                 on_unknown: str = "error",
                  max_broadcast_bytes: int | None = None, carry_features: bool = True) -> DataFrame:
     """Core of F1: every input column plus ``_raw`` (continuous pairs, idx <=
     threshold), ``_act`` (active one-hot pairs) and ``emb`` (the latent
@@ -63,11 +79,14 @@ def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str
                .withColumn("_act", S.active(features, threshold))
     if not carry_features:
         base = base.drop(features)
-    lat, salt_col = _latent_side(latent, k_hint, salt, max_broadcast_bytes)
-    if not clustered and salt_col is None:
+    lat = latent.select(F.col("idx").cast("int").alias("_lidx"), F.col("v").alias("_v"))
+    # the width of a vector as it is, not as the caller guesses it
+    k = latent.select(F.size("v").alias("k")).limit(1).collect()
+    side, is_small = maybe_broadcast(lat, row_bytes=16 + 8 * max(1, k[0][0] if k else 1, k_hint), max_bytes=max_broadcast_bytes)
+    if not clustered and is_small:
         # broadcast path: partition the compact rows once; everything after
         # keeps the key partitioning. (The shuffle-join path partitions by
-        # (idx, salt) for the join and by key for the regroup instead.)
+        # index for the join and by key for the regroup instead.)
         base = base.repartition(key)
     cols = [c for c in base.columns if c not in (key, "_act")]
     ex = base.select(key, *cols, F.posexplode_outer("_act").alias("_pos", "_ap"))
@@ -75,11 +94,7 @@ def embed_values(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str
     # neither copied per active feature nor grouped on
     head = F.coalesce(F.col("_pos"), F.lit(0)) == 0
     ex = ex.select(key, *[F.when(head, F.col(c)).alias(c) for c in cols], "_pos", F.col("_ap.idx").alias("_aidx"))
-    if salt_col is None:
-        j = ex.join(lat, ex["_aidx"] == lat["_lidx"], "left")
-    else:
-        ex = ex.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt)).cast("int"))
-        j = ex.join(lat, (ex["_aidx"] == lat["_lidx"]) & (ex["_salt"] == lat["_salt"]), "left")
+    j = _with_latents(ex, lat, side if is_small else None, key)
     v = F.col("_v")
     if on_unknown == "error":
         v = F.when(F.col("_pos").isNotNull() & F.col("_v").isNull(),
@@ -132,20 +147,19 @@ def embed(rows: DataFrame, latent: DataFrame, threshold: int, *, key: str = "row
     return ev.select(key, *[c for c in keep if c != key], out.alias("out"))
 
 
-def width_report(rows: DataFrame, threshold: int, k: int, *, features: str = "features",
-                 append: bool = True, strict: bool = False) -> DataFrame:
-    """distinct widths of raw, embedded and total parts, their maxima and
-    the row count, in one aggregation (no embedding needed: the embedded
-    width of a row is ``k * active``). ``strict`` raises on ragged rows."""
-    raw_n = F.size(S.continuous(features, threshold)) if append else F.lit(0)
-    emb_n = F.size(S.active(features, threshold)) * F.lit(k)
-    w = rows.select(raw_n.alias("raw_w"), emb_n.alias("emb_w"))
-    rep = w.agg(F.count(F.lit(1)).alias("n_rows"),
-                F.count_distinct("raw_w").alias("raw_widths"),
-                F.count_distinct("emb_w").alias("emb_widths"),
-                F.count_distinct(F.col("raw_w") + F.col("emb_w")).alias("total_widths"),
-                F.max("raw_w").alias("max_raw"), F.max("emb_w").alias("max_emb"),
-                F.max(F.col("raw_w") + F.col("emb_w")).alias("max_total"))
+def width_report(rows: DataFrame, threshold: int, latent: DataFrame, *, key: str = "row_id", features: str = "features",
+                 append: bool = True, strict: bool = False, **how) -> DataFrame:
+    """distinct widths of the raw, embedded and total parts of the embedded
+    rows, their maxima and the row count, in one aggregation over the output of
+    the embedding. ``strict`` raises on ragged rows, be it for features that are
+    not there or for latent vectors of different lengths."""
+    ev = embed_values(rows.select(key, features), latent, threshold, key=key, features=features, carry_features=False, **how)
+    total = assemble(ev, threshold, features=features, append=append, dense=True)
+    w = ev.select(F.size(total).alias("total_w"), F.size("emb").alias("emb_w"))
+    raw = F.col("total_w") - F.col("emb_w")
+    rep = w.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(raw).alias("raw_widths"), F.count_distinct("emb_w").alias("emb_widths"),
+                F.count_distinct("total_w").alias("total_widths"), F.max(raw).alias("max_raw"), F.max("emb_w").alias("max_emb"),
+                F.max("total_w").alias("max_total"))
     if strict:
         r = rep.first()
         if r["emb_widths"] > 1 or r["raw_widths"] > 1 or r["total_widths"] > 1:
@@ -153,6 +167,21 @@ def width_report(rows: DataFrame, threshold: int, k: int, *, features: str = "fe
     return rep
 
 
+def observed(df: DataFrame, col: str = "out", name: str = "widths") -> tuple[DataFrame, Observation]:
+    """``df`` with an observation that the job which writes it fills: ``n_rows,
+    min_width, max_width`` of ``col``."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.min(F.size(col)).alias("min_width"), F.max(F.size(col)).alias("max_width")), seen
+
+
+def check_widths(seen: Observation, strict: bool = False) -> dict:
+    """What ``observed`` saw, after the write; raises on ragged rows if ``strict``."""
+    got = seen.get
+    if strict and got["min_width"] != got["max_width"]:
+        raise ValueError(f"rows differ in width: {got}")
+    return got
+
+
 def attach_target(prd: DataFrame, train: DataFrame, *, key: str = "order_id",
                   label: str = "label", target: str = "target") -> DataFrame:
     """F8: give prediction rows the label of the training row with the same

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from fmspark.operators import embed as E
 from fmspark.operators.embed import embed, width_report, attach_target, embed_sets
 from fmspark.plans import fixtures as fx
 from inputs import SF_SMALL
@@ -114,10 +115,38 @@ def test_shuffle_join_fallback_matches_broadcast(spark):
 
 def test_width_report_strict(spark):
     rows = spark.createDataFrame([(0, "a", 1, [(1, 2.0), (3, 1.0)]), (1, "b", 0, [(1, 1.0)])], PAIRS)
-    rep = width_report(rows, 2, 4).first()
+    lat = spark.createDataFrame([(3, [0.1, 0.2, 0.3, 0.4]), (4, [0.5, 0.6])], "idx int, v array<double>")
+    rep = width_report(rows, 2, lat).first()
     assert rep["n_rows"] == 2 and rep["emb_widths"] == 2 and rep["max_total"] == 5
     with pytest.raises(ValueError):
-        width_report(rows, 2, 4, strict=True)
+        width_report(rows, 2, lat, strict=True)
+
+
+def test_short_latent_vector_is_a_ragged_row(spark, scratch):
+    rows = spark.createDataFrame([(0, "a", 1, [(1, 2.0), (3, 1.0)]), (1, "b", 0, [(1, 1.0), (4, 1.0)])], PAIRS)
+    lat = spark.createDataFrame([(3, [0.1, 0.2]), (4, [0.5])], "idx int, v array<double>")
+    with pytest.raises(ValueError):
+        width_report(rows, 2, lat, strict=True)
+    df, seen = E.observed(embed(rows, lat, 2, dense=True))
+    df.write.parquet(f"{scratch}/out")
+    assert E.check_widths(seen) == {"n_rows": 2, "min_width": 2, "max_width": 3}
+    with pytest.raises(ValueError):
+        E.check_widths(seen, strict=True)
+
+
+def test_shuffle_path_copies_hot_latents_only(spark):
+    """A latent table beyond the broadcast budget: an index that is active in every
+    row is broadcast, the rest joined once, without copies."""
+    rows = spark.createDataFrame([(r, str(r), 0, [(1, 0.5), (3, 1.0), (4 + r % 90, 1.0)]) for r in range(300)], PAIRS)
+    lat = spark.createDataFrame([(i, [float(i), -float(i)]) for i in range(3, 100)], "idx int, v array<double>")
+    want = sorted(embed(rows, lat, 2).collect())
+    from fmspark.operators.embed import hot_indices
+    pairs = rows.select(F.explode("features").alias("p")).select("p.idx").where("idx > 2")
+    assert [r[0] for r in hot_indices(pairs).collect()] == [3]
+    out = embed(rows, lat, 2, max_broadcast_bytes=1)
+    assert sorted(out.collect()) == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence" not in plan and "_hidx" in plan
 
 
 def test_attach_target_by_key_not_position(spark):
