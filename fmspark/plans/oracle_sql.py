@@ -433,3 +433,72 @@ select order_id, cast(sum(case when idx <= 5 then 1 else 0 end)
                       + 4 * sum(case when idx > 5 and val = 1 then 1 else 0 end) as int) n_values
 from sparse_rows group by order_id
 """)
+
+oracle("drop_ids_prd", """
+select order_id, target_planted, f_price, f_bal, f_qty, f_zero_disc, f_seg, f_nation, f_prio, f_flag from feature_rows
+""")
+
+# ---------------------------------------------------------------- training steps with a fixed model
+SCORED = """
+sc as (select idx, case when max(abs(val)) = 0 then 1e0 else max(abs(val)) end s from sparse_rows group by idx),
+f as (select r.order_id, r.idx, r.val / sc.s x from sparse_rows r join sc using (idx) where r.val <> 0),
+lin as (select cast(vec_id as int) idx, embedding[9]::double w from embeddings),
+li as (select f.order_id, sum(lin.w * f.x) lin from f join lin using (idx) group by f.order_id),
+q2 as (select f.order_id, l.d, sum(l.v * f.x) s1, sum(l.v * l.v * f.x * f.x) s2 from f join lat l using (idx) group by f.order_id, l.d),
+pw as (select order_id, sum(s1 * s1 - s2) / 2 pr from q2 group by order_id),
+yy as (select r.order_id, r.target, 0.1e0 + coalesce(li.lin, 0) + coalesce(pw.pr, 0) y
+       from feature_rows r left join li using (order_id) left join pw using (order_id))
+"""
+
+oracle("fm_gradients", "with " + SCORED + """,
+g as (select order_id, 1 / (1 + exp(-y)) - target g from yy)
+select -1 idx, 0 d, round(sum(g), 6) g from g
+union all
+select f.idx, 0, round(sum(g.g * f.x), 6) from f join g using (order_id) group by f.idx
+union all
+select f.idx, cast(l.d + 1 as int), round(sum(g.g * f.x * q2.s1) - max(l.v) * sum(g.g * f.x * f.x), 6)
+from f join g using (order_id) join lat l on l.idx = f.idx join q2 on q2.order_id = f.order_id and q2.d = l.d
+group by f.idx, l.d
+""")
+
+oracle("als_step", "with " + SCORED + """,
+e as (select order_id, case when target = 0 then -1e0 else 1e0 end - y e from yy),
+p as (select f.order_id, f.idx, f.x, e.e, lin.w, l.v, f.x * (q2.s1 - l.v * f.x) h
+      from f join e using (order_id) join lin on lin.idx = f.idx join lat l on l.idx = f.idx and l.d = 0
+      join q2 on q2.order_id = f.order_id and q2.d = 0 where f.idx between 11 and 35)
+select -1 factor, idx, round(sum((e + w * x) * x), 6) num, round(sum(x * x), 6) den from p group by idx
+union all
+select 0, idx, round(sum((e + v * h) * h), 6), round(sum(h * h), 6) from p group by idx
+""")
+
+# ---------------------------------------------------------------- text and table flows
+LINES = """
+lines as (select order_id, cast(target as varchar) || ' 1:' || cast(f_flag as varchar)
+  || ' 2:' || cast(f_nation as varchar) || ' 3:' || cast(f_prio as varchar)
+  || ' 4:' || cast(cast(coalesce(f_zero_disc, 0) as bigint) as varchar)
+  || ' 5:' || cast(cast(coalesce(f_qty, 0) as bigint) as varchar) line, target from feature_rows),
+ids as (select md5(line) || case when n = 1 then '' else '-' || cast(n - 1 as varchar) end row_id, target
+        from (select line, target, row_number() over (partition by line) n from lines) a)
+"""
+
+oracle("split_text_rows", "with " + LINES + """
+select row_id, cast(target as double) "label",
+  case when ('0x' || substr(md5(row_id),1,8))::bigint % 10000 < 8000 then 'train' else 'test' end part from ids
+""")
+
+oracle("labels_only", "with " + LINES + """
+select cast(target as int) "label", count(*) n, count(distinct row_id) ids from ids group by target
+""")
+
+oracle("libsvm_round_trip", """
+select order_id, idx, round(val, 6) val from sparse_rows
+""")
+
+oracle("embedded_table", """
+with tr as (select r.order_id, r.target from feature_rows r join split_tag s using (order_id) where s.part = 'train'),
+vals as (select order_id, rpos pos, val from raw_pairs
+         union all select e.order_id, cast(coalesce(n.n, 0) + e.epos as int), e.v from emb_vals e left join nraw n using (order_id))
+select 'train' part, order_id, cast(tr.target as int) target, pos, val from vals join tr using (order_id)
+union all
+select 'prd', order_id, cast(tr.target as int), pos, val from vals left join tr using (order_id)
+""")

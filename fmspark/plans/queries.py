@@ -76,8 +76,8 @@ def embed_readme_form(spark, sf):
 
 @query
 def embed_width_check(spark, sf):
-    """width report."""
-    return E.width_report(fx.sparse_rows(spark, sf), fx.THRESHOLD, fx.K)
+    """width report of the embedded rows."""
+    return E.width_report(fx.sparse_rows(spark, sf), fx.THRESHOLD, fx.latent(spark, sf))
 
 
 @query
@@ -213,6 +213,12 @@ def drop_ids(spark, sf):
     return train
 
 
+@query
+def drop_ids_prd(spark, sf):
+    """B11, prediction half: the order id stays, targets and other ids go."""
+    return R.drop_ids(fx.feature_rows(spark, sf))[1]
+
+
 # ---------------------------------------------------------------- index / split
 @query
 def split_counts(spark, sf):
@@ -448,6 +454,100 @@ def transform_spec(spark, sf):
                       *[(F.array_position(vector_to_array(c), 1.0) - 1).cast("int").alias(c) for c in vec_cols])
 
 
+# ---------------------------------------------------------------- training steps with a fixed model
+def _scaled_rows(spark, sf):
+    """All features of the sparse rows, max-abs scaled, indices as they are."""
+    from fmspark.operators import fm as M
+    rows = fx.sparse_rows(spark, sf)
+    scale = M.max_abs_scale(rows).select("idx", F.col("idx").alias("pos"), "s")
+    return R.reindex(rows.select("row_id", "order_id", "label", "features"), scale, key="row_id")
+
+
+def _fixed_params(spark, sf):
+    bias, linear, latent = fx.fm_model(spark, sf)
+    one = spark.range(1).select(F.lit(-1).alias("idx"), F.lit(bias).alias("w"), F.array_repeat(F.lit(0.0), fx.K).alias("v"))
+    return linear.join(latent, "idx").select("idx", "w", "v").unionByName(one)
+
+
+@query
+def fm_gradients(spark, sf):
+    """The gradient of the summed logistic loss at a fixed model, an index
+    a row group: ``d`` 0 is the weight (or the bias, idx -1), 1 to 8 the factors."""
+    from fmspark.operators import fm_train as FT
+    g = FT.fm_gradients(_scaled_rows(spark, sf), _fixed_params(spark, sf), fx.K)
+    each = F.posexplode(F.concat(F.array("gw"), F.coalesce("gv", F.array().cast("array<double>")))).alias("d", "g")
+    return g.select("idx", each).select("idx", "d", F.round("g", 6).alias("g"))
+
+
+@query
+def als_step(spark, sf):
+    """The two sums of the coordinate updates of one field (nation): of its
+    weights (``factor`` -1) and of its first factor, at a fixed model."""
+    from fmspark.operators import als as A
+    data = A.with_fields(_scaled_rows(spark, sf), fx.field_table(fx.latent(spark, sf)))
+    params = _fixed_params(spark, sf)
+    width = params.agg(F.max("idx")).first()[0] + 1
+    parts = [A.als_sums(data, params, fx.K, width, 7, f).select(F.lit(-1 if f is None else f).alias("factor"), "idx", F.round("num", 6).alias("num"),
+                                                                 F.round("den", 6).alias("den")) for f in (None, 0)]
+    return parts[0].unionByName(parts[1])
+
+
+# ---------------------------------------------------------------- text and table flows
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from fmspark.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/fmspark-{name}-{uuid.uuid4().hex}"
+
+
+@query
+def split_text_rows(spark, sf):
+    """A3 + D2: text rows with ids made of their content, split by them; many lines
+    are equal, and the split is the same for any files."""
+    from fmspark.sinks import writers as W
+    from fmspark.sources.libsvm import read_libsvm
+    path = _scratch(spark, "lines")
+    W.write_text(to_libsvm_text(spark, sf).select(F.col("line").alias("value")), path)
+    return D.with_part(read_libsvm(spark, path).select("row_id", "label"), "row_id", 0.8)
+
+
+@query
+def libsvm_round_trip(spark, sf):
+    """A4 + A5 + G6: prediction rows -> gzip text -> rows, all features."""
+    from fmspark.sinks import writers as W
+    from fmspark.sources.libsvm import read_libsvm
+    path = _scratch(spark, "prd")
+    W.write_text(W.prd_lines(fx.sparse_rows(spark, sf)), path)
+    back = read_libsvm(spark, path, is_prd=True)
+    return back.select("order_id", F.inline("features")).select("order_id", "idx", F.round("val", 6).alias("val"))
+
+
+@query
+def labels_only(spark, sf):
+    """A10: the labels of a text file, as counts (equal lines are rows of their own)."""
+    from fmspark.sinks import writers as W
+    from fmspark.sources.libsvm import read_labels
+    path = _scratch(spark, "labels")
+    W.write_text(to_libsvm_text(spark, sf).select(F.col("line").alias("value")), path)
+    return read_labels(spark, path).groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_id").alias("ids"))
+
+
+@query
+def embedded_table(spark, sf):
+    """G3/G4 + F8: embedded train and prediction rows with target in a partitioned
+    table ``order_id, target, f0..f28, part``; written twice, a run replaces its
+    own partition. Every value is reported."""
+    from fmspark.sinks import writers as W
+    rows, lat, path = fx.sparse_rows(spark, sf), fx.latent(spark, sf), _scratch(spark, "embedded")
+    train, _ = D.split(rows, "order_id", 0.8)
+    sets = {"train": train.withColumnRenamed("label", "target"), "prd": E.attach_target(rows.drop("label"), train, key="order_id")}
+    width = 5 + 3 * fx.K
+    for part in ("train", "prd", "train"):
+        emb = E.embed(sets[part], lat, fx.THRESHOLD, keep=("order_id", "target"), dense=True)
+        W.write_parts(W.flatten_embedded(emb, width).withColumn("part", F.lit(part)), path, "part")
+    back = spark.read.parquet(path)
+    return back.select("part", "order_id", "target", F.posexplode(F.array(*[f"f{i}" for i in range(width)])).alias("pos", "val"))
+
+
 # ---------------------------------------------------------------- FM training (rows-only checks)
 def _planted(spark, sf):
     """One-hot part of the sparse rows with the planted two-way label,
@@ -459,12 +559,12 @@ def _planted(spark, sf):
     return tr, te, fmap, n
 
 
-def _fit_report(spark, sf, method, k=4, iters=100, step=0.1, extra=None):
+def _fit_report(spark, sf, method, k=4, iters=100, step=0.1, extra=None, rows=None):
     from fmspark.operators import fm as M
     from fmspark.plans.pipeline import train
-    tr, te, fmap, n = _planted(spark, sf)
+    tr, te, fmap, n = rows or _planted(spark, sf)
     bias, linear, latent, _ = train(tr, fmap, n, method=method, dim_k=k, iter_num=iters, learn_rate=step,
-                                    init_stdev=0.1, seed=7, **(extra or {}))
+                                    init_stdev=0.1, seed=7, **({"reg": 0.0} | (extra or {})))
     model = M.model_table(linear, latent)
     sc = M.fm_score(te, bias, model, k, keep=("label",))
     a = M.auc(sc, "label", "p")
@@ -475,29 +575,35 @@ def _fit_report(spark, sf, method, k=4, iters=100, step=0.1, extra=None):
 
 @query
 def fm_fit_adamw(spark, sf):
-    """E1/E1b/E6 (rows-only): FMClassifier (adamW) on the planted label;
-    held-out AUC and log-loss from relational scoring of the learned tables."""
-    return _fit_report(spark, sf, "adamW")
+    """E1/E6 (rows-only): AdamW on the planted label; held-out AUC and log-loss
+    from relational scoring of the learned tables."""
+    return _fit_report(spark, sf, "adamW", iters=40, step=0.2)
 
 
 @query
 def fm_fit_sgd(spark, sf):
-    """E1a (rows-only): gradient-descent solver."""
-    return _fit_report(spark, sf, "sgd", iters=100, step=0.5)
+    """E1a (rows-only): gradient steps over mini-batches."""
+    return _fit_report(spark, sf, "sgd", iters=100, step=4.0)
+
+
+@query
+def fm_fit_sgda(spark, sf):
+    """E1b (rows-only): gradient steps with strengths of regularisation adapted on
+    a validation split."""
+    _, te, _, _ = planted = _planted(spark, sf)
+    tr, va = D.split(planted[0], "order_id", 0.8, seed=1)
+    return _fit_report(spark, sf, "sgda", iters=50, step=4.0, extra={"valid": va, "reg": 0.01, "reg_rate": 0.01}, rows=(tr, te, *planted[2:]))
 
 
 @query
 def fm_grid(spark, sf):
-    """E5 (rows-only): k x iterations grid, AUC on a validation split."""
-    from fmspark.operators import fm as M
+    """E5 (rows-only): k x iterations grid, AUC on a validation split; one training
+    run a k."""
+    from fmspark.operators import fm_train as FT
     tr, te, fmap, n = _planted(spark, sf)
-    fit, val = D.split(tr, "order_id", 0.8, seed=1)
-    vfit = M.to_vectors(R.reindex(fit, fmap, map_rows=n), n)
-    vval = M.to_vectors(R.reindex(val, fmap, map_rows=n), n)
-    res, _ = M.grid_search(vfit, vval, ks=(2, 4), iters=(20, 60), parallelism=4,
-                           learn_rate=0.1, init_stdev=0.1, seed=7)
-    return spark.createDataFrame(res, "k int, iters int, auc double, log_loss double") \
-        .select("k", "iters", F.round("auc", 6).alias("auc"), F.round("log_loss", 6).alias("log_loss"))
+    fit, val = (R.reindex(df, fmap, map_rows=n) for df in D.split(tr, "order_id", 0.8, seed=1))
+    table, _ = FT.grid(fit, val, n, ks=(2, 4), iters=(20, 40), learn_rate=0.2, init_stdev=0.1, seed=7)
+    return table.select("k", "iters", F.round("auc", 6).alias("auc"), F.round("log_loss", 6).alias("log_loss"))
 
 
 @query
@@ -545,7 +651,7 @@ def pipeline_end_to_end(spark, sf):
     W.write_text(W.fm_lines(rows.withColumn("label", F.col("label").cast("double"))), f"{base}/train_txt")
     W.write_text(W.prd_lines(rows), f"{base}/prd_txt")
     out = run(spark, Config(train_path=f"{base}/train_txt", prd_path=f"{base}/prd_txt", out_dir=f"{base}/out",
-                            threshold=fx.THRESHOLD, dim_k=4, iter_num=30))
+                            threshold=fx.THRESHOLD, dim_k=4, iter_num=20, reg=0.0, scale=True))
     lines = spark.read.text(out["prd"])
     t = S.tokens("value")
     return lines.select(t[0].alias("order_id"), (F.size(t) - 1).alias("n_values"))

@@ -48,6 +48,28 @@ def embedded_to_table(df: DataFrame, table: str, width: int, *, col: str = "out"
     flatten_embedded(df, width, col=col, keep=keep, dense=dense).write.mode(mode).saveAsTable(table)
 
 
+def embedded_parts(df: DataFrame, table: str, width: int, part: str, *, col: str = "out",
+                   keep: tuple[str, ...] = ("order_id", "target"), dense: bool = True) -> None:
+    """G3/G4 for repeated runs: embedded rows -> the partition ``part`` of a table
+    ``order_id, target, f0..fN, part``. A run replaces its own partition and
+    leaves the others alone."""
+    spark = df.sparkSession
+    rows = flatten_embedded(df, width, col=col, keep=keep, dense=dense).withColumn("part", F.lit(part))
+    if not spark.catalog.tableExists(table):
+        rows.write.partitionBy("part").saveAsTable(table)
+        return
+    have = spark.table(table).columns
+    if set(have) != set(rows.columns):
+        raise ValueError(f"table {table} has other columns: {have}")
+    rows.select(*have).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+
+
+def write_parts(df: DataFrame, path: str, by: str) -> None:
+    """As ``embedded_parts`` for a folder: rows replace the partitions of ``by``
+    that they have rows in."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
 def embedded_lines(df: DataFrame, *, key: str = "order_id", col: str = "out", dense: bool = False) -> DataFrame:
     """Embedded rows -> text lines ``head idx:val ...`` (or ``head v v ...``):
     the head is the order id of a prd row or the label of a train row."""

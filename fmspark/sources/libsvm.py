@@ -8,9 +8,11 @@ indices are kept as written (zero-based allowed), zeros are kept, and the
 first token can stay a string. Plain and gzip parts in one folder are read
 in place (A5).
 
-Every row gets ``row_id`` from ``monotonically_increasing_id()``: unique, and
-stable for a given scan (a retried task re-reads the same split). Persist the
-parsed rows (``sinks.write_parquet``) before using the id across jobs.
+A file read gives every row a ``row_id`` that is the line's own: the md5 of its
+text and, for a line that occurs several times, its number among the equal ones.
+It does not change with the files' splits, their names or their order, so a
+hash split by it (D2) is the same on every read. ``parse_lines`` on a DataFrame
+of lines (a stream's batch) numbers them as they come.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fmspark.functions import sparse as S
+from fmspark.functions.ordered import numbered
+from fmspark.session import materialize, maybe_broadcast
 
 
 def _lines(spark: SparkSession, path) -> DataFrame:
@@ -26,10 +30,23 @@ def _lines(spark: SparkSession, path) -> DataFrame:
     return df.where(F.length(F.trim("value")) > 0)
 
 
+def with_row_ids(lines: DataFrame, value: str = "value", out: str = "row_id") -> DataFrame:
+    """``lines`` with ids made of their content. Only lines that occur more than
+    once are sorted, and a line of any frequency is numbered in parallel."""
+    keyed = lines.withColumn(out, F.md5(value))
+    several = materialize(keyed.groupBy(out).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select(out), "repeated-lines")
+    some, _ = maybe_broadcast(several, row_bytes=96)
+    again = numbered(keyed.join(some, out, "left_semi").withColumn("_at", F.monotonically_increasing_id()), [F.col("_at")], by=[out], out_col="_nth")
+    again = again.withColumn(out, F.when(F.col("_nth") == 0, F.col(out)).otherwise(F.concat_ws("-", out, F.col("_nth").cast("string"))))
+    return keyed.join(some, out, "left_anti").select(*keyed.columns).unionByName(again.select(*keyed.columns))
+
+
 def parse_lines(lines: DataFrame, *, is_prd: bool = False, value: str = "value", bad: str = "error") -> DataFrame:
-    """Text lines -> ``row_id, label | order_id, features``. Malformed numbers
-    raise (``bad='error'``) or become null (``bad='null'``)."""
-    t = lines.select(F.monotonically_increasing_id().alias("row_id"), S.tokens(value).alias("_t"))
+    """Text lines -> ``row_id, label | order_id, features``. ``row_id`` is taken
+    from the lines where they have one. Malformed numbers raise
+    (``bad='error'``) or become null (``bad='null'``)."""
+    row_id = F.col("row_id") if "row_id" in lines.columns else F.monotonically_increasing_id().alias("row_id")
+    t = lines.select(row_id, S.tokens(value).alias("_t"))
     feats = S.parse_pairs(F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0))), bad)
     if is_prd:
         return t.select("row_id", F.col("_t")[0].alias("order_id"), feats.alias("features"))
@@ -38,11 +55,10 @@ def parse_lines(lines: DataFrame, *, is_prd: bool = False, value: str = "value",
 
 def read_libsvm(spark: SparkSession, path, *, is_prd: bool = False, bad: str = "error") -> DataFrame:
     """A3 (train form) / A4 (prd form, ``is_prd=True``)."""
-    return parse_lines(_lines(spark, path), is_prd=is_prd, bad=bad)
+    return parse_lines(with_row_ids(_lines(spark, path)), is_prd=is_prd, bad=bad)
 
 
 def read_labels(spark: SparkSession, path) -> DataFrame:
     """A10: ``row_id, label`` as ``int(float(token0))``."""
-    t = _lines(spark, path).select(F.monotonically_increasing_id().alias("row_id"),
-                                   S.tokens("value")[0].alias("_l"))
+    t = with_row_ids(_lines(spark, path)).select("row_id", S.tokens("value")[0].alias("_l"))
     return t.select("row_id", F.col("_l").cast("double").cast("int").alias("label"))

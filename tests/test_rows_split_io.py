@@ -23,7 +23,7 @@ def test_parse_with_blanks_zero_based_and_zeros(spark, scratch):
     p = os.path.join(scratch, "a.txt")
     with open(p, "w") as f:
         f.write("1 0:0.5  3:0 7:1 \n0 0:1 2:-2.5\n\n")
-    rows = sorted(L.read_libsvm(spark, p).collect(), key=lambda r: r["row_id"])
+    rows = sorted(L.read_libsvm(spark, p).collect(), key=lambda r: -r["label"])
     assert [r["label"] for r in rows] == [1.0, 0.0]
     assert [(q["idx"], q["val"]) for q in rows[0]["features"]] == [(0, 0.5), (3, 0.0), (7, 1.0)]
     assert [(q["idx"], q["val"]) for q in rows[1]["features"]] == [(0, 1.0), (2, -2.5)]
@@ -90,6 +90,18 @@ def test_feature_map_golden(spark):
 
 
 @pytest.mark.parametrize("parts", [1, 3, 40])
+def test_row_ids_do_not_change_with_the_files(spark, scratch):
+    lines = [f"{i % 2} {i % 7}:1 {8 + i % 3}:0.5" for i in range(400)] + [f"1 {i}:2" for i in range(50)]
+    many, one = os.path.join(scratch, "many"), os.path.join(scratch, "one")
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(6).write.text(many)
+    spark.createDataFrame([(x,) for x in reversed(lines)], "value string").coalesce(1).write.option("compression", "gzip").text(one)
+    a, b = ([(r.row_id, r.label, str(r.features)) for r in L.read_libsvm(spark, p).collect()] for p in (many, one))
+    assert sorted(a) == sorted(b) and len({r[0] for r in a}) == len(lines)
+    x, y = ({r.row_id for r in D.split(L.read_libsvm(spark, p), "row_id", 0.8)[0].collect()} for p in (many, one))
+    assert x == y and 0 < len(x) < len(lines)
+    assert sorted(r.row_id for r in L.read_labels(spark, one).collect()) == sorted(r[0] for r in a)
+
+
 def test_dense_positions_do_not_depend_on_ranges(spark, parts):
     vals = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("v")).unionByName(spark.createDataFrame([(None,), (3,)], "v long"))
     got, n = dense_positions(vals, "v", "pos", parts=parts)
