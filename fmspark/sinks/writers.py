@@ -61,7 +61,13 @@ def embedded_parts(df: DataFrame, table: str, width: int, part: str, *, col: str
     have = spark.table(table).columns
     if set(have) != set(rows.columns):
         raise ValueError(f"table {table} has other columns: {have}")
-    rows.select(*have).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    # insertInto takes the mode from the session only
+    mode, old = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.select(*have).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, old)
 
 
 def write_parts(df: DataFrame, path: str, by: str) -> None:
