@@ -19,7 +19,9 @@ classes (``similar``).
 Cases: null, empty and blank texts have no shingles: each such row is a class of
 its own. A text of one to four words is one shingle. Exact copies are one
 text throughout. Rows with equal or null ids are told apart by their texts. A
-class is named by its smallest document id (null if it has none).
+class is named by its key, the smallest content key of its texts (null for texts
+without words), and by its smallest document id, null if it has none: classes of
+different texts under one id share that id, never the key.
 """
 
 from __future__ import annotations
@@ -168,4 +170,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = saved(named.where("root is not null").groupBy("root").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("n_class")), "named")
     return (named.join(small(per, 96), "root", "left")
             .select(F.col("_id").alias("doc_id"), F.when(F.col("root").isNull(), F.col("_id")).otherwise(F.col("class_id")).alias("class_id"),
-                    F.coalesce("n_class", F.lit(1).cast("long")).alias("n_class")))
+                    F.coalesce("n_class", F.lit(1).cast("long")).alias("n_class"), F.lower(F.hex("root")).alias("class_key")))

@@ -1,25 +1,33 @@
 """Classes of similar texts from banded signatures.
 
-Input is one row per *different* text: a 16-byte content key, its band hashes,
-its weight (size) and a sketch, one byte of each signature value. Two texts that
-share a band are candidates. Candidates whose sketches agree in fewer places
-than a pair at the threshold does but once in ``1 / MISS`` times are not looked
-at further; the others are verified on the units (hashed shingles) of their
-whole texts, by ``array_intersect``; classes are the connected components of
-verified links.
-
-A bucket may hold a third of all texts, so its pairs are never listed. First
-every text is checked against one leader, the smallest key of all its buckets.
-Keys are hashes, so the smallest key is a random text, and the same one for a
-group of similar texts in most of its buckets: this takes about one check a
-text. Buckets that still hold several classes are settled next. In those of up
-to ``SMALL`` texts, texts of different classes pair up. In larger ones the
-texts outside the bucket's largest class are dealt into blocks, and each block
-meets the bucket's texts block by block: all overlaps of two blocks are products
-of 0/1 matrices over the units both have. Of the links found there, a task gives
-out one for each text, to the first text that its links lead to in the block.
-A block is bounded in texts and in units, so a task's memory is too, and no
-link between texts that share a band is lost.
+Input is one row per text (equal texts may stand several times): a 16-byte
+content key, its band hashes, its weight (size) and a sketch, one byte of each
+signature value. Two texts that share a band are candidates. Candidates whose
+sketches agree in fewer places than a pair at the threshold does but once in
+``1 / MISS`` times are not looked at further; the others are verified on the
+units (hashed shingles) of their whole texts, by ``array_intersect``; classes
+are the connected components of verified links.
+
+A bucket may hold a third of all texts, so its pairs are never listed, and links
+are reduced to forests before they leave a task:
+
+1. Every text is checked against one leader, the smallest key of all its
+   buckets. Keys are hashes, so the smallest key is a random text, and the same
+   one for a group of similar texts in most of its buckets: about one check a
+   text.
+2. In buckets of more than ``SMALL`` texts that still hold several classes, up to
+   ``LEADERS`` texts outside the largest class, those with the most neighbours
+   in such buckets, meet all texts of the bucket. This settles most texts that
+   have a link at all, wherever in their group they stand.
+3. In buckets that are still open, texts of different classes pair up (up to
+   ``SMALL`` texts), or the texts outside the largest class meet all, block by
+   block. Few links between classes are left by then.
+
+All overlaps of two blocks are products of 0/1 matrices over the units both
+have. Of the links found there, a task gives out one for each text, to the first
+text that its links lead to in the block. A block is bounded in texts and in
+units, so a task's memory is too, and no link between texts that share a band is
+lost.
 """
 
 from __future__ import annotations
@@ -38,6 +46,7 @@ from .components import components, renamed
 from .textvec import Words, each_slice
 
 SMALL = 32
+LEADERS = 64
 # Texts and units that a block of a larger bucket holds on average.
 BLOCK_TEXTS = 256
 BLOCK_UNITS = 150_000
@@ -106,51 +115,71 @@ def unit_lists(text: str, elements: Callable[[Words], tuple[np.ndarray, np.ndarr
 
 
 def buckets_of(items: DataFrame) -> DataFrame:
-    """(hash, key, weight, lead) of the buckets that hold two texts or more.
-    ``items`` has each key once, so a count finds them; it is taken over the
-    bare hashes, and only rows of shared buckets carry their keys on."""
-    each = items.select("key", "weight", F.explode("bands").alias("hash"))
-    shared = saved(each.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "shared")
-    rows = saved(each.join(small(shared, 48), "hash"), "members")
+    """(hash, key, weight, lead) of the buckets that hold two different texts or
+    more, each text once. Found over bare hashes; only rows of shared buckets
+    carry their keys on."""
+    # 32 bits tell a bucket's texts apart well enough to see that there are several
+    each = items.select(F.explode("bands").alias("hash"), F.hash("key").alias("k"))
+    shared = saved(each.groupBy("hash").agg(F.min("k").alias("a"), F.max("k").alias("b")).where("a <> b").select("hash"), "shared")
+    rows = items.select("key", "weight", F.explode("bands").alias("hash")).join(small(shared, 24), "hash")
+    rows = saved(rows.dropDuplicates(["hash", "key"]), "members")
     leads = saved(rows.groupBy("hash").agg(F.min("key").alias("lead")), "leads")
     return saved(rows.join(leads, "hash"), "buckets")
 
 
-def similar_classes(items: DataFrame, units: Callable[[DataFrame], DataFrame], threshold: float, matches: int) -> DataFrame:
-    """``items``: a written table (key, weight, bands, sketch), each key once,
-    with band hashes that differ between bands. ``units(keys)`` gives (key,
-    units) of a key table, once each: the different units of a text, whose
-    Jaccard is the similarity. ``matches``: places in which the sketches of a
-    pair agree at least. Returns (key, root) of the texts that are not the
-    smallest key of their class; ``root`` is that key."""
+def similar_classes(items: DataFrame, units: Callable[[DataFrame], DataFrame], threshold: float, matches: int | None) -> DataFrame:
+    """``items``: a written table (key, weight, bands, sketch) with band hashes
+    that differ between bands. ``units(keys)`` gives (key, units) of a key table,
+    once each: the different units of a text, whose Jaccard is the similarity.
+    ``matches``: places in which the sketches of a pair agree at least; None where
+    there are no sketches and every candidate is verified. Returns (key, root) of the texts that are not the smallest key of their class;
+    ``root`` is that key."""
     buckets = buckets_of(items)
-    keys = buckets.select("key").distinct()
-    library = saved(units(keys), "units")
-    marks = items.select("key", "sketch")
-    # round 0: each text against the smallest leader of all its buckets
+    keys = saved(buckets.select("key", "weight").distinct(), "keys")
+    library = saved(units(keys.select("key")), "units")
+    marks = None
+    if matches is not None:
+        marks = saved(items.select("key", "sketch").join(small(keys.select("key"), 48), "key", "left_semi").dropDuplicates(["key"]), "marks")
+    # 1: each text against the smallest leader of all its buckets
     first = buckets.where("key <> lead").groupBy("key").agg(F.min("lead").alias("lead"), F.first("weight").alias("wb"))
-    sizes = items.select(F.col("key").alias("lead"), F.col("weight").alias("wa"))
+    sizes = keys.select(F.col("key").alias("lead"), F.col("weight").alias("wa"))
     tested = saved(first.join(sizes, "lead").where(_near_size(F.col("wa"), F.col("wb"), threshold))
                    .select(F.col("lead").alias("a"), F.col("key").alias("b")), "pairs")
     classes = components(_verified(tested, library, threshold))
-    rows = saved(renamed(buckets.select("hash", "key", "weight", F.col("key").alias("root")), classes, "root"), "classed")
-    open_ = saved(_open(rows), "open")
-    mixed = saved(rows.join(open_, "hash"), "mixed")
+    # 2: the most central texts of large open buckets against all of them
+    mixed = _open_rows(buckets, classes)
+    links = saved(_block_links(_leaders(mixed.where(F.col("n") > SMALL)), library, threshold).distinct(), "links")
+    classes = _merged(classes, links)
+    # 3: what is still open
+    mixed = _open_rows(buckets, classes)
     pairs = saved(_small_pairs(mixed, marks, threshold, matches).join(tested, ["a", "b"], "left_anti"), "pairs")
-    links = _verified(pairs, library, threshold).unionByName(_block_links(mixed, library, threshold))
-    found = components(renamed(links, classes, "u", "v"))
-    classes = renamed(classes, found, "root").unionByName(found)
+    links = _verified(pairs, library, threshold).unionByName(_block_links(_all_blocks(mixed.where(F.col("n") > SMALL)), library, threshold))
+    classes = _merged(classes, saved(links.distinct(), "links"))
     return saved(classes.select(F.col("node").alias("key"), "root"), "classes")
 
 
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` (node, root) joined further by ``links`` (u, v)."""
+    found = components(renamed(links, classes, "u", "v"))
+    return saved(renamed(classes, found, "root").unionByName(found), "merged")
+
+
+def _open_rows(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (hash, key, weight, root) of the buckets whose texts are in more than
+    one class, with what ``_open`` says about the bucket."""
+    rows = saved(renamed(buckets.select("hash", "key", "weight", F.col("key").alias("root")), classes, "root"), "classed")
+    return saved(rows.join(saved(_open(rows), "open"), "hash"), "mixed")
+
+
 def _near_size(a: Column, b: Column, threshold: float) -> Column:
     """Whether the sizes alone do not rule the threshold out."""
     return F.least(a, b) >= F.lit(threshold) * F.greatest(a, b)
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """Buckets whose texts are in more than one class: their texts, those
-    outside the largest class (``top``), and the blocks for both."""
+    """Buckets whose texts are in more than one class: their texts, the largest
+    class (``top``), the blocks for all and for those outside it, and how many
+    of their texts fit one block on average."""
     per = rows.groupBy("hash", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
     all_ = per.groupBy("hash").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.count(F.lit(1)).alias("roots"),
                                    F.max(F.struct("n", "root", "w")).alias("top")).where("roots > 1")
@@ -159,16 +188,46 @@ def _open(rows: DataFrame) -> DataFrame:
         return F.ceil(F.greatest(n / BLOCK_TEXTS, w / BLOCK_UNITS, F.lit(1))).cast("int")
 
     return all_.select("hash", "n", F.col("top.root").alias("top"), blocks(F.col("n"), F.col("w")).alias("blocks"),
-                       blocks(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w")).alias("odd_blocks"))
+                       blocks(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w")).alias("odd_blocks"),
+                       F.greatest(F.lit(1), F.least(F.lit(LEADERS), F.floor(F.lit(BLOCK_UNITS) * F.col("n") / F.col("w")))).cast("int").alias("fit"))
+
+
+def _leaders(mixed: DataFrame) -> DataFrame:
+    """Rows for ``_block_links``: each bucket's leaders, one block, and all its
+    texts. Texts outside the largest class are dealt to as many hands as a block
+    holds; the most central text of each hand leads."""
+    central = mixed.groupBy("key").agg(F.sum("n").alias("near"))
+    odd = mixed.where(F.col("root") != F.col("top")).join(central, "key")
+    lead = (odd.groupBy("hash", F.pmod(F.xxhash64("key", F.lit(1)), F.col("fit")).alias("hand"))
+            .agg(F.max(F.struct("near", "key", "root", "blocks")).alias("m")))
+    lead = lead.select("hash", F.lit(0).alias("i"), F.explode(F.sequence(F.lit(0), F.col("m.blocks") - 1)).alias("j"), F.lit(True).alias("odd"), "m.key", "m.root")
+    every = mixed.select("hash", F.lit(0).alias("i"), F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("j"), F.lit(False).alias("odd"), "key", "root")
+    return lead.unionByName(every)
+
+
+def _all_blocks(mixed: DataFrame) -> DataFrame:
+    """Rows for ``_block_links``: every block of texts outside a bucket's largest
+    class with every block of its texts."""
+    spread = F.xxhash64("key")
+    odd = mixed.where(F.col("root") != F.col("top")).select(
+        "hash", F.pmod(spread, F.col("odd_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"),
+        F.lit(True).alias("odd"), "key", "root")
+    every = mixed.select(
+        "hash", F.explode(F.sequence(F.lit(0), F.col("odd_blocks") - 1)).alias("i"), F.pmod(spread, F.col("blocks")).cast("int").alias("j"),
+        F.lit(False).alias("odd"), "key", "root")
+    return odd.unionByName(every)
 
 
-def _small_pairs(mixed: DataFrame, marks: DataFrame, threshold: float, matches: int) -> DataFrame:
+def _small_pairs(mixed: DataFrame, marks: DataFrame | None, threshold: float, matches: int | None) -> DataFrame:
     """(a, b): texts of different classes in the same small open bucket."""
-    rows = mixed.where(F.col("n") <= SMALL).join(marks, "key").select("hash", "key", "root", "weight", "sketch")
-    b = rows.select("hash", *[F.col(c).alias(f"{c}_b") for c in ("key", "root", "weight", "sketch")])
+    rows = mixed.where(F.col("n") <= SMALL).select("hash", "key", "root", "weight")
+    if marks is not None:
+        rows = rows.join(marks, "key")
+    b = rows.select("hash", *[F.col(c).alias(f"{c}_b") for c in rows.columns if c != "hash"])
     pairs = (rows.join(b, "hash").where((F.col("key") < F.col("key_b")) & (F.col("root") != F.col("root_b")))
-             .where(_near_size(F.col("weight"), F.col("weight_b"), threshold))
-             .where(agreeing(F.col("sketch"), F.col("sketch_b")) >= matches))
+             .where(_near_size(F.col("weight"), F.col("weight_b"), threshold)))
+    if marks is not None:
+        pairs = pairs.where(agreeing(F.col("sketch"), F.col("sketch_b")) >= matches)
     return pairs.select(F.col("key").alias("a"), F.col("key_b").alias("b")).distinct()
 
 
@@ -215,16 +274,10 @@ def forest(linked: np.ndarray) -> np.ndarray:
     return np.concatenate([row, col])
 
 
-def _block_links(mixed: DataFrame, library: DataFrame, threshold: float) -> DataFrame:
-    """(u, v): linked texts of different classes in the same large open bucket."""
-    rows = mixed.where(F.col("n") > SMALL).join(library, "key")
-    spread = F.xxhash64("key")
-    odd = rows.where(F.col("root") != F.col("top")).select(
-        "hash", F.pmod(spread, F.col("odd_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"),
-        F.lit(True).alias("odd"), "key", "root", "units")
-    every = rows.select(
-        "hash", F.explode(F.sequence(F.lit(0), F.col("odd_blocks") - 1)).alias("i"), F.pmod(spread, F.col("blocks")).cast("int").alias("j"),
-        F.lit(False).alias("odd"), "key", "root", "units")
+def _block_links(rows: DataFrame, library: DataFrame, threshold: float) -> DataFrame:
+    """(u, v): linked texts of different classes; in each group (hash, i, j) of
+    ``rows`` the ``odd`` texts meet the others. One link a text and group."""
+    rows = rows.join(library, "key")
 
     def links(block: pa.Table) -> pa.Table:
         block = block.combine_chunks()
@@ -241,7 +294,7 @@ def _block_links(mixed: DataFrame, library: DataFrame, threshold: float) -> Data
         key = block["key"]
         return pa.table({"u": key.take(pa.array(u)), "v": key.take(pa.array(top[u]))})
 
-    return odd.unionByName(every).groupBy("hash", "i", "j").applyInArrow(links, "u binary, v binary")
+    return rows.groupBy("hash", "i", "j").applyInArrow(links, "u binary, v binary")
 
 
 def _verified(pairs: DataFrame, library: DataFrame, threshold: float) -> DataFrame:
