@@ -16,7 +16,7 @@ document is scored on its whole text; the weights broadcast have a fixed size.
 Cases: null and empty texts have no features and get the score of the average
 text. Null labels are not used; a document labelled twice gets its lower grade,
 and one whose id stands for several rows is fitted once, on its smallest text.
-Without labels of two grades fitting raises. Repeated rows and null ids are scored row by row.
+Labels of one grade give every document that grade, no labels grade 0. Repeated rows and null ids are scored row by row.
 """
 
 from __future__ import annotations
@@ -111,8 +111,9 @@ def fit_model(slot: np.ndarray, owner: np.ndarray, dense: np.ndarray, grade: np.
     """Adam steps on the mean negative log-likelihood with an L2 penalty.
     ``slot``/``owner``: different words of each document."""
     n, top = len(grade), int(grade.max()) if len(grade) else 0
-    if top < 1 or len(np.unique(grade)) < 2:
-        raise ValueError("an ordinal model needs labelled documents of two grades or more")
+    if len(np.unique(grade)) < 2:  # nothing to learn: every document has the one grade (none: grade 0)
+        return Model(np.zeros(1 << BITS, np.float32), np.zeros(DENSE), np.zeros(DENSE), np.ones(DENSE),
+                     np.where(np.arange(max(top, 1)) < top, -40.0, 40.0))
     used, at, times = np.unique(slot, return_inverse=True, return_counts=True)
     # words that say something about the grade: their documents' mean grade is off by min_z errors
     off = np.bincount(at, weights=(grade - grade.mean())[owner], minlength=len(used)) / (np.sqrt(times) * grade.std())
