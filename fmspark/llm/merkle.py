@@ -144,7 +144,7 @@ def manifest(docs: DataFrame, *, fields: tuple[str, ...] = FIELDS, id_col: str =
     spread = F.monotonically_increasing_id()  # equal rows do not share a range
     tree = build(leaves.withColumn("_row", spread), "_grp", [F.col("_id").asc_nulls_first(), F.col("digest"), F.col("_row")], levels=levels)
     over = build(tree.tops.select(F.lit(0).alias("_all"), F.col("grp").alias("_name"), "digest"), "_all", [F.col("_name").asc_nulls_first()], levels=levels)
-    root = over.tops.select(F.lit(0).alias("grp"), F.array().cast("array<string>").alias("path"), F.col("digest").alias("root"))
+    root = over.tops.select("grp", F.array().cast("array<string>").alias("path"), F.col("digest").alias("root"))
     of_part = paths(over, root, levels=levels).join(over.leaves.select("idx", F.col("_name"), F.col("digest").alias("subroot")), "idx")
     of_part = saved(of_part.select(F.col("_name").alias("grp"), "path", F.struct("subroot", "root").alias("root")), "above")
     leaf = tree.leaves.select(F.col("grp").alias("g"), F.col("idx").alias("i"), "_id", "digest", *[f"_x_{n}" for n in extra])
