@@ -269,8 +269,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
               .groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("_good"))
               .orderBy(F.xxhash64(F.col("_id"), F.lit(seed)), "_id").limit(max_labelled))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id")
-    rows = (with_stats(texts, "_text", "_stats").select("_id", "_good", "_stats.*")
-            .groupBy("_id", "_good").agg(*[F.max(c).alias(c) for c in COUNTS]).toPandas())
+    one = F.min_by("_stats", F.coalesce(F.md5("_text"), F.lit("")))  # of several texts of an id, one as it is
+    rows = (with_stats(texts, "_text", "_stats").groupBy("_id", "_good").agg(one.alias("_stats"))
+            .select("_id", "_good", *[F.col("_stats")[c].alias(c) for c in COUNTS]).toPandas())
     return learn(rows[list(COUNTS)].to_numpy(np.int64).reshape(-1, len(COUNTS)), (rows["_good"] == 0).to_numpy(), **how)
 
 
