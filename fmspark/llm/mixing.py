@@ -26,7 +26,7 @@ content hash: reruns agree whatever the partitioning.
 
 Cases: a null or empty text has 0 words and no influence on targets; such
 documents follow their source's ratio too. A null source is a source of its
-own, after all others. A null id is an id like others. Without any words all targets
+own, after all others. A null id is an id like others, and ids of any size are kept as they are. Without any words all targets
 are 0 and nothing is taken. An empty table gives an empty result.
 """
 
@@ -146,11 +146,12 @@ def fly_and_land(p: list[float], size: list[float], rng: random.Random, landing:
     return land(out, size)
 
 
-_UNIT = "source string, place long, chunk long, chunks long, ratio double, size long, n long, _id long, key long, p double"
+# no column of these is null but the source: pandas turns integers with nulls into doubles, which lose large ids
+_UNIT = "source string, place long, chunk long, chunks long, ratio double, size long, n long, _id long, _none boolean, key long, p double"
 
 
 def _fly_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["size", "key", "_id"], ascending=[False, True, True], kind="stable")
+    pdf = pdf.sort_values(["size", "key", "_none", "_id"], ascending=[False, True, True, True], kind="stable")
     first = pdf.iloc[0]
     seed = (int(first["place"]) * 1_000_003 + int(first["chunk"])) * 1_000_003 + int(first["chunks"])
     size = pdf["size"].astype(float).tolist()
@@ -164,6 +165,7 @@ def _take(units: DataFrame, chunk: int, max_rounds: int = 60) -> DataFrame:
     exact = F.col("n") * F.col("ratio")
     whole = F.floor(exact + F.lit(EPS))
     units = units.withColumn("whole", whole).withColumn("p", F.greatest(exact - whole, F.lit(0.0)))
+    units = units.withColumn("_none", F.col("_id").isNull()).withColumn("_id", F.coalesce("_id", F.lit(0).cast("long")))
     settled = [units.where(F.col("p") <= EPS).drop("p").withColumn("extra", F.lit(0).cast("long"))]
     open_ = units.where(F.col("p") > EPS)
     sizes = open_.groupBy("place").agg(F.count(F.lit(1)).alias("m"))
@@ -171,7 +173,7 @@ def _take(units: DataFrame, chunk: int, max_rounds: int = 60) -> DataFrame:
         chunks = sizes.select("place", F.greatest(F.ceil(F.col("m") / chunk), F.lit(1)).cast("long").alias("chunks"))
         dealt = (open_.drop("chunks", "chunk").join(small(chunks, 48), "place")
                  .withColumn("chunk", F.pmod(F.xxhash64("key", "_id", "chunks"), F.col("chunks"))))
-        cols = ["source", "place", "chunk", "chunks", "ratio", "size", "n", "_id", "key", "p", "whole"]
+        cols = ["source", "place", "chunk", "chunks", "ratio", "size", "n", "_id", "_none", "key", "p", "whole"]
         flown = saved(dealt.select(cols).groupBy("place", "chunk").applyInPandas(_fly_chunk, _UNIT + ", whole long"), "mix")
         settled.append(flown.where((F.col("p") == 0) | (F.col("p") == 1))
                        .withColumn("extra", F.col("p").cast("long")).drop("p", "chunk", "chunks"))
@@ -184,7 +186,7 @@ def _take(units: DataFrame, chunk: int, max_rounds: int = 60) -> DataFrame:
     out = settled[0]
     for x in settled[1:]:
         out = out.unionByName(x)
-    return out.select("source", "size", "n", "_id", "key", (F.col("whole") + F.col("extra")).alias("taken"))
+    return out.select("source", "size", "n", F.when(~F.col("_none"), F.col("_id")).alias("_id"), "key", (F.col("whole") + F.col("extra")).alias("taken"))
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
