@@ -10,8 +10,9 @@ where ``e`` is what quantisation took from a vector; both norms are known for
 each vector, so a tile gives every pair an interval. A candidate survives if the
 top of its interval reaches the k-th largest bottom of its query; survivors are
 computed again from the original floats in double precision, dimension by
-dimension, and a heap per query keeps the ``k`` best through all super-blocks.
-No neighbour is lost: the result is exact.
+dimension, and a heap per query keeps the ``k`` best of a super-block; a ranking
+over the super-blocks' heaps ends it. No neighbour is lost: the result is exact.
+Bounds that overflow or underflow rule nothing out.
 
 Rows of a block pair grow with the block sizes only. Queries x candidates / block
 sizes tiles are the stated work of a query set against all rows.
@@ -31,14 +32,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import ship
 
-QUERY_BLOCK = 512
-BASE_BLOCK = 1 << 16
-PACK = 4096
+# Bytes of a block of queries and of one of candidates, as doubles. Every block
+# of candidates is sent once to each block of queries, so these are large.
+QUERY_BYTES = 8 << 20
+BASE_BYTES = 32 << 20
+# vectors packed into one row, queries and candidates in one tile
+PACK, TILE = 4096, 512
+TINY = 1e-300
 # products of int8 codes add up exactly in float32 for so many dimensions
 EXACT_DIMS = 1024
 
@@ -47,9 +52,10 @@ def encode(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     """int8 codes, scales, norms of the decoded vectors, norms of the errors."""
     x = x.astype(np.float64)
     scale = np.abs(x).max(axis=1) / 127.0
-    code = np.rint(x / scale[:, None]).astype(np.int8)
-    back = code * scale[:, None]
-    return code, scale, np.linalg.norm(back, axis=1), np.linalg.norm(x - back, axis=1)
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        code = np.where(scale[:, None] > 0, np.clip(np.rint(x / scale[:, None]), -127, 127), 0).astype(np.int8)
+        back = code * scale[:, None]
+        return code, scale, np.linalg.norm(back, axis=1), np.linalg.norm(x - back, axis=1)
 
 
 def code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -63,13 +69,15 @@ def code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def dot(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products of rows with ``q``, summed in the order of dimensions."""
     out = np.zeros(len(x))
-    for j in range(x.shape[1]):
-        out += x[:, j].astype(np.float64) * float(q[j])
+    with np.errstate(over="ignore", invalid="ignore"):
+        for j in range(x.shape[1]):
+            out += x[:, j].astype(np.float64) * float(q[j])
     return out
 
 
 class Heap:
-    """The ``k`` best (score, id) of one query: larger score, then smaller id."""
+    """The ``k`` best (score, id) of one query: larger score, then smaller id. A
+    score that overflows on both sides (NaN) is below all others."""
 
     def __init__(self, k: int):
         self.k, self.score, self.id = k, np.zeros(0), np.zeros(0, np.int64)
@@ -87,22 +95,29 @@ def search_block(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
     """The ``k`` best candidates of each query of a block, a tile at a time."""
     heaps = [Heap(k) for _ in qid]
     qc, qs, _, qe = encode(q)
-    qn = np.linalg.norm(q.astype(np.float64), axis=1)
+    with np.errstate(over="ignore"):
+        qn = np.linalg.norm(q.astype(np.float64), axis=1)
     for at in range(0, len(cid), rows):
         part, ids = c[at:at + rows], cid[at:at + rows]
         cc, cs, cn, ce = encode(part)
-        guess = code_products(qc, cc) * qs[:, None] * cs[None, :]
-        # the factor covers the rounding of these doubles themselves
-        slack = (qe[:, None] * cn[None, :] + qn[:, None] * ce[None, :]) * (1 + 1e-9) + 1e-12 * qn[:, None] * (cn + ce)[None, :]
-        guess[qid[:, None] == ids[None, :]] = -np.inf
-        low = guess - slack
+        with np.errstate(over="ignore", invalid="ignore"):
+            guess = code_products(qc, cc) * qs[:, None] * cs[None, :]
+            # the factor covers the rounding of these doubles themselves, the term the underflow of a product
+            slack = (qe[:, None] * cn[None, :] + qn[:, None] * ce[None, :]) * (1 + 1e-9) + 1e-12 * qn[:, None] * (cn + ce)[None, :] + TINY
+            low, high = guess - slack, guess + slack
+        # a bound that is no number rules nothing out
+        low[~np.isfinite(low)] = -np.inf
+        high[np.isnan(high)] = np.inf
+        own = qid[:, None] == ids[None, :]
+        low[own] = -np.inf
+        high[own] = -np.inf
         # the k-th bound counts candidates, so it needs each id once
         distinct = len(np.unique(ids)) == len(ids)
         for i, heap in enumerate(heaps):
             floor = np.partition(low[i], -k - 1)[-k - 1] if distinct and len(ids) > k else -np.inf
-            if len(heap.score) == k:
+            if len(heap.score) == k and not np.isnan(heap.score[-1]):
                 floor = max(floor, heap.score[-1])
-            live = np.flatnonzero((guess[i] + slack[i] >= floor) & (guess[i] > -np.inf))
+            live = np.flatnonzero((high[i] >= floor) & ~own[i])
             if len(live):
                 heap.offer(dot(part[live], q[i]), ids[live])
     return heaps
@@ -146,8 +161,8 @@ def _unpack(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.concatenate([np.frombuffer(x, "<f8").reshape(-1, d) for x in pdf["vecs"]])
 
 
-def nearest(queries: DataFrame, base: DataFrame, k: int = 20, *, query_block: int = QUERY_BLOCK,
-            base_block: int = BASE_BLOCK) -> DataFrame:
+def nearest(queries: DataFrame, base: DataFrame, k: int = 20, *, query_bytes: int = QUERY_BYTES,
+            base_bytes: int = BASE_BYTES) -> DataFrame:
     """``queries`` and ``base``: (id long, vector array). One row a neighbour:
     ``query_id, rank, vec_id, score``."""
     ship(base.sparkSession)
@@ -157,10 +172,12 @@ def nearest(queries: DataFrame, base: DataFrame, k: int = 20, *, query_block: in
         return (df.select(i.cast("long").alias("id"), v.cast("array<double>").alias("vec"))
                 .where(F.col("id").isNotNull() & usable(F.col("vec"))))
 
+    def blocks(df: DataFrame, size: int) -> int:
+        return max(1, -(-int(df.agg(F.sum(F.size("vec"))).first()[0] or 0) * 8 // size))
+
     queries, base = clean(queries), clean(base)
-    n_query = max(1, -(-queries.count() // query_block))
-    n_base = max(1, -(-base.count() // base_block))
-    q = (_packed(queries, query_block).withColumn("qb", F.pmod(F.xxhash64("nth"), F.lit(n_query)).cast("int"))
+    n_query, n_base = blocks(queries, query_bytes), blocks(base, base_bytes)
+    q = (_packed(queries, TILE).withColumn("qb", F.pmod(F.xxhash64("nth"), F.lit(n_query)).cast("int"))
          .withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(n_base - 1)))))
     c = (_packed(base, PACK).withColumn("bb", F.pmod(F.xxhash64("nth"), F.lit(n_base)).cast("int"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1)))))
@@ -172,7 +189,8 @@ def nearest(queries: DataFrame, base: DataFrame, k: int = 20, *, query_block: in
         qid, qv = _unpack(left)
         qid, first = np.unique(qid, return_index=True)
         cid, cv = _unpack(right)
-        heaps = search_block(qid, qv[first], cid, cv, k)
+        qv = qv[first]
+        heaps = [h for at in range(0, len(qid), TILE) for h in search_block(qid[at:at + TILE], qv[at:at + TILE], cid, cv, k)]
         return pd.DataFrame({"query_id": np.repeat(qid, [len(h.id) for h in heaps]),
                              "vec_id": np.concatenate([h.id for h in heaps]),
                              "score": np.concatenate([h.score for h in heaps])})
@@ -180,13 +198,12 @@ def nearest(queries: DataFrame, base: DataFrame, k: int = 20, *, query_block: in
     found = (q.groupBy("dim", "qb", "bb").cogroup(c.groupBy("dim", "qb", "bb"))
              .applyInPandas(meet, "query_id long, vec_id long, score double"))
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        heap = Heap(k)
-        heap.offer(pdf["score"].to_numpy(), pdf["vec_id"].to_numpy())
-        return pd.DataFrame({"query_id": pdf["query_id"].iloc[0], "rank": np.arange(1, len(heap.id) + 1, dtype=np.int32),
-                             "vec_id": heap.id, "score": heap.score})
-
-    return found.groupBy("query_id").applyInPandas(merge, "query_id long, rank int, vec_id long, score double")
+    # at most ``k`` rows a query and block of candidates
+    best = F.max(F.when(~F.isnan("score"), F.col("score")))
+    each = found.groupBy("query_id", "vec_id").agg(best.alias("s"))
+    order = Window.partitionBy("query_id").orderBy(F.col("s").desc_nulls_last(), "vec_id")
+    return (each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", F.coalesce("s", F.lit(float("nan"))).alias("score")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
