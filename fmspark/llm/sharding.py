@@ -21,6 +21,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fmspark.functions.ordered import numbered
+
 from .common import documents, saved, small
 
 LIMIT = 16 * 1024 * 1024
@@ -66,16 +68,17 @@ def shard(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", li
     """A written table ``_id, size, shard`` (bits of the prefix, as text),
     ``depth, shard_bytes, shard_rows, oversized``."""
     rows = saved(docs.select(F.col(id_col).alias("_id"), (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + row_bytes)
-                             .cast("long").alias("size"), F.xxhash64(F.col(id_col)).alias("h1"),
-                             F.monotonically_increasing_id().alias("nth"))
-                 .withColumn("h2", F.xxhash64(F.lit(1), "nth")).drop("nth"), "rows")
+                             .cast("long").alias("size"), F.xxhash64(F.col(id_col)).alias("h1"), F.xxhash64(F.col(text_col)).alias("text")), "rows")
     total = rows.agg(F.sum("size")).first()[0] or 0
     first = max(1, min(24, math.ceil(math.log2(max(1.0, total / limit))) + 3))
     leaves, left = _split(rows.select(F.lit(0).cast("long").alias("node"), "h1", "size"), "h1", limit, first, 63)
     out = [_assign(rows, leaves, "h1", F.lit(0).cast("long"), "")]
     if left is not None and not left.isEmpty():  # many rows with one hash: on to their own bits
         node = _prefix(F.col("h1"), F.lit(63))
-        deep = saved(rows.withColumn("node", node).join(small(left.select(F.col("prefix").alias("node")), 32), "node", "left_semi"), "deep")
+        deep = rows.withColumn("node", node).join(small(left.select(F.col("prefix").alias("node")), 32), "node", "left_semi")
+        # told apart by text, equal rows by a number: the same shards in any order of the rows
+        deep = numbered(deep.withColumn("row", F.monotonically_increasing_id()), [F.col("row")], by=["node", "text"], out_col="nth")
+        deep = saved(deep.withColumn("h2", F.xxhash64(F.lit(1), "text", "nth")).drop("row", "nth"), "deep")
         more, _ = _split(deep.select("node", "h2", "size"), "h2", limit, STEP, 63)
         out.append(_assign(deep.drop("node"), more, "h2", node, "h1"))
     result = out[0]
