@@ -3,8 +3,8 @@
 Three steps a kind: a regular expression proposes spans, a validator confirms
 them (digit counts, octets, the Luhn sum of card numbers, the mod-97 remainder
 of bank accounts), and context words next to a span adjust its score. Spans of
-the kinds ``email, ip, card, phone`` are kept whenever they are valid; ``iban``
-and ``ssn`` only with a score of ``min_score`` or more, which a valid check sum
+the kinds ``email, ip, card, phone`` are kept whenever they are valid; ``iban``,
+``ssn`` and ``secret`` (keys and tokens) only with a score of ``min_score`` or more, which a valid check sum
 or a context word gives.
 
 Positions come without a loop over characters: splitting a text by the same
@@ -54,6 +54,10 @@ KINDS = (
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?![A-Za-z0-9])",
          0.8, "iban|account|bank|konto", base=False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.3, "ssn|social security", "-", base=False),
+    # a named value, or one with the prefix of a known issuer
+    Kind("secret", r"(?:(?i:\b(?:token|secret|password|passwd|(?:api|access|private)[_-]?key))\x20?[=:]\x20?[\x22\x27]?[A-Za-z0-9_+/=.-]{16,}+"
+         r"|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}+|-----BEGIN\x20[A-Z\x20]{0,20}PRIVATE\x20KEY-----)",
+         0.7, "login|credential|auth|deploy", base=False),
 )
 
 
@@ -90,6 +94,7 @@ def _valid(kind: str, s: Column) -> Column:
         "phone": n.between(9, 15),
         "iban": mod97(s) == 1,
         "ssn": ~s.rlike("^(?:000|666|9)|-00-|-0000$"),
+        "secret": s.rlike("^-----BEGIN|[0-9].*[0-9]"),
     }[kind]
 
 
@@ -168,30 +173,52 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+# Spans looked through together, and code points of a part of a text, in `mask`.
+_SPANS, _CHARS = 128, 1024
+
+
+def _reach(chunks: Column) -> Column:
+    """``chunks`` (lists of spans) with the greatest end before each of them."""
+    ends = F.transform(chunks, lambda c: F.array_max(F.transform(c, lambda s: s["end"])))
+    before = F.aggregate(ends, F.array(F.lit(0)), lambda acc, e: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), e))))
+    return F.transform(chunks, lambda c, i: F.struct(c.alias("c"), F.get(before, i).alias("reach")))
+
+
+def _between(parts: Column, a: Column, b: Column) -> Column:
+    """Code points ``a`` to ``b`` of a text given as parts of ``_CHARS`` each."""
+    i, j = F.floor(a / _CHARS).cast("int"), F.floor((b - 1) / _CHARS).cast("int")
+    one = F.substr(F.get(parts, i), a % _CHARS + 1, b - a)
+    more = F.concat(F.substr(F.get(parts, i), a % _CHARS + 1, F.lit(_CHARS)), F.array_join(F.slice(parts, i + 2, j - i - 1), ""),
+                    F.substr(F.get(parts, j), F.lit(1), (b - 1) % _CHARS + 1))
+    return F.when(b <= a, "").when(i == j, one).otherwise(more)
+
+
 def mask(df: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """``df`` with every span in ``text_col`` replaced by ``<KIND>``; where spans
-    overlap, their union by the kind of the first."""
-    spans, cut = free_name(df, "_spans"), free_name(df, "_cut")
+    overlap, their union by the kind of the first. A span looks at the ends of
+    its own ``_SPANS`` neighbours and at one number for all before them, and is
+    cut out of a part of the text, so work grows with the text and its spans."""
+    spans, cut, parts = free_name(df, "_spans"), free_name(df, "_cut"), free_name(df, "_parts")
     step = find_spans(df, text_col, spans, **how)
+    text, found = F.col(text_col), F.size(spans) > 0
     in_order = F.array_sort(F.transform(F.col(spans), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        return (F.when(F.size(acc) == 0, F.array(s))
-                .when(s["start"] < last["end"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined)))
-                .otherwise(F.concat(acc, F.array(s))))
-
-    step = step.withColumn(cut, F.when(F.size(spans) > 0, F.aggregate(in_order, empty, merge)))
-    text, c = F.col(text_col), F.col(cut)
-    pieces = F.transform(c, lambda s, i: F.concat(
-        F.substr(text, F.when(i == 0, F.lit(0)).otherwise(F.get(c, i - 1)["end"]) + 1,
-                 s["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get(c, i - 1)["end"])),
-        F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-    tail = F.substr(text, F.element_at(c, -1)["end"] + 1, F.length(text))
-    masked = F.when(c.isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), tail))
-    return step.withColumn(text_col, masked).select(*[F.col(f"`{x}`") for x in df.columns])
+    step = step.withColumns({cut: F.when(found, in_order), parts: F.when(found, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHARS}}}"), F.lit(0)))})
+    numbers = F.sequence(F.lit(0), F.floor((F.size(cut) - 1) / _SPANS).cast("int"))
+    step = step.withColumn(cut, F.when(F.col(cut).isNotNull(), F.transform(numbers, lambda k: F.slice(F.col(cut), k * _SPANS + 1, F.lit(_SPANS)))))
+    step = step.withColumn(cut, F.when(F.col(cut).isNotNull(), _reach(F.col(cut))))
+
+    def shown(chunk: Column) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            own = F.array_max(F.transform(F.slice(chunk["c"], F.lit(1), i), lambda x: x["end"]))
+            before = F.greatest(chunk["reach"], own)  # a null is passed over
+            return F.when(s["start"] >= before, F.concat(_between(F.col(parts), before, s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise("")
+        return F.array_join(F.transform(chunk["c"], one), "")
+
+    last = F.element_at(cut, -1)
+    end = F.greatest(last["reach"], F.array_max(F.transform(last["c"], lambda s: s["end"])))
+    masked = F.concat(F.array_join(F.transform(F.col(cut), shown), ""), _between(F.col(parts), end, F.length(text)))
+    step = step.withColumn(text_col, F.when(F.col(cut).isNull(), text).otherwise(masked))
+    return step.select(*[F.col(f"`{x}`") for x in df.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,4 +227,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[count_of(F.col("spans"), k.name).alias(f"n_{k.name}") for k in KINDS if k.base],
         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: F.round(s["score"], 2).cast("string")), ",").alias("scores"),
         *[count_of(F.col("spans"), k.name).alias(f"n_{k.name}") for k in KINDS if not k.base])

@@ -93,6 +93,17 @@ def test_mix_meets_targets_and_agrees(spark):
     assert M.mixed(docs.limit(0)).count() == 0
 
 
+def test_mix_keeps_large_ids_beside_null_ones(spark):
+    rows = [(2 ** 53 + 2 * i + 1, f"text {i} " * (1 + i % 9), "s") for i in range(60)] + [(None, "no id", "s"), (None, "nor here", "s"), (0, "no id", "s")]
+    rows += [(i, "w " * 90, "t") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    units, _ = M.mix(docs)
+    assert {(r._id, r.source) for r in units.collect()} == {(i, s) for i, _, s in rows}
+    out = M.mixed(docs)
+    assert out.count() == units.agg(F.sum("taken")).first()[0] > 9
+    assert {(r.doc_id, r.text) for r in out.collect()} <= {(i, t) for i, t, _ in rows}
+
+
 def test_mix_query_shape(spark):
     rows = M.query(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
@@ -130,12 +141,28 @@ def test_nearest_is_exact(spark):
     rows += [(1000, None), (1001, [0.0] * 16), (1002, [float("nan")] + [1.0] * 15), (1003, [None] + [1.0] * 15), (1004, [float("inf")] * 16),
              (None, [1.0] * 16), (1005, [1.0] * 8), (1020, [2.0] * 8), (40, vecs[40].tolist()), (60, vecs[60].tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
-    for query_block, base_block in ((512, 1 << 16), (4, 64)):
-        got = N.nearest(df.where("vec_id % 20 = 0"), df, 20, query_block=query_block, base_block=base_block).collect()
+    for query_bytes, base_bytes in ((N.QUERY_BYTES, N.BASE_BYTES), (512, 8192)):
+        got = N.nearest(df.where("vec_id % 20 = 0"), df, 20, query_bytes=query_bytes, base_bytes=base_bytes).collect()
         assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == plain_nearest(rows, 20)
     assert N.nearest(df.limit(0), df).count() == 0
 
 
+def test_nearest_of_extreme_magnitudes(spark):
+    rows = [(0, [1e-322, 2e-322]), (20, [1e200, 1e200]), (40, [1e200, -1e200]), (60, [1.5e308, 5e-324])]
+    rows += [(1, [1.0, 2.0]), (2, [1e-322, 1e-322]), (3, [1e200, 3.0]), (4, [-1e200, 1e200]), (5, [5e-324, 5e-324]), (6, [1e160, -1e160])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = N.nearest(df.where("vec_id % 20 = 0"), df, 20).collect()
+    for q, v in rows[:4]:
+        found = []
+        for c, w in rows:
+            if c != q:
+                with np.errstate(over="ignore", invalid="ignore"):
+                    found.append((c, float(np.float64(w[0]) * v[0] + np.float64(w[1]) * v[1])))
+        want = sorted(found, key=lambda x: (x[1] != x[1], -x[1] if x[1] == x[1] else 0.0, x[0]))
+        mine = sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])
+        assert [(r.vec_id, str(r.score)) for r in mine] == [(c, str(x)) for c, x in want]
+
+
 def test_quantised_bounds_hold():
     rng = np.random.default_rng(2)
     x, y = rng.normal(size=(40, 1500)), rng.normal(size=(60, 1500)) * 10
@@ -168,6 +195,53 @@ def test_shards_fit_and_split_only_when_needed(spark):
     assert {r.shard for r in S.shard(docs, limit=1 << 40).collect()} == {""}
 
 
+def test_shards_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(7, f"text {i % 40} " * 20) for i in range(600)] + [(i, "x" * 300) for i in range(100)] + [(None, "no id " * 30)] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    a, b = (sorted((r._id is None, r._id, r.shard, r["size"]) for r in S.shard(d, limit=10_000).collect())
+            for d in (docs.repartition(2), docs.repartition(11).orderBy("text")))
+    assert [tuple(map(str, x)) for x in a] == [tuple(map(str, x)) for x in b] and len({x[2] for x in a}) > 10
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    """What the first three stages keep and write, by plain definitions."""
+    import corpus_pipeline as C
+    from test_dedup import links_of, roots
+    from test_filters import plain_spans
+
+    from fmspark.llm import quality_rules as Q
+    from fmspark.llm import textvec as T
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = C.saved(C.quality(spark, docs, SF), "good")
+    assert {r.doc_id for r in good.collect()} == {r.doc_id for r in Q.query(spark, SF).where("kept").collect()}
+    texts = {r.doc_id: r.text for r in good.collect()}
+    assert all(len(t.encode().split()) >= 50 for t in texts.values())
+    one = C.saved(C.deduplicate(spark, good, SF), "one")
+    bags = {i: T.bag_of(t) for i, t in texts.items()}
+    assert {r.doc_id for r in one.collect()} == set(roots(bags, links_of(bags, T.weighted_jaccard)).values())
+    for r in C.redact(spark, one, SF).collect():
+        assert not plain_spans(r.text)
+        if not plain_spans(texts[r.doc_id]):
+            assert r.text == texts[r.doc_id] or "<SECRET>" in r.text or "<IBAN>" in r.text or "<SSN>" in r.text
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline as C
+    long = [" ".join(f"w{i}x{j}" for j in range(80)) for i in range(6)]
+    rows = [(None, long[0], None, None, None), (1, long[1], "en", "s", 3), (1, long[2], "en", "s", 3), (2, long[1], None, None, 3), (2, long[1], None, None, 3),
+            (3, None, "en", "s", 0), (4, "", "en", "s", 0), (5, long[3] + " mail a.b@c.de", "en", None, 9), (None, None, None, None, None)]
+    docs = spark.createDataFrame([(*r, "c", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, _row string, size int")
+    for table in (docs, docs.limit(0)):
+        before = table
+        for name, stage in C.STAGES[:-1]:
+            before = C.saved(stage(spark, before, SF), "odd")
+            assert before.columns == docs.columns, name
+        out = C.STAGES[-1][1](spark, before, SF)
+        assert out.count() >= before.count() and (before.count() > 0) == (table.count() > 0)
+    kept = C.saved(C.quality(spark, docs, SF), "odd")
+    assert {r.text for r in C.deduplicate(spark, kept, SF).collect()} == {r.text for r in kept.collect()}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as C
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
