@@ -244,14 +244,19 @@ def fit(rows: DataFrame, width: int, *, method: str = DF.FM_SPARK_METHOD, dim_k:
 
     train = prepared(rows, "fm-rows", n_batches)
     held = prepared(valid, "fm-valid", n_batches) if method == "sgda" else None
-    state = materialize(initial_state(spark, width, dim_k, init_stdev, strengths, groups, seed), "fm-state")
+    files = 1 + width * dim_k // 500_000  # of the state table
+
+    def kept_state(df: DataFrame) -> DataFrame:
+        return materialize(df.coalesce(files), "fm-state")
+
+    state = kept_state(initial_state(spark, width, dim_k, init_stdev, strengths, groups, seed))
     history, adapted, kept = [], [], {}
     for it in range(1, iter_num + 1):
         grads = fm_gradients(train.where(F.col("batch") == (it - 1) % n_batches), state, dim_k, width=width, key="key")
-        state = materialize(_step(state, grads, dim_k, learn_rate, it if method == "adamW" else 0, fit_bias, fit_linear), "fm-state")
+        state = kept_state(_step(state, grads, dim_k, learn_rate, it if method == "adamW" else 0, fit_bias, fit_linear))
         if method == "sgda":
             vg = fm_gradients(held.where(F.col("batch") == (it - 1) % n_batches), state, dim_k, width=width, key="key")
-            state = materialize(_adapted(state, vg, dim_k, learn_rate, reg_rate if reg_rate is not None else learn_rate), "fm-state")
+            state = kept_state(_adapted(state, vg, dim_k, learn_rate, reg_rate if reg_rate is not None else learn_rate))
             adapted += [(it, r.grp, r.r1, r.r2) for r in state.groupBy("grp").agg(F.min("r1").alias("r1"), F.min("r2").alias("r2")).orderBy("grp").limit(1000).collect()]
         b = state.where(F.col("idx") == BIAS).select("loss", "rows").first()
         history.append((b.loss or 0.0) / max(1, b.rows or 0))

@@ -583,7 +583,7 @@ def fm_fit_adamw(spark, sf):
 @query
 def fm_fit_sgd(spark, sf):
     """E1a (rows-only): gradient steps over mini-batches."""
-    return _fit_report(spark, sf, "sgd", iters=100, step=4.0)
+    return _fit_report(spark, sf, "sgd", iters=50, step=4.0)
 
 
 @query
@@ -592,7 +592,7 @@ def fm_fit_sgda(spark, sf):
     a validation split."""
     _, te, _, _ = planted = _planted(spark, sf)
     tr, va = D.split(planted[0], "order_id", 0.8, seed=1)
-    return _fit_report(spark, sf, "sgda", iters=50, step=4.0, extra={"valid": va, "reg": 0.01, "reg_rate": 0.01}, rows=(tr, te, *planted[2:]))
+    return _fit_report(spark, sf, "sgda", iters=30, step=4.0, extra={"valid": va, "reg": 0.01, "reg_rate": 0.01}, rows=(tr, te, *planted[2:]))
 
 
 @query
