@@ -2,28 +2,15 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fmspark.session import materialize, maybe_broadcast
+from fmspark.session import materialize, maybe_broadcast, ship  # noqa: F401
 
 # What one broadcast may hold; larger sides go through a shuffle join.
 SMALL_SIDE_BYTES = 16 * 1024 * 1024
 
 
-def ship(spark: SparkSession) -> None:
-    """Let Python workers find this package when the driver's own import path
-    does not reach them (a local session started from another folder). Where
-    the package is installed on the executors this changes nothing."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    known = env.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in known:
-        env["PYTHONPATH"] = os.pathsep.join([p for p in known if p] + [root])
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back:
     evaluated once, and kept when executors are lost."""

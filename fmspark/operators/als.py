@@ -26,41 +26,107 @@ from __future__ import annotations
 import math
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fmspark import defaults as DF
+from fmspark.functions import inrow as B
 from fmspark.functions import sparse as S
 from fmspark.functions.random import normal
-from fmspark.operators.fm_train import BIAS, arrays_of
-from fmspark.operators.fm_train import in_row as scored_rows
+from fmspark.operators.fm_train import BIAS, NO_INDEX, Arrays, arrays_of, items_of
 from fmspark.session import broadcast_budget, collect_bounded, ensure_checkpoint_dir, materialize, maybe_broadcast
 
+
+def _residuals(b: pa.RecordBatch, arrays: Arrays) -> tuple:
+    """Of a batch of rows (y, features): row number, index, value and items of the
+    features, row sums and residuals (0 for a row without a label)."""
+    n, row, idx, x, items = items_of(b.column("features"))
+    q, yhat = arrays.score(row, idx, x, n)
+    y = b.column("y")
+    e = pc.fill_null(y, 0.0).to_numpy(zero_copy_only=False) - yhat
+    return row, idx, x, items, q, np.where(pc.is_valid(y).to_numpy(zero_copy_only=False), e, 0.0)
+
+
 def als_sums(rows: DataFrame, params: DataFrame, k: int, width: int, field: int, factor: int | None, *, key: str = "row_id") -> DataFrame:
     """``idx, num, den`` of one coordinate update of a field: of its weights, or of
     its factors number ``factor``; the new value is ``num / (den + reg)``. ``rows``:
     (key, y, features with ``idx, val, fld``), ``params``: (idx, w, v), bias at
     ``BIAS``. A row scores itself, so neither residuals nor row sums are stored,
-    and only ``num`` and ``den`` leave it."""
+    and only ``num`` and ``den`` leave it, added up over a batch of rows."""
     arrays = arrays_of(params, k, width)
-    j = scored_rows(rows, arrays, k, "features").withColumn("_e", F.col("y") - F.col("_yhat"))
-    j = j.select("_e", "_q", F.explode(F.filter("_f", lambda p: p["fld"] == field)).alias("_p"))
-    j = j.select("_e", "_q", F.col("_p.idx").alias("idx"), F.col("_p.val").alias("x"))
-    if factor is None:
-        sums = j.groupBy("idx").agg(F.sum(F.col("_e") * F.col("x")).alias("eh"), F.sum(F.col("x") * F.col("x")).alias("den"))
-        old = F.col("w")
-    else:
+    own = None
+    if factor is not None:
         # h = x (q - v x) needs the index's own factor, which is the same for all its rows
-        q = F.get("_q", F.lit(factor))
-        own, _ = maybe_broadcast(params.where("idx >= 0").select(F.col("idx").alias("_i"), F.get("v", F.lit(factor)).alias("_v")), 24, known_rows=width)
-        j = j.join(own, F.col("idx") == F.col("_i"))
-        h = F.col("x") * (q - F.col("_v") * F.col("x"))
-        sums = j.select("idx", "_e", h.alias("h")).groupBy("idx").agg(F.sum(F.col("_e") * F.col("h")).alias("eh"), F.sum(F.col("h") * F.col("h")).alias("den"))
-        old = F.get("v", F.lit(factor))
+        v = params.where("idx >= 0").select(F.col("idx").cast("long").alias("i"), F.get("v", F.lit(factor)).alias("v"))
+        t = v.where("v is not null").groupBy("i").agg(F.count(F.lit(1)).alias("c"), F.sum("v").alias("v"), F.sum(F.col("v") * F.col("v")).alias("vv")).orderBy("i").toArrow()
+        own = [t[c].to_numpy() for c in ("i", "c", "v", "vv")]
+
+    def share(b: pa.RecordBatch) -> dict:
+        row, idx, x, items, q, e = _residuals(b, arrays)
+        here = B.field(items, "fld", NO_INDEX) == field
+        if own is not None:
+            at, known = B.find(own[0], idx)
+            here &= known
+            c, v, vv = (o[at[here]] for o in own[1:])
+        row, idx, x = row[here], idx[here], x[here]
+        found, place = B.distinct(idx)
+        if own is None:
+            eh, den = e[row] * x, x * x
+        else:
+            r = q[row, factor]
+            eh, den = e[row] * x * (c * r - v * x), x * x * (c * r * r - 2 * v * x * r + vv * x * x)
+        return {"idx": found, "eh": B.totals(place, eh, len(found)), "den": B.totals(place, den, len(found))}
+
+    sums = B.by_batch(rows.select("y", "features"), "idx long, eh double, den double", share).groupBy(F.col("idx").cast("int").alias("idx")).agg(F.sum("eh").alias("eh"), F.sum("den").alias("den"))
+    old = F.col("w") if factor is None else F.get("v", F.lit(factor))
     p = params.select(F.col("idx").alias("_i"), "w", "v")
     return sums.join(p, F.col("idx") == F.col("_i")).select("idx", (F.col("eh") + old * F.col("den")).alias("num"), "den")
 
 
+def field_updates(rows: DataFrame, params: DataFrame, k: int, width: int, field: int, r1: float, r2: float) -> DataFrame:
+    """``idx, w, v``: a field's parameters after the updates of its weights and of
+    its factors 0 to ``k - 1``, one after the other, in one pass over the rows.
+
+    Where a row holds one feature of the field at most, its score is linear in that
+    feature's parameters ``t``, with the inputs ``z = x (1, q - v x)`` free of them.
+    So ``A = sum z z'`` and ``b = sum z (e + z t)``, summed over the rows of an
+    index, hold all that its updates need: update ``f`` is
+    ``(b_f - sum_{g != f} A_fg t_g) / (A_ff + reg)``."""
+    arrays = arrays_of(params, k, width)
+    m = k + 1
+    names = [f"a{f}_{g}" for f in range(m) for g in range(f + 1)] + [f"b{f}" for f in range(m)]
+
+    def share(b: pa.RecordBatch) -> dict:
+        row, idx, x, items, q, e = _residuals(b, arrays)
+        here = B.field(items, "fld", NO_INDEX) == field
+        row, idx, x = row[here], idx[here], x[here]
+        found, place = B.distinct(idx)
+        t = np.column_stack([arrays.w[idx], arrays.v[idx]])
+        z = x[:, None] * np.column_stack([np.ones(len(x)), q[row] - t[:, 1:] * x[:, None]])
+        r = e[row] + (z * t).sum(axis=1)
+        # a row without a label has no residual, but its inputs count
+        r = np.where(pc.is_valid(b.column("y")).to_numpy(zero_copy_only=False)[row], r, (z * t).sum(axis=1))
+        sums = [B.totals(place, z[:, f] * z[:, g], len(found)) for f in range(m) for g in range(f + 1)] + [B.totals(place, z[:, f] * r, len(found)) for f in range(m)]
+        return {"idx": found} | dict(zip(names, sums))
+
+    def solve(b: pa.RecordBatch) -> dict:
+        c = {n: b.column(n).to_numpy(zero_copy_only=False) for n in names}
+        idx = b.column("idx").to_numpy(zero_copy_only=False)
+        t = np.column_stack([arrays.w[idx], arrays.v[idx]])
+        for f in range(m):
+            num = c[f"b{f}"] - sum((c[f"a{max(f, g)}_{min(f, g)}"] * t[:, g] for g in range(m) if g != f), np.zeros(len(idx)))
+            den = c[f"a{f}_{f}"] + (r1 if f == 0 else r2)
+            t[:, f] = np.divide(num, den, out=np.zeros(len(idx)), where=den != 0)
+        return {"idx": pa.array(idx, pa.int32()), "w": t[:, 0], "v": B.lists(np.full(len(idx), k), pa.array(t[:, 1:].reshape(-1)))}
+
+    sums = B.by_batch(rows.select("y", "features"), "idx long, " + ", ".join(f"{n} double" for n in names), share).groupBy("idx").agg(*[F.sum(n).alias(n) for n in names])
+    return B.by_batch(sums, "idx int, w double, v array<double>", solve)
+
+
 def _replaced(factor: int) -> Column:
     """``v`` with ``_t``, where there is one, as its value number ``factor``."""
     return F.transform("v", lambda x, i: F.when(i == factor, F.coalesce(F.col("_t"), x)).otherwise(x))
@@ -68,15 +134,39 @@ def _replaced(factor: int) -> Column:
 
 def with_fields(rows: DataFrame, field_map: DataFrame, *, key: str = "row_id", label: str = "label", features: str = "features") -> DataFrame:
     """``key, y`` (-1 or 1) ``, features`` with the field of each: one row a
-    training row, written once. A feature that the field map lacks raises."""
+    training row, written once. A feature that the field map lacks raises. A field
+    map that fits a broadcast is looked up inside the row; a larger one is joined to
+    the exploded pairs, as are rows that share key and label, which become one."""
     fmap = field_map.select(F.col("idx").cast("int").alias("idx"), F.col("field").cast("int").alias("fld"))
-    fmap_b, _ = maybe_broadcast(fmap, row_bytes=16)
+    fmap_b, small = maybe_broadcast(fmap, row_bytes=16)
     y = F.when(F.col(label).cast("double") == 0, F.lit(-1.0)).otherwise(F.signum(F.col(label).cast("double")))
-    ex = rows.select(key, y.alias("y"), F.posexplode_outer(S.drop_zero(features)).alias("_n", "_p")).select(key, "y", "_n", "_p.idx", F.col("_p.val").alias("val"))
-    ex = ex.join(fmap_b, "idx", "left").withColumn("fld", S.field_of("fld", "idx"))
+    base = rows.select(key, y.alias("y"), S.drop_zero(features).alias("features"))
+    table = B.by_index(fmap, "idx") if small else None
+    if table is None:
+        return materialize(_fields_joined(base, fmap_b, key), "als-rows")
+    known, fld = table["idx"].to_numpy(), table["fld"].combine_chunks()
+
+    def look_up(b: pa.RecordBatch) -> dict:
+        n, row, items = B.flat(b.column("features"))
+        idx = pc.struct_field(items, "idx")
+        there = pc.is_valid(idx).to_numpy(zero_copy_only=False)
+        n, idx, val = np.bincount(row[there], minlength=len(n)), idx.drop_null().to_numpy(zero_copy_only=False), pc.struct_field(items, "val").cast(pa.float64()).filter(pa.array(there))
+        at, found = B.find(known, idx)
+        own = fld.take(pa.array(at, mask=~found))
+        if own.null_count:
+            raise ValueError(f"feature without a field in the field map: {idx[pc.index(pc.is_null(own), True).as_py()]}")
+        return {c: b.column(c) for c in (key, "y")} | {"features": B.lists(n, pa.StructArray.from_arrays([pa.array(idx, pa.int32()), val, own], names=["idx", "val", "fld"]))}
+
+    schema = T.StructType([base.schema[key], base.schema["y"], T.StructField("features", T.ArrayType(T._parse_datatype_string("idx int, val double, fld int")))])
+    return B.one_row_a_key(B.by_batch(base, schema, look_up), [key, "y"], base, lambda df: _fields_joined(df, fmap_b, key), "als-rows")
+
+
+def _fields_joined(base: DataFrame, fmap: DataFrame, key: str) -> DataFrame:
+    ex = base.select(key, "y", F.posexplode_outer("features").alias("_n", "_p")).select(key, "y", "_n", "_p.idx", F.col("_p.val").alias("val"))
+    ex = ex.join(fmap, "idx", "left").withColumn("fld", S.field_of("fld", "idx"))
     item = F.when(F.col("idx").isNotNull(), F.struct("_n", "idx", F.col("val").cast("double").alias("val"), "fld"))
     out = ex.groupBy(key, "y").agg(F.array_sort(F.collect_list(item)).alias("l"))  # of one row
-    return materialize(out.select(key, "y", F.transform("l", lambda p: F.struct(p["idx"].alias("idx"), p["val"].alias("val"), p["fld"].alias("fld"))).alias("features")), "als-rows")
+    return out.select(key, "y", F.transform("l", lambda p: F.struct(p["idx"].alias("idx"), p["val"].alias("val"), p["fld"].alias("fld"))).alias("features"))
 
 
 def fit_als(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps: int = 3,
@@ -89,11 +179,13 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps
     to {-1,1}. A feature that the field map lacks raises: put into one field,
     several of them could stand in one row.
 
-    Rows are written once, a row a training row, and never again: an update is one
-    pass that scores rows from the parameters (three arrays in one row, proven to
-    fit a broadcast) and adds up two numbers an index; only the parameters, a row
-    an index, are written between updates. Parameters beyond the broadcast budget
-    are joined instead (``fit_als_joined``)."""
+    Rows are written once, a row a training row, and never again: all updates of a
+    field are one pass (``field_updates``) that scores rows from the parameters
+    (arrays proven to fit a broadcast) and adds up the numbers they need of an
+    index; only the parameters, a row an index, are written between fields. Where a
+    row holds several features of a field, each update is a pass of its own
+    (``als_sums``). Parameters beyond the broadcast budget are joined instead
+    (``fit_als_joined``)."""
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     top = field_map.agg(F.max("idx")).first()[0]
@@ -111,14 +203,26 @@ def fit_als(rows: DataFrame, field_map: DataFrame, k: int = DF.FM_DIM, *, sweeps
     params = materialize(used.select("idx", F.lit(0.0).alias("w"), init.alias("v")).unionByName(bias_row), "als-params")
 
     def residual_sums(power: int) -> float:
-        e = F.col("y") - F.col("_yhat")
-        return scored_rows(data, arrays_of(params, k, width), k, "features").agg(F.sum(e if power == 1 else e * e)).first()[0] or 0.0
+        arrays = arrays_of(params, k, width)
+        each = B.by_batch(data.select("y", "features"), "s double", lambda b: {"s": [float((_residuals(b, arrays)[-1] ** power).sum())]})
+        return each.agg(F.sum("s")).first()[0] or 0.0
+
+    # two features of a field in one row, or an index of two fields: no blocks
+    single = not data.where(F.size(F.array_distinct(F.transform("features", lambda p: p["fld"]))) < F.size("features")).limit(1).count()
+    single = single and used.count() == used.select("idx").distinct().count()
 
     w0, history = 0.0, []
     for _ in range(sweeps):
         w0 = (residual_sums(1) + n_rows * w0) / (n_rows + r0) if n_rows + r0 else 0.0
         params = materialize(params.withColumn("w", F.when(F.col("idx") == BIAS, F.lit(w0)).otherwise(F.col("w"))), "als-params")
         for fld in fields:
+            if single:
+                new = field_updates(data, params, k, width, fld, float(r1), float(r2)).select(F.col("idx").alias("_i"), F.col("w").alias("_w"), F.col("v").alias("_v"))
+                j = params.join(new, F.col("idx") == F.col("_i"), "left")
+                params = materialize(j.select("idx", F.coalesce("_w", "w").alias("w"), F.coalesce("_v", "v").alias("v")), "als-params")
+                for f in (None, *range(k)) if log else ():
+                    log(f"field {fld} {'linear' if f is None else f'factor {f}'}")
+                continue
             for f in (None, *range(k)):
                 s = als_sums(data, params, k, width, fld, f, key=key)
                 new = F.try_divide(F.col("num"), F.col("den") + F.lit(float(r1 if f is None else r2)))

@@ -9,10 +9,10 @@ Scoring inside the row: with ``q_f = sum_i v_if x_i`` the score is
 ``w0 + sum_i w_i x_i + 1/2 sum_f (q_f^2 - sum_i v_if^2 x_i^2)``, and for a row
 with loss derivative ``g`` the gradient of ``w_i`` is ``g x_i`` and that of
 ``v_if`` is ``g x_i q_f - v_if g x_i^2``. So an index needs ``k + 2`` sums over
-its rows, whatever their number; what crosses the network is those sums, one row
-an index and task. Parameters reach the rows as three arrays in one row, proven
-to fit a broadcast; beyond that they are joined by index (``_by_join``), with the
-same result.
+its rows, whatever their number; a batch of rows adds them up with numpy, and what
+crosses the network is those sums, one row an index and task. Parameters reach
+the tasks as arrays, proven to fit a broadcast; beyond that they are joined by
+index (``_by_join``), with the same result.
 
 Methods of ``fit``:
 
@@ -34,45 +34,77 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fmspark import defaults as DF
+from fmspark.functions import inrow as B
 from fmspark.functions.random import normal
 from fmspark.session import broadcast_budget, materialize
 
 BIAS = -1
+NO_INDEX = -(1 << 62)
 BETA1, BETA2, ADAM_EPS = 0.9, 0.999, 1e-8
 SGD_MINI_BATCH = 0.1
 
 
 # ---------------------------------------------------------------- scoring in the row
-def arrays_of(params: DataFrame, k: int, width: int) -> DataFrame:
-    """One row ``_one, _w0, _w, _v, _s``: bias, weights by index, factors (``k`` an
-    index) and their squared lengths. ``params``: (idx, w, v), bias at ``BIAS``."""
-    full = params.sparkSession.range(width).select(F.col("id").cast("int").alias("idx")).join(params.where(F.col("idx") >= 0), "idx", "left")
-    zeros = F.array_repeat(F.lit(0.0), k)
-    item = F.struct("idx", F.coalesce("w", F.lit(0.0)).alias("w"), F.coalesce("v", zeros).alias("v"))
-    bias = params.where(F.col("idx") == BIAS).select(F.lit(BIAS).alias("idx"), F.coalesce("w", F.lit(0.0)).alias("w"), zeros.alias("v")).select(F.struct("*").alias("i"))
-    rows = full.select(item.alias("i")).unionByName(bias).agg(F.array_sort(F.collect_list("i")).alias("l"))
-    rows = rows.select(F.filter("l", lambda x: x["idx"] >= 0).alias("l"), F.coalesce(F.filter("l", lambda x: x["idx"] < 0)[0]["w"], F.lit(0.0)).alias("_w0"))
-    return rows.select(F.lit(1).alias("_one"), "_w0", F.transform("l", lambda x: x["w"]).alias("_w"), F.flatten(F.transform("l", lambda x: x["v"])).alias("_v"),
-                       F.transform("l", lambda x: F.aggregate(x["v"], F.lit(0.0), lambda a, e: a + e * e)).alias("_s"))
-
-
-def _sum_over(features: Column, value: Callable[[Column], Column]) -> Column:
-    return F.aggregate(features, F.lit(0.0), lambda a, p: a + F.coalesce(value(p), F.lit(0.0)))
-
-
-def in_row(rows: DataFrame, arrays: DataFrame, k: int, features: str) -> DataFrame:
-    """``rows`` with ``_q`` (a value a factor) and ``_yhat``."""
-    f = F.coalesce(F.col(features), F.array().cast(rows.schema[features].dataType))
-    j = rows.withColumn("_f", f).withColumn("_b", F.lit(1)).join(F.broadcast(arrays), F.col("_b") == F.col("_one"))
-    q = F.array(*[_sum_over(F.col("_f"), lambda p, n=n: F.get("_v", p["idx"] * k + n) * p["val"]) for n in range(k)])
-    j = j.withColumn("_q", q)
-    lin = _sum_over(F.col("_f"), lambda p: F.get("_w", p["idx"]) * p["val"])
-    sq = _sum_over(F.col("_f"), lambda p: F.get("_s", p["idx"]) * p["val"] * p["val"])
-    return j.withColumn("_yhat", F.col("_w0") + lin + F.lit(0.5) * (F.aggregate("_q", F.lit(0.0), lambda a, e: a + e * e) - sq)).drop("_b", "_one", "_w0", "_w", "_v", "_s")
+@dataclass
+class Arrays:
+    """Parameters by index: bias, weights, factors (a row an index) and their
+    squared lengths. What is null or missing is 0."""
+
+    w0: float
+    w: np.ndarray
+    v: np.ndarray
+    s: np.ndarray
+
+    def score(self, row: np.ndarray, idx: np.ndarray, val: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Row sums ``q`` (a column a factor) and scores of ``n`` rows, whose
+        items are (row, index, value)."""
+        known = (idx >= 0) & (idx < len(self.w))
+        if not known.all():
+            row, idx, val = row[known], idx[known], val[known]
+        q = np.stack([B.totals(row, self.v[idx, f] * val, n) for f in range(self.v.shape[1])], axis=1) if self.v.shape[1] else np.zeros((n, 0))
+        return q, self.w0 + B.totals(row, self.w[idx] * val, n) + 0.5 * ((q * q).sum(axis=1) - B.totals(row, self.s[idx] * val * val, n))
+
+
+def arrays_of(params: DataFrame, k: int, width: int) -> Arrays:
+    """``params``: (idx, w, v), bias at ``BIAS``. Their size is proven to fit a
+    broadcast (``scored``)."""
+    used = params.where((F.col("idx") == BIAS) | ((F.col("idx") >= 0) & (F.col("idx") < width)))
+    t = used.select(F.col("idx").cast("long").alias("idx"), F.col("w").cast("double").alias("w"), F.col("v").cast("array<double>").alias("v")).toArrow()
+    idx, w = t["idx"].to_numpy(), pc.fill_null(t["w"], 0.0).to_numpy()
+    v, whole = B.vectors(t["v"], k)
+    s = np.where(whole, (v * v).sum(axis=1), 0.0)
+    bias, none = w[idx == BIAS], np.setdiff1d(np.arange(width), idx)
+    idx, w, v, s = (np.concatenate([x[idx >= 0], np.zeros((len(none), *x.shape[1:]), x.dtype)]) for x in (idx, w, v, s))
+    idx[len(idx) - len(none):] = none
+    order = np.lexsort((*v.T[::-1], w, idx))
+    return Arrays(float(bias.min()) if len(bias) else 0.0, w[order], v[order], s[order])
+
+
+def items_of(column) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Number of rows, and of every feature: its row, index (``NO_INDEX`` for a
+    null one), value, and itself."""
+    n, row, items = B.flat(column)
+    return len(n), row, B.field(items, "idx", NO_INDEX), B.field(items, "val", 0.0), items
+
+
+def in_row(rows: DataFrame, arrays: Arrays, k: int, features: str) -> DataFrame:
+    """``rows`` with ``_yhat``."""
+    names = rows.columns
+
+    def score(b: pa.RecordBatch) -> dict:
+        n, row, idx, val, _ = items_of(b.column(features))
+        return {c: b.column(c) for c in names} | {"_yhat": arrays.score(row, idx, val, n)[1]}
+
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields] + [T.StructField("_yhat", T.DoubleType())])
+    return B.by_batch(rows, schema, score)
 
 
 def _by_join(rows: DataFrame, params: DataFrame, k: int, key: str, features: str) -> DataFrame:
@@ -92,9 +124,14 @@ def _by_join(rows: DataFrame, params: DataFrame, k: int, key: str, features: str
             .drop("_key", "_lin", "_sq", *[f"_q{n}" for n in range(k)]))
 
 
+def fits(rows: DataFrame, k: int, width: int) -> bool:
+    """Whether parameters of this many indices and factors may be broadcast."""
+    return 8 * width * (k + 2) <= broadcast_budget(rows.sparkSession)
+
+
 def scored(rows: DataFrame, params: DataFrame, k: int, width: int, *, key: str = "row_id", features: str = "features") -> DataFrame:
-    """``rows`` with ``_f`` (features, never null) ``, _q, _yhat``."""
-    if 8 * width * (k + 2) <= broadcast_budget(rows.sparkSession):
+    """``rows`` with ``_yhat``."""
+    if fits(rows, k, width):
         return in_row(rows, arrays_of(params, k, width), k, features)
     return _by_join(rows, params, k, key, features)
 
@@ -104,6 +141,27 @@ def target(label: Column) -> Column:
     return F.when(label.cast("double") > 0, 1.0).otherwise(0.0)
 
 
+def _shares(rows: DataFrame, arrays: Arrays, names: Sequence[str]) -> DataFrame:
+    """The sums of ``fm_gradients`` over the rows (``_y, _f``) of a batch: a row an
+    index and batch."""
+    def share(b: pa.RecordBatch) -> dict:
+        n, row, idx, x, _ = items_of(b.column("_f"))
+        y = b.column("_y").to_numpy(zero_copy_only=False)
+        q, yhat = arrays.score(row, idx, x, n)
+        g = 1.0 / (1.0 + np.exp(-yhat)) - y
+        loss = np.maximum(yhat, 0.0) - y * yhat + np.log1p(np.exp(-np.abs(yhat)))
+        found, at = B.distinct(idx)
+        gx, m = g[row] * x, len(found)
+        sums = [B.totals(at, gx, m), B.totals(at, gx * x, m), np.bincount(at, minlength=m), B.totals(at, loss[row], m)]
+        sums += [B.totals(at, gx * q[row, f], m) for f in range(q.shape[1])]
+        bias = [g.sum(), g.sum(), n, loss.sum(), *[(g * q[:, f]).sum() for f in range(q.shape[1])]]
+        found = np.append(found, BIAS)
+        return {"idx": pa.array(found, mask=found == NO_INDEX)} | {c: np.append(a, e) for c, a, e in zip(names, sums, bias)}
+
+    schema = "idx long, " + ", ".join(f"{c} {'long' if c == '_n' else 'double'}" for c in names)
+    return B.by_batch(rows, schema, share).withColumn("idx", F.col("idx").cast("int"))
+
+
 def fm_gradients(rows: DataFrame, params: DataFrame, k: int, *, width: int | None = None, key: str = "row_id", label: str = "label",
                  features: str = "features") -> DataFrame:
     """The gradient of the summed logistic loss: ``idx, gw, gv, n, loss`` for
@@ -112,17 +170,21 @@ def fm_gradients(rows: DataFrame, params: DataFrame, k: int, *, width: int | Non
     lacks is 0."""
     if width is None:
         width = (params.agg(F.max("idx")).first()[0] or 0) + 1
-    r = scored(rows, params, k, width, key=key, features=features)
-    y = target(F.col(label))
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_yhat")))
-    loss = F.greatest(F.col("_yhat"), F.lit(0.0)) - y * F.col("_yhat") + F.log1p(F.exp(-F.abs("_yhat")))
-    r = r.select((p - y).alias("_g"), loss.alias("_loss"), "_q", "_f")
-    one = F.array(F.struct(F.lit(BIAS).alias("idx"), F.lit(1.0).alias("val")))
-    each = r.select("_g", "_loss", "_q", F.explode(F.concat(F.transform("_f", lambda x: F.struct(x["idx"].cast("int").alias("idx"), x["val"].cast("double").alias("val"))), one)).alias("_p"))
-    gx = F.col("_g") * F.col("_p.val")
-    sums = each.groupBy(F.col("_p.idx").alias("idx")).agg(
-        F.sum(gx).alias("gw"), F.sum(gx * F.col("_p.val")).alias("_b"), F.count(F.lit(1)).alias("_n"), F.sum("_loss").alias("_loss"),
-        *[F.sum(gx * F.get("_q", F.lit(n))).alias(f"_a{n}") for n in range(k)])
+    names = ["gw", "_b", "_n", "_loss", *[f"_a{n}" for n in range(k)]]
+    if fits(rows, k, width):
+        each = _shares(rows.select(target(F.col(label)).alias("_y"), F.col(features).alias("_f")), arrays_of(params, k, width), names)
+    else:
+        r = _by_join(rows, params, k, key, features)
+        y = target(F.col(label))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_yhat")))
+        loss = F.greatest(F.col("_yhat"), F.lit(0.0)) - y * F.col("_yhat") + F.log1p(F.exp(-F.abs("_yhat")))
+        r = r.select((p - y).alias("_g"), loss.alias("_loss"), "_q", "_f")
+        one = F.array(F.struct(F.lit(BIAS).alias("idx"), F.lit(1.0).alias("val")))
+        r = r.select("_g", "_loss", "_q", F.explode(F.concat(F.transform("_f", lambda x: F.struct(x["idx"].cast("int").alias("idx"), x["val"].cast("double").alias("val"))), one)).alias("_p"))
+        gx = F.col("_g") * F.col("_p.val")
+        each = r.select(F.col("_p.idx").alias("idx"), gx.alias("gw"), (gx * F.col("_p.val")).alias("_b"), F.lit(1).cast("long").alias("_n"), "_loss",
+                        *[(gx * F.get("_q", F.lit(n))).alias(f"_a{n}") for n in range(k)])
+    sums = each.groupBy("idx").agg(*[F.sum(c).alias(c) for c in names])
     j = sums.join(params.select(F.col("idx").alias("_i"), F.col("v").alias("_pv")), F.col("idx") == F.col("_i"), "left")
     gv = F.array(*[F.col(f"_a{n}") - F.coalesce(F.get("_pv", F.lit(n)), F.lit(0.0)) * F.col("_b") for n in range(k)])
     bias = F.col("idx") == BIAS

@@ -6,10 +6,14 @@ shuffle), except re-indexing, which joins the pairs to the index map.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fmspark.functions import inrow as B
 from fmspark.functions import sparse as S
 from fmspark.session import maybe_broadcast
 
@@ -39,8 +43,9 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
     An optional column ``s`` in the map divides the values (scaling in the
     same pass).
 
-    The input is hash-partitioned on the row key before the explode, so the
-    regroup needs no second exchange (as in the embedding). Unknown indices
+    A map that fits a broadcast is looked up inside the row (``_in_row``). One
+    that does not is joined to the exploded pairs, as are rows that share a key,
+    which become one row, and input that is ``clustered`` by key. Unknown indices
     raise (``on_unknown='error'``, the reference's KeyError) or are dropped.
     """
     if on_unknown not in ("error", "drop"):
@@ -49,7 +54,41 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
     fm = feature_map.select(F.col("idx").cast("int").alias("_midx"), F.col("pos").cast("int").alias("_mpos"),
                             (F.col("s").cast("double") if scaled else F.lit(1.0)).alias("_ms"))
     fm, is_b = maybe_broadcast(fm, row_bytes=24, max_bytes=max_broadcast_bytes, known_rows=map_rows)
-    # partition once only when the join is a broadcast (keeps the key partitioning)
+    if is_b and not clustered:
+        table = B.by_index(fm.where(F.col("_mpos").isNotNull()), "_midx")
+        if table is not None and 0 not in pc.unique(table["_ms"]).to_pylist():
+            return B.one_row_a_key(_in_row(rows, table, key, features, on_unknown == "error"), [key], rows,
+                                   lambda df: _reindex_joined(df, fm, is_b, key, features, on_unknown, clustered), "reindexed")
+    return _reindex_joined(rows, fm, is_b, key, features, on_unknown, clustered)
+
+
+def _in_row(rows: DataFrame, table: pa.Table, key: str, features: str, strict: bool) -> DataFrame:
+    """``reindex`` of every row for itself. ``table``: ``_midx, _mpos, _ms`` by index."""
+    known, pos, scale = table["_midx"].to_numpy(), table["_mpos"].to_numpy(), table["_ms"].combine_chunks()
+    cols = [c for c in rows.columns if c not in (key, features)]
+
+    def look_up(b: pa.RecordBatch) -> dict:
+        n, row, items = B.flat(b.column(features))
+        idx = pc.struct_field(items, "idx")
+        at, found = B.find(known, pc.fill_null(idx, 0).to_numpy(zero_copy_only=False))
+        found &= pc.is_valid(idx).to_numpy(zero_copy_only=False)
+        val = pc.struct_field(items, "val").cast(pa.float64())
+        if not found.all():
+            lost = ~found & pc.is_valid(items).to_numpy(zero_copy_only=False)
+            if strict and lost.any():
+                raise ValueError(f"feature index not in the index map: {idx[int(lost.argmax())]}")
+            at, val, n = at[found], val.filter(pa.array(found)), np.bincount(row[found], minlength=len(n))
+        new = pa.StructArray.from_arrays([pa.array(pos[at], pa.int32()), pc.divide(val, scale.take(pa.array(at)))], names=["idx", "val"])
+        return {c: b.column(c) for c in (key, *cols)} | {features: B.lists(n, new)}
+
+    schema = T.StructType([rows.schema[c] for c in (key, *cols)] + [T.StructField(features, S.PAIRS)])
+    return B.by_batch(rows, schema, look_up)
+
+
+def _reindex_joined(rows: DataFrame, fm: DataFrame, is_b: bool, key: str, features: str, on_unknown: str, clustered: bool) -> DataFrame:
+    """``reindex`` by exploded pairs. The input is hash-partitioned on the row key
+    before the explode where the map is broadcast, so that the regroup needs no
+    second exchange."""
     base = rows if clustered or not is_b else rows.repartition(key)
     cols = [c for c in base.columns if c not in (key, features)]
     ex = _head_only(base.select(key, *cols, F.posexplode_outer(features).alias("_p", "_f")), key, cols, "_p", "_f")

@@ -3,6 +3,7 @@ checkpoint folder, and size-checked broadcasts."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers find this package when the driver's own import path
+    does not reach them (a local session started from another folder). Where
+    the package is installed on the executors this changes nothing."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([p for p in known if p] + [root])
+
+
 def broadcast_budget(spark: SparkSession) -> int:
     v = spark.conf.get(BROADCAST_CONF, None)
     return int(v) if v else DEFAULT_BROADCAST_BYTES

@@ -1,0 +1,72 @@
+"""Whole rows in Arrow batches: plans without exploded pairs, results as by joins."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fmspark.operators import als as A
+from fmspark.operators import rows as R
+
+ROWS = "row_id long, label int, features array<struct<idx:int,val:double>>"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def sparse(spark, n=50, width=9):
+    rng = np.random.default_rng(3)
+    return spark.createDataFrame([(r, int(rng.integers(0, 2)), [(int(i), float(rng.normal())) for i in sorted(rng.choice(width, 4, replace=False))]) for r in range(n)], ROWS)
+
+
+def params(spark, width, k):
+    rng = np.random.default_rng(4)
+    return spark.createDataFrame([(-1, 0.2, [0.0] * k)] + [(i, float(rng.normal()), rng.normal(size=k).tolist()) for i in range(width)], "idx int, w double, v array<double>")
+
+
+def test_reindex_without_a_shuffle(spark):
+    df = spark.createDataFrame([(1, 0, [(5, 2.0), (7, 3.0)]), (2, 1, None), (3, 1, [(7, None)])], ROWS)
+    fmap = spark.createDataFrame([(5, 0, 2.0), (7, 1, 1.0)], "idx int, pos int, s double")
+    out = R.reindex(df, fmap)
+    assert "Generate" not in plan(out) and "Exchange" not in plan(out)
+    assert {r.row_id: [tuple(f) for f in r.features] for r in out.collect()} == {1: [(0, 1.0), (1, 3.0)], 2: [], 3: [(1, None)]}
+    few = fmap.where("idx = 7")
+    assert {r.row_id: [tuple(f) for f in r.features] for r in R.reindex(df, few, on_unknown="drop").collect()} == {1: [(1, 3.0)], 2: [], 3: [(1, None)]}
+    with pytest.raises(Exception, match="not in the index map: 5"):
+        R.reindex(df, few).collect()
+
+
+def test_reindex_merges_rows_of_one_key(spark):
+    """A key, null as well, that several rows have is one row, pairs in order of place."""
+    df = spark.createDataFrame([(1, 0, [(5, 2.0), (7, 3.0)]), (1, 0, [(7, 4.0)]), (None, 1, [(5, 1.0)]), (None, 1, [(7, 1.0)]), (2, 1, [(5, 6.0)])], ROWS)
+    fmap = spark.createDataFrame([(5, 0), (7, 1)], "idx int, pos int")
+    got = {r.row_id: (r.label, [tuple(f) for f in r.features]) for r in R.reindex(df, fmap).collect()}
+    assert got == {1: (0, [(0, 2.0), (1, 4.0), (1, 3.0)]), None: (1, [(0, 1.0), (1, 1.0)]), 2: (1, [(0, 6.0)])}
+
+
+def one_hot(spark):
+    rng = np.random.default_rng(5)
+    rows = [(r, int(rng.integers(0, 2)), [(0, float(rng.normal())), (int(1 + rng.integers(0, 3)), 1.0), (int(4 + rng.integers(0, 2)), float(rng.normal()))]) for r in range(60)]
+    return spark.createDataFrame(rows, ROWS), spark.createDataFrame([(0, 0), (1, 1), (2, 1), (3, 1), (4, 2), (5, 2)], "idx int, field int")
+
+
+def test_a_field_in_one_pass_equals_its_updates_one_by_one(spark):
+    df, fmap = one_hot(spark)
+    data, now = A.with_fields(df, fmap), params(spark, 6, 3)
+    block = {r.idx: [r.w, *r.v] for r in A.field_updates(data, now, 3, 6, 1, 0.1, 0.5).collect()}
+    state = {r.idx: [r.w, *r.v] for r in now.collect()}
+    for f in (None, 0, 1, 2):
+        p = spark.createDataFrame([(i, x[0], x[1:]) for i, x in state.items()], "idx int, w double, v array<double>")
+        for r in A.als_sums(data, p, 3, 6, 1, f).collect():
+            state[r.idx][0 if f is None else f + 1] = r.num / (r.den + (0.1 if f is None else 0.5))
+    assert set(block) == {1, 2, 3}
+    for i, x in block.items():
+        assert x == pytest.approx(state[i], rel=1e-9)
+
+
+def test_rows_with_fields_without_a_shuffle(spark):
+    df, fmap = one_hot(spark)
+    assert "Exchange" not in plan(A.with_fields(df, fmap))
+    two = spark.createDataFrame([(1, 1, [(0, 2.0), (4, 1.0)]), (1, 1, [(0, 0.0), (1, 3.0)]), (2, 0, None)], ROWS)
+    got = {r.row_id: (r.y, [tuple(f) for f in r.features]) for r in A.with_fields(two, fmap).collect()}
+    assert got == {1: (1.0, [(0, 2.0, 0), (1, 3.0, 1), (4, 1.0, 2)]), 2: (-1.0, [])}
