@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fmspark.operators import als as A
+from fmspark.operators import fm_train as T
 from fmspark.operators import rows as R
 
 ROWS = "row_id long, label int, features array<struct<idx:int,val:double>>"
@@ -24,6 +25,21 @@ def params(spark, width, k):
     return spark.createDataFrame([(-1, 0.2, [0.0] * k)] + [(i, float(rng.normal()), rng.normal(size=k).tolist()) for i in range(width)], "idx int, w double, v array<double>")
 
 
+def test_gradients_carry_no_parameters_and_explode_no_pairs(spark):
+    """One row of arrays joined to every row copied 160 KB a row at 2000 indices."""
+    p = plan(T.fm_gradients(sparse(spark), params(spark, 9, 2), 2))
+    assert "Generate" not in p and "_one" not in p and p.count("MapInArrow") == 1
+
+
+def test_gradients_of_odd_rows(spark):
+    """Null features, indices and values count for nothing but the bias."""
+    df = spark.createDataFrame([(1, 1, None), (2, 0, [(None, 1.0), (2, None), (99, 1.0)]), (3, 1, [])], ROWS)
+    got = {r.idx: r for r in T.fm_gradients(df, params(spark, 9, 2), 2).collect()}
+    p = 1 / (1 + np.exp(-0.2))
+    assert got[-1].n == 3 and got[-1].gw == pytest.approx(3 * p - 2) and got[2].gw == 0.0
+    assert got[None].gw == got[99].gw == pytest.approx(p)
+
+
 def test_reindex_without_a_shuffle(spark):
     df = spark.createDataFrame([(1, 0, [(5, 2.0), (7, 3.0)]), (2, 1, None), (3, 1, [(7, None)])], ROWS)
     fmap = spark.createDataFrame([(5, 0, 2.0), (7, 1, 1.0)], "idx int, pos int, s double")
