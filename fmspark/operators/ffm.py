@@ -7,9 +7,10 @@ at the level of fields instead of feature pairs. With
 * pairs across fields a < b contribute ``<S[a][b], S[b][a]>``
 * pairs inside field a contribute ``(|S[a][a]|^2 - sum_{i in a} |w_{i,a}|^2 x_i^2) / 2``
 
-A row costs one aggregation over (row, unordered field pair) with plain sums
-and one sum per row; no pair of features is materialised. Rows are
-hash-partitioned on the key once; the two aggregations reuse it.
+A row's ``S`` is added up inside the row, in a batch of rows with numpy, where the
+model fits a broadcast; otherwise a row costs one aggregation over (row, unordered
+field pair) with plain sums and one sum per row. No pair of features is
+materialised.
 
 Training (E7) is mini-batch AdaGrad with the same decomposition for the
 gradient, summed per ``(idx, field)`` by ``groupBy`` and kept as a table.
@@ -17,12 +18,20 @@ gradient, summed per ``(idx, field)`` by ``groupBy`` and kept as a table.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fmspark import defaults as DF
+from fmspark.functions import inrow as B
 from fmspark.functions import sparse as S
-from fmspark.session import maybe_broadcast
+from fmspark.session import broadcast_budget, maybe_broadcast
+
+NO_INDEX = -(1 << 62)
 
 
 def _dot(a, b):
@@ -36,8 +45,10 @@ def ffm_score(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *
     feature score 0. A model feature that the field map lacks is in
     ``other_field``, or raises.
 
-    Plan: (hash repartition on the key) -> explode -> broadcast join of the
-    model rows ``(idx, own field a, target field b, v)`` -> one hash
+    A model whose table of all indices and fields fits a broadcast scores inside the
+    row (``FieldModel``). Otherwise, for rows that share key and ``keep``, which are
+    one row, and for ``clustered`` input: (hash repartition on the key) -> explode ->
+    join of the model rows ``(idx, own field a, target field b, v)`` -> one hash
     aggregation per ``(key, lo = least(a, b), hi = greatest(a, b))`` with
     separate sums for the ``a < b``, ``a > b`` and ``a = b`` sides (so
     ``S[lo][hi]``, ``S[hi][lo]`` and ``S[a][a]`` come out of the same group) ->
@@ -49,13 +60,97 @@ def ffm_score(rows: DataFrame, model: DataFrame, field_map: DataFrame, k: int, *
                       F.col("v").alias("_v"))
     m = mm.join(fm, F.col("_midx") == F.col("_fidx"), "left") \
         .select("_midx", S.field_of("_a", "_midx", other_field).alias("_a"), "_b", "_v")
-    m, _ = maybe_broadcast(m, row_bytes=24 + 8 * k)
     cols = [c for c in keep if c != key]
     base = rows.select(key, *cols, S.drop_zero(features).alias("_f"))
     if normalize:
         nrm = F.sqrt(F.aggregate("_f", F.lit(0.0), lambda s, p: s + p["val"] * p["val"]))
         base = base.withColumn("_f", F.transform("_f", lambda p: S.pair(
             p["idx"], F.when(nrm > 0, p["val"] / nrm).otherwise(p["val"]))))
+    got = None if clustered else field_model(m, k)
+    if got is None:
+        return _score_joined(base, m, k, key, cols, clustered)
+    return B.one_row_a_key(_score_in_row(base, got, key, cols), [key, *cols], base, lambda df: _score_joined(df, m, k, key, cols, clustered), "ffm-scores")
+
+
+@dataclass
+class FieldModel:
+    """``v[i, b]``: the factor of the index ``idx[i]`` (ascending), of the field ``own[i]``
+    (a place in ``fields``), toward field ``b``; 0 where the model has none.
+    ``s[i]``: the squared length of its factor toward its own field."""
+
+    idx: np.ndarray
+    own: np.ndarray
+    fields: np.ndarray
+    v: np.ndarray
+    there: np.ndarray
+    s: np.ndarray
+
+    def parts(self, n: int, row: np.ndarray, idx: np.ndarray, x: np.ndarray):
+        """Rows in runs whose field sums are at most 16 MB: their first and last
+        number, and of their known features row (from 0), place, value."""
+        at, found = B.find(self.idx, idx)
+        row, at, x = row[found], at[found], x[found]
+        f, k = self.v.shape[1:]
+        step = max(1, (1 << 21) // max(1, f * f * k))
+        for lo in range(0, n, step):
+            hi = min(n, lo + step)
+            a, b = np.searchsorted(row, (lo, hi))
+            yield lo, hi, row[a:b] - lo, at[a:b], x[a:b]
+
+    def sums(self, n: int, row: np.ndarray, at: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """``S[row, a, b]``, the sum of ``v x`` over the row's features of field ``a``."""
+        f, k = self.v.shape[1:]
+        out = np.zeros((n * f, f, k))
+        group = row * f + self.own[at]
+        order = np.argsort(group, kind="stable")
+        group = group[order]
+        first = np.flatnonzero(np.diff(group, prepend=-1))
+        if len(first):
+            out[group[first]] = np.add.reduceat(self.v[at[order]] * x[order][:, None, None], first)
+        return out.reshape(n, f, f, k)
+
+    def score(self, s: np.ndarray, row: np.ndarray, at: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return 0.5 * (np.einsum("nabk,nbak->n", s, s) - B.totals(row, self.s[at] * x * x, len(s)))
+
+
+def field_model(m: DataFrame, k: int) -> FieldModel | None:
+    """``m``: (_midx, _a, _b, _v), several rows of an index and field add up. None
+    where the whole table would not fit a broadcast, or an index has two fields."""
+    m, small = maybe_broadcast(m, row_bytes=24 + 8 * k)
+    if not small:
+        return None
+    t = m.where(F.col("_midx").isNotNull() & F.col("_a").isNotNull() & F.col("_b").isNotNull()).toArrow()
+    idx, a, b = (t[c].to_numpy() for c in ("_midx", "_a", "_b"))
+    known, at = np.unique(idx, return_inverse=True)
+    fields = np.unique(np.concatenate([a, b]))
+    if 8 * len(known) * len(fields) * k > broadcast_budget(m.sparkSession) or len(np.unique(np.stack([idx, a]), axis=1).T) != len(known):
+        return None
+    own = np.zeros(len(known), np.int64)
+    own[at] = np.searchsorted(fields, a)
+    vec, whole = B.vectors(t["_v"], k)
+    v, s, there = np.zeros((len(known), len(fields), k)), np.zeros(len(known)), np.zeros((len(known), len(fields)), bool)
+    to = np.searchsorted(fields, b)
+    np.add.at(v, (at, to), vec)
+    np.add.at(s, at, np.where((a == b) & whole, (vec * vec).sum(axis=1), 0.0))
+    there[at, to] = True
+    return FieldModel(known, own, fields, v, there, s)
+
+
+def _score_in_row(base: DataFrame, model: FieldModel, key: str, cols: list[str]) -> DataFrame:
+    def score(b: pa.RecordBatch) -> dict:
+        n, row, items = B.flat(b.column("_f"))
+        y = [np.zeros(0)]
+        for lo, hi, r, at, x in model.parts(len(n), row, B.field(items, "idx", NO_INDEX), B.field(items, "val", 0.0)):
+            y.append(model.score(model.sums(hi - lo, r, at, x), r, at, x))
+        y = np.concatenate(y)
+        return {c: b.column(c) for c in (key, *cols)} | {"y": y, "p": 1.0 / (1.0 + np.exp(-y))}
+
+    schema = T.StructType([base.schema[c] for c in (key, *cols)] + [T.StructField(c, T.DoubleType()) for c in ("y", "p")])
+    return B.by_batch(base, schema, score)
+
+
+def _score_joined(base: DataFrame, m: DataFrame, k: int, key: str, cols: list[str], clustered: bool) -> DataFrame:
+    m, _ = maybe_broadcast(m, row_bytes=24 + 8 * k)
     if not clustered:
         base = base.repartition(key)
     ex = base.select(key, *cols, F.explode_outer("_f").alias("_p"))
@@ -88,10 +183,11 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
     validation log-loss. Returns ``(model(idx, field, v), history)``. A feature
     that the field map lacks is in ``other_field``, or raises.
 
-    Per mini-batch (rows whose key hashes to the batch), ``ffm_gradients``
-    sums the gradient per ``(idx, b)`` (partial aggregation first), and
-    AdaGrad updates the model table. The model and the exploded pairs are written
-    as parquet in the checkpoint folder (``session.materialize``)."""
+    Per mini-batch (rows whose key hashes to the batch), ``row_gradients``
+    sums the gradient per ``(idx, b)`` (a batch of rows first), and AdaGrad updates
+    the model table; a model that does not fit a broadcast, or rows that share a
+    key, take ``ffm_gradients`` over exploded pairs. The model and the rows or pairs
+    are written as parquet in the checkpoint folder (``session.materialize``)."""
     import math
     import uuid
 
@@ -107,15 +203,25 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
         nrm = F.sqrt(F.aggregate("_f", F.lit(0.0), lambda s, p: s + p["val"] * p["val"]))
         base = base.withColumn("_f", F.transform("_f", lambda p: S.pair(
             p["idx"], F.when(nrm > 0, p["val"] / nrm).otherwise(p["val"]))))
-    ex = materialize(base.select(key, "y", F.explode("_f").alias("_p"))
+    base = materialize(base.withColumn("batch", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n_batches)).cast("int")), "ffm_rows", run, ("batch",))
+    if valid is not None:
+        valid = materialize(valid.select(key, label, features), "ffm_valid", run)
+    found = (base.select(F.explode("_f").alias("_p")).select(F.col("_p.idx").alias("idx")).distinct()
+             .join(fm_b, "idx", "left").withColumn("a", S.field_of("a", "idx", other_field)))
+    found = materialize(found.where("idx is not null"), "ffm_indices", run)
+    # the model holds all pairs of an index and a field
+    fields = sorted(r[0] for r in collect_bounded(found.select("a").distinct(), 100_000, "fields"))
+    cells = found.count() * len(fields)
+    in_row = (cells * (24 + 8 * k) <= broadcast_budget(rows.sparkSession) and found.count() == found.select("idx").distinct().count()
+              and B.repeated(base, [key]) is None)
+    ex = None if in_row else materialize(base.select(key, "y", F.explode("_f").alias("_p"))
                      .select(key, "y", F.col("_p.idx").alias("idx"), F.col("_p.val").alias("x"))
                      .join(fm_b, "idx", "left").withColumn("a", S.field_of("a", "idx", other_field))
                      .withColumn("batch", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n_batches))),
                      "ffm_pairs", run)
-    fields = sorted(r[0] for r in collect_bounded(ex.select("a").distinct(), 100_000, "fields"))
     coef = 1.0 / math.sqrt(k)
     model = materialize(
-        ex.select("idx").distinct()
+        found.select("idx").distinct()
         .select("idx", F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
         .select("idx", "field",
                 F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
@@ -133,9 +239,13 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
     history, best, best_loss = [], model, float("inf")
     for epoch in range(epochs):
         for b in range(n_batches):
-            exb = ex.where(F.col("batch") == F.lit(b)).select(key, "y", "idx", "x", "a")
-            mb, _ = maybe_broadcast(model.select("idx", F.col("field").alias("fb"), "v"), row_bytes=24 + 8 * k)
-            grads = ffm_gradients(exb, mb, k, key=key, lam=lam)
+            if in_row:
+                m = model.join(found, "idx").select(F.col("idx").alias("_midx"), F.col("a").alias("_a"), F.col("field").alias("_b"), F.col("v").alias("_v"))
+                grads = row_gradients(base.where(F.col("batch") == F.lit(b)), field_model(m, k), k, lam=lam)
+            else:
+                exb = ex.where(F.col("batch") == F.lit(b)).select(key, "y", "idx", "x", "a")
+                mb, _ = maybe_broadcast(model.select("idx", F.col("field").alias("fb"), "v"), row_bytes=24 + 8 * k)
+                grads = ffm_gradients(exb, mb, k, key=key, lam=lam)
             gcol = F.array(*[F.coalesce(F.col(f"_g{d}"), F.lit(0.0)) for d in range(k)])
             upd = model.join(grads, (model["idx"] == grads["gi"]) & (model["field"] == grads["tb"]), "left") \
                 .select("idx", "field", "v", "acc", gcol.alias("grad"))
@@ -159,6 +269,35 @@ def fit_ffm(rows: DataFrame, field_map: DataFrame, k: int = DF.FFM_K, *, epochs:
     return best.select("idx", "field", "v"), history
 
 
+def row_gradients(rows: DataFrame, model: FieldModel, k: int, *, lam: float = 0.0) -> DataFrame:
+    """As ``ffm_gradients``, for rows (y, _f: pairs) with keys of their own that score
+    themselves: only the sums an index and field leave a batch."""
+    fields = model.fields
+
+    def share(b: pa.RecordBatch) -> dict:
+        n, row, items = B.flat(b.column("_f"))
+        y = b.column("y").to_numpy(zero_copy_only=False)
+        g = np.zeros_like(model.v)
+        used = np.zeros(len(model.idx), bool)
+        for lo, hi, r, at, x in model.parts(len(n), row, B.field(items, "idx", NO_INDEX), B.field(items, "val", 0.0)):
+            s = model.sums(hi - lo, r, at, x)
+            kappa = -y[lo:hi] / (1.0 + np.exp(y[lo:hi] * model.score(s, r, at, x)))
+            # of each feature: x kappa (S[b][a] - [a = b] v x) + lam v
+            mirror = s[r, :, model.own[at], :]
+            mirror[np.arange(len(at)), model.own[at]] -= model.v[at, model.own[at]] * x[:, None]
+            one = mirror * (kappa[r] * x)[:, None, None] + lam * model.v[at]
+            order = np.argsort(at, kind="stable")
+            first = np.flatnonzero(np.diff(at[order], prepend=-1))
+            if len(first):
+                g[at[order][first]] += np.add.reduceat(one[order], first)
+                used[at] = True
+        i, f = np.nonzero(model.there & used[:, None])
+        return {"gi": model.idx[i].astype(np.int64), "tb": fields[f].astype(np.int64)} | {f"_g{d}": g[i, f, d] for d in range(k)}
+
+    each = B.by_batch(rows.select("y", "_f"), "gi long, tb long, " + ", ".join(f"_g{d} double" for d in range(k)), share)
+    return each.groupBy(F.col("gi").cast("int").alias("gi"), F.col("tb").cast("int").alias("tb")).agg(*[F.sum(f"_g{d}").alias(f"_g{d}") for d in range(k)])
+
+
 def ffm_gradients(pairs: DataFrame, model: DataFrame, k: int, *, key: str = "row_id",
                   lam: float = 0.0, clustered: bool = False) -> DataFrame:
     """Gradient of the summed logistic loss of a set of rows, per model

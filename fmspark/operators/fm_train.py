@@ -314,10 +314,11 @@ def fit(rows: DataFrame, width: int, *, method: str = DF.FM_SPARK_METHOD, dim_k:
     state = kept_state(initial_state(spark, width, dim_k, init_stdev, strengths, groups, seed))
     history, adapted, kept = [], [], {}
     for it in range(1, iter_num + 1):
-        grads = fm_gradients(train.where(F.col("batch") == (it - 1) % n_batches), state, dim_k, width=width, key="key")
+        # written: the step reads it twice, for the rows' number and for the sums
+        grads = materialize(fm_gradients(train.where(F.col("batch") == (it - 1) % n_batches), state, dim_k, width=width, key="key"), "fm-grads")
         state = kept_state(_step(state, grads, dim_k, learn_rate, it if method == "adamW" else 0, fit_bias, fit_linear))
         if method == "sgda":
-            vg = fm_gradients(held.where(F.col("batch") == (it - 1) % n_batches), state, dim_k, width=width, key="key")
+            vg = materialize(fm_gradients(held.where(F.col("batch") == (it - 1) % n_batches), state, dim_k, width=width, key="key"), "fm-grads")
             state = kept_state(_adapted(state, vg, dim_k, learn_rate, reg_rate if reg_rate is not None else learn_rate))
             adapted += [(it, r.grp, r.r1, r.r2) for r in state.groupBy("grp").agg(F.min("r1").alias("r1"), F.min("r2").alias("r2")).orderBy("grp").limit(1000).collect()]
         b = state.where(F.col("idx") == BIAS).select("loss", "rows").first()

@@ -38,19 +38,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customers: what the categories are read from."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return o.join(c, o.o_custkey == c.c_custkey)
+
+
+def _prio() -> Column:
+    return F.substring("o_orderpriority", 1, 1).cast("int")
+
+
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     # partial aggregation per order before the join: one row per order leaves the map side
     q = (table(spark, sf_dir, "lineitem")
          .groupBy("l_orderkey")
          .agg(F.sum("l_quantity").alias("qty"),
               F.sum(F.when(F.col("l_discount") == 0, 1).otherwise(0)).alias("nd")))
-    prio = F.substring("o_orderpriority", 1, 1).cast("int")
+    prio = _prio()
     d = F.col("o_orderdate")
-    return (o.join(c, o.o_custkey == c.c_custkey)
-            .join(q, q.l_orderkey == o.o_orderkey, "left")
+    return (_orders(spark, sf_dir)
+            .join(q, F.col("l_orderkey") == F.col("o_orderkey"), "left")
             .select(
                 F.col("o_orderkey").cast("string").alias("order_id"),
                 F.concat(F.lit("SN"), F.col("o_orderkey").cast("string")).alias("order_sn"),
@@ -96,7 +105,9 @@ def sparse_rows(spark: SparkSession, sf_dir: str, label: str = "target") -> Data
     """``row_id bigint, order_id string, label int, features array<struct<idx,val>>``.
     ``label="target_planted"`` gives the planted-interaction label."""
     fr = feature_rows(spark, sf_dir)
-    cats = categories(fr, "f_seg", "f_nation", "f_prio")
+    # the join with the line items adds no category
+    cats = categories(_orders(spark, sf_dir).select(F.col("c_mktsegment").alias("f_seg"), F.col("c_nationkey").alias("f_nation"), _prio().alias("f_prio")),
+                      "f_seg", "f_nation", "f_prio")
     segs, nations, prios = cats["f_seg"], cats["f_nation"], cats["f_prio"]
     feats = [
         pair(F.lit(1), F.col("f_price") / F.lit(500000)),
