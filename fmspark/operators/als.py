@@ -62,7 +62,8 @@ def als_sums(rows: DataFrame, params: DataFrame, k: int, width: int, field: int,
     if factor is not None:
         # h = x (q - v x) needs the index's own factor, which is the same for all its rows
         v = params.where("idx >= 0").select(F.col("idx").cast("long").alias("i"), F.get("v", F.lit(factor)).alias("v"))
-        t = v.where("v is not null").groupBy("i").agg(F.count(F.lit(1)).alias("c"), F.sum("v").alias("v"), F.sum(F.col("v") * F.col("v")).alias("vv")).orderBy("i").toArrow()
+        zero = F.lit(0.0)
+        t = v.groupBy("i").agg(F.count("v").alias("c"), F.coalesce(F.sum("v"), zero).alias("v"), F.coalesce(F.sum(F.col("v") * F.col("v")), zero).alias("vv")).orderBy("i").toArrow()
         own = [t[c].to_numpy() for c in ("i", "c", "v", "vv")]
 
     def share(b: pa.RecordBatch) -> dict:
@@ -79,7 +80,10 @@ def als_sums(rows: DataFrame, params: DataFrame, k: int, width: int, field: int,
         else:
             r = q[row, factor]
             eh, den = e[row] * x * (c * r - v * x), x * x * (c * r * r - 2 * v * x * r + vv * x * x)
-        return {"idx": found, "eh": B.totals(place, eh, len(found)), "den": B.totals(place, den, len(found))}
+        none = np.zeros(len(found), bool)  # a null factor has null sums
+        if own is not None:
+            none[place] = c == 0
+        return {"idx": found, "eh": pa.array(B.totals(place, eh, len(found)), mask=none), "den": pa.array(B.totals(place, den, len(found)), mask=none)}
 
     sums = B.by_batch(rows.select("y", "features"), "idx long, eh double, den double", share).groupBy(F.col("idx").cast("int").alias("idx")).agg(F.sum("eh").alias("eh"), F.sum("den").alias("den"))
     old = F.col("w") if factor is None else F.get("v", F.lit(factor))
@@ -95,10 +99,12 @@ def field_updates(rows: DataFrame, params: DataFrame, k: int, width: int, field:
     feature's parameters ``t``, with the inputs ``z = x (1, q - v x)`` free of them.
     So ``A = sum z z'`` and ``b = sum z (e + z t)``, summed over the rows of an
     index, hold all that its updates need: update ``f`` is
-    ``(b_f - sum_{g != f} A_fg t_g) / (A_ff + reg)``."""
+    ``(b_f - sum_{g != f} A_fg t_g) / (A_ff + reg)``. Rows without a label have no
+    residual, but count in the denominator, as in ``als_sums``: ``d = sum z^2`` of
+    them."""
     arrays = arrays_of(params, k, width)
     m = k + 1
-    names = [f"a{f}_{g}" for f in range(m) for g in range(f + 1)] + [f"b{f}" for f in range(m)]
+    names = [f"a{f}_{g}" for f in range(m) for g in range(f + 1)] + [f"b{f}" for f in range(m)] + [f"d{f}" for f in range(m)]
 
     def share(b: pa.RecordBatch) -> dict:
         row, idx, x, items, q, e = _residuals(b, arrays)
@@ -108,9 +114,9 @@ def field_updates(rows: DataFrame, params: DataFrame, k: int, width: int, field:
         t = np.column_stack([arrays.w[idx], arrays.v[idx]])
         z = x[:, None] * np.column_stack([np.ones(len(x)), q[row] - t[:, 1:] * x[:, None]])
         r = e[row] + (z * t).sum(axis=1)
-        # a row without a label has no residual, but its inputs count
-        r = np.where(pc.is_valid(b.column("y")).to_numpy(zero_copy_only=False)[row], r, (z * t).sum(axis=1))
-        sums = [B.totals(place, z[:, f] * z[:, g], len(found)) for f in range(m) for g in range(f + 1)] + [B.totals(place, z[:, f] * r, len(found)) for f in range(m)]
+        has = pc.is_valid(b.column("y")).to_numpy(zero_copy_only=False)[row].astype(float)
+        sums = [B.totals(place, has * z[:, f] * z[:, g], len(found)) for f in range(m) for g in range(f + 1)]
+        sums += [B.totals(place, has * z[:, f] * r, len(found)) for f in range(m)] + [B.totals(place, (1 - has) * z[:, f] * z[:, f], len(found)) for f in range(m)]
         return {"idx": found} | dict(zip(names, sums))
 
     def solve(b: pa.RecordBatch) -> dict:
@@ -118,8 +124,8 @@ def field_updates(rows: DataFrame, params: DataFrame, k: int, width: int, field:
         idx = b.column("idx").to_numpy(zero_copy_only=False)
         t = np.column_stack([arrays.w[idx], arrays.v[idx]])
         for f in range(m):
-            num = c[f"b{f}"] - sum((c[f"a{max(f, g)}_{min(f, g)}"] * t[:, g] for g in range(m) if g != f), np.zeros(len(idx)))
-            den = c[f"a{f}_{f}"] + (r1 if f == 0 else r2)
+            num = c[f"b{f}"] - sum((c[f"a{max(f, g)}_{min(f, g)}"] * t[:, g] for g in range(m) if g != f), np.zeros(len(idx))) + c[f"d{f}"] * t[:, f]
+            den = c[f"a{f}_{f}"] + c[f"d{f}"] + (r1 if f == 0 else r2)
             t[:, f] = np.divide(num, den, out=np.zeros(len(idx)), where=den != 0)
         return {"idx": pa.array(idx, pa.int32()), "w": t[:, 0], "v": B.lists(np.full(len(idx), k), pa.array(t[:, 1:].reshape(-1)))}
 
