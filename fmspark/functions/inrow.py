@@ -17,7 +17,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,11 +110,26 @@ def one_row_a_key(done: DataFrame, keys: Sequence[str], rows: DataFrame, merged:
     several = repeated(done, keys)
     if several is None:
         return done
-    several = several.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(keys)])
+    several, same = _matched(several, keys)
     return done.join(several, same, "left_anti").unionByName(merged(rows.join(several, same, "left_semi")))
 
 
+def one_row_a_key_read(done: Callable[[DataFrame], DataFrame], keys: Sequence[str], rows: DataFrame, merged: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """As ``one_row_a_key`` of ``done(rows)``, not written: for a result that is read
+    once. The keys of ``rows`` are read beforehand, without the other columns."""
+    several = repeated(rows.select(*keys), keys)
+    if several is None:
+        return done(rows)
+    several, same = _matched(several, keys)
+    return done(rows.join(several, same, "left_anti")).unionByName(merged(rows.join(several, same, "left_semi")))
+
+
+def _matched(several: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The keys renamed, and the condition that a row has one of them."""
+    several = several.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)])
+    return several, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(keys)])
+
+
 def by_index(df: DataFrame, idx: str) -> pa.Table | None:
     """A table proven small enough, sorted by index, rows without one left out;
     None where an index has several rows."""

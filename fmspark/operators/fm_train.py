@@ -43,6 +43,7 @@ from pyspark.sql import types as T
 
 from fmspark import defaults as DF
 from fmspark.functions import inrow as B
+from fmspark.functions import sparse as S
 from fmspark.functions.random import normal
 from fmspark.session import broadcast_budget, materialize
 
@@ -301,7 +302,8 @@ def fit(rows: DataFrame, width: int, *, method: str = DF.FM_SPARK_METHOD, dim_k:
     def prepared(df: DataFrame, name: str, batches: int) -> DataFrame:
         out_of = F.exists(features, lambda p: (p["idx"] < 0) | (p["idx"] >= width))
         checked = F.when(F.coalesce(out_of, F.lit(False)), F.raise_error(F.lit(f"feature index outside 0..{width - 1}"))).otherwise(F.col(features))
-        return materialize(df.select(F.col(key).alias("key"), target(F.col(label)).alias("label"), checked.alias("features"),
+        # a value of 0 adds 0 to every sum of a step, so the written rows, read at every step, go without
+        return materialize(df.select(F.col(key).alias("key"), target(F.col(label)).alias("label"), S.drop_zero(checked).alias("features"),
                                      F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(batches)).cast("int").alias("batch")), name, partition_by=("batch",))
 
     train = prepared(rows, "fm-rows", n_batches)

@@ -38,7 +38,7 @@ def _regroup(df: DataFrame, key: str, cols: list[str], agg) -> DataFrame:
 
 def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", features: str = "features",
             on_unknown: str = "error", clustered: bool = False,
-            max_broadcast_bytes: int | None = None, map_rows: int | None = None) -> DataFrame:
+            max_broadcast_bytes: int | None = None, map_rows: int | None = None, once: bool = False) -> DataFrame:
     """``idx -> pos`` through the index map ``(idx, pos)``, pair order kept.
     An optional column ``s`` in the map divides the values (scaling in the
     same pass).
@@ -47,6 +47,9 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
     that does not is joined to the exploded pairs, as are rows that share a key,
     which become one row, and input that is ``clustered`` by key. Unknown indices
     raise (``on_unknown='error'``, the reference's KeyError) or are dropped.
+
+    The result is written, unless it is read ``once``: then only the keys are read
+    first, for those that several rows share, and rows are looked up as they are read.
     """
     if on_unknown not in ("error", "drop"):
         raise ValueError("on_unknown must be 'error' or 'drop'")
@@ -57,8 +60,11 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
     if is_b and not clustered:
         table = B.by_index(fm.where(F.col("_mpos").isNotNull()), "_midx")
         if table is not None and 0 not in pc.unique(table["_ms"]).to_pylist():
-            return B.one_row_a_key(_in_row(rows, table, key, features, on_unknown == "error"), [key], rows,
-                                   lambda df: _reindex_joined(df, fm, is_b, key, features, on_unknown, clustered), "reindexed")
+            found = lambda df: _in_row(df, table, key, features, on_unknown == "error")
+            merged = lambda df: _reindex_joined(df, fm, is_b, key, features, on_unknown, clustered)
+            if once:
+                return B.one_row_a_key_read(found, [key], rows, merged)
+            return B.one_row_a_key(found(rows), [key], rows, merged, "reindexed")
     return _reindex_joined(rows, fm, is_b, key, features, on_unknown, clustered)
 
 

@@ -101,7 +101,7 @@ def train(rows: DataFrame, fmap: DataFrame, n_features: int, *, label: str = "la
     fmap = materialize(fmap, "feature-map")
 
     def positions(df: DataFrame) -> DataFrame:
-        return R.reindex(df.select(key, label, "features"), fmap, key=key, map_rows=n_features)
+        return R.reindex(df.select(key, label, "features"), fmap, key=key, map_rows=n_features, once=method != "als")
 
     def keyed(table: DataFrame | None) -> DataFrame | None:
         return None if table is None else table.join(fmap.select("idx", "pos"), "idx").drop("idx").withColumnRenamed("pos", "idx")
