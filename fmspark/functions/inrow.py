@@ -39,8 +39,15 @@ def field(items: pa.Array, name: str, null: int | float) -> np.ndarray:
     return pc.fill_null(pc.struct_field(items, name).cast(kind), null).to_numpy(zero_copy_only=False)
 
 
-def lists(n: np.ndarray, items: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), items)
+def lists(n: np.ndarray, items: pa.Array, null: pa.Array | None = None) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), items, mask=null)
+
+
+def first_of_runs(column: pa.Array) -> np.ndarray:
+    """Where a value differs from the one before (null is a value); 0 is one of them."""
+    a, b = column.slice(1), column.slice(0, max(0, len(column) - 1))
+    same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+    return np.concatenate([[0], np.flatnonzero(~same.to_numpy(zero_copy_only=False)) + 1])
 
 
 def totals(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -83,19 +90,50 @@ def find(known: np.ndarray, idx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def by_batch(df: DataFrame, schema, fn: Callable[[pa.RecordBatch], dict]) -> DataFrame:
     """``fn`` (a batch to columns by name) over all batches, nothing kept between."""
     s = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    names = s.names
 
     def run(batches):
         with np.errstate(all="ignore"):
             for b in batches:
                 if b.num_rows:
-                    out = fn(b)
-                    yield pa.RecordBatch.from_arrays([out[c] if isinstance(out[c], pa.Array) else pa.array(out[c]) for c in names], names=names)
+                    yield _batch(fn(b), s.names)
 
     ship(df.sparkSession)
     return df.mapInArrow(run, s)
 
 
+def _batch(out: dict, names: Sequence[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([out[c] if isinstance(out[c], pa.Array) else pa.array(out[c]) for c in names], names=names)
+
+
+def by_key(df: DataFrame, schema: T.StructType, key: str, fn: Callable[[pa.RecordBatch, np.ndarray], dict]) -> DataFrame:
+    """``fn`` over batches of rows sorted by ``key`` in their partition, cut so that
+    the rows of a key come together, with the places where a key's rows begin. Only
+    the rows of a batch's last key are kept for the next."""
+    def joined(parts):
+        b = parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        return _batch(fn(b, first_of_runs(b.column(key))), schema.names)
+
+    def run(batches):
+        held = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cut = int(first_of_runs(b.column(key))[-1])
+            if cut:
+                yield joined([*held, b.slice(0, cut)])
+                held = [b.slice(cut)]
+            elif held and held[-1].column(key)[-1].as_py() != b.column(key)[0].as_py():
+                yield joined(held)
+                held = [b]
+            else:
+                held.append(b)
+        if held:
+            yield joined(held)
+
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     """The keys that several rows of a written table share (null is a key); None
     where every row has its own."""

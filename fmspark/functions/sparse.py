@@ -99,7 +99,7 @@ def relabel_linear(label) -> Column:
 
 def values(arr) -> Column:
     """Positional values, index discarded."""
-    return F.transform(_c(arr), lambda p: p["val"])
+    return _c(arr)["val"]
 
 
 def renumber(arr, start) -> Column:

@@ -53,3 +53,49 @@ def test_training_rows_hold_no_zeros(spark, monkeypatch):
     assert {r.idx: (r.w, r.v) for r in model.state.collect()} == {r.idx: (r.w, r.v) for r in again.state.collect()}
     with pytest.raises(Exception, match="feature index outside"):
         T.fit(spark.createDataFrame([(1, 0, [(9, 0.0)])], ROWS), 4, iter_num=1)
+
+
+PAIRS = "row_id long, order_id string, label int, features array<struct<idx:int,val:double>>"
+
+
+def embedded(df, lat, **how):
+    from fmspark.operators.embed import embed
+    return sorted(map(repr, embed(df, lat, 2, keep=("order_id", "label"), dense=True, **how).collect()))
+
+
+def test_embedding_groups_no_exploded_pairs(spark):
+    """Pairs, carried features and vectors of every row went through a sort, which spilled."""
+    from fmspark.operators.embed import embed
+    from fmspark.plans import fixtures as fx
+    out = embed(fx.sparse_rows(spark, SF_SMALL), fx.latent(spark, SF_SMALL), fx.THRESHOLD, keep=("order_id",), dense=True, keep_onehot=True)
+    p = plan(out)
+    assert "Generate" not in p and "collect_list" not in p and p.count("hashpartitioning(row_id") == 1
+    exchange = next(line for line in p.split("\n") if "hashpartitioning(row_id" in line)
+    shuffled = p[p.index(exchange):].split("\n")[1]
+    assert "struct" not in shuffled and "named_struct" not in shuffled
+
+
+def test_embedding_of_odd_rows_equals_the_joined_one(spark):
+    """Null features, indices, values, keys and keys of several rows: as by joins."""
+    lat = spark.createDataFrame([(3, [0.5, 2.0]), (4, [-1.0, 0.0]), (6, [9.0]), (7, [])], "idx int, v array<double>")
+    one = spark.createDataFrame([(1, "a", 1, [(1, 2.0), (3, 1.0), (4, 0.0), (6, 1.0)]), (2, "b", None, None), (3, None, 0, []),
+                                 (4, "d", 0, [(1, None), (None, 1.0), (4, None), (7, 1.0)])], PAIRS)
+    several = spark.createDataFrame([(5, None, 1, [(2, 0.5), (4, 1.0), (3, 1.0)]), (5, "e", 1, [(2, 0.5), (3, 1.0), (4, 1.0), (6, 1.0)]),
+                                     (None, "n", 1, [(1, 1.0), (3, 1.0)]), (None, "n", 1, [(1, 1.0), (6, 1.0)])], PAIRS)
+    for n in (1, 5):
+        df = one.unionByName(several).repartition(n)
+        assert embedded(df, lat) == embedded(df, lat, max_broadcast_bytes=1)
+        assert embedded(one.repartition(n), lat, keep_onehot=True) == embedded(one, lat, keep_onehot=True, max_broadcast_bytes=1)
+
+
+def test_rows_of_a_key_come_together_over_batches(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = spark.createDataFrame([(k, str(k), 0, [(1, 0.5), (3, 1.0)]) for k in (1, 2, 2, 2, 2, 2, 2, 2, 3, 3, 4)], PAIRS)
+        lat = spark.createDataFrame([(3, [7.0])], "idx int, v array<double>")
+        from fmspark.operators.embed import embed
+        got = {r.row_id: r.out for r in embed(df, lat, 2, dense=True).collect()}
+        assert got == {1: [0.5, 7.0], 2: [0.5] + [7.0] * 7, 3: [0.5, 7.0, 7.0], 4: [0.5, 7.0]}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
