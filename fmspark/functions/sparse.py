@@ -48,9 +48,10 @@ def pair(idx, val) -> Column:
 
 def fmt_num(x) -> Column:
     """Number text: integral values print without a fraction (``1``, ``0``),
-    others with Spark's shortest round-trip double text."""
+    others with Spark's shortest round-trip double text. 0 and 1, which most of
+    one-hot values are, are told first."""
     x = _c(x)
-    return F.when((x == F.floor(x)) & (F.abs(x) < F.lit(1e15)), x.cast("bigint").cast("string")) \
+    return F.when(x == F.lit(0.0), "0").when(x == F.lit(1.0), "1").when((x == F.floor(x)) & (F.abs(x) < F.lit(1e15)), x.cast("bigint").cast("string")) \
         .otherwise(x.cast("string"))
 
 

@@ -105,7 +105,10 @@ def fm_lines(df: DataFrame, *, label: str = "label", features: str = "features")
 
 def prd_lines(df: DataFrame, *, key: str = "order_id", features: str = "features") -> DataFrame:
     """Prediction text ``order_id idx:val ...``."""
-    return df.select(F.concat_ws(" ", F.col(key).cast("string"), S.format_pairs(features)).alias("value"))
+    # used twice, so that an expression of the features is not put into the lambda
+    # function's argument, where it is interpreted instead of compiled
+    pairs = F.when(F.size(features) >= 0, S.format_pairs(features))
+    return df.select(F.concat_ws(" ", F.col(key).cast("string"), pairs).alias("value"))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:

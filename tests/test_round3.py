@@ -99,3 +99,14 @@ def test_rows_of_a_key_come_together_over_batches(spark):
         assert got == {1: [0.5, 7.0], 2: [0.5] + [7.0] * 7, 3: [0.5, 7.0, 7.0], 4: [0.5, 7.0]}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_prediction_lines_leave_the_features_compiled(spark):
+    """The one-hot array was built inside the lambda function's argument, interpreted."""
+    from fmspark.plans import fixtures as fx
+    from fmspark.sinks import writers as W
+    p = plan(W.prd_lines(fx.sparse_rows(spark, SF_SMALL)))
+    line = next(x for x in p.split("\n") if "concat_ws" in x)
+    assert "CASE WHEN (f_seg" not in line and p.count("CASE WHEN (f_seg") == 5
+    df = spark.createDataFrame([(1, "a", 0, [(1, 0.0), (2, 1.0), (3, -0.0), (4, 2.0), (5, 0.25), (6, float("nan")), (7, None)]), (2, "b", 0, None)], PAIRS)
+    assert [r.value for r in W.prd_lines(df).collect()] == ["a 1:0 2:1 3:0 4:2 5:0.25 6:NaN", "b"]
