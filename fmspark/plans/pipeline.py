@@ -158,7 +158,7 @@ def run(spark: SparkSession, cfg: Config) -> dict:
     found = [M.auc(scored, "label", "p").first()[0], M.log_loss(scored, "label", "p").first()[0], M.accuracy(scored, "label", "p").first()[0]]
     W.write_parquet(spark.createDataFrame([tuple(found)], "auc double, log_loss double, accuracy double"), path("metrics"))
     out = {"bias": bias, "metrics": dict(zip(("auc", "log_loss", "accuracy"), found)), "latent": path("latent"), "predictions": path("predictions")}
-    kw = dict(append=cfg.append, numbering=cfg.numbering, dense=cfg.dense, k_hint=cfg.dim_k)
+    kw = dict(append=cfg.append, numbering=cfg.numbering, dense=cfg.dense, k_hint=cfg.dim_k, in_row=True)
     sets = {"train": p["train"].withColumn("order_id", F.col("row_id").cast("string"))}
     if p["prd"] is not None:
         sets["prd"] = p["prd"].withColumn("label", F.lit(None).cast("double"))

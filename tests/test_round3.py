@@ -84,7 +84,7 @@ def test_embedding_of_odd_rows_equals_the_joined_one(spark):
                                      (None, "n", 1, [(1, 1.0), (3, 1.0)]), (None, "n", 1, [(1, 1.0), (6, 1.0)])], PAIRS)
     for n in (1, 5):
         df = one.unionByName(several).repartition(n)
-        assert embedded(df, lat) == embedded(df, lat, max_broadcast_bytes=1)
+        assert embedded(df, lat, in_row=True) == embedded(df, lat, max_broadcast_bytes=1)
         assert embedded(one.repartition(n), lat, keep_onehot=True) == embedded(one, lat, keep_onehot=True, max_broadcast_bytes=1)
 
 
@@ -95,7 +95,7 @@ def test_rows_of_a_key_come_together_over_batches(spark):
         df = spark.createDataFrame([(k, str(k), 0, [(1, 0.5), (3, 1.0)]) for k in (1, 2, 2, 2, 2, 2, 2, 2, 3, 3, 4)], PAIRS)
         lat = spark.createDataFrame([(3, [7.0])], "idx int, v array<double>")
         from fmspark.operators.embed import embed
-        got = {r.row_id: r.out for r in embed(df, lat, 2, dense=True).collect()}
+        got = {r.row_id: r.out for r in embed(df, lat, 2, dense=True, in_row=True).collect()}
         assert got == {1: [0.5, 7.0], 2: [0.5] + [7.0] * 7, 3: [0.5, 7.0, 7.0], 4: [0.5, 7.0]}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
