@@ -50,6 +50,20 @@ def first_of_runs(column: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(~same.to_numpy(zero_copy_only=False)) + 1])
 
 
+def packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """An array cut before each of ``ends``, its pieces as binary values."""
+    values = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.array(np.concatenate([[0], ends]) * values.itemsize, pa.int32()).buffers()[1], pa.py_buffer(values)])
+
+
+def unpacked(column, kind) -> np.ndarray:
+    """The pieces of ``packed`` in one array."""
+    wide = pa.types.is_large_binary(column.type)
+    _, at, data = column.buffers()
+    at = np.frombuffer(at, np.int64 if wide else np.int32)[[column.offset, column.offset + len(column)]]
+    return np.frombuffer(data, np.uint8)[at[0]:at[1]].view(kind) if data is not None else np.zeros(0, kind)
+
+
 def totals(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(at, weights=values, minlength=n)
 
@@ -87,15 +101,16 @@ def find(known: np.ndarray, idx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 # ---------------------------------------------------------------- around the batches
-def by_batch(df: DataFrame, schema, fn: Callable[[pa.RecordBatch], dict]) -> DataFrame:
-    """``fn`` (a batch to columns by name) over all batches, nothing kept between."""
+def by_batch(df: DataFrame, schema, fn: Callable[[pa.RecordBatch], dict], at_once: int = 1 << 30) -> DataFrame:
+    """``fn`` (a batch to columns by name) over all batches, of ``at_once`` rows at
+    most, nothing kept between."""
     s = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
 
     def run(batches):
         with np.errstate(all="ignore"):
             for b in batches:
-                if b.num_rows:
-                    yield _batch(fn(b), s.names)
+                for i in range(0, b.num_rows, at_once):
+                    yield _batch(fn(b.slice(i, at_once)), s.names)
 
     ship(df.sparkSession)
     return df.mapInArrow(run, s)

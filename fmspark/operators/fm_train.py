@@ -14,6 +14,9 @@ crosses the network is those sums, one row an index and task. Parameters reach
 the tasks as arrays, proven to fit a broadcast; beyond that they are joined by
 index (``_by_join``), with the same result.
 
+Training rows are written once, and where parameters fit a broadcast once more in
+blocks of packed arrays, which the steps read.
+
 Methods of ``fit``:
 
 * ``sgd``    gradient steps over mini-batches, a batch a folder of the written rows
@@ -70,7 +73,7 @@ class Arrays:
         known = (idx >= 0) & (idx < len(self.w))
         if not known.all():
             row, idx, val = row[known], idx[known], val[known]
-        q = np.stack([B.totals(row, self.v[idx, f] * val, n) for f in range(self.v.shape[1])], axis=1) if self.v.shape[1] else np.zeros((n, 0))
+        q = np.stack([B.totals(row, np.take(self.v[:, f], idx) * val, n) for f in range(self.v.shape[1])]).T if self.v.shape[1] else np.zeros((n, 0))
         return q, self.w0 + B.totals(row, self.w[idx] * val, n) + 0.5 * ((q * q).sum(axis=1) - B.totals(row, self.s[idx] * val * val, n))
 
 
@@ -142,25 +145,78 @@ def target(label: Column) -> Column:
     return F.when(label.cast("double") > 0, 1.0).otherwise(0.0)
 
 
+BLOCK = 512  # items of a block
+BLOCKS_AT_ONCE = 256
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows (label, features, batch) as every step reads them: many to a block of
+    packed arrays, which are neither taken apart nor converted on their way to numpy.
+    The rows of a block are of one batch and have about ``BLOCK`` items, or are one row
+    with more. Null indices, which have no parameter, are left out."""
+    def block(b: pa.RecordBatch) -> dict:
+        n, row, idx, x, _ = items_of(b.column("features"))
+        some = idx != NO_INDEX
+        row, idx, x = row[some], idx[some], x[some]
+        batch = b.column("batch").to_numpy()
+        order = np.argsort(batch, kind="stable")
+        at = np.empty(n, np.int64)
+        at[order] = np.arange(n)
+        items = np.argsort(at[row], kind="stable")
+        batch, counts = batch[order], np.bincount(at[row], minlength=n)
+        new = np.concatenate([[True], (batch[1:] != batch[:-1])])
+        ends = np.cumsum(counts)
+        part = np.cumsum(np.maximum(counts, 1)) // BLOCK
+        last = np.append(np.flatnonzero((part[1:] != part[:-1]) | new[1:]), n - 1)
+        return {"batch": pa.array(batch[last], pa.int32()), "y": B.packed(b.column("label").to_numpy(zero_copy_only=False)[order], last + 1),
+                "n": B.packed(counts.astype(np.int32), last + 1), "idx": B.packed(idx[items].astype(np.int32), ends[last]),
+                "x": B.packed(x[items], ends[last])}
+
+    return B.by_batch(rows.select("label", "features", "batch"), "batch int, y binary, n binary, idx binary, x binary", block)
+
+
+def _block_shares(blocks: DataFrame, arrays: Arrays, names: Sequence[str]) -> DataFrame:
+    """As ``_shares`` over the rows of blocks."""
+    def share(b: pa.RecordBatch) -> dict:
+        n = B.unpacked(b.column("n"), np.int32)
+        return _share(arrays, names, len(n), np.repeat(np.arange(len(n)), n), B.unpacked(b.column("idx"), np.int32).astype(np.int64),
+                      B.unpacked(b.column("x"), np.float64), B.unpacked(b.column("y"), np.float64))
+
+    return _as_shares(blocks, names, share, BLOCKS_AT_ONCE)
+
+
+def _share(arrays: Arrays, names: Sequence[str], n: int, row: np.ndarray, idx: np.ndarray, x: np.ndarray, y: np.ndarray) -> dict:
+    """The sums of ``fm_gradients`` over ``n`` rows with labels ``y``, whose items are
+    (row, index, value)."""
+    q, yhat = arrays.score(row, idx, x, n)
+    g = 1.0 / (1.0 + np.exp(-yhat)) - y
+    loss = np.maximum(yhat, 0.0) - y * yhat + np.log1p(np.exp(-np.abs(yhat)))
+    found, at = B.distinct(idx)
+    gx, m = g[row] * x, len(found)
+    sums = [B.totals(at, gx, m), B.totals(at, gx * x, m), np.zeros(m, np.int64), np.zeros(m)]
+    sums += [B.totals(at, gx * np.take(q[:, f], row), m) for f in range(q.shape[1])]
+    bias = [g.sum(), g.sum(), n, loss.sum(), *[(g * q[:, f]).sum() for f in range(q.shape[1])]]
+    found = np.append(found, BIAS)
+    return {"idx": pa.array(found, mask=found == NO_INDEX)} | {c: np.append(a, e) for c, a, e in zip(names, sums, bias)}
+
+
+def _as_shares(df: DataFrame, names: Sequence[str], share: Callable[[pa.RecordBatch], dict], at_once: int = 1 << 30) -> DataFrame:
+    schema = "idx long, " + ", ".join(f"{c} {'long' if c == '_n' else 'double'}" for c in names)
+    return B.by_batch(df, schema, share, at_once).withColumn("idx", F.col("idx").cast("int"))
+
+
 def _shares(rows: DataFrame, arrays: Arrays, names: Sequence[str]) -> DataFrame:
     """The sums of ``fm_gradients`` over the rows (``_y, _f``) of a batch: a row an
-    index and batch."""
+    index and batch. The number of rows and their loss are the bias's alone."""
     def share(b: pa.RecordBatch) -> dict:
         n, row, idx, x, _ = items_of(b.column("_f"))
-        y = b.column("_y").to_numpy(zero_copy_only=False)
-        q, yhat = arrays.score(row, idx, x, n)
-        g = 1.0 / (1.0 + np.exp(-yhat)) - y
-        loss = np.maximum(yhat, 0.0) - y * yhat + np.log1p(np.exp(-np.abs(yhat)))
-        found, at = B.distinct(idx)
-        gx, m = g[row] * x, len(found)
-        sums = [B.totals(at, gx, m), B.totals(at, gx * x, m), np.bincount(at, minlength=m), B.totals(at, loss[row], m)]
-        sums += [B.totals(at, gx * q[row, f], m) for f in range(q.shape[1])]
-        bias = [g.sum(), g.sum(), n, loss.sum(), *[(g * q[:, f]).sum() for f in range(q.shape[1])]]
-        found = np.append(found, BIAS)
-        return {"idx": pa.array(found, mask=found == NO_INDEX)} | {c: np.append(a, e) for c, a, e in zip(names, sums, bias)}
+        return _share(arrays, names, n, row, idx, x, b.column("_y").to_numpy(zero_copy_only=False))
+
+    return _as_shares(rows, names, share)
 
-    schema = "idx long, " + ", ".join(f"{c} {'long' if c == '_n' else 'double'}" for c in names)
-    return B.by_batch(rows, schema, share).withColumn("idx", F.col("idx").cast("int"))
+
+def _names(k: int) -> list[str]:
+    return ["gw", "_b", "_n", "_loss", *[f"_a{n}" for n in range(k)]]
 
 
 def fm_gradients(rows: DataFrame, params: DataFrame, k: int, *, width: int | None = None, key: str = "row_id", label: str = "label",
@@ -171,7 +227,7 @@ def fm_gradients(rows: DataFrame, params: DataFrame, k: int, *, width: int | Non
     lacks is 0."""
     if width is None:
         width = (params.agg(F.max("idx")).first()[0] or 0) + 1
-    names = ["gw", "_b", "_n", "_loss", *[f"_a{n}" for n in range(k)]]
+    names = _names(k)
     if fits(rows, k, width):
         each = _shares(rows.select(target(F.col(label)).alias("_y"), F.col(features).alias("_f")), arrays_of(params, k, width), names)
     else:
@@ -185,7 +241,12 @@ def fm_gradients(rows: DataFrame, params: DataFrame, k: int, *, width: int | Non
         gx = F.col("_g") * F.col("_p.val")
         each = r.select(F.col("_p.idx").alias("idx"), gx.alias("gw"), (gx * F.col("_p.val")).alias("_b"), F.lit(1).cast("long").alias("_n"), "_loss",
                         *[(gx * F.get("_q", F.lit(n))).alias(f"_a{n}") for n in range(k)])
-    sums = each.groupBy("idx").agg(*[F.sum(c).alias(c) for c in names])
+    return _summed(each, params, k)
+
+
+def _summed(each: DataFrame, params: DataFrame, k: int) -> DataFrame:
+    """``fm_gradients`` of the shares of its rows."""
+    sums = each.groupBy("idx").agg(*[F.sum(c).alias(c) for c in _names(k)])
     j = sums.join(params.select(F.col("idx").alias("_i"), F.col("v").alias("_pv")), F.col("idx") == F.col("_i"), "left")
     gv = F.array(*[F.col(f"_a{n}") - F.coalesce(F.get("_pv", F.lit(n)), F.lit(0.0)) * F.col("_b") for n in range(k)])
     bias = F.col("idx") == BIAS
@@ -303,9 +364,18 @@ def fit(rows: DataFrame, width: int, *, method: str = DF.FM_SPARK_METHOD, dim_k:
         out_of = F.exists(features, lambda p: (p["idx"] < 0) | (p["idx"] >= width))
         checked = F.when(F.coalesce(out_of, F.lit(False)), F.raise_error(F.lit(f"feature index outside 0..{width - 1}"))).otherwise(F.col(features))
         # a value of 0 adds 0 to every sum of a step, so the written rows, read at every step, go without
-        return materialize(df.select(F.col(key).alias("key"), target(F.col(label)).alias("label"), S.drop_zero(checked).alias("features"),
-                                     F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(batches)).cast("int").alias("batch")), name, partition_by=("batch",))
-
+        out = df.select(F.col(key).alias("key"), target(F.col(label)).alias("label"), S.drop_zero(checked).alias("features"),
+                        F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(batches)).cast("int").alias("batch"))
+        out = materialize(out, name, partition_by=("batch",))
+        return materialize(_blocks(out), f"{name}-blocks", partition_by=("batch",)) if in_blocks else out
+
+    def gradients(of: DataFrame, it: int) -> DataFrame:
+        part = of.where(F.col("batch") == (it - 1) % n_batches)
+        if in_blocks:
+            return _summed(_block_shares(part.drop("batch"), arrays_of(state, dim_k, width), _names(dim_k)), state, dim_k)
+        return fm_gradients(part, state, dim_k, width=width, key="key")
+
+    in_blocks = fits(rows, dim_k, width)
     train = prepared(rows, "fm-rows", n_batches)
     held = prepared(valid, "fm-valid", n_batches) if method == "sgda" else None
     files = 1 + width * dim_k // 500_000  # of the state table
@@ -317,10 +387,10 @@ def fit(rows: DataFrame, width: int, *, method: str = DF.FM_SPARK_METHOD, dim_k:
     history, adapted, kept = [], [], {}
     for it in range(1, iter_num + 1):
         # written: the step reads it twice, for the rows' number and for the sums
-        grads = materialize(fm_gradients(train.where(F.col("batch") == (it - 1) % n_batches), state, dim_k, width=width, key="key"), "fm-grads")
+        grads = materialize(gradients(train, it), "fm-grads")
         state = kept_state(_step(state, grads, dim_k, learn_rate, it if method == "adamW" else 0, fit_bias, fit_linear))
         if method == "sgda":
-            vg = materialize(fm_gradients(held.where(F.col("batch") == (it - 1) % n_batches), state, dim_k, width=width, key="key"), "fm-grads")
+            vg = materialize(gradients(held, it), "fm-grads")
             state = kept_state(_adapted(state, vg, dim_k, learn_rate, reg_rate if reg_rate is not None else learn_rate))
             adapted += [(it, r.grp, r.r1, r.r2) for r in state.groupBy("grp").agg(F.min("r1").alias("r1"), F.min("r2").alias("r2")).orderBy("grp").limit(1000).collect()]
         b = state.where(F.col("idx") == BIAS).select("loss", "rows").first()

@@ -38,7 +38,7 @@ def _regroup(df: DataFrame, key: str, cols: list[str], agg) -> DataFrame:
 
 def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", features: str = "features",
             on_unknown: str = "error", clustered: bool = False,
-            max_broadcast_bytes: int | None = None, map_rows: int | None = None, once: bool = False) -> DataFrame:
+            max_broadcast_bytes: int | None = None, map_rows: int | None = None, once: bool = False, keep_zero: bool = True) -> DataFrame:
     """``idx -> pos`` through the index map ``(idx, pos)``, pair order kept.
     An optional column ``s`` in the map divides the values (scaling in the
     same pass).
@@ -50,6 +50,7 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
 
     The result is written, unless it is read ``once``: then only the keys are read
     first, for those that several rows share, and rows are looked up as they are read.
+    Without ``keep_zero`` pairs whose value is then 0 or null are left out (B2).
     """
     if on_unknown not in ("error", "drop"):
         raise ValueError("on_unknown must be 'error' or 'drop'")
@@ -60,15 +61,15 @@ def reindex(rows: DataFrame, feature_map: DataFrame, *, key: str = "row_id", fea
     if is_b and not clustered:
         table = B.by_index(fm.where(F.col("_mpos").isNotNull()), "_midx")
         if table is not None and 0 not in pc.unique(table["_ms"]).to_pylist():
-            found = lambda df: _in_row(df, table, key, features, on_unknown == "error")
-            merged = lambda df: _reindex_joined(df, fm, is_b, key, features, on_unknown, clustered)
+            found = lambda df: _in_row(df, table, key, features, on_unknown == "error", keep_zero)
+            merged = lambda df: _reindex_joined(df, fm, is_b, key, features, on_unknown, clustered, keep_zero)
             if once:
                 return B.one_row_a_key_read(found, [key], rows, merged)
             return B.one_row_a_key(found(rows), [key], rows, merged, "reindexed")
-    return _reindex_joined(rows, fm, is_b, key, features, on_unknown, clustered)
+    return _reindex_joined(rows, fm, is_b, key, features, on_unknown, clustered, keep_zero)
 
 
-def _in_row(rows: DataFrame, table: pa.Table, key: str, features: str, strict: bool) -> DataFrame:
+def _in_row(rows: DataFrame, table: pa.Table, key: str, features: str, strict: bool, keep_zero: bool) -> DataFrame:
     """``reindex`` of every row for itself. ``table``: ``_midx, _mpos, _ms`` by index."""
     known, pos, scale = table["_midx"].to_numpy(), table["_mpos"].to_numpy(), table["_ms"].combine_chunks()
     cols = [c for c in rows.columns if c not in (key, features)]
@@ -84,14 +85,19 @@ def _in_row(rows: DataFrame, table: pa.Table, key: str, features: str, strict: b
             if strict and lost.any():
                 raise ValueError(f"feature index not in the index map: {idx[int(lost.argmax())]}")
             at, val, n = at[found], val.filter(pa.array(found)), np.bincount(row[found], minlength=len(n))
-        new = pa.StructArray.from_arrays([pa.array(pos[at], pa.int32()), pc.divide(val, scale.take(pa.array(at)))], names=["idx", "val"])
+        val = pc.divide(val, scale.take(pa.array(at)))
+        if not keep_zero:
+            some = pc.fill_null(val, 0.0).to_numpy(zero_copy_only=False) != 0.0
+            row = np.repeat(np.arange(len(n)), n)
+            at, val, n = at[some], val.filter(pa.array(some)), np.bincount(row[some], minlength=len(n))
+        new = pa.StructArray.from_arrays([pa.array(pos[at], pa.int32()), val], names=["idx", "val"])
         return {c: b.column(c) for c in (key, *cols)} | {features: B.lists(n, new)}
 
     schema = T.StructType([rows.schema[c] for c in (key, *cols)] + [T.StructField(features, S.PAIRS)])
     return B.by_batch(rows, schema, look_up)
 
 
-def _reindex_joined(rows: DataFrame, fm: DataFrame, is_b: bool, key: str, features: str, on_unknown: str, clustered: bool) -> DataFrame:
+def _reindex_joined(rows: DataFrame, fm: DataFrame, is_b: bool, key: str, features: str, on_unknown: str, clustered: bool, keep_zero: bool) -> DataFrame:
     """``reindex`` by exploded pairs. The input is hash-partitioned on the row key
     before the explode where the map is broadcast, so that the regroup needs no
     second exchange."""
@@ -107,7 +113,8 @@ def _reindex_joined(rows: DataFrame, fm: DataFrame, is_b: bool, key: str, featur
     item = F.when(F.col("_f").isNotNull() & newidx.isNotNull(),
                   F.struct(F.col("_p").alias("p"), S.pair(newidx, F.col("_f.val") / F.col("_ms")).alias("q")))
     g = _regroup(j, key, cols, F.collect_list(item).alias("_items"))
-    return g.select(key, *cols, F.transform(F.array_sort("_items"), lambda x: x["q"]).alias(features))
+    pairs = F.transform(F.array_sort("_items"), lambda x: x["q"])
+    return g.select(key, *cols, (pairs if keep_zero else S.drop_zero(pairs)).alias(features))
 
 
 def to_fm(rows: DataFrame, *, is_prd: bool = False, reindex_map: DataFrame | None = None,

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fmspark.functions.sparse import pair
-from fmspark.session import collect_bounded
+from fmspark.session import collect_bounded, materialize
 
 # Fixed values of the fixture layout (FIXTURES.md): the threshold between
 # continuous and one-hot indices, the latent rank, the FM bias and the FFM
@@ -101,10 +101,13 @@ def one_hot_pairs(value: Column, cats: list, first_idx: Column | int) -> list[Co
     return out
 
 
-def sparse_rows(spark: SparkSession, sf_dir: str, label: str = "target") -> DataFrame:
+def sparse_rows(spark: SparkSession, sf_dir: str, label: str = "target", written: bool = False) -> DataFrame:
     """``row_id bigint, order_id string, label int, features array<struct<idx,val>>``.
-    ``label="target_planted"`` gives the planted-interaction label."""
+    ``label="target_planted"`` gives the planted-interaction label. ``written``: the joined
+    rows are written, for rows that are read several times."""
     fr = feature_rows(spark, sf_dir)
+    if written:
+        fr = materialize(fr.select("order_id", label, *[c for c in fr.columns if c.startswith("f_")]), "feature-rows")
     # the join with the line items adds no category
     cats = categories(_orders(spark, sf_dir).select(F.col("c_mktsegment").alias("f_seg"), F.col("c_nationkey").alias("f_nation"), _prio().alias("f_prio")),
                       "f_seg", "f_nation", "f_prio")

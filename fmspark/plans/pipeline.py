@@ -101,7 +101,8 @@ def train(rows: DataFrame, fmap: DataFrame, n_features: int, *, label: str = "la
     fmap = materialize(fmap, "feature-map")
 
     def positions(df: DataFrame) -> DataFrame:
-        return R.reindex(df.select(key, label, "features"), fmap, key=key, map_rows=n_features, once=method != "als")
+        return R.reindex(df.select(key, label, "features"), fmap, key=key, map_rows=n_features, once=method != "als",
+                         keep_zero=method == "als")
 
     def keyed(table: DataFrame | None) -> DataFrame | None:
         return None if table is None else table.join(fmap.select("idx", "pos"), "idx").drop("idx").withColumnRenamed("pos", "idx")
@@ -158,13 +159,15 @@ def run(spark: SparkSession, cfg: Config) -> dict:
     found = [M.auc(scored, "label", "p").first()[0], M.log_loss(scored, "label", "p").first()[0], M.accuracy(scored, "label", "p").first()[0]]
     W.write_parquet(spark.createDataFrame([tuple(found)], "auc double, log_loss double, accuracy double"), path("metrics"))
     out = {"bias": bias, "metrics": dict(zip(("auc", "log_loss", "accuracy"), found)), "latent": path("latent"), "predictions": path("predictions")}
-    kw = dict(append=cfg.append, numbering=cfg.numbering, dense=cfg.dense, k_hint=cfg.dim_k, in_row=True)
+    kw = dict(append=cfg.append, numbering=cfg.numbering, dense=cfg.dense, k_hint=cfg.dim_k, in_row=True, unique=True)  # prepare gave every row its own id
     sets = {"train": p["train"].withColumn("order_id", F.col("row_id").cast("string"))}
     if p["prd"] is not None:
         sets["prd"] = p["prd"].withColumn("label", F.lit(None).cast("double"))
     widths = {}
     for name, df in sets.items():
-        emb = materialize(E.embed(df, latent, cfg.threshold, keep=("order_id", "label"), **kw), f"embedded-{name}")
+        emb = E.embed(df, latent, cfg.threshold, keep=("order_id", "label"), **kw)
+        if cfg.table:  # read for the text, the width and the table
+            emb = materialize(emb, f"embedded-{name}")
         W.write_text(W.embedded_lines(emb, key="label" if name == "train" else "order_id", dense=cfg.dense), path(f"embedded_{name}"))
         out[name] = path(f"embedded_{name}")
         if cfg.table:

@@ -651,7 +651,7 @@ def pipeline_end_to_end(spark, sf):
     from fmspark.session import ensure_checkpoint_dir
     from fmspark.sinks import writers as W
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fmspark-e2e-{uuid.uuid4().hex}"
-    rows = fx.sparse_rows(spark, sf, label="target_planted")
+    rows = fx.sparse_rows(spark, sf, label="target_planted", written=True)
     W.write_text(W.fm_lines(rows.withColumn("label", F.col("label").cast("double"))), f"{base}/train_txt")
     W.write_text(W.prd_lines(rows), f"{base}/prd_txt")
     out = run(spark, Config(train_path=f"{base}/train_txt", prd_path=f"{base}/prd_txt", out_dir=f"{base}/out",

@@ -4,9 +4,13 @@ no driver round trip); files are sized by the partitioning and
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fmspark.functions import inrow as B
 from fmspark.functions import sparse as S
 
 
@@ -76,22 +80,51 @@ def write_parts(df: DataFrame, path: str, by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def _lines(df: DataFrame, head, pairs: str) -> DataFrame:
+    """Text lines ``head idx:val ...`` as ``S.format_pairs`` has them, put together
+    in Arrow batches (its lambda a pair is interpreted). What is neither 0 nor 1
+    comes with its text, which is Spark's own."""
+    zero, one = (F.lit(x).cast(df.schema[pairs].dataType.elementType["val"].dataType) for x in (0, 1))
+    rows = df.select(head.cast("string").alias("_head"), F.col(pairs).alias("_pairs"),
+                     F.array_remove(F.array_remove(F.col(pairs)["val"], zero), one).cast("array<string>").alias("_texts"))
+
+    def put_together(b: pa.RecordBatch) -> dict:
+        n, row, items = B.flat(b.column("_pairs"))
+        x = pc.struct_field(items, "val").cast(pa.float64())
+        whole = pc.and_(pc.is_valid(x), pc.is_valid(pc.struct_field(items, "idx"))).to_numpy(zero_copy_only=False)
+        x = B.field(items, "val", np.nan)
+        one, rest = x == 1.0, (x != 0.0) & (x != 1.0)
+        y = x[rest]
+        integral = (y == np.floor(y)) & (np.abs(y) < 1e15)
+        texts = pc.if_else(pa.array(integral), pa.array(np.where(integral, y, 0.0).astype(np.int64)).cast(pa.string()), pc.list_flatten(b.column("_texts")))
+        texts = pa.concat_arrays([pa.array(["0", "1"]), texts])
+        at = np.where(one, 1, 0)
+        at[rest] = np.arange(len(y)) + 2
+        idx = pc.struct_field(items, "idx")
+        if not whole.all():  # a pair without index or value has no text
+            at, idx, n = at[whole], idx.filter(pa.array(whole)), np.bincount(row[whole], minlength=len(n))
+        body = pc.binary_join(B.lists(n, pc.binary_join_element_wise(idx.cast(pa.string()), texts.take(pa.array(at)), ":"), b.column("_pairs").is_null()), " ")
+        return {"_head": b.column("_head"), "_body": body}
+
+    return B.by_batch(rows, "_head string, _body string", put_together).select(F.concat_ws(" ", "_head", "_body").alias("value"))
+
+
 def embedded_lines(df: DataFrame, *, key: str = "order_id", col: str = "out", dense: bool = False) -> DataFrame:
     """Embedded rows -> text lines ``head idx:val ...`` (or ``head v v ...``):
     the head is the order id of a prd row or the label of a train row."""
-    body = S.format_values(col) if dense else S.format_pairs(col)
     t = df.schema[key].dataType.typeName()
     head = S.line_head(key) if t in ("double", "float", "integer", "long", "short") else F.when(
         F.col(key).isNull(), F.raise_error(F.lit(f"null {key} at the head of a line"))).otherwise(F.col(key).cast("string"))
-    return df.select(F.concat_ws(" ", head, body).alias("value"))
+    return df.select(F.concat_ws(" ", head, S.format_values(col)).alias("value")) if dense else _lines(df, head, col)
 
 
 def write_text(lines: DataFrame, path: str, *, compression: str | None = "gzip", mode: str = "overwrite",
                max_records_per_file: int = 0) -> None:
-    """One text write; gzip by default, as the reference's writers."""
+    """One text write; gzip by default, as the reference's writers, at its
+    fastest level (a fraction of the time for files about half as large again)."""
     w = lines.write.mode(mode)
     if compression:
-        w = w.option("compression", compression)
+        w = w.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.text(path)
@@ -99,16 +132,12 @@ def write_text(lines: DataFrame, path: str, *, compression: str | None = "gzip",
 
 def fm_lines(df: DataFrame, *, label: str = "label", features: str = "features") -> DataFrame:
     """FM / libsvm text ``label idx:val ...``."""
-    return df.select(F.concat_ws(" ", S.fmt_num(F.col(label).cast("double")),
-                                 S.format_pairs(features)).alias("value"))
+    return _lines(df, S.fmt_num(F.col(label).cast("double")), features)
 
 
 def prd_lines(df: DataFrame, *, key: str = "order_id", features: str = "features") -> DataFrame:
     """Prediction text ``order_id idx:val ...``."""
-    # used twice, so that an expression of the features is not put into the lambda
-    # function's argument, where it is interpreted instead of compiled
-    pairs = F.when(F.size(features) >= 0, S.format_pairs(features))
-    return df.select(F.concat_ws(" ", F.col(key).cast("string"), pairs).alias("value"))
+    return _lines(df, F.col(key).cast("string"), features)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:
